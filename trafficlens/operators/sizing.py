@@ -1,0 +1,23 @@
+"""Size-checked broadcast.
+
+A side is broadcast only when a bounded count proves it has at most
+``max_rows`` rows: ``limit(max_rows + 1).count()`` stops reading as soon as
+the bound is exceeded, so the check costs at most ``max_rows + 1`` rows no
+matter how large the frame is. Above the bound the frame is returned as is and
+Spark plans a shuffle join (AQE may still demote it at run time).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """``broadcast(df)`` when ``df`` is proven to have at most ``max_rows`` rows, else ``df``."""
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
