@@ -16,8 +16,10 @@ import oracles
 from trafficlens import fixtures as fx
 from trafficlens.operators import filters as flt
 from trafficlens.operators.platform import add_platform
+from trafficlens.plans import runs as runstats
 from trafficlens.plans import traffic
 from trafficlens.sources import pageviews as src
+from trafficlens.sources.tables import clean_titles
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 MONUMENT = oracles.MONUMENT
@@ -28,6 +30,26 @@ def entry(spark: SparkSession) -> DataFrame:
     return traffic.top_pages(fx.pageviews(spark, SMOKE_DIR), 100)
 
 
+UNKNOWN_TITLE = oracles.UNKNOWN_TITLE
+
+
+def _reference_titles(pv: DataFrame) -> DataFrame:
+    """Reference list: every title seen on desktop, trimmed, non-empty, distinct."""
+    return clean_titles(fx.titles_from(pv, "fr"))
+
+
+def _requested_titles(pv: DataFrame) -> DataFrame:
+    """Requested list: every title seen on mobile plus one absent title."""
+    return fx.titles_from(pv, "fr.m", (UNKNOWN_TITLE,))
+
+
+def _runs(fn):
+    return lambda spark, d: fn(fx.runs(spark, d))
+
+
+RUN_COLUMNS = ("run_id", "ts_utc", "job", "month", "parallelism", "duration_s", "rows_in", "rows_out", "family")
+
+
 def _pv(fn):
     return lambda spark, d: fn(fx.pageviews(spark, d))
 
@@ -51,6 +73,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pv_clean": _pv(flt.clean_pages),
         "pv_platform": _pv(lambda pv: add_platform(flt.only_projects(pv))),
         "title_match": _pv(lambda pv: flt.match_title(pv, MONUMENT)),
+        # title lists and joins
+        "reference_titles": _pv(_reference_titles),
+        "title_variants": _pv(lambda pv: flt.expand_title_variants(_reference_titles(pv))),
+        "unknown_titles": _pv(lambda pv: flt.unknown_titles(_requested_titles(pv), _reference_titles(pv))),
+        "titles_daily": _pv(
+            lambda pv: traffic.titles_daily(pv, _reference_titles(pv).unionByName(_requested_titles(pv)))
+        ),
+        # run manifest statistics
+        "runs_load": _runs(lambda r: r.select(*RUN_COLUMNS)),
+        "run_ordinal": _runs(
+            lambda r: runstats.run_ordinal(r).select("ordinal", "run_id", "ts_utc", "job", "duration_s")
+        ),
+        "run_families": _runs(runstats.run_families),
+        "run_summary": _runs(runstats.run_summary),
+        "run_scaling": _runs(runstats.run_scaling),
         # aggregates and reports
         "views_by_title": _pv(traffic.views_by_title),
         "views_by_hour": _pv(traffic.views_by_hour),

@@ -81,6 +81,23 @@ HOURLY_PROFILE = ctes(
 )
 
 MONUMENT = "Sagrada_Família"
+UNKNOWN_TITLE = "Tour_Eiffel"
+
+REF_TITLES = "select distinct trim(title) as title from pv where project = 'fr' and trim(title) <> ''"
+REQ_TITLES = f"select title from pv where project = 'fr.m' union all select {lit(UNKNOWN_TITLE)}"
+TITLE_LISTS = {"pv": PV_SQL, "ref": REF_TITLES, "req": REQ_TITLES}
+VARIANTS = "select distinct title, unnest([title, url_encode(title)]) as variant from ({src})"
+
+TITLE_VARIANTS = ctes(**TITLE_LISTS) + "select distinct title, variant from (" + VARIANTS.format(src="select title from ref") + ")"
+UNKNOWN_TITLES = ctes(**TITLE_LISTS) + (
+    "select distinct title from req where not exists (select 1 from ref where ref.title = req.title)"
+)
+TITLES_DAILY = ctes(
+    **TITLE_LISTS,
+    v=VARIANTS.format(src="select title from ref union select title from req"),
+    hits=f"select v.title, pv.date, pv.views, {PLATFORM} as platform from pv join v on pv.title = v.variant "
+    f"where {PROJECT_FILTER}",
+) + f"select title, date, {SPLIT.format(total='views')} from hits group by title, date"
 
 
 def _title_daily(title: str) -> str:
@@ -99,6 +116,39 @@ def _pv_where(where: str, platform: bool = False) -> str:
 LINES = {"lines": LINES_SQL}
 
 
+RUNS = {"runs": RUNS_SQL}
+RUN_RANKS = (
+    "select family, parallelism, duration_s, "
+    "row_number() over (partition by family, parallelism order by duration_s) - 1 as rk, "
+    "count(*) over (partition by family, parallelism) as cnt from runs"
+)
+RUN_SUMMARY = ctes(
+    **RUNS,
+    rk_all=RUN_RANKS,
+    mid="select family, parallelism, avg(duration_s) as median_s from rk_all "
+    "where rk = (cnt - 1) // 2 or rk = cnt // 2 group by family, parallelism",
+    st="select family, parallelism, count(*) as n, min(duration_s) as min_s, max(duration_s) as max_s "
+    "from runs group by family, parallelism",
+) + (
+    "select st.family, st.parallelism, st.n, mid.median_s, st.min_s, st.max_s, "
+    "case when st.n > 1 then (st.max_s - st.min_s) / mid.median_s * 100 else 0.0 end as spread_pct "
+    "from st join mid using (family, parallelism)"
+)
+RUN_SCALING = ctes(
+    **RUNS,
+    rk_all=RUN_RANKS,
+    mid="select family, parallelism, avg(duration_s) as median_s from rk_all "
+    "where rk = (cnt - 1) // 2 or rk = cnt // 2 group by family, parallelism",
+    b="select *, first_value(parallelism) over w as p0, first_value(median_s) over w as m0 from mid "
+    "window w as (partition by family order by parallelism)",
+    c="select *, m0 / median_s as speedup, parallelism / p0 as nn from b",
+) + (
+    "select family, parallelism, median_s, speedup, speedup / nn as efficiency, "
+    "case when nn = 1 then null when speedup = 0 then 0.0 "
+    "else greatest(((nn / speedup) - 1) / (nn - 1), 0.0) end as seq_fraction from c"
+)
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "pv_scan": ctes(pv=PV_SQL) + "select * from pv",
@@ -113,6 +163,17 @@ def all_oracles() -> dict[str, str]:
         "pv_clean": _pv_where(CLEAN),
         "pv_platform": _pv_where(PROJECT_FILTER, platform=True),
         "title_match": _pv_where("title in " + in_list(sorted({MONUMENT, quote_title(MONUMENT)}))),
+        "reference_titles": ctes(**TITLE_LISTS) + "select title from ref",
+        "title_variants": TITLE_VARIANTS,
+        "unknown_titles": UNKNOWN_TITLES,
+        "titles_daily": TITLES_DAILY,
+        "runs_load": ctes(**RUNS) + "select * from runs",
+        "run_ordinal": ctes(**RUNS)
+        + "select row_number() over (order by ts_utc, run_id) as ordinal, "
+        "run_id, ts_utc, job, duration_s from runs",
+        "run_families": ctes(**RUNS) + "select distinct family, parallelism from runs",
+        "run_summary": RUN_SUMMARY,
+        "run_scaling": RUN_SCALING,
         "top_pages": TOP_PAGES,
         "views_by_title": VIEWS_BY_TITLE,
         "views_by_hour": VIEWS_BY_HOUR,

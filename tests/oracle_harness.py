@@ -76,8 +76,9 @@ def compare(spark, name: str, sf_dir: str, query, sql: str | None):
     )
     result["match"] = s_norm == d_norm
     if not result["match"]:
-        diff_s = [r for r in s_norm if r not in set(d_norm)][:5]
-        diff_d = [r for r in d_norm if r not in set(s_norm)][:5]
+        d_set, s_set = set(d_norm), set(s_norm)
+        diff_s = [r for r in s_norm if r not in d_set][:5]
+        diff_d = [r for r in d_norm if r not in s_set][:5]
         result["why"] = f"spark-only {diff_s} oracle-only {diff_d}"
     return result
 

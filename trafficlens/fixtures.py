@@ -117,9 +117,9 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = table(spark, sf_dir, "lineitem")
     manifest = li.select(
-        F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias(
-            "run_id"
-        ),
+        F.concat_ws(
+            "_", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+        ).alias("run_id"),
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("ts_utc"),
         F.concat_ws("_", "l_returnflag", "l_linestatus").alias("job"),
         F.date_format("l_shipdate", "yyyy-MM").alias("month"),
@@ -127,20 +127,21 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_quantity") * 10 / (F.col("l_linenumber") + 1)).alias("duration_s"),
         F.lit(-1).cast("bigint").alias("rows_in"),
         F.col("l_orderkey").cast("bigint").alias("rows_out"),
-        F.col("l_orderkey"),
-        F.col("l_linenumber"),
     )
     return with_family(manifest)
 
 
 RUNS_SQL = """
-select cast(l_orderkey as varchar) || '_' || cast(l_linenumber as varchar) as run_id,
+select cast(l_orderkey as varchar) || '_' || cast(l_linenumber as varchar) || '_'
+           || cast(l_partkey as varchar) || '_' || cast(l_suppkey as varchar) as run_id,
        strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') as ts_utc,
        l_returnflag || '_' || l_linestatus as job,
-       l_returnflag as family,
+       strftime(l_shipdate, '%Y-%m') as month,
        cast(l_linenumber as int) as parallelism,
        l_quantity * 10 / (l_linenumber + 1) as duration_s,
-       l_orderkey, l_linenumber
+       cast(-1 as bigint) as rows_in,
+       cast(l_orderkey as bigint) as rows_out,
+       l_returnflag as family
 from lineitem
 """
 

@@ -15,10 +15,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median") -> DataFrame:
-    """Exact median of ``value`` per ``keys``: ``keys…, out``.
+def group_median(
+    df: DataFrame, keys: Sequence[str], value: str, out: str = "median", stats: bool = False
+) -> DataFrame:
+    """Exact median of ``value`` per ``keys``: ``keys…, out`` (plus ``n, min, max`` with ``stats``).
 
     Even sizes give the mean of the two middle values, ``(a + b) / 2``; nulls are ignored.
+    The extra statistics come from the same distinct-value counts, in the same pass.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
     ordered = Window.partitionBy(*keys).orderBy(value)
@@ -36,8 +39,13 @@ def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "med
     def holds(rank):
         return (first_rank <= rank) & (rank < F.col("_cum"))
 
+    extra = (
+        [F.sum("_c").alias("n"), F.min(value).alias("min"), F.max(value).alias("max")] if stats else []
+    )
     picked = running.groupBy(*keys).agg(
         F.max(F.when(holds(lo), F.col(value))).alias("_lo"),
         F.max(F.when(holds(hi), F.col(value))).alias("_hi"),
+        *extra,
     )
-    return picked.select(*keys, ((F.col("_lo") + F.col("_hi")) / 2).alias(out))
+    tail = ["n", "min", "max"] if stats else []
+    return picked.select(*keys, ((F.col("_lo") + F.col("_hi")) / 2).alias(out), *tail)
