@@ -16,6 +16,8 @@ import oracles
 from trafficlens import fixtures as fx
 from trafficlens.operators import filters as flt
 from trafficlens.operators.platform import add_platform
+from trafficlens.plans import coverage as cov
+from trafficlens.plans import metrics as mx
 from trafficlens.plans import runs as runstats
 from trafficlens.plans import traffic
 from trafficlens.sources import pageviews as src
@@ -50,6 +52,23 @@ def _runs(fn):
 RUN_COLUMNS = ("run_id", "ts_utc", "job", "month", "parallelism", "duration_s", "rows_in", "rows_out", "family")
 
 
+# Calendar of the dataset (the download parameters: first day and number of days).
+CAL_START, CAL_DAYS = oracles.CAL_START, oracles.CAL_DAYS
+RATE_WINDOW, RATE_STEP = oracles.RATE_WINDOW, oracles.RATE_STEP
+
+
+def _file_hours(spark: SparkSession, d: str) -> DataFrame:
+    return cov.observed_hours(src.file_hours(fx.pageview_lines(spark, d)))
+
+
+def _project_hours(spark: SparkSession, d: str) -> DataFrame:
+    return cov.observed_hours(fx.pageviews(spark, d), ["project"])
+
+
+def _samples(fn):
+    return lambda spark, d: fn(fx.samples(spark, d))
+
+
 def _pv(fn):
     return lambda spark, d: fn(fx.pageviews(spark, d))
 
@@ -88,6 +107,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "run_families": _runs(runstats.run_families),
         "run_summary": _runs(runstats.run_summary),
         "run_scaling": _runs(runstats.run_scaling),
+        # dataset coverage against the hourly calendar
+        "coverage_gaps": lambda spark, d: cov.coverage_gaps(_file_hours(spark, d), CAL_START, CAL_DAYS),
+        "coverage_summary": lambda spark, d: cov.coverage_summary(_file_hours(spark, d), CAL_START, CAL_DAYS),
+        "coverage_gaps_by_project": lambda spark, d: cov.coverage_gaps(
+            _project_hours(spark, d), CAL_START, CAL_DAYS, ["project"]
+        ),
+        "coverage_summary_by_project": lambda spark, d: cov.coverage_summary(
+            _project_hours(spark, d), CAL_START, CAL_DAYS, ["project"]
+        ),
+        # metric samples
+        "metric_samples": _samples(lambda s: s),
+        "metric_latest": _samples(mx.latest),
+        "metric_latest_sum": _samples(mx.latest_sum),
+        "metric_sum_of_two": _samples(lambda s: mx.sum_of_two(s, "view", "click")),
+        "metric_rate": _samples(lambda s: mx.counter_rate(s, RATE_WINDOW, RATE_STEP)),
+        "metric_rate_signed": _samples(lambda s: mx.counter_rate(s, RATE_WINDOW, RATE_STEP, sign=-1)),
+        "metric_sum_by_label": _samples(lambda s: mx.sum_by_label(s, RATE_STEP)),
+        "metric_label_regex": _samples(lambda s: mx.label_matches(mx.latest(s), "name", oracles.LABEL_PATTERN)),
+        "metric_reduce": _samples(lambda s: mx.reduce_series(mx.sum_by_label(s, RATE_STEP))),
         # aggregates and reports
         "views_by_title": _pv(traffic.views_by_title),
         "views_by_hour": _pv(traffic.views_by_hour),

@@ -149,6 +149,68 @@ RUN_SCALING = ctes(
 )
 
 
+CAL_START, CAL_DAYS = "2024-01-01", 30
+CAL_SQL = (
+    "select unnest(generate_series(timestamp '2024-01-01 00:00:00', "
+    "timestamp '2024-01-01 00:00:00' + interval 30 day - interval 1 hour, interval 1 hour)) as hour_ts"
+)
+FILE_HOURS = (
+    "select distinct cast(strptime(day, '%Y%m%d') as timestamp) + to_hours(hour) as hour_ts "
+    "from lines where file_name <> 'other.gz'"
+)
+PROJECT_HOURS = "select distinct project, cast(date as timestamp) + to_hours(hour) as hour_ts from pv"
+COVERAGE = {"lines": LINES_SQL, "pv": PV_SQL, "cal": CAL_SQL}
+DAY_HOUR = "strftime(c.hour_ts, '%Y%m%d') as day, cast(hour(c.hour_ts) as int) as hour"
+COVERAGE_GAPS = ctes(**COVERAGE, obs=FILE_HOURS) + (
+    f"select {DAY_HOUR} from cal c where c.hour_ts not in (select hour_ts from obs)"
+)
+COVERAGE_SUMMARY = ctes(**COVERAGE, obs=FILE_HOURS) + (
+    "select cast(720 as bigint) as expected, count(*) as present, cast(720 - count(*) as bigint) as missing, "
+    "count(*) = 720 as complete from obs where hour_ts in (select hour_ts from cal)"
+)
+COVERAGE_GAPS_BY_PROJECT = ctes(
+    **COVERAGE,
+    obs=f"select * from ({PROJECT_HOURS}) where hour_ts in (select hour_ts from cal)",
+    keys="select distinct project from obs",
+) + (
+    f"select k.project, {DAY_HOUR} from keys k cross join cal c "
+    "where not exists (select 1 from obs o where o.project = k.project and o.hour_ts = c.hour_ts)"
+)
+COVERAGE_SUMMARY_BY_PROJECT = ctes(
+    **COVERAGE, obs=f"select * from ({PROJECT_HOURS}) where hour_ts in (select hour_ts from cal)"
+) + (
+    "select project, cast(720 as bigint) as expected, count(*) as present, "
+    "cast(720 - count(*) as bigint) as missing, count(*) = 720 as complete from obs group by project"
+)
+
+RATE_WINDOW, RATE_STEP = "6 hours", "1 hour"
+LABEL_PATTERN = "e.+"
+SAMPLES = {"s": SAMPLES_SQL}
+LATEST = "select name, k, arg_max(v, row(ts, event_id)) as value from s group by name, k"
+INC = (
+    "select *, case when pv is null then 0 when v >= pv then v - pv else v end as inc from ("
+    "select *, lag(v) over (partition by name, k order by ts, event_id) as pv from s)"
+)
+RATE_WINDOWS = (
+    "select name, k, date_trunc('hour', ts) + to_hours(j + 1) as wend, ts, event_id, inc "
+    "from inc cross join range(0, 6) r(j)"
+)
+RATE = ctes(
+    **SAMPLES,
+    inc=INC,
+    w=RATE_WINDOWS,
+    per=(
+        "select name, k, wend, sum(inc) - arg_min(inc, row(ts, event_id)) as increase, count(*) as n "
+        "from w group by name, k, wend"
+    ),
+) + "select name, wend as ts, {sign}cast(sum(increase) as double) / 21600 as rate from per where n >= 2 group by name, wend"
+SUM_BY_LABEL = (
+    "select name, b + interval 1 hour as ts, cast(sum(last) as bigint) as value from ("
+    "select name, k, date_trunc('hour', ts) as b, arg_max(v, row(ts, event_id)) as last from s group by name, k, b) "
+    "group by name, b"
+)
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "pv_scan": ctes(pv=PV_SQL) + "select * from pv",
@@ -174,6 +236,24 @@ def all_oracles() -> dict[str, str]:
         "run_families": ctes(**RUNS) + "select distinct family, parallelism from runs",
         "run_summary": RUN_SUMMARY,
         "run_scaling": RUN_SCALING,
+        "coverage_gaps": COVERAGE_GAPS,
+        "coverage_summary": COVERAGE_SUMMARY,
+        "coverage_gaps_by_project": COVERAGE_GAPS_BY_PROJECT,
+        "coverage_summary_by_project": COVERAGE_SUMMARY_BY_PROJECT,
+        "metric_samples": ctes(**SAMPLES) + "select * from s",
+        "metric_latest": ctes(**SAMPLES) + LATEST,
+        "metric_latest_sum": ctes(**SAMPLES, l=LATEST) + "select name, cast(sum(value) as bigint) as value from l group by name",
+        "metric_sum_of_two": ctes(**SAMPLES, l=LATEST)
+        + "select cast(sum(case when name = 'view' then value end) + sum(case when name = 'click' then value end) "
+        "as bigint) as value from l",
+        "metric_rate": RATE.format(sign=""),
+        "metric_rate_signed": RATE.format(sign="-"),
+        "metric_sum_by_label": ctes(**SAMPLES) + SUM_BY_LABEL,
+        "metric_label_regex": ctes(**SAMPLES, l=LATEST)
+        + f"select * from l where regexp_full_match(name, {lit(LABEL_PATTERN)})",
+        "metric_reduce": ctes(**SAMPLES, g=SUM_BY_LABEL)
+        + "select name, arg_max(value, ts) as last_value, avg(value) as mean_value, max(value) as max_value "
+        "from g group by name",
         "top_pages": TOP_PAGES,
         "views_by_title": VIEWS_BY_TITLE,
         "views_by_hour": VIEWS_BY_HOUR,

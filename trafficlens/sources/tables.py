@@ -104,6 +104,9 @@ def with_day_hour(df: DataFrame, hour_ts: str = "hour_ts") -> DataFrame:
 
 
 def hour_timestamp(day: str = "day", hour: str = "hour") -> Column:
-    """``timestamp_ntz`` of a dump hour from its ``day`` string and ``hour`` int."""
-    text = F.concat(F.col(day), F.lpad(F.col(hour).cast("string"), 2, "0"))
-    return F.try_to_timestamp(text, F.lit("yyyyMMddHH")).cast("timestamp_ntz")
+    """``timestamp_ntz`` of a dump hour from its ``day`` (yyyyMMdd) and ``hour``; null if the day is invalid.
+
+    Built from a date plus an hour interval, so it does not depend on the session time zone.
+    """
+    midnight = F.try_to_date(F.col(day), "yyyyMMdd").cast("timestamp_ntz")
+    return midnight + F.make_dt_interval(F.lit(0), F.col(hour))
