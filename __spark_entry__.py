@@ -20,6 +20,8 @@ from trafficlens.plans import coverage as cov
 from trafficlens.plans import metrics as mx
 from trafficlens.plans import runs as runstats
 from trafficlens.plans import traffic
+from trafficlens.session import shared_path
+from trafficlens.sinks import landing, results
 from trafficlens.sources import pageviews as src
 from trafficlens.sources.tables import clean_titles
 
@@ -69,6 +71,31 @@ def _samples(fn):
     return lambda spark, d: fn(fx.samples(spark, d))
 
 
+def _csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Top pages written as one CSV file in the shared folder and read back with its schema."""
+    top = traffic.top_pages(fx.pageviews(spark, d), 100)
+    path = shared_path(spark, "csv_roundtrip")
+    results.write_result(top, path, fmt="csv", single_file=True)
+    return results.read_result_csv(spark, path, top.schema)
+
+
+def _observed_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Input and output row counts of one top-pages run, gathered by its single write."""
+    pv, seen = results.observe_rows(fx.pageviews(spark, d), "pv_in")
+    rows_out = results.write_result(
+        traffic.top_pages(pv, 100), shared_path(spark, "observed_counts"), single_file=True
+    )
+    rows_in = int(seen.get.get("rows", -1))
+    return spark.createDataFrame([(rows_in, rows_out)], "rows_in bigint, rows_out bigint")
+
+
+def _landed(spark: SparkSession, d: str) -> DataFrame:
+    """Page views landed as date-partitioned Parquet in the shared folder, read back."""
+    path = shared_path(spark, "landed")
+    landing.land_pageviews(fx.pageviews(spark, d), path)
+    return landing.read_landed_pageviews(spark, path)
+
+
 def _pv(fn):
     return lambda spark, d: fn(fx.pageviews(spark, d))
 
@@ -126,6 +153,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "metric_sum_by_label": _samples(lambda s: mx.sum_by_label(s, RATE_STEP)),
         "metric_label_regex": _samples(lambda s: mx.label_matches(mx.latest(s), "name", oracles.LABEL_PATTERN)),
         "metric_reduce": _samples(lambda s: mx.reduce_series(mx.sum_by_label(s, RATE_STEP))),
+        # sinks
+        "csv_roundtrip": _csv_roundtrip,
+        "observed_counts": _observed_counts,
+        "pv_landed": _landed,
+        "landed_top_pages": lambda spark, d: traffic.top_pages(_landed(spark, d), 100),
         # aggregates and reports
         "views_by_title": _pv(traffic.views_by_title),
         "views_by_hour": _pv(traffic.views_by_hour),

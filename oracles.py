@@ -254,6 +254,11 @@ def all_oracles() -> dict[str, str]:
         "metric_reduce": ctes(**SAMPLES, g=SUM_BY_LABEL)
         + "select name, arg_max(value, ts) as last_value, avg(value) as mean_value, max(value) as max_value "
         "from g group by name",
+        "csv_roundtrip": TOP_PAGES,
+        "observed_counts": ctes(pv=PV_SQL)
+        + "select (select count(*) from pv) as rows_in, cast(100 as bigint) as rows_out",
+        "pv_landed": ctes(pv=PV_SQL) + "select * from pv",
+        "landed_top_pages": TOP_PAGES,
         "top_pages": TOP_PAGES,
         "views_by_title": VIEWS_BY_TITLE,
         "views_by_hour": VIEWS_BY_HOUR,

@@ -1,0 +1,29 @@
+"""User-facing reports: page traffic, coverage, run statistics, metric samples."""
+
+from .coverage import coverage_gaps, coverage_summary, observed_hours
+from .metrics import counter_rate, label_matches, latest, latest_sum, reduce_series, sum_by_label, sum_of_two
+from .runs import run_families, run_ordinal, run_scaling, run_summary
+from .traffic import hourly_profile, title_daily, titles_daily, top_pages, views_by_hour, views_by_title
+
+__all__ = [
+    "counter_rate",
+    "coverage_gaps",
+    "coverage_summary",
+    "hourly_profile",
+    "label_matches",
+    "latest",
+    "latest_sum",
+    "observed_hours",
+    "reduce_series",
+    "run_families",
+    "run_ordinal",
+    "run_scaling",
+    "run_summary",
+    "sum_by_label",
+    "sum_of_two",
+    "title_daily",
+    "titles_daily",
+    "top_pages",
+    "views_by_hour",
+    "views_by_title",
+]

@@ -1,0 +1,19 @@
+"""Sinks: result files with observed counts, Parquet landing, run manifest and context."""
+
+from .landing import land_pageviews, read_landed_pageviews
+from .manifest import RunContext, append_run, write_meta
+from .results import CSV_OPTIONS, name_single_part, observe_rows, path_exists, read_result_csv, write_result
+
+__all__ = [
+    "CSV_OPTIONS",
+    "RunContext",
+    "append_run",
+    "land_pageviews",
+    "name_single_part",
+    "observe_rows",
+    "path_exists",
+    "read_landed_pageviews",
+    "read_result_csv",
+    "write_meta",
+    "write_result",
+]
