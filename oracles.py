@@ -54,11 +54,12 @@ def _share(col: str, digits: int) -> str:
     )
 
 
-TOP_PAGES = ctes(
+TOP_CTES = ctes(
     **BASE,
     agg=f"select title, {SPLIT.format(total='views')} from clean group by title",
     top="select * from agg order by views desc, title asc limit 100",
-) + (
+)
+TOP_PAGES = TOP_CTES + (
     "select cast(row_number() over (order by views desc, title asc) as int) as rank, title, views, "
     f"views_desktop, views_mobile, {_share('views', 3)} as share_pct from top"
 )
@@ -255,8 +256,8 @@ def all_oracles() -> dict[str, str]:
         + "select name, arg_max(value, ts) as last_value, avg(value) as mean_value, max(value) as max_value "
         "from g group by name",
         "csv_roundtrip": TOP_PAGES,
-        "observed_counts": ctes(pv=PV_SQL)
-        + "select (select count(*) from pv) as rows_in, cast(100 as bigint) as rows_out",
+        "observed_counts": TOP_CTES
+        + "select (select count(*) from pv) as rows_in, (select count(*) from top) as rows_out",
         "pv_landed": ctes(pv=PV_SQL) + "select * from pv",
         "landed_top_pages": TOP_PAGES,
         "top_pages": TOP_PAGES,

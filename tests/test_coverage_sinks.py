@@ -1,0 +1,94 @@
+"""Coverage against the hourly calendar; result files, landing, run context."""
+
+import datetime as dt
+import json
+import os
+
+import pytest
+
+from trafficlens.plans import coverage_gaps, coverage_summary
+from trafficlens.sinks import RunContext, land_pageviews, read_landed_pageviews, read_result_csv, write_result
+from trafficlens.sources import hourly_calendar, read_runs
+
+T0 = dt.datetime(2026, 6, 1)
+
+
+def _hours(spark, rows):
+    return spark.createDataFrame(rows, "src string, hour_ts timestamp_ntz")
+
+
+def test_calendar(spark):
+    cal = hourly_calendar(spark, "2026-06-01", 7)
+    assert cal.count() == 168
+    first = cal.orderBy("hour_ts").first()
+    assert (first.day, first.hour) == ("20260601", 0)
+
+
+def test_gaps_global_and_per_key(spark):
+    seen = [("a", T0 + dt.timedelta(hours=h)) for h in range(48) if h not in (0, 5, 6, 47)]
+    seen += [("b", T0 + dt.timedelta(hours=10)), ("b", T0 + dt.timedelta(hours=99))]  # outside the calendar
+    df = _hours(spark, seen)
+    gaps = {(r.day, r.hour) for r in coverage_gaps(df.select("hour_ts"), "2026-06-01", 2).collect()}
+    assert gaps == {("20260601", 0), ("20260601", 5), ("20260601", 6), ("20260602", 23)}
+    per = coverage_gaps(df, "2026-06-01", 2, ["src"]).collect()
+    assert len([r for r in per if r.src == "a"]) == 4 and len([r for r in per if r.src == "b"]) == 47
+    summary = {r.src: (r.expected, r.present, r.missing, r.complete) for r in coverage_summary(df, "2026-06-01", 2, ["src"]).collect()}
+    assert summary == {"a": (48, 44, 4, False), "b": (48, 1, 47, False)}
+
+
+def test_empty_input_is_fully_missing(spark):
+    empty = spark.createDataFrame([], "hour_ts timestamp_ntz")
+    assert coverage_gaps(empty, "2026-06-01", 1).count() == 24
+
+
+def test_csv_round_trip_is_exact(spark, tmp_path):
+    rows = [(1, 'A_"quoted",_title', 5.5), (2, "  leading and trailing  ", 1.25e7), (3, "back\\slash", None)]
+    df = spark.createDataFrame(rows, "rank int, title string, share double")
+    path = str(tmp_path / "out")
+    assert write_result(df, path, fmt="csv", single_file=True) == 3
+    assert sorted(tuple(r) for r in read_result_csv(spark, path, df.schema).collect()) == sorted(rows)
+    with pytest.raises(Exception):
+        write_result(df, path, fmt="csv")  # never overwrites
+
+
+def test_empty_result_writes_header_only(spark, tmp_path):
+    df = spark.createDataFrame([], "date date, views bigint")
+    path = str(tmp_path / "empty")
+    assert write_result(df, path, fmt="csv", single_file=True) == 0
+    parts = [p for p in os.listdir(path) if p.startswith("part-")]
+    assert len(parts) == 1
+    assert open(os.path.join(path, parts[0])).read().strip() == "date,views"
+
+
+def test_landing_partitions_by_date(spark, tmp_path):
+    d1, d2 = dt.date(2026, 6, 1), dt.date(2026, 6, 2)
+    pv = spark.createDataFrame(
+        [("fr", "B", 1, "20260601", 0, d1), ("fr", "A", 2, "20260601", 1, d1), ("fr.m", "C", 3, "20260602", 0, d2)],
+        "project string, title string, views int, day string, hour int, date date",
+    )
+    path = str(tmp_path / "landed")
+    assert land_pageviews(pv, path) == 3
+    assert sorted(os.listdir(path))[:2] == ["_SUCCESS", "date=2026-06-01"] or "date=2026-06-02" in os.listdir(path)
+    back = read_landed_pageviews(spark, path)
+    assert back.columns == pv.columns
+    assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in pv.collect())
+    pruned = back.where("date = date'2026-06-02'")
+    assert "PartitionFilters: [isnotnull(date" in pruned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_run_context_writes_manifest_and_meta(spark, tmp_path):
+    out_root, manifest = str(tmp_path / "out"), str(tmp_path / "runs")
+    df = spark.range(10).selectExpr("id", "id % 3 as g")
+    with RunContext(spark, "top100", "2026-07", out_root, manifest, input_files=3) as run:
+        src = run.observe_input(df)
+        assert run.write(src.groupBy("g").count()) == 3
+    runs = read_runs(spark, manifest).collect()
+    assert len(runs) == 1 and runs[0].rows_in == 10 and runs[0].rows_out == 3 and runs[0].family == "top100"
+    meta_dir = os.path.join(run.outdir, "meta")
+    meta = json.loads(open(os.path.join(meta_dir, [p for p in os.listdir(meta_dir) if p.endswith(".json")][0])).read())
+    assert meta["input_files"] == 3 and meta["job"] == "top100" and meta["parallelism"] >= 1
+
+    with pytest.raises(ZeroDivisionError):
+        with RunContext(spark, "circadian", "2026-07", out_root, manifest):
+            raise ZeroDivisionError
+    assert read_runs(spark, manifest).count() == 1  # a failed run writes no manifest row
