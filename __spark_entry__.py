@@ -23,7 +23,7 @@ from trafficlens.plans import traffic
 from trafficlens.session import shared_path
 from trafficlens.sinks import landing, results
 from trafficlens.sources import pageviews as src
-from trafficlens.sources.tables import clean_titles
+from trafficlens.sources.tables import calendar_spanning, clean_titles
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 MONUMENT = oracles.MONUMENT
@@ -135,6 +135,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "run_summary": _runs(runstats.run_summary),
         "run_scaling": _runs(runstats.run_scaling),
         # dataset coverage against the hourly calendar
+        "coverage_calendar": lambda spark, d: calendar_spanning(_file_hours(spark, d)).select("day", "hour"),
         "coverage_gaps": lambda spark, d: cov.coverage_gaps(_file_hours(spark, d), CAL_START, CAL_DAYS),
         "coverage_summary": lambda spark, d: cov.coverage_summary(_file_hours(spark, d), CAL_START, CAL_DAYS),
         "coverage_gaps_by_project": lambda spark, d: cov.coverage_gaps(

@@ -237,6 +237,10 @@ def all_oracles() -> dict[str, str]:
         "run_families": ctes(**RUNS) + "select distinct family, parallelism from runs",
         "run_summary": RUN_SUMMARY,
         "run_scaling": RUN_SCALING,
+        "coverage_calendar": ctes(**COVERAGE, obs=FILE_HOURS)
+        + "select strftime(h, '%Y%m%d') as day, cast(hour(h) as int) as hour from ("
+        "select unnest(generate_series(date_trunc('day', min(hour_ts)), "
+        "date_trunc('day', max(hour_ts)) + interval 23 hour, interval 1 hour)) as h from obs)",
         "coverage_gaps": COVERAGE_GAPS,
         "coverage_summary": COVERAGE_SUMMARY,
         "coverage_gaps_by_project": COVERAGE_GAPS_BY_PROJECT,

@@ -74,3 +74,22 @@ def test_title_variants_and_match(spark):
     )
     assert match_title(pv, "Sagrada_Família").count() == 2
     assert pv.where(F.col("title").isNull()).count() == 0
+
+
+def test_title_guard_and_reader(spark, tmp_path):
+    from trafficlens.operators import check_titles, unknown_titles
+    from trafficlens.sources import read_titles
+
+    csv = tmp_path / "monuments.csv"
+    csv.write_text("title\n Tour_Eiffel \nSagrada_Família\n\nTour_Eiffel\n", encoding="utf-8")
+    known = read_titles(spark, str(csv))
+    assert sorted(r.title for r in known.collect()) == ["Sagrada_Família", "Tour_Eiffel"]
+    missing = read_titles(spark, str(tmp_path / "absent.csv"))
+    assert missing.count() == 0
+
+    asked = spark.createDataFrame([("Tour_Eiffel",), ("Mont-Saint-Michel",)], "title string")
+    assert [r.title for r in unknown_titles(asked, known).collect()] == ["Mont-Saint-Michel"]
+    with pytest.raises(ValueError, match="Mont-Saint-Michel"):
+        check_titles(asked, known)
+    check_titles(asked, known, force=True)  # forced
+    check_titles(asked, missing)  # no reference list: guard skipped

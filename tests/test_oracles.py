@@ -25,3 +25,9 @@ def test_entry_smoke(spark):
 def test_query_matches_oracle(spark, name):
     result = compare(spark, name, SMOKE_DIR, QUERIES[name], ORACLES.get(name))
     assert result["match"], result
+
+
+@pytest.mark.parametrize("name", ["pv_scan", "top_pages", "hourly_profile", "titles_daily", "run_scaling", "metric_rate"])
+def test_core_queries_with_ansi_off(spark, ansi, name):
+    result = compare(spark, name, SMOKE_DIR, QUERIES[name], ORACLES.get(name))
+    assert result["match"], result

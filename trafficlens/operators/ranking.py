@@ -6,7 +6,9 @@ across partitions by the sampled bounds), each row gets its position inside its
 partition, and a table of per-partition sizes (one row per partition, so its
 size is bounded by the partition count) supplies the offsets through a
 broadcast join. Both uses read the same reused range exchange, so the sizes and
-the positions describe the same partitions.
+the positions describe the same partitions; when exchange reuse is switched
+off, the tagged frame is checkpointed to the session's checkpoint folder
+instead, so both uses read one materialised copy.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], out: str = "
         .withColumn("_part", F.shiftright("_mid", _ID_BITS))
         .withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_part"), _ID_BITS))
     )
+    if tagged.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        tagged = tagged.checkpoint(eager=True)
     sizes = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))

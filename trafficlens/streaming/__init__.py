@@ -1,0 +1,5 @@
+"""Incremental (file-source streaming) landing of hourly dumps."""
+
+from .landing import stream_land_pageviews
+
+__all__ = ["stream_land_pageviews"]
