@@ -71,3 +71,20 @@ def test_bounded_broadcast(spark):
     hinted = bounded_broadcast(df, 10)
     assert "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
     assert bounded_broadcast(df, 5) is df
+
+
+def test_running_sum_by_group_with_hot_group(spark):
+    from trafficlens.operators.ranking import running_sum_by_group
+
+    rnd = random.Random(11)
+    rows = [("hot" if rnd.random() < 0.8 else rnd.choice(["a", None]), rnd.randrange(0, 500), i, rnd.randrange(1, 9)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "g string, v int, id int, w int").repartition(5)
+    got = {r.id: (r.run, r.total) for r in running_sum_by_group(df, ["g"], ["v", "id"], "w", "run", "total").collect()}
+    want = {}
+    for key in {r[0] for r in rows}:
+        grp = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1], r[2]))
+        total, acc = sum(r[3] for r in grp), 0
+        for _, _, i, w in grp:
+            acc += w
+            want[i] = (acc, total)
+    assert got == want

@@ -1,19 +1,27 @@
-"""Exact group median without gathering a group's rows.
+"""Exact group median without gathering a group into one task.
 
 ``median``/``percentile`` keep every distinct value of a group in one
-in-memory buffer of one task. Here the rows are first reduced to
-(group, value, count) by a partial aggregation, which compresses a hot group
-to its distinct values before anything is shuffled; then a running count over
-the distinct values (a spillable window) locates the middle rank(s).
+in-memory buffer of one task. Here:
+
+1. rows are reduced to (group, value, count) by a partial aggregation, which
+   compresses a hot group to its distinct values before anything is shuffled;
+2. a running count over the sorted distinct values is computed with
+   :func:`running_sum_by_group`, whose range partitioning splits a hot group
+   across tasks;
+3. only the (at most two) values covering the middle ranks survive a filter,
+   and a final tiny aggregation averages them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .keys import join_on_keys
+from .ranking import running_sum_by_group
+
 
 def group_median(
     df: DataFrame, keys: Sequence[str], value: str, out: str = "median", stats: bool = False
@@ -21,17 +29,10 @@ def group_median(
     """Exact median of ``value`` per ``keys``: ``keys…, out`` (plus ``n, min, max`` with ``stats``).
 
     Even sizes give the mean of the two middle values, ``(a + b) / 2``; nulls are ignored.
-    The extra statistics come from the same distinct-value counts, in the same pass.
+    The extra statistics come from the same distinct-value counts.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    ordered = Window.partitionBy(*keys).orderBy(value)
-    running = counts.select(
-        *keys,
-        value,
-        "_c",
-        F.sum("_c").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_cum"),
-        F.sum("_c").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_n"),
-    )
+    running = running_sum_by_group(counts, keys, [value], "_c", "_cum", total_out="_n")
     lo = F.floor((F.col("_n") - 1) / 2)
     hi = F.floor(F.col("_n") / 2)
     first_rank = F.col("_cum") - F.col("_c")
@@ -39,13 +40,14 @@ def group_median(
     def holds(rank):
         return (first_rank <= rank) & (rank < F.col("_cum"))
 
-    extra = (
-        [F.sum("_c").alias("n"), F.min(value).alias("min"), F.max(value).alias("max")] if stats else []
-    )
-    picked = running.groupBy(*keys).agg(
+    middle = running.where(holds(lo) | holds(hi)).groupBy(*keys).agg(
         F.max(F.when(holds(lo), F.col(value))).alias("_lo"),
         F.max(F.when(holds(hi), F.col(value))).alias("_hi"),
-        *extra,
+        F.first("_n").alias("n"),
     )
-    tail = ["n", "min", "max"] if stats else []
-    return picked.select(*keys, ((F.col("_lo") + F.col("_hi")) / 2).alias(out), *tail)
+    result = middle.select(*keys, ((F.col("_lo") + F.col("_hi")) / 2).alias(out), "n")
+    if not stats:
+        return result.drop("n")
+    # min / max per group: partial aggregates over the distinct-value counts.
+    bounds = counts.groupBy(*keys).agg(F.min(value).alias("min"), F.max(value).alias("max"))
+    return join_on_keys(result, bounds, keys).select(*keys, out, "n", "min", "max")

@@ -1,14 +1,16 @@
-"""Global row numbering without a single-task window.
-
-``row_number().over(Window.orderBy(...))`` moves every row into one task. Here
-the frame is sorted by a range-partitioned ``orderBy`` (hot sort keys are split
-across partitions by the sampled bounds), each row gets its position inside its
-partition, and a table of per-partition sizes (one row per partition, so its
-size is bounded by the partition count) supplies the offsets through a
-broadcast join. Both uses read the same reused range exchange, so the sizes and
-the positions describe the same partitions; when exchange reuse is switched
-off, the tagged frame is checkpointed to the session's checkpoint folder
-instead, so both uses read one materialised copy.
+"""Ordered numbering and running sums without a single-task window.
+
+``row_number().over(Window.orderBy(...))`` moves every row into one task, and
+``Window.partitionBy(group).orderBy(...)`` moves a whole group into one task.
+Here the frame is sorted by a range-partitioned ``orderBy``: the sampled range
+bounds split a hot group (or a hot sort key) across partitions. Each row's
+position inside its partition is local work; a table with one row per
+(partition, group) slice (bounded by partitions + groups) supplies the offsets.
+
+Both uses of the sorted frame read the same reused range exchange, so slice
+sizes and positions describe the same partitions; when exchange reuse is
+switched off, the sorted frame is checkpointed to the session's checkpoint
+folder instead, so both uses read one materialised copy.
 """
 
 from __future__ import annotations
@@ -18,19 +20,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .keys import join_on_keys
+
 _ID_BITS = 33  # monotonically_increasing_id: partition index in the upper 31 bits
 
 
+def _stable(df: DataFrame) -> DataFrame:
+    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        return df.checkpoint(eager=True)
+    return df
+
+
 def global_row_number(df: DataFrame, order: Sequence[Column | str], out: str = "row_number") -> DataFrame:
     """Add ``out`` = 1-based position of each row in ``order`` (ties broken arbitrarily)."""
-    tagged = (
+    tagged = _stable(
         df.orderBy(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_mid", _ID_BITS))
         .withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_part"), _ID_BITS))
     )
-    if tagged.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        tagged = tagged.checkpoint(eager=True)
     sizes = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
@@ -38,3 +46,37 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], out: str = "
     return numbered.withColumn(out, F.col("_offset") + F.col("_pos") + 1).drop(
         "_mid", "_part", "_pos", "_offset"
     )
+
+
+def running_sum_by_group(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    weight: str,
+    out: str,
+    total_out: str | None = None,
+) -> DataFrame:
+    """Add ``out`` = running sum of ``weight`` within each ``keys`` group in ``order``
+    (inclusive), and optionally ``total_out`` = the group's total.
+
+    Work per task is bounded by a range partition, not by the group size: the
+    slice windows run per (partition, group), and the offsets table is joined on
+    the same (partition, group) keys the slice windows are already clustered by,
+    so only that small table moves.
+    """
+    tagged = _stable(df.orderBy(*keys, *order).withColumn("_part", F.spark_partition_id()))
+    slices = tagged.groupBy("_part", *keys).agg(F.sum(weight).alias("_slice"))
+    group = Window.partitionBy(*keys)
+    earlier = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offset_cols = [F.coalesce(F.sum("_slice").over(earlier), F.lit(0)).alias("_offset")]
+    if total_out:
+        offset_cols.append(F.sum("_slice").over(group).alias(total_out))
+    offsets = slices.select("_part", *keys, *offset_cols)
+    upto = (
+        Window.partitionBy("_part", *keys)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    local = tagged.withColumn("_local", F.sum(weight).over(upto))
+    joined = join_on_keys(local, offsets, ["_part", *keys])
+    return joined.withColumn(out, F.col("_offset") + F.col("_local")).drop("_part", "_offset", "_local")

@@ -21,17 +21,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .keys import join_on_keys
+
 _CHUNK = "_chunk"
 
 
 def _join_on_keys(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Null-safe equi-join of ``rows`` with ``summary`` on ``keys`` + chunk; summary keys dropped."""
-    renamed = summary
-    for k in [*keys, _CHUNK]:
-        renamed = renamed.withColumnRenamed(k, f"_s_{k}")
-    cond = [rows[k].eqNullSafe(renamed[f"_s_{k}"]) for k in [*keys, _CHUNK]]
-    joined = rows.join(renamed, cond, "inner")
-    return joined.drop(*[f"_s_{k}" for k in [*keys, _CHUNK]])
+    """Null-safe equi-join of ``rows`` with ``summary`` on ``keys`` + chunk."""
+    return join_on_keys(rows, summary, [*keys, _CHUNK])
 
 
 def running_total(
