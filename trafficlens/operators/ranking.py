@@ -7,10 +7,13 @@ bounds split a hot group (or a hot sort key) across partitions. Each row's
 position inside its partition is local work; a table with one row per
 (partition, group) slice (bounded by partitions + groups) supplies the offsets.
 
-Both uses of the sorted frame read the same reused range exchange, so slice
-sizes and positions describe the same partitions; when exchange reuse is
-switched off, the sorted frame is checkpointed to the session's checkpoint
-folder instead, so both uses read one materialised copy.
+Slice sizes and positions must describe the *same* partitions. Two range
+exchanges of one frame are not guaranteed to agree (each samples its own
+bounds, and column pruning usually stops Spark from reusing the exchange), so
+the range-partitioned frame is checkpointed once to the session's checkpoint
+folder (``spark.checkpoint.dir``, shared storage on a cluster) and both uses
+read that copy. The checkpoint also cuts the lineage: a lost executor costs a
+re-read of the copy, not a re-sort.
 """
 
 from __future__ import annotations
@@ -20,26 +23,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .keys import join_on_keys
 
 _ID_BITS = 33  # monotonically_increasing_id: partition index in the upper 31 bits
 
 
 def _stable(df: DataFrame) -> DataFrame:
-    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        return df.checkpoint(eager=True)
-    return df
+    """Materialise ``df`` once in the checkpoint folder (partitioning is kept)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column | str], out: str = "row_number") -> DataFrame:
-    """Add ``out`` = 1-based position of each row in ``order`` (ties broken arbitrarily)."""
-    tagged = _stable(
-        df.orderBy(*order)
+    """Add ``out`` = 1-based position of each row in ``order`` (ties broken arbitrarily).
+
+    Partition sizes are counted straight off the range exchange (membership does
+    not depend on the order inside a partition); only the numbered rows are sorted.
+    """
+    ranged = _stable(df.repartitionByRange(*order))
+    sizes = ranged.groupBy(F.spark_partition_id().alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
+    tagged = (
+        ranged.sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_mid", _ID_BITS))
         .withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_part"), _ID_BITS))
     )
-    sizes = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     numbered = tagged.join(F.broadcast(offsets), "_part")
@@ -64,8 +73,9 @@ def running_sum_by_group(
     the same (partition, group) keys the slice windows are already clustered by,
     so only that small table moves.
     """
-    tagged = _stable(df.orderBy(*keys, *order).withColumn("_part", F.spark_partition_id()))
-    slices = tagged.groupBy("_part", *keys).agg(F.sum(weight).alias("_slice"))
+    ranged = _stable(df.repartitionByRange(*keys, *order))
+    slices = ranged.groupBy(F.spark_partition_id().alias("_part"), *keys).agg(F.sum(weight).alias("_slice"))
+    tagged = ranged.sortWithinPartitions(*keys, *order).withColumn("_part", F.spark_partition_id())
     group = Window.partitionBy(*keys)
     earlier = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offset_cols = [F.coalesce(F.sum("_slice").over(earlier), F.lit(0)).alias("_offset")]
