@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .keys import join_on_keys
@@ -57,6 +57,15 @@ def running_total(
     return joined.withColumn(out, F.col("_offset") + F.col("_local")).drop(_CHUNK, "_offset", "_local")
 
 
+_RN_BITS = 40  # row number inside a chunk; the chunk index goes above it
+
+
+def _chunk_index(chunk_unit: str) -> Column:
+    """Whole ``chunk_unit``s between the epoch and the row's chunk (time-zone free for NTZ)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff(chunk_unit.upper(), epoch, F.col(_CHUNK).cast("timestamp_ntz"))
+
+
 def previous_value(
     df: DataFrame,
     keys: Sequence[str],
@@ -65,16 +74,27 @@ def previous_value(
     value: str,
     out: str,
     chunk_unit: str = "hour",
+    seq_out: str | None = None,
 ) -> DataFrame:
-    """Add ``out`` = ``value`` of the previous row of the same series (null for the first row)."""
+    """Add ``out`` = ``value`` of the previous row of the same series (null for the first row).
+
+    With ``seq_out``, also a ``bigint`` that increases strictly with (ts, tiebreak)
+    inside each series (chunk index, then row number in the chunk): a fixed-width
+    ordering key, so later ``min_by``/``max_by`` stay hash aggregates.
+    """
     rows = df.withColumn(_CHUNK, F.date_trunc(chunk_unit, F.col(ts)))
-    order = F.struct(F.col(ts), F.col(tiebreak))
-    lasts = rows.groupBy(*keys, _CHUNK).agg(F.max_by(value, order).alias("_last"))
+    within = Window.partitionBy(*keys, _CHUNK).orderBy(ts, tiebreak)
+    local = rows.withColumn("_rn", F.row_number().over(within)).withColumn("_lag", F.lag(value).over(within))
+    # Last value of each chunk, from the rows already clustered by (series, chunk):
+    # no shuffle, and a bigint ordering key keeps it a hash aggregate.
+    lasts = local.groupBy(*keys, _CHUNK).agg(F.max_by(value, "_rn").alias("_last"))
     carry = lasts.select(
         *keys, _CHUNK, F.lag("_last").over(Window.partitionBy(*keys).orderBy(_CHUNK)).alias("_carry")
     )
-    within = Window.partitionBy(*keys, _CHUNK).orderBy(ts, tiebreak)
-    local = rows.withColumn("_rn", F.row_number().over(within)).withColumn("_lag", F.lag(value).over(within))
     joined = _join_on_keys(local, carry, keys)
     prev = F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_lag"))
-    return joined.withColumn(out, prev).drop(_CHUNK, "_rn", "_lag", "_carry")
+    joined = joined.withColumn(out, prev)
+    if seq_out:
+        seq = F.shiftleft(_chunk_index(chunk_unit), _RN_BITS) + F.col("_rn")
+        joined = joined.withColumn(seq_out, seq)
+    return joined.drop(_CHUNK, "_rn", "_lag", "_carry")

@@ -91,8 +91,9 @@ def with_increase(
     chunk_unit: str = "hour",
 ) -> DataFrame:
     """Add ``inc``: counter increase since the previous sample of the series (0 for the first;
-    after a reset the new value)."""
-    prev = previous_value(samples, series, ts, tiebreak, value, "_prev", chunk_unit)
+    after a reset the new value), and ``seq``: a ``bigint`` ordering key equivalent to
+    (ts, tiebreak) within the series."""
+    prev = previous_value(samples, series, ts, tiebreak, value, "_prev", chunk_unit, seq_out="seq")
     inc = (
         F.when(F.col("_prev").isNull(), F.lit(0))
         .when(F.col(value) >= F.col("_prev"), F.col(value) - F.col("_prev"))
@@ -118,12 +119,12 @@ def counter_increase_windows(
     if w_s % s_s:
         raise ValueError("window must be a whole number of steps")
     inc = with_increase(samples, series, ts, tiebreak, value)
-    key = _order(ts, tiebreak)
+    # "seq" orders samples like (ts, tiebreak) but is one bigint: hash aggregation, no sorts.
     buckets = inc.groupBy(*series, F.window(ts, _spark_duration(step)).alias("_b")).agg(
         F.sum("inc").alias("_sum"),
         F.count(F.lit(1)).alias("_n"),
-        F.min_by("inc", key).alias("_first"),
-        F.min(key).alias("_first_key"),
+        F.min_by("inc", "seq").alias("_first"),
+        F.min("seq").alias("_first_key"),
     )
     offsets = F.sequence(F.lit(0), F.lit(w_s // s_s - 1))
     fanned = buckets.select(
