@@ -49,7 +49,7 @@ def test_latest_and_sums(spark):
 
 
 def test_label_regex_is_anchored(spark):
-    df = spark.createDataFrame([("error",), ("view",), ("crunch-x",)], "name string")
+    df = spark.createDataFrame([("error",), ("view",), ("terror",)], "name string")
     assert [r.name for r in mx.label_matches(df, "name", "e.+").collect()] == ["error"]
 
 
@@ -57,3 +57,16 @@ def test_durations():
     assert mx.duration_seconds("6 hours") == 21600
     assert mx.duration_seconds("30s") == 30
     assert mx.duration_seconds("5m") == 300
+
+
+def test_untied_fast_path_matches(spark):
+    rows = [("c", k, T0 + dt.timedelta(minutes=7 * i + k), i, 10 * i + k) for i in range(30) for k in range(2)]
+    df = _samples(spark, rows)
+    exact = sorted(tuple(r) for r in mx.sum_by_label(df, "1 hour").collect())
+    fast = sorted(tuple(r) for r in mx.sum_by_label(df, "1 hour", tiebreak=None).collect())
+    assert exact == fast
+    plan = mx.latest(df, tiebreak=None)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    rate = sorted(tuple(r) for r in mx.counter_rate(df, "2 hours", "1 hour").collect())
+    rate_fast = sorted(tuple(r) for r in mx.counter_rate(df, "2 hours", "1 hour", tiebreak=None).collect())
+    assert rate == rate_fast and rate

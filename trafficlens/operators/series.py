@@ -26,6 +26,10 @@ from .keys import join_on_keys
 _CHUNK = "_chunk"
 
 
+def _order(ts: str, tiebreak: str | None) -> list[str]:
+    return [ts] if tiebreak is None else [ts, tiebreak]
+
+
 def _join_on_keys(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Null-safe equi-join of ``rows`` with ``summary`` on ``keys`` + chunk."""
     return join_on_keys(rows, summary, [*keys, _CHUNK])
@@ -35,7 +39,7 @@ def running_total(
     df: DataFrame,
     keys: Sequence[str],
     ts: str,
-    tiebreak: str,
+    tiebreak: str | None,
     value: str,
     out: str,
     chunk_unit: str = "hour",
@@ -49,7 +53,7 @@ def running_total(
     )
     upto = (
         Window.partitionBy(*keys, _CHUNK)
-        .orderBy(ts, tiebreak)
+        .orderBy(*_order(ts, tiebreak))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = rows.withColumn("_local", F.sum(value).over(upto))
@@ -70,7 +74,7 @@ def previous_value(
     df: DataFrame,
     keys: Sequence[str],
     ts: str,
-    tiebreak: str,
+    tiebreak: str | None,
     value: str,
     out: str,
     chunk_unit: str = "hour",
@@ -83,7 +87,7 @@ def previous_value(
     ordering key, so later ``min_by``/``max_by`` stay hash aggregates.
     """
     rows = df.withColumn(_CHUNK, F.date_trunc(chunk_unit, F.col(ts)))
-    within = Window.partitionBy(*keys, _CHUNK).orderBy(ts, tiebreak)
+    within = Window.partitionBy(*keys, _CHUNK).orderBy(*_order(ts, tiebreak))
     local = rows.withColumn("_rn", F.row_number().over(within)).withColumn("_lag", F.lag(value).over(within))
     # Last value of each chunk, from the rows already clustered by (series, chunk):
     # no shuffle, and a bigint ordering key keeps it a hash aggregate.

@@ -40,8 +40,10 @@ SERIES = ("name", "k")
 BY = ("name",)
 
 
-def _order(ts: str, tiebreak: str) -> Column:
-    return F.struct(F.col(ts), F.col(tiebreak))
+def _order(ts: str, tiebreak: str | None) -> Column:
+    """Sample order. With a tie-break it is a struct, which makes ``min_by``/``max_by`` sort-based
+    aggregates; ``tiebreak=None`` (timestamps unique per series) keeps them hash aggregates."""
+    return F.col(ts) if tiebreak is None else F.struct(F.col(ts), F.col(tiebreak))
 
 
 _UNIT_SECONDS = {"s": 1, "m": 60, "h": 3600, "d": 86400}
@@ -62,7 +64,11 @@ def _spark_duration(duration: str) -> str:
 
 
 def latest(
-    samples: DataFrame, series: Sequence[str] = SERIES, ts: str = "ts", tiebreak: str = "event_id", value: str = "v"
+    samples: DataFrame,
+    series: Sequence[str] = SERIES,
+    ts: str = "ts",
+    tiebreak: str | None = "event_id",
+    value: str = "v",
 ) -> DataFrame:
     """Latest value of each series: ``series…, value``."""
     return samples.groupBy(*series).agg(F.max_by(value, _order(ts, tiebreak)).alias("value"))
@@ -86,7 +92,7 @@ def with_increase(
     samples: DataFrame,
     series: Sequence[str] = SERIES,
     ts: str = "ts",
-    tiebreak: str = "event_id",
+    tiebreak: str | None = "event_id",
     value: str = "v",
     chunk_unit: str = "hour",
 ) -> DataFrame:
@@ -108,7 +114,7 @@ def counter_increase_windows(
     step: str,
     series: Sequence[str] = SERIES,
     ts: str = "ts",
-    tiebreak: str = "event_id",
+    tiebreak: str | None = "event_id",
     value: str = "v",
 ) -> DataFrame:
     """Per series and window end: reset-corrected increase within ``[end - window, end)``.
@@ -164,7 +170,7 @@ def sum_by_label(
     by: Sequence[str] = BY,
     series: Sequence[str] = SERIES,
     ts: str = "ts",
-    tiebreak: str = "event_id",
+    tiebreak: str | None = "event_id",
     value: str = "v",
 ) -> DataFrame:
     """``sum by (by)(gauge)`` per step: latest value of each series in each step bucket,
