@@ -33,6 +33,24 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+_SPARK_TO_SQL = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
+def _type_mismatches(sdf, rel) -> list[str]:
+    """Columns whose Spark type and DuckDB type differ (after the usual name mapping)."""
+    s_types = {f.name: _SPARK_TO_SQL.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    d_types = {c[0]: str(c[1]) for c in rel.description}
+    return [f"{c}: {s_types[c]} vs {d_types.get(c)}" for c in s_types if s_types[c] != d_types.get(c)]
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
@@ -62,6 +80,7 @@ def compare(spark, name: str, sf_dir: str, query, sql: str | None):
     con = duck(sf_dir)
     rel = con.execute(sql)
     d_cols = [c[0] for c in rel.description]
+    result["type_mismatches"] = _type_mismatches(sdf, rel)
     d_rows = rel.fetchall()
     result["oracle_rows"] = len(d_rows)
     if sorted(s_cols) != sorted(d_cols):
@@ -99,7 +118,8 @@ def main(argv: list[str]) -> int:
             r = {"name": name, "match": False, "why": f"{type(exc).__name__}: {str(exc)[:400]}"}
         ok = r.get("match")
         bad += ok is False
-        print(f"{'OK ' if ok else ('-- ' if ok is None else 'BAD')} {name} {r.get('spark_rows')}/{r.get('oracle_rows')} {r.get('why', '')}")
+        types = r.get("type_mismatches") or ""
+        print(f"{'OK ' if ok else ('-- ' if ok is None else 'BAD')} {name} {r.get('spark_rows')}/{r.get('oracle_rows')} {r.get('why', '')} {types}")
     return 1 if bad else 0
 
 

@@ -168,9 +168,9 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SAMPLES_SQL = """
 select event_type as name, cast(user_id % 3 as int) as k, ts, event_id,
-       sum(cast(round(value * 100) as bigint)) over (
+       cast(sum(cast(round(value * 100) as bigint)) over (
            partition by event_type, cast(user_id % 3 as int) order by ts, event_id
-           rows between unbounded preceding and current row) as v
+           rows between unbounded preceding and current row) as bigint) as v
 from events
 """
 
