@@ -25,6 +25,7 @@ def test_entry_smoke(spark):
 def test_query_matches_oracle(spark, name):
     result = compare(spark, name, SMOKE_DIR, QUERIES[name], ORACLES.get(name))
     assert result["match"], result
+    assert not result["type_mismatches"], result
 
 
 @pytest.mark.parametrize("name", ["pv_scan", "top_pages", "hourly_profile", "titles_daily", "run_scaling", "metric_rate"])
