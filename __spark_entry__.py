@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 import oracles
 from trafficlens import fixtures as fx
@@ -173,4 +172,4 @@ def oracle_sql() -> dict[str, str]:
     return oracles.all_oracles()
 
 
-__all__ = ["entry", "queries", "oracle_sql", "F"]
+__all__ = ["entry", "queries", "oracle_sql"]
