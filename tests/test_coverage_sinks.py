@@ -88,7 +88,13 @@ def test_run_context_writes_manifest_and_meta(spark, tmp_path):
     meta = json.loads(open(os.path.join(meta_dir, [p for p in os.listdir(meta_dir) if p.endswith(".json")][0])).read())
     assert meta["input_files"] == 3 and meta["job"] == "top100" and meta["parallelism"] >= 1
 
+    with RunContext(spark, "monument_Tour_Eiffel", "2026-07", out_root, manifest) as named:
+        assert named.write(df.where("id > 100"), fmt="csv", file_name="result.csv") == 0
+    result_csv = os.path.join(named.outdir, "result", "result.csv")
+    assert open(result_csv, encoding="utf-8").read().strip() == "id,g"  # header only
+    assert {r.family for r in read_runs(spark, manifest).collect()} == {"top100", "monument"}
+
     with pytest.raises(ZeroDivisionError):
         with RunContext(spark, "circadian", "2026-07", out_root, manifest):
             raise ZeroDivisionError
-    assert read_runs(spark, manifest).count() == 1  # a failed run writes no manifest row
+    assert read_runs(spark, manifest).count() == 2  # a failed run writes no manifest row
