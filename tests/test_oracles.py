@@ -32,3 +32,15 @@ def test_query_matches_oracle(spark, name):
 def test_core_queries_with_ansi_off(spark, ansi, name):
     result = compare(spark, name, SMOKE_DIR, QUERIES[name], ORACLES.get(name))
     assert result["match"], result
+
+
+@pytest.mark.parametrize("tz", ["America/Sao_Paulo", "Europe/Paris"])
+@pytest.mark.parametrize("name", ["runs_load", "pv_file_hours", "coverage_gaps_by_project", "coverage_calendar", "metric_rate"])
+def test_time_queries_do_not_depend_on_session_zone(spark, tz, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", tz)
+    try:
+        result = compare(spark, name, SMOKE_DIR, QUERIES[name], ORACLES.get(name))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert result["match"], result

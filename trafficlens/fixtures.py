@@ -14,6 +14,7 @@ import posixpath
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.timefmt import day_text, hour_text, iso_seconds_text, month_text
 from .operators.series import running_total
 from .sources.pageviews import parse_pageview_lines
 from .sources.tables import with_family
@@ -63,7 +64,7 @@ def pageview_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = (
         F.when(eid % 97 == 0, F.lit("broken line")).when(eid % 101 == 0, bad_views).otherwise(good)
     )
-    hourly = F.concat(F.lit("pageviews-"), F.date_format("ts", "yyyyMMdd-HH"), F.lit("0000.gz"))
+    hourly = F.concat(F.lit("pageviews-"), day_text("ts"), F.lit("-"), hour_text("ts"), F.lit("0000.gz"))
     file_name = F.when(eid % 103 == 0, F.lit("other.gz")).otherwise(hourly)
     return base.select(value.alias("value"), file_name.alias("file_name"))
 
@@ -120,9 +121,9 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(
             "_", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
         ).alias("run_id"),
-        F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("ts_utc"),
+        iso_seconds_text("l_shipdate").alias("ts_utc"),
         F.concat_ws("_", "l_returnflag", "l_linestatus").alias("job"),
-        F.date_format("l_shipdate", "yyyy-MM").alias("month"),
+        month_text("l_shipdate").alias("month"),
         F.col("l_linenumber").cast("int").alias("parallelism"),
         (F.col("l_quantity") * 10 / (F.col("l_linenumber") + 1)).alias("duration_s"),
         F.lit(-1).cast("bigint").alias("rows_in"),

@@ -29,7 +29,9 @@ def _bounds(start: str | dt.date, days: int) -> tuple[dt.datetime, dt.datetime]:
 
 
 def _ntz(value: dt.datetime):
-    return F.lit(value).cast("timestamp_ntz")
+    """A ``timestamp_ntz`` literal (from text: a Python datetime literal would pass through the
+    session time zone)."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def observed_hours(df: DataFrame, keys: Sequence[str] = (), day: str = "day", hour: str = "hour") -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.timefmt import day_text
+
 RUNS_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
@@ -79,7 +81,8 @@ def hourly_calendar(spark: SparkSession, start: str | dt.date, days: int) -> Dat
     first = dt.datetime.combine(start_date, dt.time())
     last = first + dt.timedelta(days=days) - dt.timedelta(hours=1)
     one = spark.range(1).select(
-        F.lit(first).cast("timestamp_ntz").alias("s"), F.lit(last).cast("timestamp_ntz").alias("e")
+        F.lit(first.isoformat(sep=" ")).cast("timestamp_ntz").alias("s"),
+        F.lit(last.isoformat(sep=" ")).cast("timestamp_ntz").alias("e"),
     )
     return with_day_hour(one.select(_hour_seq(F.col("s"), F.col("e")).alias("hour_ts")))
 
@@ -98,9 +101,7 @@ def calendar_spanning(hours: DataFrame, hour_ts: str = "hour_ts") -> DataFrame:
 
 def with_day_hour(df: DataFrame, hour_ts: str = "hour_ts") -> DataFrame:
     """Add the dump naming columns ``day`` (yyyyMMdd) and ``hour`` (0-23)."""
-    return df.withColumn("day", F.date_format(hour_ts, "yyyyMMdd")).withColumn(
-        "hour", F.hour(hour_ts).cast("int")
-    )
+    return df.withColumn("day", day_text(hour_ts)).withColumn("hour", F.hour(hour_ts).cast("int"))
 
 
 def hour_timestamp(day: str = "day", hour: str = "hour") -> Column:
