@@ -75,3 +75,14 @@ def test_glob_only_reads_gz(spark, tmp_path):
     (tmp_path / "raw" / "2026-06" / "notes.txt").write_text("fr Text_File 1 0\n")
     pv = read_pageviews(spark, pageview_glob(root, "2026-06"))
     assert pv.where("title = 'Text_File'").count() == 0
+
+
+def test_project_prefilter_equals_project_filter(spark, tmp_path, ansi):
+    from trafficlens.operators import only_projects
+
+    root = _dumps(tmp_path)
+    write_dump(tmp_path / "raw" / "2026-06", "pageviews-20260602-050000.gz", ["fr.mobile X 1 0", "fr.m Y 2 0", "frx Z 3 0", "fr W 4"])
+    glob = pageview_glob(root, "2026-06")
+    want = sorted(tuple(r) for r in only_projects(read_pageviews(spark, glob)).collect())
+    got = sorted(tuple(r) for r in read_pageviews(spark, glob, projects=("fr", "fr.m")).collect())
+    assert got == want and want

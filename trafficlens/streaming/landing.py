@@ -30,6 +30,7 @@ def stream_land_pageviews(
     available_now: bool = True,
     file_glob: str = "*.gz",
     max_files_per_trigger: int | None = None,
+    projects=None,
 ) -> StreamingQuery:
     """Start the landing stream from ``source_dir`` to ``target``; returns the running query.
 
@@ -40,7 +41,7 @@ def stream_land_pageviews(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = reader.load(source_dir).select("value", F.col("_metadata.file_name").alias("file_name"))
-    pv = parse_pageview_lines(lines).select(*PAGEVIEW_COLUMNS)
+    pv = parse_pageview_lines(lines, projects=projects).select(*PAGEVIEW_COLUMNS)
     if checkpoint is None:
         name = target.rstrip("/").replace(":", "_").replace("/", "_")
         checkpoint = posixpath.join(ensure_checkpoint_dir(spark), "trafficlens-streams", name)
