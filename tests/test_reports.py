@@ -99,3 +99,31 @@ def test_top_pages_plan_is_top_k(spark):
     df = top_pages(fx.pageviews(spark, SMOKE_DIR), 100)
     plan = df._jdf.queryExecution().sparkPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_landed_plans_push_filters_and_prune_columns(spark, tmp_path):
+    from trafficlens.sinks import land_pageviews, read_landed_pageviews
+
+    path = str(tmp_path / "landed")
+    land_pageviews(fx.pageviews(spark, SMOKE_DIR), path)
+    pv = read_landed_pageviews(spark, path)
+
+    daily = title_daily(pv, "Sagrada_Família")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(project, [fr,fr.m]), In(title, [Sagrada_Fam%C3%ADlia,Sagrada_Família])]" in daily
+    assert "ReadSchema: struct<project:string,title:string,views:int>" in daily
+
+    top = top_pages(pv, 100)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<project:string,title:string,views:int>" in top
+    assert "In(project, [fr,fr.m])" in top
+
+
+def test_text_scan_filters_projects_before_splitting(spark, tmp_path):
+    from conftest import write_dump
+
+    from trafficlens.sources import read_pageviews
+
+    write_dump(tmp_path, "pageviews-20260601-000000.gz", ["fr A 1 0", "de B 2 0"])
+    plan = top_pages(read_pageviews(spark, str(tmp_path / "*.gz"), projects=("fr", "fr.m")), 10)
+    text = plan._jdf.queryExecution().sparkPlan().toString()
+    before_split = text.split("Generate inline")[1]
+    assert "StartsWith(value" in before_split
