@@ -55,6 +55,7 @@ HOME_PAGES = (
 
 # Namespace separator: a colon or its percent-encoded form in either hex case.
 NAMESPACE_SEPARATOR = r"(?::|%3[Aa])"
+NAMESPACE_SEPARATOR_FORMS = (":", "%3A", "%3a")
 
 # Column names of the parsed page-view table, in output order.
 PAGEVIEW_COLUMNS = ("project", "title", "views", "day", "hour", "date")
