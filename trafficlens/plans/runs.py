@@ -25,8 +25,8 @@ def run_ordinal(runs: DataFrame, order: Sequence[str] = ("ts_utc", "run_id")) ->
 
 
 def run_families(runs: DataFrame) -> DataFrame:
-    """Distinct (family, parallelism) configurations present in the manifest."""
-    return runs.select(*GROUP).distinct()
+    """Distinct (family, parallelism) configurations present in the manifest, in order."""
+    return runs.select(*GROUP).distinct().orderBy(*GROUP)
 
 
 def run_summary(runs: DataFrame, value: str = "duration_s") -> DataFrame:
@@ -44,7 +44,7 @@ def run_summary(runs: DataFrame, value: str = "duration_s") -> DataFrame:
         F.col("min").alias("min_s"),
         F.col("max").alias("max_s"),
         F.when(F.col("n") > 1, spread).otherwise(F.lit(0.0)).alias("spread_pct"),
-    )
+    ).orderBy(*GROUP)
 
 
 def run_scaling(runs: DataFrame, value: str = "duration_s") -> DataFrame:
@@ -79,4 +79,5 @@ def run_scaling(runs: DataFrame, value: str = "duration_s") -> DataFrame:
         .withColumn("efficiency", F.try_divide(F.col("speedup"), n))
         .withColumn("seq_fraction", seq)
         .select(*GROUP, "median_s", "speedup", "efficiency", "seq_fraction")
+        .orderBy(*GROUP)
     )
