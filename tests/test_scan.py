@@ -86,3 +86,21 @@ def test_project_prefilter_equals_project_filter(spark, tmp_path, ansi):
     want = sorted(tuple(r) for r in only_projects(read_pageviews(spark, glob)).collect())
     got = sorted(tuple(r) for r in read_pageviews(spark, glob, projects=("fr", "fr.m")).collect())
     assert got == want and want
+
+
+def test_title_prefilter_is_a_superset(spark, tmp_path):
+    from trafficlens.operators.filters import title_spellings
+    from trafficlens.plans import title_daily
+
+    month = tmp_path / "raw" / "2026-06"
+    write_dump(month, "pageviews-20260601-000000.gz", [
+        "fr Sagrada_Família 3 0", "fr.m Sagrada_Fam%C3%ADlia 4 0", "fr Sagrada_Família_(film) 9 0",
+        "fr Other 5 0", "fr 5 5 0", "fr.m Sagrada_Família 1",
+    ])
+    write_dump(month, "pageviews-20260602-000000.gz", ["fr Sagrada_Família 7 0", "fr 5 2 0"])
+    glob = pageview_glob(str(tmp_path / "raw"), "2026-06")
+    for title in ["Sagrada_Família", "5"]:
+        full = sorted(tuple(r) for r in title_daily(read_pageviews(spark, glob), title).collect())
+        pre = read_pageviews(spark, glob, projects=("fr", "fr.m"), titles=title_spellings(title))
+        assert sorted(tuple(r) for r in title_daily(pre, title).collect()) == full
+    assert [r.views for r in title_daily(read_pageviews(spark, glob), "Sagrada_Família").collect()] == [7, 7]

@@ -54,10 +54,14 @@ def clean_pages(df: DataFrame, projects: Iterable[str] = DEFAULT_PROJECTS) -> Da
     )
 
 
+def title_spellings(title: str) -> list[str]:
+    """The spellings a dump may use for ``title``: raw and fully percent-encoded."""
+    return sorted({title, quote_title(title)})
+
+
 def match_title(df: DataFrame, title: str) -> DataFrame:
     """Rows whose title is ``title`` raw or fully percent-encoded (case-sensitive)."""
-    spellings = sorted({title, quote_title(title)})
-    return df.where(F.col("title").isin(*spellings))
+    return df.where(F.col("title").isin(*title_spellings(title)))
 
 
 def expand_title_variants(titles: DataFrame, col: str = "title") -> DataFrame:

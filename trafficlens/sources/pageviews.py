@@ -108,11 +108,26 @@ def project_prefix_filter(projects: Iterable[str], value: str = "value") -> Colu
     return cond if cond is not None else F.lit(False)
 
 
+def title_substring_filter(titles: Iterable[str], value: str = "value") -> Column:
+    """``value`` contains ``" <title> "`` for one of ``titles``.
+
+    The title field always sits between two spaces, so every line of one of these
+    titles passes; a few other lines may pass too (the same text in another
+    field), which the exact title predicate after parsing removes.
+    """
+    cond = None
+    for t in titles:
+        c = F.col(value).contains(" " + t + " ")
+        cond = c if cond is None else cond | c
+    return cond if cond is not None else F.lit(False)
+
+
 def parse_pageview_lines(
     lines: DataFrame,
     value: str = "value",
     file_name: str = "file_name",
     projects: Iterable[str] | None = None,
+    titles: Iterable[str] | None = None,
 ) -> DataFrame:
     """Typed page views from raw lines.
 
@@ -123,10 +138,14 @@ def parse_pageview_lines(
 
     ``projects`` keeps only those projects, tested on the raw line before it is
     split: in full dumps most lines belong to other projects, and they then cost
-    one byte comparison instead of a decode and a split.
+    one byte comparison instead of a decode and a split. ``titles`` (exact
+    spellings) likewise skips lines that cannot hold one of them; it is a
+    superset test, so apply the exact title predicate afterwards (the reports do).
     """
     if projects is not None:
         lines = lines.where(project_prefix_filter(projects, value))
+    if titles is not None:
+        lines = lines.where(title_substring_filter(titles, value))
     f, m = F.col("_f"), F.col("_m")
     return (
         _tokenised(lines, value, file_name)
@@ -145,10 +164,17 @@ def parse_pageview_lines(
 
 
 def read_pageviews(
-    spark: SparkSession, path: str | list[str], projects: Iterable[str] | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    projects: Iterable[str] | None = None,
+    titles: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Scan hourly dumps (gzip text) into the typed page-view table (optionally only ``projects``)."""
-    return parse_pageview_lines(read_pageview_lines(spark, path), projects=projects)
+    """Scan hourly dumps (gzip text) into the typed page-view table.
+
+    ``projects`` / ``titles`` drop lines that cannot match before they are split
+    (see :func:`parse_pageview_lines`).
+    """
+    return parse_pageview_lines(read_pageview_lines(spark, path), projects=projects, titles=titles)
 
 
 def line_status(lines: DataFrame, value: str = "value", file_name: str = "file_name") -> DataFrame:
