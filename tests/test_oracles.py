@@ -44,3 +44,19 @@ def test_time_queries_do_not_depend_on_session_zone(spark, tz, name):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert result["match"], result
+
+
+FORBIDDEN_NODES = (
+    "BatchEvalPython",  # row-at-a-time Python UDF
+    "ArrowEvalPython",  # pandas UDF
+    "MapInPandas",
+    "FlatMapGroupsInPandas",
+    "CartesianProduct",  # cross join
+    "BroadcastNestedLoopJoin",  # non-equi / cross join
+)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plans_stay_in_the_jvm_and_have_no_cross_joins(spark, name):
+    plan = QUERIES[name](spark, SMOKE_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert not [n for n in FORBIDDEN_NODES if n in plan], plan
