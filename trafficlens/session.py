@@ -34,10 +34,17 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; set a local one only when the session names none."""
+    """The session's checkpoint folder (``spark.checkpoint.dir``).
+
+    Only a local-mode session without one (tests) gets a temporary folder; on a
+    cluster the folder must be shared storage named by the cluster, so its absence
+    is an error rather than a silent machine-local fallback.
+    """
     sc = spark.sparkContext
     configured = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage (HDFS, S3, ...)")
         configured = tempfile.mkdtemp(prefix="trafficlens-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)
