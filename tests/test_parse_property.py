@@ -1,0 +1,56 @@
+"""Property test: the Spark line parser agrees with a plain-Python statement of the rules."""
+
+import datetime as dt
+import re
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as hs
+
+from trafficlens.functions import FILENAME_PATTERN
+from trafficlens.sources import parse_pageview_lines
+
+TOKEN = hs.text(alphabet="ab:%3AéZ_-.+0123456789", min_size=0, max_size=6)
+NUMBER = hs.sampled_from(["0", "7", "+5", "-3", "007", "12.5", "abc", "", "2147483647", "2147483648", "99999999999"])
+FILE = hs.sampled_from([
+    "pageviews-20240101-000000.gz",
+    "pageviews-20240229-230000.gz",
+    "pageviews-20231345-070000.gz",
+    "pageviews-20240101-003000.gz",
+    "xpageviews-20240105-050000.gz",
+    "other.gz",
+])
+
+
+@hs.composite
+def line(draw):
+    kind = draw(hs.integers(0, 3))
+    if kind == 0:  # free-form tokens, any count
+        return " ".join(draw(hs.lists(TOKEN, min_size=1, max_size=6)))
+    fields = [draw(hs.sampled_from(["fr", "fr.m", "fr.b", "en", ""])), draw(TOKEN), draw(NUMBER), draw(TOKEN)]
+    return " ".join(fields)
+
+
+def expected(value, file_name):
+    f = value.split(" ")
+    if len(f) != 4:
+        return None
+    if not re.fullmatch(r"[+-]?\d+", f[2]) or not -(2**31) <= int(f[2]) < 2**31:
+        return None
+    m = re.search(FILENAME_PATTERN, file_name)
+    if not m:
+        return None
+    day, hour = m.group(1), int(m.group(2))
+    try:
+        date = dt.datetime.strptime(day, "%Y%m%d").date()
+    except ValueError:
+        date = None
+    return (f[0], f[1], int(f[2]), day, hour, date)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(hs.lists(hs.tuples(line(), FILE), min_size=1, max_size=40))
+def test_parser_matches_rules(spark, rows):
+    df = spark.createDataFrame(rows, "value string, file_name string")
+    got = sorted((tuple(r) for r in parse_pageview_lines(df).collect()), key=repr)
+    want = sorted((e for e in (expected(v, f) for v, f in rows) if e is not None), key=repr)
+    assert got == want
