@@ -91,3 +91,20 @@ def test_running_sum_by_group_with_hot_group(spark):
             acc += w
             want[i] = (acc, total)
     assert got == want
+
+
+def test_series_across_a_dst_change_in_a_zoned_session(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        t0 = dt.datetime(2024, 10, 27, 0, 0)  # Paris falls back from 03:00 to 02:00 that night
+        rows = [("s", t0 + dt.timedelta(minutes=10 * i), i, i + 1) for i in range(30)]
+        df = spark.createDataFrame(rows, "s string, ts timestamp_ntz, id long, v long")
+        out = previous_value(running_total(df, ["s"], "ts", "id", "v", "run"), ["s"], "ts", "id", "v", "prev", seq_out="seq")
+        got = sorted(out.collect(), key=lambda r: r.id)
+        assert [r.run for r in got] == [sum(range(1, i + 2)) for i in range(30)]
+        assert [r.prev for r in got] == [None] + list(range(1, 30))
+        seqs = [r.seq for r in got]
+        assert seqs == sorted(seqs) and len(set(seqs)) == 30
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

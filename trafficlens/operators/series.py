@@ -2,7 +2,8 @@
 
 A plain ``Window.partitionBy(series)`` sends a whole series to one task; if one
 series holds a third of all rows, that task holds a third of the data. These
-operators split each series into time chunks (``date_trunc(chunk_unit, ts)``):
+operators split each series into time chunks (whole ``chunk_unit``s since the
+epoch, a ``bigint`` computed on the wall clock of ``ts``; no session time zone):
 
 1. per-chunk summaries (a partial aggregation, so hot series are pre-reduced),
 2. a window over the *chunk summaries* of a series (bounded by the number of
@@ -30,6 +31,12 @@ def _order(ts: str, tiebreak: str | None) -> list[str]:
     return [ts] if tiebreak is None else [ts, tiebreak]
 
 
+def _chunk(ts: str, chunk_unit: str) -> Column:
+    """Chunk index: whole ``chunk_unit``s from the epoch to ``ts`` (non-decreasing in ``ts``)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff(chunk_unit.upper(), epoch, F.col(ts).cast("timestamp_ntz"))
+
+
 def _join_on_keys(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Null-safe equi-join of ``rows`` with ``summary`` on ``keys`` + chunk."""
     return join_on_keys(rows, summary, [*keys, _CHUNK])
@@ -45,7 +52,7 @@ def running_total(
     chunk_unit: str = "hour",
 ) -> DataFrame:
     """Add ``out`` = running sum of ``value`` per series ``keys`` in (ts, tiebreak) order."""
-    rows = df.withColumn(_CHUNK, F.date_trunc(chunk_unit, F.col(ts)))
+    rows = df.withColumn(_CHUNK, _chunk(ts, chunk_unit))
     sums = rows.groupBy(*keys, _CHUNK).agg(F.sum(value).alias("_chunk_sum"))
     earlier = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
@@ -64,12 +71,6 @@ def running_total(
 _RN_BITS = 40  # row number inside a chunk; the chunk index goes above it
 
 
-def _chunk_index(chunk_unit: str) -> Column:
-    """Whole ``chunk_unit``s between the epoch and the row's chunk (time-zone free for NTZ)."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff(chunk_unit.upper(), epoch, F.col(_CHUNK).cast("timestamp_ntz"))
-
-
 def previous_value(
     df: DataFrame,
     keys: Sequence[str],
@@ -86,7 +87,7 @@ def previous_value(
     inside each series (chunk index, then row number in the chunk): a fixed-width
     ordering key, so later ``min_by``/``max_by`` stay hash aggregates.
     """
-    rows = df.withColumn(_CHUNK, F.date_trunc(chunk_unit, F.col(ts)))
+    rows = df.withColumn(_CHUNK, _chunk(ts, chunk_unit))
     within = Window.partitionBy(*keys, _CHUNK).orderBy(*_order(ts, tiebreak))
     local = rows.withColumn("_rn", F.row_number().over(within)).withColumn("_lag", F.lag(value).over(within))
     # Last value of each chunk, from the rows already clustered by (series, chunk):
@@ -99,6 +100,6 @@ def previous_value(
     prev = F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_lag"))
     joined = joined.withColumn(out, prev)
     if seq_out:
-        seq = F.shiftleft(_chunk_index(chunk_unit), _RN_BITS) + F.col("_rn")
+        seq = F.shiftleft(F.col(_CHUNK), _RN_BITS) + F.col("_rn")
         joined = joined.withColumn(seq_out, seq)
     return joined.drop(_CHUNK, "_rn", "_lag", "_carry")
