@@ -98,3 +98,20 @@ def test_run_context_writes_manifest_and_meta(spark, tmp_path):
         with RunContext(spark, "circadian", "2026-07", out_root, manifest):
             raise ZeroDivisionError
     assert read_runs(spark, manifest).count() == 2  # a failed run writes no manifest row
+
+
+def test_calendars_ignore_daylight_saving_in_a_zoned_session(spark):
+    from trafficlens.sources import calendar_spanning
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        day = dt.datetime(2024, 10, 27)  # 25 zoned hours, 24 wall-clock hours
+        seen = _hours(spark, [("a", day + dt.timedelta(hours=h)) for h in (1, 5, 22)])
+        for cal in (hourly_calendar(spark, "2024-10-27", 1), calendar_spanning(seen.select("hour_ts"))):
+            rows = [(r.day, r.hour) for r in cal.collect()]
+            assert rows == [("20241027", h) for h in range(24)]
+        gaps = coverage_gaps(seen.select("hour_ts"), "2024-10-27", 1).count()
+        assert gaps == 21
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -92,9 +92,10 @@ def calendar_spanning(hours: DataFrame, hour_ts: str = "hour_ts") -> DataFrame:
 
     The bounds come from a one-row aggregate, so no value travels through the driver.
     """
+    # to_date -> timestamp_ntz keeps the wall clock (date_trunc would return a zoned timestamp)
     bounds = hours.agg(
-        F.date_trunc("day", F.min(hour_ts)).alias("s"),
-        (F.date_trunc("day", F.max(hour_ts)) + F.expr("INTERVAL 23 HOURS")).alias("e"),
+        F.to_date(F.min(hour_ts)).cast("timestamp_ntz").alias("s"),
+        (F.to_date(F.max(hour_ts)).cast("timestamp_ntz") + F.expr("INTERVAL 23 HOURS")).alias("e"),
     )
     return with_day_hour(bounds.select(_hour_seq(F.col("s"), F.col("e")).alias("hour_ts")))
 
