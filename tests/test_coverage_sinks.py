@@ -72,6 +72,9 @@ def test_landing_partitions_by_date(spark, tmp_path):
     back = read_landed_pageviews(spark, path)
     assert back.columns == pv.columns
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in pv.collect())
+    balanced = str(tmp_path / "balanced")
+    assert land_pageviews(pv, balanced, balance=True) == 3
+    assert sorted(tuple(r) for r in read_landed_pageviews(spark, balanced).collect()) == sorted(tuple(r) for r in pv.collect())
     pruned = back.where("date = date'2026-06-02'")
     assert "PartitionFilters: [isnotnull(date" in pruned._jdf.queryExecution().executedPlan().toString()
 

@@ -16,9 +16,18 @@ from ..sources.pageviews import PAGEVIEW_SCHEMA
 from .results import write_result
 
 
-def land_pageviews(pv: DataFrame, path: str, mode: str = "errorifexists") -> int:
-    """Write the typed page views under ``path/date=YYYY-MM-DD/``; returns rows written."""
-    ordered = pv.select(*PAGEVIEW_COLUMNS).sortWithinPartitions("date", "title")
+def land_pageviews(pv: DataFrame, path: str, mode: str = "errorifexists", balance: bool = False) -> int:
+    """Write the typed page views under ``path/date=YYYY-MM-DD/``; returns rows written.
+
+    ``balance`` adds a ``REBALANCE(date)`` hint: one shuffle of the parsed rows,
+    after which adaptive execution splits oversized partitions and merges small
+    ones, so one huge dump (a single unsplittable gzip task) or one busy date no
+    longer makes one huge output file. Without it the write needs no shuffle.
+    """
+    rows = pv.select(*PAGEVIEW_COLUMNS)
+    if balance:
+        rows = rows.hint("rebalance", "date")
+    ordered = rows.sortWithinPartitions("date", "title")
     return write_result(ordered, path, fmt="parquet", mode=mode, partition_by=["date"])
 
 
