@@ -8,8 +8,8 @@ in-memory buffer of one task. Here:
 2. a running count over the sorted distinct values is computed with
    :func:`running_sum_by_group`, whose range partitioning splits a hot group
    across tasks;
-3. only the (at most two) values covering the middle ranks survive a filter,
-   and a final tiny aggregation averages them.
+3. one aggregation per group picks the (at most two) values covering the
+   middle ranks and averages them; size, min and max come from the same pass.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .keys import join_on_keys
 from .ranking import running_sum_by_group
 
 
@@ -40,14 +39,14 @@ def group_median(
     def holds(rank):
         return (first_rank <= rank) & (rank < F.col("_cum"))
 
-    middle = running.where(holds(lo) | holds(hi)).groupBy(*keys).agg(
+    # One aggregation over the distinct values (already spread over range
+    # partitions): the middle value(s), the size, and the extremes.
+    extra = [F.min(value).alias("min"), F.max(value).alias("max")] if stats else []
+    picked = running.groupBy(*keys).agg(
         F.max(F.when(holds(lo), F.col(value))).alias("_lo"),
         F.max(F.when(holds(hi), F.col(value))).alias("_hi"),
-        F.first("_n").alias("n"),
+        F.max("_n").alias("n"),
+        *extra,
     )
-    result = middle.select(*keys, ((F.col("_lo") + F.col("_hi")) / 2).alias(out), "n")
-    if not stats:
-        return result.drop("n")
-    # min / max per group: partial aggregates over the distinct-value counts.
-    bounds = counts.groupBy(*keys).agg(F.min(value).alias("min"), F.max(value).alias("max"))
-    return join_on_keys(result, bounds, keys).select(*keys, out, "n", "min", "max")
+    tail = ["n", "min", "max"] if stats else []
+    return picked.select(*keys, ((F.col("_lo") + F.col("_hi")) / 2).alias(out), *tail)
