@@ -104,3 +104,19 @@ def test_title_prefilter_is_a_superset(spark, tmp_path):
         pre = read_pageviews(spark, glob, projects=("fr", "fr.m"), titles=title_spellings(title))
         assert sorted(tuple(r) for r in title_daily(pre, title).collect()) == full
     assert [r.views for r in title_daily(read_pageviews(spark, glob), "Sagrada_Família").collect()] == [7, 7]
+
+
+def test_truncated_dump_fails_unless_ignored(spark, tmp_path):
+    import pytest
+
+    month = tmp_path / "raw" / "2026-06"
+    write_dump(month, "pageviews-20260601-000000.gz", ["fr Good 1 0"] * 50)
+    good = write_dump(month, "pageviews-20260601-010000.gz", [f"fr Line_{i} 1 0" for i in range(5000)])
+    data = open(good, "rb").read()
+    with open(good, "wb") as fh:  # truncate the second dump in the middle
+        fh.write(data[: len(data) // 2])
+    glob = pageview_glob(str(tmp_path / "raw"), "2026-06")
+    with pytest.raises(Exception):
+        read_pageviews(spark, glob).count()
+    kept = read_pageviews(spark, glob, ignore_corrupt_files=True)
+    assert kept.where("title = 'Good'").count() == 50

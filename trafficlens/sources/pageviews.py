@@ -48,14 +48,23 @@ def _split_glob(path: str) -> tuple[str, str | None]:
     return path, None
 
 
-def read_pageview_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_pageview_lines(
+    spark: SparkSession, path: str | list[str], ignore_corrupt_files: bool = False
+) -> DataFrame:
     """Raw lines with their file name: ``value string, file_name string``.
 
     A glob on the file names only (``month/*.gz``) is read as the directory plus a
     ``pathGlobFilter``: one directory listing instead of one listed path per file,
     which on thousands of hourly dumps replaces a distributed listing job.
+
+    ``ignore_corrupt_files`` keeps a job alive when a dump is truncated or not
+    gzip (the lines read before the damage are kept, the rest of that file is
+    skipped); off by default, so damaged input fails loudly. Coverage reports show
+    which hours are then missing.
     """
     reader = spark.read.format("text")
+    if ignore_corrupt_files:
+        reader = reader.option("ignoreCorruptFiles", "true")
     if isinstance(path, str):
         path, pattern = _split_glob(path)
         if pattern:
@@ -168,13 +177,15 @@ def read_pageviews(
     path: str | list[str],
     projects: Iterable[str] | None = None,
     titles: Iterable[str] | None = None,
+    ignore_corrupt_files: bool = False,
 ) -> DataFrame:
     """Scan hourly dumps (gzip text) into the typed page-view table.
 
     ``projects`` / ``titles`` drop lines that cannot match before they are split
     (see :func:`parse_pageview_lines`).
     """
-    return parse_pageview_lines(read_pageview_lines(spark, path), projects=projects, titles=titles)
+    lines = read_pageview_lines(spark, path, ignore_corrupt_files)
+    return parse_pageview_lines(lines, projects=projects, titles=titles)
 
 
 def line_status(lines: DataFrame, value: str = "value", file_name: str = "file_name") -> DataFrame:
