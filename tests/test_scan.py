@@ -120,3 +120,15 @@ def test_truncated_dump_fails_unless_ignored(spark, tmp_path):
         read_pageviews(spark, glob).count()
     kept = read_pageviews(spark, glob, ignore_corrupt_files=True)
     assert kept.where("title = 'Good'").count() == 50
+
+
+def test_file_table_path_equals_per_line_match(spark, tmp_path):
+    from trafficlens.sources import parse_pageview_lines, read_pageview_lines
+
+    root = _dumps(tmp_path)
+    glob = pageview_glob(root, "2026-06")
+    per_line = parse_pageview_lines(read_pageview_lines(spark, glob))
+    per_file = read_pageviews(spark, glob)
+    assert sorted(tuple(r) for r in per_file.collect()) == sorted(tuple(r) for r in per_line.collect())
+    plan = per_file._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "regexp_extract" not in plan

@@ -12,6 +12,7 @@ dates into nulls instead of failing the job.
 from __future__ import annotations
 
 import posixpath
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -131,12 +132,34 @@ def title_substring_filter(titles: Iterable[str], value: str = "value") -> Colum
     return cond if cond is not None else F.lit(False)
 
 
+_NAME_RE = re.compile(FILENAME_PATTERN, re.ASCII)  # \d = [0-9], as in Java
+
+# Above this many dumps the per-file table is not broadcast; the per-line match is used.
+MAX_FILE_TABLE_ROWS = 500_000
+
+
+def file_name_table(spark: SparkSession, names: Iterable[str]) -> DataFrame:
+    """``file_name, day, hour`` for the recognised dump names among ``names``.
+
+    Built on the driver from a file listing (metadata the driver already holds),
+    so a scan can look up each line's day and hour instead of matching the name
+    pattern once per line.
+    """
+    rows = []
+    for name in sorted(set(names)):
+        match = _NAME_RE.search(name)
+        if match:
+            rows.append((name, match.group(1), int(match.group(2))))
+    return spark.createDataFrame(rows, "file_name string, day string, hour int")
+
+
 def parse_pageview_lines(
     lines: DataFrame,
     value: str = "value",
     file_name: str = "file_name",
     projects: Iterable[str] | None = None,
     titles: Iterable[str] | None = None,
+    file_days: DataFrame | None = None,
 ) -> DataFrame:
     """Typed page views from raw lines.
 
@@ -150,23 +173,39 @@ def parse_pageview_lines(
     one byte comparison instead of a decode and a split. ``titles`` (exact
     spellings) likewise skips lines that cannot hold one of them; it is a
     superset test, so apply the exact title predicate afterwards (the reports do).
+
+    ``file_days`` (see :func:`file_name_table`) supplies each dump's day and hour
+    through a broadcast hash join instead of a per-line pattern match; lines of
+    files missing from it are dropped, exactly as unrecognised names are.
     """
     if projects is not None:
         lines = lines.where(project_prefix_filter(projects, value))
     if titles is not None:
         lines = lines.where(title_substring_filter(titles, value))
-    f, m = F.col("_f"), F.col("_m")
-    return (
-        _tokenised(lines, value, file_name)
-        .where(F.size(f) == 4)
-        .select(
-            F.get(f, 0).alias("project"),
-            F.get(f, 1).alias("title"),
-            F.get(f, 2).try_cast("int").alias("views"),
-            F.substring(m, _DAY_AT, 8).alias("day"),
-            F.substring(m, _HOUR_AT, 2).try_cast("int").alias("hour"),
+    f = F.col("_f")
+    fields = [F.get(f, 0).alias("project"), F.get(f, 1).alias("title"), F.get(f, 2).try_cast("int").alias("views")]
+    if file_days is not None:
+        known = F.broadcast(file_days.withColumnRenamed("file_name", file_name))
+        split_once = F.inline(F.array(F.struct(_fields(value).alias("_f"))))
+        parsed = (
+            lines.join(known, file_name)
+            .select(split_once, "day", "hour")
+            .where(F.size(f) == 4)
+            .select(*fields, "day", "hour")
+        )
+    else:
+        m = F.col("_m")
+        parsed = (
+            _tokenised(lines, value, file_name)
+            .where(F.size(f) == 4)
+            .select(
+                *fields,
+                F.substring(m, _DAY_AT, 8).alias("day"),
+                F.substring(m, _HOUR_AT, 2).try_cast("int").alias("hour"),
+            )
         )
-        .where(F.col("views").isNotNull() & (F.col("day") != ""))
+    return (
+        parsed.where(F.col("views").isNotNull() & (F.col("day") != ""))
         .withColumn("date", F.try_to_date(F.col("day"), "yyyyMMdd"))
         .select(*PAGEVIEW_COLUMNS)
     )
@@ -182,10 +221,14 @@ def read_pageviews(
     """Scan hourly dumps (gzip text) into the typed page-view table.
 
     ``projects`` / ``titles`` drop lines that cannot match before they are split
-    (see :func:`parse_pageview_lines`).
+    (see :func:`parse_pageview_lines`). Each dump's day and hour come from its
+    name, parsed once per file from the scan's file listing (size-checked
+    broadcast; beyond :data:`MAX_FILE_TABLE_ROWS` files, per line).
     """
     lines = read_pageview_lines(spark, path, ignore_corrupt_files)
-    return parse_pageview_lines(lines, projects=projects, titles=titles)
+    names = [posixpath.basename(p) for p in lines.inputFiles()]
+    file_days = file_name_table(spark, names) if len(names) <= MAX_FILE_TABLE_ROWS else None
+    return parse_pageview_lines(lines, projects=projects, titles=titles, file_days=file_days)
 
 
 def line_status(lines: DataFrame, value: str = "value", file_name: str = "file_name") -> DataFrame:
