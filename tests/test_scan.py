@@ -130,5 +130,8 @@ def test_file_table_path_equals_per_line_match(spark, tmp_path):
     per_line = parse_pageview_lines(read_pageview_lines(spark, glob))
     per_file = read_pageviews(spark, glob)
     assert sorted(tuple(r) for r in per_file.collect()) == sorted(tuple(r) for r in per_line.collect())
+    assert sorted(tuple(r) for r in read_pageviews(spark, glob, per_file_names=False).collect()) == sorted(
+        tuple(r) for r in per_line.collect()
+    )
     plan = per_file._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "regexp_extract" not in plan

@@ -211,23 +211,36 @@ def parse_pageview_lines(
     )
 
 
+def _input_file_names(lines: DataFrame) -> list[str]:
+    """Base names of the files a scan reads, fetched from the JVM in one call."""
+    jvm = lines.sparkSession.sparkContext._jvm
+    joined = jvm.org.apache.hadoop.util.StringUtils.join("\n", lines._jdf.inputFiles())
+    return [posixpath.basename(p) for p in joined.split("\n")] if joined else []
+
+
 def read_pageviews(
     spark: SparkSession,
     path: str | list[str],
     projects: Iterable[str] | None = None,
     titles: Iterable[str] | None = None,
     ignore_corrupt_files: bool = False,
+    per_file_names: bool = True,
 ) -> DataFrame:
     """Scan hourly dumps (gzip text) into the typed page-view table.
 
     ``projects`` / ``titles`` drop lines that cannot match before they are split
-    (see :func:`parse_pageview_lines`). Each dump's day and hour come from its
-    name, parsed once per file from the scan's file listing (size-checked
-    broadcast; beyond :data:`MAX_FILE_TABLE_ROWS` files, per line).
+    (see :func:`parse_pageview_lines`). ``per_file_names`` parses each dump's day
+    and hour once per file from the scan's listing and broadcasts that table
+    (bounded by :data:`MAX_FILE_TABLE_ROWS`) instead of matching the name on
+    every line; the names come from the file index the scan already built (no
+    second listing).
     """
     lines = read_pageview_lines(spark, path, ignore_corrupt_files)
-    names = [posixpath.basename(p) for p in lines.inputFiles()]
-    file_days = file_name_table(spark, names) if len(names) <= MAX_FILE_TABLE_ROWS else None
+    file_days = None
+    if per_file_names:
+        names = _input_file_names(lines)
+        if len(names) <= MAX_FILE_TABLE_ROWS:
+            file_days = file_name_table(spark, names)
     return parse_pageview_lines(lines, projects=projects, titles=titles, file_days=file_days)
 
 
