@@ -143,7 +143,9 @@ def file_name_table(spark: SparkSession, names: Iterable[str]) -> DataFrame:
 
     Built on the driver from a file listing (metadata the driver already holds),
     so a scan can look up each line's day and hour instead of matching the name
-    pattern once per line.
+    pattern once per line. It is deliberately driver-built: a table derived with
+    Spark expressions would expose the name filter as a constraint, and Catalyst
+    would infer it across the equi-join back onto every line.
     """
     rows = []
     for name in sorted(set(names)):
