@@ -118,3 +118,15 @@ def test_calendars_ignore_daylight_saving_in_a_zoned_session(spark):
         assert gaps == 21
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_coverage_scans_its_input_once(spark):
+    from conftest import SMOKE_DIR
+
+    from trafficlens import fixtures as fx
+    from trafficlens.plans import observed_hours
+
+    df = coverage_gaps(observed_hours(fx.pageviews(spark, SMOKE_DIR), ["project"]), "2024-01-01", 30, ["project"])
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1, plan

@@ -2,9 +2,9 @@
 
 The expected dataset is every hour of ``days`` days from ``start`` (one dump per
 hour). Missing hours are found from the *observed* hours only: per key, the
-distinct observed hours are ordered and each jump of more than one hour between
-neighbours (two sentinels bound the calendar) is expanded into the hours it
-skips. No calendar x keys product is ever formed, and the window runs over
+distinct observed hours are ordered and each jump between neighbours (or from
+the calendar's edges) is expanded into the hours it skips. No calendar x keys
+product is ever formed, the input is scanned once, and the window runs over
 distinct hours (at most days x 24 per key), never over raw rows.
 """
 
@@ -52,26 +52,31 @@ def coverage_gaps(hours: DataFrame, start: str | dt.date, days: int, keys: Seque
     """Calendar hours with no observation, per key: ``keys…, day, hour``.
 
     ``hours`` holds ``keys…, hour_ts`` (see :func:`observed_hours`). Keys that never
-    occur inside the calendar are unknown and produce no rows.
+    occur inside the calendar are unknown and produce no rows. One pass over the
+    distinct observed hours: each hour emits the gap before it (from the previous
+    hour of its key, or from the calendar start) and the last hour of a key also
+    the gap after it, up to the calendar end.
     """
     first, last = _bounds(start, days)
     seen = _in_calendar(hours, start, days, keys)
-    edges = F.array(_ntz(first - dt.timedelta(hours=1)), _ntz(last + dt.timedelta(hours=1)))
-    if keys:
-        sentinels = seen.select(*keys).distinct().select(*keys, F.explode(edges).alias("hour_ts"))
-    else:
-        sentinels = hours.sparkSession.range(1).select(F.explode(edges).alias("hour_ts"))
-    points = seen.unionByName(sentinels)
-    following = F.lead("hour_ts").over(Window.partitionBy(*keys).orderBy("hour_ts"))
-    jumps = points.select(*keys, "hour_ts", following.alias("_next")).where(
-        F.col("_next") > F.col("hour_ts") + _one_hour()
+    if not keys:
+        # a sentinel just before the calendar, so an empty input reports every hour
+        before_start = _ntz(first - dt.timedelta(hours=1))
+        seen = seen.unionByName(hours.sparkSession.range(1).select(before_start.alias("hour_ts")))
+    order = Window.partitionBy(*keys).orderBy("hour_ts")
+    neighbours = seen.select(
+        *keys, "hour_ts", F.lag("hour_ts").over(order).alias("_prev"), F.lead("hour_ts").over(order).alias("_next")
     )
-    missing = jumps.select(
-        *keys,
-        F.explode(F.sequence(F.col("hour_ts") + _one_hour(), F.col("_next") - _one_hour(), _one_hour())).alias(
-            "hour_ts"
-        ),
+    ts = F.col("hour_ts")
+    gap_before = F.struct(
+        F.coalesce(F.col("_prev") + _one_hour(), _ntz(first)).alias("s"), (ts - _one_hour()).alias("e")
+    )
+    gap_after = F.when(F.col("_next").isNull(), F.struct((ts + _one_hour()).alias("s"), _ntz(last).alias("e")))
+    gaps = (
+        neighbours.select(*keys, F.explode(F.array(gap_before, gap_after)).alias("g"))
+        .where(F.col("g").isNotNull() & (F.col("g.s") <= F.col("g.e")))
     )
+    missing = gaps.select(*keys, F.explode(F.sequence("g.s", "g.e", _one_hour())).alias("hour_ts"))
     return with_day_hour(missing).select(*keys, "day", "hour")
 
 
