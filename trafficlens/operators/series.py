@@ -12,7 +12,10 @@ epoch, a ``bigint`` computed on the wall clock of ``ts``; no session time zone):
    (series, chunk). The rows side is already hash-partitioned on those keys by
    step 3, so only the small summary side is shuffled for the join.
 
-The largest task then holds one chunk of one series.
+The largest task then holds one chunk of one series. The chunk summaries and
+the row windows both read the input (two scans of a columnar source); caching
+or checkpointing the rows instead would cost a full write and read back, which
+is dearer than a second pruned scan.
 """
 
 from __future__ import annotations
