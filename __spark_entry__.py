@@ -7,8 +7,15 @@ over whole tables. SQL oracles live in ``oracles.py``.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+# The package and the oracles live next to this file; make them importable however it is loaded.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 
 import oracles
