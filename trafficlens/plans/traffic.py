@@ -42,7 +42,10 @@ def top_pages(pv: DataFrame, n: int = 100, projects: Iterable[str] = DEFAULT_PRO
     Plan: partial + final hash aggregate on ``title`` -> ``TakeOrderedAndProject``
     (per-partition top ``n``, then one merge of ``n`` x partitions rows) -> rank and
     share over those ``n`` rows in one task. Ties: views desc, then title asc;
-    ranks are unique.
+    ranks are unique. ``n`` is a report size (hundreds to thousands of rows): the
+    final merge and the rank window hold ``n`` rows in one task. A full ranking
+    of every title is ``global_row_number(views_by_title(pv), [desc views, title])``,
+    which stays distributed.
     """
     order = [F.desc("views"), F.asc("title")]
     top = views_by_title(pv, projects).orderBy(*order).limit(n)
