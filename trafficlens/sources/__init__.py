@@ -3,6 +3,9 @@
 from .pageviews import (
     PAGEVIEW_SCHEMA,
     file_hours,
+    file_name_table,
+    project_prefix_filter,
+    title_substring_filter,
     input_file_count,
     line_status,
     malformed_counts,
@@ -30,6 +33,9 @@ __all__ = [
     "calendar_spanning",
     "clean_titles",
     "file_hours",
+    "file_name_table",
+    "project_prefix_filter",
+    "title_substring_filter",
     "hour_timestamp",
     "hourly_calendar",
     "input_file_count",
