@@ -127,3 +127,16 @@ def test_text_scan_filters_projects_before_splitting(spark, tmp_path):
     text = plan._jdf.queryExecution().sparkPlan().toString()
     before_split = text.split("Generate inline")[1]
     assert "StartsWith(value" in before_split
+
+
+@pytest.mark.parametrize("report", [lambda pv: top_pages(pv, 100), hourly_profile, lambda pv: title_daily(pv, "A")])
+def test_text_path_reads_the_dumps_once(spark, tmp_path, report):
+    from conftest import write_dump
+
+    from trafficlens.sources import read_pageviews
+
+    write_dump(tmp_path, "pageviews-20260601-000000.gz", ["fr A 1 0", "fr.m B 2 0", "de C 3 0"])
+    write_dump(tmp_path, "pageviews-20260601-010000.gz", ["fr A 4 0"])
+    df = report(read_pageviews(spark, str(tmp_path / "*.gz"), projects=("fr", "fr.m")))
+    df.collect()
+    assert _final_plan(df).count("FileScan text") == 1
