@@ -120,6 +120,7 @@ def main(argv: list[str]) -> int:
         bad += ok is False
         types = r.get("type_mismatches") or ""
         print(f"{'OK ' if ok else ('-- ' if ok is None else 'BAD')} {name} {r.get('spark_rows')}/{r.get('oracle_rows')} {r.get('why', '')} {types}")
+    print(f"{len(names) - bad}/{len(names)} queries match their oracle at {sf_dir}")
     return 1 if bad else 0
 
 
