@@ -31,6 +31,14 @@ from trafficlens.sinks import landing, results
 from trafficlens.sources import pageviews as src
 from trafficlens.sources.tables import calendar_spanning, clean_titles
 
+try:
+    import corpus_pipeline
+    from trafficlens.llm import registry as llm_registry
+except ModuleNotFoundError as error:
+    if (error.name or "").split(".")[0] not in ("corpus_pipeline", "trafficlens"):
+        raise
+    corpus_pipeline = llm_registry = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 MONUMENT = oracles.MONUMENT
 
@@ -172,11 +180,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "title_daily": _pv(lambda pv: traffic.title_daily(pv, MONUMENT)),
         "hourly_profile": _pv(traffic.hourly_profile),
     }
+    if llm_registry is not None:
+        q |= llm_registry.queries()
+        q["pipeline"] = corpus_pipeline.run
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.all_oracles()
+    sql = oracles.all_oracles()
+    if llm_registry is not None:
+        sql |= llm_registry.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
 
 
 __all__ = ["entry", "queries", "oracle_sql"]
