@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .licenses import op8_licenses
 from .sharding import op6_sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op6_sharding": op6_sharding,
+        "op8_licenses": op8_licenses,
     }
 
 
