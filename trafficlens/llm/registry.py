@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import op2_bpe
 from .fingerprints import op7_fingerprints
 from .licenses import op8_licenses
 from .sharding import op6_sharding
@@ -13,6 +14,7 @@ from .sharding import op6_sharding
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_bpe": op2_bpe,
         "op6_sharding": op6_sharding,
         "op7_fingerprints": op7_fingerprints,
         "op8_licenses": op8_licenses,
