@@ -10,11 +10,13 @@ from .bpe import op2_bpe
 from .fingerprints import op7_fingerprints
 from .licenses import op8_licenses
 from .sharding import op6_sharding
+from .warc import OP3_SQL, op3_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_bpe": op2_bpe,
+        "op3_warc": op3_warc,
         "op6_sharding": op6_sharding,
         "op7_fingerprints": op7_fingerprints,
         "op8_licenses": op8_licenses,
@@ -22,4 +24,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_warc": OP3_SQL}
