@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import op2_bpe
 from .fingerprints import op7_fingerprints
 from .licenses import op8_licenses
+from .quality import op1_quality
 from .sharding import op6_sharding
 from .warc import OP3_SQL, op3_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
         "op2_bpe": op2_bpe,
         "op3_warc": op3_warc,
         "op6_sharding": op6_sharding,
