@@ -11,6 +11,7 @@ from .fingerprints import op7_fingerprints
 from .licenses import op8_licenses
 from .quality import op1_quality
 from .sharding import op6_sharding
+from .toxicity import op5_toxicity
 from .warc import OP3_SQL, op3_warc
 
 
@@ -19,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality": op1_quality,
         "op2_bpe": op2_bpe,
         "op3_warc": op3_warc,
+        "op5_toxicity": op5_toxicity,
         "op6_sharding": op6_sharding,
         "op7_fingerprints": op7_fingerprints,
         "op8_licenses": op8_licenses,
