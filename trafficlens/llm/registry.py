@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op2_bpe
+from .decontamination import op10_decontamination
 from .fingerprints import op7_fingerprints
 from .licenses import op8_licenses
 from .quality import op1_quality
@@ -24,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_sharding": op6_sharding,
         "op7_fingerprints": op7_fingerprints,
         "op8_licenses": op8_licenses,
+        "op10_decontamination": op10_decontamination,
     }
 
 
