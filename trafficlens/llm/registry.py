@@ -10,6 +10,7 @@ from .bpe import op2_bpe
 from .decontamination import op10_decontamination
 from .fingerprints import op7_fingerprints
 from .licenses import op8_licenses
+from .neardup import op9_neardup
 from .quality import op1_quality
 from .sharding import op6_sharding
 from .toxicity import op5_toxicity
@@ -25,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_sharding": op6_sharding,
         "op7_fingerprints": op7_fingerprints,
         "op8_licenses": op8_licenses,
+        "op9_neardup": op9_neardup,
         "op10_decontamination": op10_decontamination,
     }
 
