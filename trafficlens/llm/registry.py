@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op2_bpe
+from .classlm import op4_classlm
 from .decontamination import op10_decontamination
 from .fingerprints import op7_fingerprints
 from .licenses import op8_licenses
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality": op1_quality,
         "op2_bpe": op2_bpe,
         "op3_warc": op3_warc,
+        "op4_classlm": op4_classlm,
         "op5_toxicity": op5_toxicity,
         "op6_sharding": op6_sharding,
         "op7_fingerprints": op7_fingerprints,
