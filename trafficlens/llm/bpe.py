@@ -137,32 +137,35 @@ def encode_text(text: str, find, known: PreTokens) -> bytes:
     return b"".join(map(known.__getitem__, find(text)))
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, ids): the token ids of every whole text as little-endian unsigned 32-bit integers.
+def encode_documents(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, kept columns, ids): token ids of every whole text as little-endian unsigned 32-bit integers.
 
-    ``docs`` needs ``doc_id`` and ``text``; other columns are ignored. A null or
-    empty text has empty ids. Repeated rows are encoded separately. No special
-    tokens are recognised: their spelling is ordinary text.
+    ``docs`` needs ``doc_id`` and ``text``; of its other columns only those in
+    ``keep`` stay. A null or empty text has empty ids. Repeated rows are encoded
+    separately. No special tokens are recognised: their spelling is ordinary text.
     """
-    spark = docs.sparkSession
     tokens = read_ranks(path)
-    shared = spark.sparkContext.broadcast((tokens, *perfect_hash(tokens)))
+    shared = docs.sparkSession.sparkContext.broadcast((tokens, *perfect_hash(tokens)))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, find = PreTokens(*shared.value), regex.compile(pattern).findall
         for batch in batches:
-            for part, packed in _sized(batch, lambda text: encode_text(text, find, known)):
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(packed, pa.binary())], ["doc_id", "ids"])
+            for part, packed in _sized(batch, 0, lambda text: encode_text(text, find, known)):
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(packed, pa.binary())], names)
 
-    slim = docs.select("doc_id", text_or_empty().alias("text"))
-    kind = slim.schema["doc_id"].dataType.simpleString()
-    return slim.mapInArrow(encode, f"doc_id {kind}, ids binary")
+    slim = docs.select(text_or_empty().alias("text"), "doc_id", *keep)
+    names = ["doc_id", *keep, "ids"]
+    return slim.mapInArrow(encode, _schema(slim, names[:-1], "ids binary"))
 
 
-def _sized(batch: pa.RecordBatch, convert) -> Iterable[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of a batch with the converted second column, each of about BATCH_BYTES at most."""
+def _schema(frame: DataFrame, names: list[str], more: str) -> str:
+    return ", ".join(f"`{n}` {frame.schema[n].dataType.simpleString()}" for n in names) + ", " + more
+
+
+def _sized(batch: pa.RecordBatch, at: int, convert) -> Iterable[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of a batch with column ``at`` converted, each of about BATCH_BYTES at most."""
     first, held, packed = 0, 0, []
-    column = batch.column(1)
+    column = batch.column(at)
     for k in range(batch.num_rows):
         packed.append(convert(column[k].as_py()))
         held += len(packed[-1])
@@ -174,20 +177,28 @@ def _sized(batch: pa.RecordBatch, convert) -> Iterable[tuple[pa.RecordBatch, lis
 
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids, decoded): the bytes that the ids stand for. ``encoded`` needs doc_id and ids."""
-    spark = encoded.sparkSession
-    shared = spark.sparkContext.broadcast(read_ranks(path))
+    """``encoded`` with a column of the bytes that its column ``ids`` stands for, ``decoded``."""
+    shared = encoded.sparkSession.sparkContext.broadcast(read_ranks(path))
+    at = encoded.columns.index("ids")
+    names = [*encoded.columns, "decoded"]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelled = shared.value.__getitem__
+        join = lambda ids: b"".join(map(spelled, np.frombuffer(ids, "<u4").tolist()))
         for batch in batches:
-            join = lambda ids: b"".join(map(spelled, np.frombuffer(ids, "<u4").tolist()))
-            for part, decoded in _sized(batch, join):
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])
+            for part, decoded in _sized(batch, at, join):
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(decoded, pa.binary())], names)
+
+    return encoded.mapInArrow(decode, _schema(encoded, encoded.columns, "decoded binary"))
 
-    slim = encoded.select("doc_id", "ids")
-    kind = slim.schema["doc_id"].dataType.simpleString()
-    return slim.mapInArrow(decode, f"doc_id {kind}, ids binary, decoded binary")
+
+def digests() -> list:
+    """n_tokens, ids_sha256 and decoded_sha256 of an encoded and decoded frame."""
+    return [
+        F.floor(F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    ]
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,9 +206,4 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return decode_documents(encoded, path).select(
-        "doc_id",
-        F.floor(F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return decode_documents(encoded, path).select("doc_id", *digests())

@@ -110,7 +110,7 @@ def band_keys(registers: np.ndarray) -> np.ndarray:
 
 
 def document_signatures(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, a, b, n, bands, shingles, weights) of every whole text.
+    """(row, doc_id, text_hash, a, b, n, bands, shingles, weights) of every whole text.
 
     ``a`` and ``b`` are a 128-bit hash of the weighted shingles and ``n`` their
     number; ``shingles`` are 32-bit values in rising order, ``weights`` their
@@ -124,7 +124,7 @@ def document_signatures(docs: DataFrame) -> DataFrame:
                 part = batch.slice(k, 1024)
                 if len(known) > REMEMBERED:
                     known.clear()
-                sets = [shingles(text, known) for text in part.column(2).to_pylist()]
+                sets = [shingles(text, known) for text in part.column(3).to_pylist()]
                 bands: list = [[] for _ in sets]
                 order = sorted((i for i in range(len(sets)) if len(sets[i][0])), key=lambda i: len(sets[i][0]))
                 group, held = [], 0
@@ -146,8 +146,7 @@ def document_signatures(docs: DataFrame) -> DataFrame:
                 a, b = (np.array(x, np.uint64).view(np.int64) for x in zip(*bags))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0),
-                        part.column(1),
+                        *part.columns[:3],
                         pa.array(a),
                         pa.array(b),
                         pa.array([len(s) for s, _ in sets], pa.int64()),
@@ -155,12 +154,20 @@ def document_signatures(docs: DataFrame) -> DataFrame:
                         pa.array(packed, pa.binary()),
                         pa.array(weights, pa.binary()),
                     ],
-                    ["row", "doc_id", "a", "b", "n", "bands", "shingles", "weights"],
+                    ["row", "doc_id", "text_hash", "a", "b", "n", "bands", "shingles", "weights"],
                 )
 
-    slim = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_or_empty().alias("text"))
+    slim = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        "doc_id",
+        F.xxhash64(text_or_empty()).alias("text_hash"),
+        text_or_empty().alias("text"),
+    )
     kind = slim.schema["doc_id"].dataType.simpleString()
-    schema = f"row bigint, doc_id {kind}, a bigint, b bigint, n bigint, bands array<bigint>, shingles binary, weights binary"
+    schema = (
+        f"row bigint, doc_id {kind}, text_hash bigint, a bigint, b bigint, n bigint, "
+        "bands array<bigint>, shingles binary, weights binary"
+    )
     return slim.mapInArrow(sign, schema)
 
 
@@ -255,8 +262,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """Class of every document row.
 
     ``docs`` needs doc_id and text; other columns are ignored. Returns row,
-    doc_id, class_id (the least doc_id of the class), class_size, the text's
-    node and the class's least node ``component``. Texts that differ in case or
+    doc_id, text_hash, class_id (the least doc_id of the class), class_size, the
+    text's node and the class's least node ``component``. Texts that differ in case or
     white space only are equal; null and wordless texts are equal to each other;
     repeated rows share a class. A class of rows without doc_id has class_id
     null. An empty table gives no rows.
@@ -303,7 +310,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classed = written(classed, "neardup_classes")
     totals = classed.groupBy("component").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
     labelled = classed.join(totals, "component").select("a", "b", "n", "node", "component", "class_id", "class_size")
-    return signed.select("row", "doc_id", "a", "b", "n").join(labelled, ["a", "b", "n"]).drop("a", "b", "n")
+    return signed.select("row", "doc_id", "text_hash", "a", "b", "n").join(labelled, ["a", "b", "n"]).drop("a", "b", "n")
+
+
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each near-duplicate class: the least doc_id, then the least text hash; all columns stay.
+
+    Rows without doc_id come last. A kept row is found again by doc_id and the
+    hash of its text; where rows repeat under both, one of them stays.
+    """
+    classes = near_duplicates(docs.select("doc_id", "text"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    best = classes.groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
+    best = best.groupBy("component").agg(F.min_by(F.struct("doc_id", "text_hash", "rows"), rank).alias("best"))
+    kept = best.groupBy(F.col("best.doc_id").alias("__doc"), F.col("best.text_hash").alias("__kept")).agg(
+        F.max("best.rows").alias("__rows")
+    )
+    kept = written(kept, "neardup_kept")
+    keyed = docs.withColumn("__hash", F.xxhash64(text_or_empty()))
+    same = keyed["doc_id"].eqNullSafe(F.col("__doc")) & (keyed["__hash"] == F.col("__kept"))
+    once = keyed.join(kept.where("__rows = 1"), same, "left_semi")
+    repeated = kept.where("__rows > 1")
+    if not repeated.isEmpty():
+        once = once.unionByName(keyed.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "__hash"]))
+    return once.select(*docs.columns)
 
 
 def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,6 +118,9 @@ class Discriminant:
     slope: float = 1.0
     shift: float = 0.0
 
+    def values(self) -> tuple:
+        return self.centres, self.inverse, self.offsets, self.slope, self.shift
+
     def difference(self, x: np.ndarray) -> np.ndarray:
         """Log density of class 1 minus that of class 0."""
         logs = []
@@ -205,9 +208,29 @@ def train_quality(measured: DataFrame, labels: DataFrame, folds: int = 4, held:
     return calibrate(model, np.array([r["x"] for r in sample]), np.array([float(r["label"]) for r in sample]))
 
 
+def keep_accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` without the rows scored below ACCEPT; all columns stay, repeated rows are judged alike.
+
+    The texts are read once for the statistics of the training rows and once to
+    score and filter; they are not shuffled.
+    """
+    model = train_quality(written(document_statistics(docs), "quality_statistics"), labels)
+    values = model.values()
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted = Discriminant(*values)
+        for batch in batches:
+            if batch.num_rows:
+                x = np.array([statistics(text or "") for text in batch.column(at).to_pylist()])
+                yield batch.filter(pa.array(fitted.score(x) >= ACCEPT))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def score_quality(measured: DataFrame, model: Discriminant) -> DataFrame:
     """(doc_id, score): scores of (doc_id, x) rows."""
-    values = (model.centres, model.inverse, model.offsets, model.slope, model.shift)
+    values = model.values()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = Discriminant(*values)

@@ -346,6 +346,22 @@ def score_toxicity(docs: DataFrame, parameters: dict[str, np.ndarray]) -> DataFr
     return slim.mapInArrow(score, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, score double")
 
 
+def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` without the rows scored 0.5 or more; all columns stay, repeated rows are judged alike."""
+    shared = docs.sparkSession.sparkContext.broadcast(train_toxicity(*training_texts(docs, labels)))
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Words(shared.value)
+        for batch in batches:
+            for k in range(0, batch.num_rows, 256):
+                part = batch.slice(k, 256)
+                texts = [text or "" for text in part.column(at).to_pylist()]
+                yield part.filter(pa.array(score_texts(known.p, texts, known) < 0))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def classify_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Score every document's toxicity.
 
