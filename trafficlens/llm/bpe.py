@@ -153,7 +153,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, keep: tuple[str,
             for part, packed in _sized(batch, 0, lambda text: encode_text(text, find, known)):
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(packed, pa.binary())], names)
 
-    slim = docs.select(text_or_empty().alias("text"), "doc_id", *keep)
+    slim = docs.select(text_or_empty().alias("__whole_text"), "doc_id", *keep)
     names = ["doc_id", *keep, "ids"]
     return slim.mapInArrow(encode, _schema(slim, names[:-1], "ids binary"))
 
