@@ -1,0 +1,83 @@
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from trafficlens.llm import decontamination as dc
+
+SF = "/root/testdata/sf0.01"
+
+
+def brute_distance(pattern, text):
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(pattern, 1):
+        last, row = row, [i] + [0] * len(text)
+        for j, d in enumerate(text, 1):
+            row[j] = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (c != d))
+    return min(row)
+
+
+@settings(max_examples=200, deadline=None)
+@given(pattern=st.text("abc", min_size=1, max_size=12), text=st.text("abc", max_size=30))
+def test_distance(pattern, text):
+    assert dc.best_distance(pattern, text) == brute_distance(pattern, text)
+
+
+def test_query_finds_every_exact_passage(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
+    plain = lambda t: b" ".join(dc.normal(t))
+    want = {(d["doc_id"], i["item_id"]) for d in docs for i in items if plain(i["text"]) in plain(d["text"])}
+    rows = dc.op10_decontamination(spark, SF).collect()
+    got = {(r["doc_id"], r["item_id"]) for r in rows}
+    assert want and want <= got and all(r["similarity"] >= dc.SIMILARITY for r in rows)
+
+
+@pytest.mark.parametrize("rate, recall", [(0.03, 0.97), (0.1, 0.9)])
+def test_recall_of_edited_passages(spark, rate, recall):
+    rng = random.Random(8)
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    docs = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
+    index = dc.build_index(items)
+    texts, wanted = [], []
+    for k, (_, text) in enumerate(items * 5):
+        words = []
+        for w in text.split():
+            u = rng.random()
+            words += [] if u < rate / 3 else [rng.choice(docs[0].split())] if u < 2 * rate / 3 else [w]
+            words += [rng.choice(docs[1].split())] if u > 1 - rate / 3 else []
+        texts.append(" ".join(docs[k % 60].split()[:40] + words + docs[(k + 7) % 60].split()[:40]))
+        wanted.append(k % len(items))
+    near = [
+        dc.best_distance(index["texts"][k], b" ".join(dc.normal(t)).decode()) <= 0.2 * len(index["texts"][k])
+        for t, k in zip(texts, wanted)
+    ]
+    found = [any(hit[0] == k for hit in hits) for hits, k in zip(dc.matches(texts, index), wanted)]
+    assert sum(a and b for a, b in zip(near, found)) >= recall * sum(near)
+
+
+def test_blocks_of_items_and_clean_documents(spark, monkeypatch):
+    monkeypatch.setattr(dc, "BLOCK_BYTES", 400)
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    items = [(k, " ".join(word() for _ in range(20))) for k in range(30)]
+    docs = [(k, " ".join([word(), items[k][1].upper() if k % 2 else word(), word()])) for k in range(30)]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    b = spark.createDataFrame(items, "item_id bigint, text string")
+    found = dc.find_contamination(d, b).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(k, k) for k in range(30) if k % 2}
+    assert {r["doc_id"] for r in dc.drop_contaminated(d, b).collect()} == {k for k in range(30) if k % 2 == 0}
+
+
+def test_odd_rows(spark, odd_docs):
+    items = spark.createDataFrame(
+        [("a", "Repeated row", "x"), ("b", None, "x"), ("c", " ", "x"), ("d", "repeated   ROW", "x"), (None, "no id at all", "x")],
+        "item_id string, text string, doc_id string",
+    )
+    found = sorted((r["doc_id"] or -1, r["item_id"] or "") for r in dc.find_contamination(odd_docs, items).collect())
+    assert found == [(-1, ""), (5, "a"), (5, "a"), (5, "d"), (5, "d")]
+    kept = dc.drop_contaminated(odd_docs, items)
+    assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count() - 3
+    assert dc.find_contamination(odd_docs.limit(0), items).count() == 0
+    assert dc.find_contamination(odd_docs, items.limit(0)).count() == 0

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from trafficlens.session import shared_path
 
-from .common import table, written
+from .common import pieces, table, written
 
 SMALLEST_SHARED = 100  # payload bytes from which equal payloads are revisits
 ARCHIVE_BYTES = 256 << 20  # packed size at which a task begins another archive
@@ -202,8 +202,10 @@ def read_records(index: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(out, schema=arrow)
 
     ranges = coalesce_ranges(index.select("file", "offset", "length"))
+    total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = pieces(int(total), RANGE_BYTES)
     schema = "file string, offset bigint, " + ", ".join(f"{name} string" for name in text)
-    return ranges.repartition("file", "range").mapInArrow(read, schema)
+    return ranges.repartition(tasks, "file", "range").mapInArrow(read, schema)
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
