@@ -18,11 +18,9 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,21 +32,35 @@ DEPTHS = (24, 18, 12, 6, 3, 1)  # steps of a walk, by the words an item has
 SIMILARITY = 0.8  # 1 - edit distance / characters of the item
 BLOCK_BYTES = 8 << 20
 DOCS_AT_ONCE = 128
-REMEMBERED = 300_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 
 
-def normal(text: str) -> list[str]:
-    """Words of a text, lower case, split at white space."""
-    return text.lower().split()
+def normal(text: str) -> list[bytes]:
+    """Words of a text, lower case, split at ASCII white space."""
+    return text.lower().encode("utf-8").split()
 
 
-class WordHashes(dict):
-    """64-bit hash by word; the end of a text is hash 0."""
+_SPACE = np.zeros(256, bool)
+_SPACE[list(b" \t\n\r\x0b\x0c")] = True
+#: A random value for every byte at every place (modulo 64) of a word.
+_BYTES = np.random.default_rng(11).integers(0, 1 << 64, (64, 256), np.uint64).ravel()
 
-    def __missing__(self, word: str) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8")) | 1
-        return value
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hash of every word of all texts, the number of words of each, and where each text's words begin."""
+    data = [text.lower().encode("utf-8") for text in texts]
+    raw = np.frombuffer(b" " + b" ".join(data) + b" ", np.uint8)
+    space = _SPACE[raw]
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    starts, ends = edges[0::2], edges[1::2]
+    inside = np.flatnonzero(~space)
+    lengths = ends - starts
+    place = np.arange(len(inside)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    values = _BYTES[(place & 63) << 8 | raw[inside]]
+    hashes = np.add.reduceat(values, np.cumsum(lengths) - lengths) if len(lengths) else np.zeros(0, np.uint64)
+    text_ends = np.cumsum([len(d) + 1 for d in data]) + 1
+    first = np.searchsorted(starts, np.append(1, text_ends))
+    return hashes | np.uint64(1), np.diff(first), first[:-1]
 
 
 def sampled_steps(depth: int) -> list[list[int]]:
@@ -78,63 +90,66 @@ def walk_keys(hashes: np.ndarray, bits: np.ndarray, at: np.ndarray, step: int, s
 
 def build_index(items: list[tuple[object, str]]) -> dict:
     """Keys of every item by walk depth and table, as plain arrays."""
-    known = WordHashes()
-    words = [normal(text) for _, text in items]
+    hashes, sizes, starts = padded_hashes([text for _, text in items])
     entries = defaultdict(list)
-    flat, starts = [], []
-    for number, w in enumerate(words):
-        starts.append(len(flat))
-        flat.extend(known[x] for x in w)
-        flat.extend([0] * DEPTHS[0])
-        n = len(w)
+    for number, n in enumerate(sizes.tolist()):
         for offset in sorted({0, n // 3, 2 * n // 3}):
             left = n - offset
             if left >= min(n, DEPTHS[1]) and left:
-                depth = next(d for d in DEPTHS if d <= left)
-                entries[depth].append((number, offset))
-    hashes = np.array(flat or [0], np.uint64)
-    classes = []
+                entries[next(d for d in DEPTHS if d <= left)].append((number, offset))
+    due = [defaultdict(list) for _ in range(TABLES)]
     for depth, rows in entries.items():
-        number = np.array([r[0] for r in rows])
-        offset = np.array([r[1] for r in rows])
-        at = np.array(starts)[number] + offset
-        tables = []
+        number, offset = np.array(rows).T
+        at = starts[number] + offset
         for t, steps in enumerate(sampled_steps(depth)):
             bits = walk_bits(hashes, t)
             first = walk_keys(hashes, bits, at, 0, steps[:1])
-            maybe = np.zeros(1 << 16, bool)
-            maybe[(first >> np.uint64(48)).astype(np.int64)] = True
             keys = walk_keys(hashes, bits, at, 0, steps)
             order = np.argsort(keys, kind="stable")
-            tables.append((steps, maybe, keys[order], number[order], offset[order]))
-        classes.append(tables)
+            due[t][steps[0]].append((steps, _present(first, 16), _present(keys, 20), keys[order], number[order], offset[order]))
     return {
         "ids": [i for i, _ in items],
-        "texts": [" ".join(w) for w in words],
-        "words": [len(w) for w in words],
-        "classes": classes,
+        "texts": [b" ".join(normal(text)).decode("utf-8") for _, text in items],
+        "words": sizes.tolist(),
+        "due": [dict(steps) for steps in due],
     }
 
 
+def _present(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Which values the upper bits of some key have."""
+    table = np.zeros(1 << bits, bool)
+    table[(keys >> np.uint64(64 - bits)).astype(np.int64)] = True
+    return table
+
+
+def padded_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes with a walk's length of zeros behind every text; sizes and begins of the texts."""
+    words, sizes, first = word_hashes(texts)
+    pad = DEPTHS[0]
+    begins = first + pad * np.arange(len(texts))
+    hashes = np.zeros(len(words) + pad * max(1, len(texts)), np.uint64)
+    hashes[np.arange(len(words)) + np.repeat(begins - first, sizes)] = words
+    return hashes, sizes, begins
+
+
 def candidates(hashes: np.ndarray, starts: np.ndarray, index: dict) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (window start of the whole item, item number) that agree in some table."""
     found = []
-    for t in range(TABLES):
+    for t, due in enumerate(index["due"]):
         bits = walk_bits(hashes, t)
         at = starts.copy()
-        tables = [tables[t] for tables in index["classes"]]
-        for step in range(max((steps[0] for steps, *_ in tables), default=-1) + 1):
-            due = [entry for entry in tables if entry[0][0] == step]
-            if due:
+        for step in range(max(due, default=-1) + 1):
+            if step in due:
                 prefix = (hashes[at] * _ODD[0] >> np.uint64(48)).astype(np.int64)
-            for steps, maybe, keys, number, offset in due:
-                some = np.flatnonzero(maybe[prefix])
-                key = walk_keys(hashes, bits, at[some], step, steps)
-                low, high = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
-                hit = np.flatnonzero(high > low)
-                many = high[hit] - low[hit]
-                entry = np.repeat(low[hit] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-                where = np.repeat(starts[some[hit]], many)
+                some = np.flatnonzero(np.logical_or.reduce([first for _, first, *_ in due[step]])[prefix])
+            for steps, first, whole, keys, number, offset in due.get(step, ()):
+                here = some[first[prefix[some]]]
+                key = walk_keys(hashes, bits, at[here], step, steps)
+                likely = np.flatnonzero(whole[(key >> np.uint64(44)).astype(np.int64)])
+                low, high = np.searchsorted(keys, key[likely], "left"), np.searchsorted(keys, key[likely], "right")
+                many = high - low
+                entry = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
+                where = np.repeat(starts[here[likely]], many)
                 found.append(np.column_stack([where - offset[entry], number[entry]]))
             at += (bits[at] >> np.uint64(16 + step)).astype(np.int64) & 1
     both = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
@@ -165,33 +180,28 @@ def best_distance(pattern: str, text: str) -> int:
     return best
 
 
-def matches(texts: list[str], index: dict, known: WordHashes) -> list[list[tuple[int, int, int]]]:
+def matches(texts: list[str], index: dict) -> list[list[tuple[int, int, int]]]:
     """For each text its verified items: (item number, distance, first word of the window)."""
-    if len(known) > REMEMBERED:
-        known.clear()
-    split = [normal(text) for text in texts]
-    sizes = np.fromiter(map(len, split), np.int64, len(split))
-    pad = DEPTHS[0]
-    begins = np.cumsum(sizes + pad) - (sizes + pad)
-    total = int((sizes + pad).sum())
-    hashes = np.zeros(total, np.uint64)
+    hashes, sizes, begins = padded_hashes(texts)
     starts = np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-    hashes[starts] = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.uint64, len(starts))
     where, item = candidates(hashes, starts, index)
-    # A window whose anchor is deep in the item may begin before its text; the region is cut to the text.
-    owner = np.searchsorted(begins, where + pad // 2, "right") - 1
     found: list[dict[int, tuple[int, int]]] = [{} for _ in texts]
+    split: dict[int, list[bytes]] = {}
+    # An anchor deep in an item may put the item's start before the text: the text before is tried, then this one.
+    owner = np.searchsorted(begins, where + DEPTHS[0] // 2, "right") - 1
     for o, w, k in zip(owner.tolist(), where.tolist(), item.tolist()):
         for doc in {max(0, o), min(len(texts) - 1, max(0, o) + 1)}:
             if k in found[doc]:
                 continue
+            if doc not in split:
+                split[doc] = normal(texts[doc])
             pattern, n = index["texts"][k], index["words"][k]
             slack = n // 4 + 2
             first = w - int(begins[doc])
             region = split[doc][max(0, first - slack) : max(0, first + n + slack)]
             if not region:
                 continue
-            distance = best_distance(pattern, " ".join(region))
+            distance = best_distance(pattern, b" ".join(region).decode("utf-8"))
             if distance <= (1 - SIMILARITY) * len(pattern) + 1e-9:
                 found[doc][k] = (distance, max(0, first))
     return [[(k, *v) for k, v in sorted(one.items())] for one in found]
@@ -226,11 +236,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         shared = spark.sparkContext.broadcast(build_index(items))
 
         def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index, known = shared.value, WordHashes()
+            index = shared.value
             for batch in batches:
                 for k in range(0, batch.num_rows, DOCS_AT_ONCE):
                     part = batch.slice(k, DOCS_AT_ONCE)
-                    found = matches(part.column(1).to_pylist(), index, known)
+                    found = matches(part.column(1).to_pylist(), index)
                     rows = [(d, *hit) for d, hits in enumerate(found) for hit in hits]
                     if not rows:
                         continue
@@ -259,12 +269,12 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         shared = spark.sparkContext.broadcast(build_index(items))
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index, known = shared.value, WordHashes()
+            index = shared.value
             for batch in batches:
                 for k in range(0, batch.num_rows, DOCS_AT_ONCE):
                     part = batch.slice(k, DOCS_AT_ONCE)
                     texts = [t or "" for t in part.column(at).to_pylist()]
-                    yield part.filter(pa.array([not hits for hits in matches(texts, index, known)], pa.bool_()))
+                    yield part.filter(pa.array([not hits for hits in matches(texts, index)], pa.bool_()))
 
         docs = docs.mapInArrow(keep, docs.schema)
     return docs
