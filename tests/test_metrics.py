@@ -70,3 +70,29 @@ def test_untied_fast_path_matches(spark):
     rate = sorted(tuple(r) for r in mx.counter_rate(df, "2 hours", "1 hour").collect())
     rate_fast = sorted(tuple(r) for r in mx.counter_rate(df, "2 hours", "1 hour", tiebreak=None).collect())
     assert rate == rate_fast and rate
+
+
+def test_metric_plans_have_no_sort_aggregate(spark):
+    import __spark_entry__ as entry
+    from conftest import SMOKE_DIR
+
+    for name, query in entry.queries().items():
+        if name.startswith("metric_"):
+            plan = query(spark, SMOKE_DIR)._jdf.queryExecution().executedPlan().toString()
+            assert "SortAggregate" not in plan, name
+
+
+def test_latest_orders_by_time_then_a_signed_tie_break(spark):
+    import datetime as dt
+
+    from trafficlens.plans import latest
+
+    t = dt.datetime(2024, 1, 1)
+    old = dt.datetime(1960, 1, 1)
+    rows = [
+        ("a", 0, t, -5, 1), ("a", 0, t, 3, 2), ("a", 0, t, -9, 3),
+        ("b", 0, t, 2**62, 4), ("b", 0, t + dt.timedelta(microseconds=1), -(2**62), 5),
+        ("c", 0, old, 9, 6), ("c", 0, old + dt.timedelta(microseconds=1), 1, 7),
+    ]
+    samples = spark.createDataFrame(rows, "name string, k int, ts timestamp_ntz, event_id bigint, v int")
+    assert {r.name: r.value for r in latest(samples).collect()} == {"a": 2, "b": 5, "c": 7}

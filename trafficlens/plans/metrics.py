@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,9 +42,18 @@ BY = ("name",)
 
 
 def _order(ts: str, tiebreak: str | None) -> Column:
-    """Sample order. With a tie-break it is a struct, which makes ``min_by``/``max_by`` sort-based
-    aggregates; ``tiebreak=None`` (timestamps unique per series) keeps them hash aggregates."""
-    return F.col(ts) if tiebreak is None else F.struct(F.col(ts), F.col(tiebreak))
+    """Sample order as one fixed-width value, so ``max_by`` stays a hash aggregate.
+
+    Microseconds since the epoch times 2**64 plus the tie-break shifted to be
+    non-negative: a ``decimal(38,0)`` that orders like (ts, tiebreak).
+    """
+    if tiebreak is None:
+        return F.col(ts)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", epoch, F.col(ts).cast("timestamp_ntz"))
+    wide = micros.cast("decimal(18,0)") * F.lit(Decimal(1 << 64)).cast("decimal(20,0)")
+    low = F.col(tiebreak).cast("bigint").cast("decimal(19,0)") + F.lit(Decimal(1 << 63)).cast("decimal(19,0)")
+    return (wide.cast("decimal(38,0)") + low.cast("decimal(38,0)")).cast("decimal(38,0)")
 
 
 _UNIT_SECONDS = {"s": 1, "m": 60, "h": 3600, "d": 86400}
