@@ -6,9 +6,9 @@ import statistics as st
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as hs
+from pyspark.sql import functions as F
 
 from trafficlens.operators import global_row_number, group_median, previous_value, running_total
-from trafficlens.operators.sizing import bounded_broadcast, has_at_most
 
 
 def _series_rows(seed=7, n=3000):
@@ -57,41 +57,41 @@ def test_global_row_number_is_a_permutation_in_order(spark):
     assert [(r.a, r.b) for r in by_rn] == sorted(rows)
 
 
-def test_global_row_number_reads_one_materialised_range_partitioning(spark):
-    """Sizes and positions come from one checkpointed copy, never from two range exchanges."""
-    df = spark.range(5000).selectExpr("id % 13 as a", "id as b", "repeat('x', 20) as pad")
-    out = global_row_number(df, ["a", "b"], "rn").select("a", "b", "rn")
-    rows = out.collect()
-    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert "rangepartitioning" not in plan, plan
-    assert sorted(r.rn for r in rows) == list(range(1, 5001))
-    assert [(r.a, r.b) for r in sorted(rows, key=lambda r: r.rn)] == sorted((r.a, r.b) for r in rows)
+def test_global_row_number_cuts_one_hot_key_into_runs(spark, monkeypatch, tmp_path):
+    import os
+
+    from trafficlens.operators import ranking
+    from trafficlens.session import ensure_checkpoint_dir
+
+    monkeypatch.setattr(ranking, "ROWS_PER_RUN", 200)
+    # One key holds nearly all rows; another order column is null at times.
+    df = spark.range(5000).selectExpr("if(id % 50 = 0, id, 7) as a", "if(id % 9 = 0, null, 'b') as b", "id as c")
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    out = global_row_number(df, ["a", "b"], "rn")
+    rows = sorted(out.collect(), key=lambda r: r.rn)
+    assert [r.rn for r in rows] == list(range(1, 5001))
+    key = [(r.a, r.b is not None, r.b or "") for r in rows]
+    assert key == sorted(key)
+    assert (set(os.listdir(folder)) if os.path.isdir(folder) else set()) == before
+    assert len(ranking._bounds(
+        df.selectExpr("a as _k0", "xxhash64(a, b, c) as _tie"), ["_k0", "_tie"], 25, 5000)) >= 15
+
+
+def test_global_row_number_over_times_and_falling_numbers(spark, monkeypatch):
+    from trafficlens.operators import ranking
+
+    monkeypatch.setattr(ranking, "ROWS_PER_RUN", 100)
+    df = spark.range(1000).selectExpr(
+        "cast(timestamp'2024-03-31 00:00:00' as timestamp_ntz) + make_dt_interval(0, 0, cast(id * 37 % 1000 as int)) as ts",
+        "id % 10 as v",
+    )
+    rows = sorted(global_row_number(df, ["ts"], "rn").collect(), key=lambda r: r.rn)
+    assert [r.ts for r in rows] == sorted(r.ts for r in rows)
+    falling = sorted(global_row_number(df, [-F.col("v"), "ts"], "rn").collect(), key=lambda r: r.rn)
+    assert [(-r.v, r.ts) for r in falling] == sorted((-r.v, r.ts) for r in rows)
 
 
-def test_bounded_broadcast(spark):
-    df = spark.range(10)
-    assert has_at_most(df, 10) and not has_at_most(df, 9)
-    hinted = bounded_broadcast(df, 10)
-    assert "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
-    assert bounded_broadcast(df, 5) is df
-
-
-def test_running_sum_by_group_with_hot_group(spark):
-    from trafficlens.operators.ranking import running_sum_by_group
-
-    rnd = random.Random(11)
-    rows = [("hot" if rnd.random() < 0.8 else rnd.choice(["a", None]), rnd.randrange(0, 500), i, rnd.randrange(1, 9)) for i in range(4000)]
-    df = spark.createDataFrame(rows, "g string, v int, id int, w int").repartition(5)
-    got = {r.id: (r.run, r.total) for r in running_sum_by_group(df, ["g"], ["v", "id"], "w", "run", "total").collect()}
-    want = {}
-    for key in {r[0] for r in rows}:
-        grp = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1], r[2]))
-        total, acc = sum(r[3] for r in grp), 0
-        for _, _, i, w in grp:
-            acc += w
-            want[i] = (acc, total)
-    assert got == want
-
 
 def test_series_across_a_dst_change_in_a_zoned_session(spark):
     before = spark.conf.get("spark.sql.session.timeZone")

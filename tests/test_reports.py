@@ -4,6 +4,7 @@ import pytest
 from conftest import ORACLE_DIR, SMOKE_DIR
 
 from trafficlens import fixtures as fx
+from trafficlens.operators import unknown_titles
 from trafficlens.plans import hourly_profile, title_daily, titles_daily, top_pages
 
 
@@ -65,12 +66,20 @@ def test_titles_daily_equals_single_title_runs(spark):
         assert {k: v for k, v in many.items() if k[0] == t} == single
 
 
-def test_titles_daily_shuffle_path_matches_broadcast_path(spark):
+def test_titles_daily_plans_without_a_job(spark):
     pv = fx.pageviews(spark, SMOKE_DIR)
-    titles = pv.select("title").distinct()
-    small = sorted(tuple(r) for r in titles_daily(pv, titles).collect())
-    big = sorted(tuple(r) for r in titles_daily(pv, titles, max_broadcast_rows=1).collect())
-    assert small == big and small
+    tracker = spark.sparkContext.statusTracker()
+    before = tracker.getJobIdsForGroup(None)
+    titles_daily(pv, pv.select("title").distinct())
+    unknown_titles(pv.select("title"), pv.select("title"))
+    assert tracker.getJobIdsForGroup(None) == before
+
+
+def test_top_pages_of_another_project_pair(spark):
+    rows = [("en", "A", 1), ("en.m", "A", 5), ("fr", "A", 9)]
+    pv = spark.createDataFrame(rows, "project string, title string, views int")
+    top = top_pages(pv, 10, ("en", "en.m"), mobile_projects=("en.m",)).first()
+    assert (top.views, top.views_desktop, top.views_mobile) == (6, 1, 5)
 
 
 def test_hourly_profile_invariants(spark):

@@ -89,7 +89,7 @@ def test_project_prefilter_equals_project_filter(spark, tmp_path, ansi):
 
 
 def test_title_prefilter_is_a_superset(spark, tmp_path):
-    from trafficlens.operators.filters import title_spellings
+    from trafficlens.functions import title_spellings
     from trafficlens.plans import title_daily
 
     month = tmp_path / "raw" / "2026-06"
@@ -106,32 +106,48 @@ def test_title_prefilter_is_a_superset(spark, tmp_path):
     assert [r.views for r in title_daily(read_pageviews(spark, glob), "Sagrada_Família").collect()] == [7, 7]
 
 
-def test_truncated_dump_fails_unless_ignored(spark, tmp_path):
+def test_truncated_dump_fails(spark, tmp_path):
     import pytest
 
     month = tmp_path / "raw" / "2026-06"
-    write_dump(month, "pageviews-20260601-000000.gz", ["fr Good 1 0"] * 50)
     good = write_dump(month, "pageviews-20260601-010000.gz", [f"fr Line_{i} 1 0" for i in range(5000)])
     data = open(good, "rb").read()
-    with open(good, "wb") as fh:  # truncate the second dump in the middle
+    with open(good, "wb") as fh:  # truncate the dump in the middle
         fh.write(data[: len(data) // 2])
-    glob = pageview_glob(str(tmp_path / "raw"), "2026-06")
     with pytest.raises(Exception):
-        read_pageviews(spark, glob).count()
-    kept = read_pageviews(spark, glob, ignore_corrupt_files=True)
-    assert kept.where("title = 'Good'").count() == 50
-
-
-def test_file_table_path_equals_per_line_match(spark, tmp_path):
-    from trafficlens.sources import parse_pageview_lines, read_pageview_lines
+        read_pageviews(spark, pageview_glob(str(tmp_path / "raw"), "2026-06")).count()
+
+
+def test_dump_names_by_substrings_equal_the_pattern(spark):
+    from trafficlens.functions.constants import FILENAME_PATTERN
+    from trafficlens.sources.pageviews import _dump_name
+    import re
+
+    names = [
+        "pageviews-20260601-010000.gz", "xpageviews-20260601-010000.gz", "pageviews-2026060a-010000.gz",
+        "pageviews-20260601-0\u0661 0000.gz", "pageviews-20260601_010000.gz", "pageviews-20260601-010000.gzx",
+        "pageviews-20260601-010001.gz", "ageviews-20260601-010000.gz", "", "pageviews--0260601-010000.gz",
+    ]
+    df = spark.createDataFrame([(n,) for n in names], "n string").select("n", _dump_name("n").alias("m"))
+    for r in df.collect():
+        want = re.search(FILENAME_PATTERN, r.n, re.ASCII)
+        assert r.m == (want.group(0) if want else "")
+
+
+def test_listing_counts_empty_dumps_and_equal_names(spark, tmp_path):
+    import gzip
+
+    from trafficlens.sources import dump_count, dump_hours, list_dumps
+
+    for folder in ("a", "b"):
+        write_dump(tmp_path / "raw" / folder, "pageviews-20260601-000000.gz", ["fr Good 1 0"])
+    write_dump(tmp_path / "raw" / "a", "pageviews-20260601-010000.gz", [])
+    (tmp_path / "raw" / "a" / "pageviews-20260601-020000.gz").write_bytes(gzip.compress(b""))
+    write_dump(tmp_path / "raw" / "a", "notes.gz", ["fr Good 1 0"])
+    files = list_dumps(spark, [str(tmp_path / "raw" / f) for f in ("a", "b")])
+    assert dump_count(files).first()[0] == 5
+    hours = sorted((r.day, r.hour) for r in dump_hours(files).collect())
+    assert hours == [("20260601", 0), ("20260601", 1), ("20260601", 2)]
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan and "FileScan text" not in plan
 
-    root = _dumps(tmp_path)
-    glob = pageview_glob(root, "2026-06")
-    per_line = parse_pageview_lines(read_pageview_lines(spark, glob))
-    per_file = read_pageviews(spark, glob)
-    assert sorted(tuple(r) for r in per_file.collect()) == sorted(tuple(r) for r in per_line.collect())
-    assert sorted(tuple(r) for r in read_pageviews(spark, glob, per_file_names=False).collect()) == sorted(
-        tuple(r) for r in per_line.collect()
-    )
-    plan = per_file._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "regexp_extract" not in plan

@@ -4,12 +4,12 @@ from .constants import (
     DEFAULT_PROJECTS,
     FILENAME_PATTERN,
     HOME_PAGES,
-    MOBILE_PROJECT,
+    MOBILE_PROJECTS,
     NAMESPACE_PREFIXES,
     PAGEVIEW_COLUMNS,
     RUNS_COLUMNS,
 )
-from .encoding import percent_encode, quote_title, title_variants, with_encoded
+from .encoding import percent_encode, quote_title, title_spellings, title_variants
 from .patterns import anchored, home_page_titles, namespace_regex
 from .ratios import pct, share_of_total
 
@@ -17,7 +17,7 @@ __all__ = [
     "DEFAULT_PROJECTS",
     "FILENAME_PATTERN",
     "HOME_PAGES",
-    "MOBILE_PROJECT",
+    "MOBILE_PROJECTS",
     "NAMESPACE_PREFIXES",
     "PAGEVIEW_COLUMNS",
     "RUNS_COLUMNS",
@@ -29,5 +29,5 @@ __all__ = [
     "quote_title",
     "share_of_total",
     "title_variants",
-    "with_encoded",
+    "title_spellings",
 ]

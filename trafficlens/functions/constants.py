@@ -14,8 +14,8 @@ FILENAME_PATTERN = r"pageviews-(\d{8})-(\d{2})0000\.gz$"
 # Project allow-list (desktop and mobile French Wikipedia); .b, .d, .n suffixes are other projects.
 DEFAULT_PROJECTS = ("fr", "fr.m")
 
-# The one project code that counts as mobile traffic; every other kept project is desktop.
-MOBILE_PROJECT = "fr.m"
+# Project codes that count as mobile traffic by default; every other kept project is desktop.
+MOBILE_PROJECTS = ("fr.m",)
 
 # Namespace prefixes whose pages are not articles (a title "Prefix:..." is dropped).
 NAMESPACE_PREFIXES = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 from .constants import HOME_PAGES, NAMESPACE_PREFIXES, NAMESPACE_SEPARATOR, TALK_PREFIX
-from .encoding import regex_literal, with_encoded
+from .encoding import regex_literal, title_spellings
 
 
 @lru_cache(maxsize=None)
@@ -19,7 +19,8 @@ def namespace_regex() -> str:
     such as ``Discussion_Wikip%C3%A9dia:X`` is *not* matched, as in the original
     cleaning rules.
     """
-    prefixes = "|".join(regex_literal(p) for p in with_encoded(NAMESPACE_PREFIXES))
+    prefixes = "|".join(regex_literal(s) for p in NAMESPACE_PREFIXES for s in title_spellings(p))
+    # The text of the next pattern is fixed by the cleaning rules.
     talk = regex_literal(TALK_PREFIX) + "[^:%]*" + NAMESPACE_SEPARATOR
     named = "(?:" + prefixes + ")" + NAMESPACE_SEPARATOR
     return "^(?:" + talk + "|" + named + ")"
@@ -28,7 +29,7 @@ def namespace_regex() -> str:
 @lru_cache(maxsize=None)
 def home_page_titles() -> tuple[str, ...]:
     """Home and search page titles with their encoded forms."""
-    return tuple(with_encoded(HOME_PAGES))
+    return tuple(spelling for page in HOME_PAGES for spelling in title_spellings(page))
 
 
 def anchored(pattern: str) -> str:

@@ -13,13 +13,11 @@ from .filters import (
 )
 from .platform import add_platform, platform_views
 from .quantiles import group_median
-from .ranking import global_row_number
+from .ranking import global_row_number, run_number
 from .series import previous_value, running_total
-from .sizing import bounded_broadcast, has_at_most
 
 __all__ = [
     "add_platform",
-    "bounded_broadcast",
     "check_titles",
     "clean_pages",
     "drop_empty_titles",
@@ -28,11 +26,11 @@ __all__ = [
     "expand_title_variants",
     "global_row_number",
     "group_median",
-    "has_at_most",
     "match_title",
     "only_projects",
     "platform_views",
     "previous_value",
+    "run_number",
     "running_total",
     "unknown_titles",
 ]

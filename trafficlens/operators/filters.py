@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import DEFAULT_PROJECTS, NAMESPACE_SEPARATOR_FORMS
-from ..functions.encoding import quote_title, title_variants
+from ..functions.encoding import title_spellings, title_variants
 from ..functions.patterns import home_page_titles, namespace_regex
-from .sizing import bounded_broadcast
 
 
 def only_projects(df: DataFrame, projects: Iterable[str] = DEFAULT_PROJECTS) -> DataFrame:
@@ -54,11 +53,6 @@ def clean_pages(df: DataFrame, projects: Iterable[str] = DEFAULT_PROJECTS) -> Da
     )
 
 
-def title_spellings(title: str) -> list[str]:
-    """The spellings a dump may use for ``title``: raw and fully percent-encoded."""
-    return sorted({title, quote_title(title)})
-
-
 def match_title(df: DataFrame, title: str) -> DataFrame:
     """Rows whose title is ``title`` raw or fully percent-encoded (case-sensitive)."""
     return df.where(F.col("title").isin(*title_spellings(title)))
@@ -71,27 +65,29 @@ def expand_title_variants(titles: DataFrame, col: str = "title") -> DataFrame:
     )
 
 
-def unknown_titles(
-    requested: DataFrame, known: DataFrame, col: str = "title", max_broadcast_rows: int = 1_000_000
-) -> DataFrame:
+def unknown_titles(requested: DataFrame, known: DataFrame, col: str = "title") -> DataFrame:
     """Requested titles absent from the known list (``left_anti``), distinct.
 
-    The known list is broadcast only when a bounded count proves it small;
-    otherwise both sides are shuffled on the title.
+    One plan whatever the sizes: the requested list is made distinct, and the join
+    on the title broadcasts a side only if adaptive execution measures it small.
     """
     req = requested.select(F.col(col).alias("title")).distinct()
-    ref = known.select(F.col(col).alias("title")).distinct()
-    return req.join(bounded_broadcast(ref, max_broadcast_rows), "title", "left_anti")
+    return req.join(known.select(F.col(col).alias("title")), "title", "left_anti")
 
 
 def check_titles(requested: DataFrame, known: DataFrame, force: bool = False) -> None:
     """Guard before a title query: raise when a requested title is unknown.
 
     Skipped when ``force`` is set or the known list is empty (no list given).
-    Both checks are bounded actions on small frames.
+    The message has the number of unknown titles and the first few of them in
+    order; :func:`unknown_titles` has them all.
     """
     if force or known.isEmpty():
         return
-    missing = [r.title for r in unknown_titles(requested, known).limit(20).collect()]
-    if missing:
-        raise ValueError(f"unknown title(s): {missing!r}; check exact spelling or pass force=True")
+    first = F.slice(F.array_sort(F.collect_set("title")), 1, 5)
+    buckets = unknown_titles(requested, known).groupBy(F.pmod(F.xxhash64("title"), F.lit(64)).alias("b"))
+    found = buckets.agg(F.count(F.lit(1)).alias("n"), first.alias("first")).collect()
+    total = sum(r["n"] for r in found)
+    if total:
+        some = sorted(t for r in found for t in r["first"])[:5]
+        raise ValueError(f"{total} unknown title(s), first {some!r}; check exact spelling or pass force=True")

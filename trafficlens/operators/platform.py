@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.constants import MOBILE_PROJECT
+from ..functions.constants import MOBILE_PROJECTS
 
 
-def add_platform(df: DataFrame) -> DataFrame:
-    """``platform``: ``mobile`` for the mobile project, ``desktop`` otherwise.
+def add_platform(df: DataFrame, mobile_projects: Iterable[str] = MOBILE_PROJECTS) -> DataFrame:
+    """``platform``: ``mobile`` for the mobile projects, ``desktop`` otherwise.
 
     Only meaningful after the project filter: any other project would count as desktop.
     """
-    return df.withColumn(
-        "platform",
-        F.when(F.col("project") == MOBILE_PROJECT, F.lit("mobile")).otherwise(F.lit("desktop")),
-    )
+    mobile = F.col("project").isin(*mobile_projects)
+    return df.withColumn("platform", F.when(mobile, F.lit("mobile")).otherwise(F.lit("desktop")))
 
 
 def _views_on(platform: str) -> Column:

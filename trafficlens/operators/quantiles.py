@@ -1,25 +1,23 @@
 """Exact group median without gathering a group into one task.
 
-``median``/``percentile`` keep every distinct value of a group in one
-in-memory buffer of one task. Here:
-
-1. rows are reduced to (group, value, count) by a partial aggregation, which
-   compresses a hot group to its distinct values before anything is shuffled;
-2. a running count over the sorted distinct values is computed with
-   :func:`running_sum_by_group`, whose range partitioning splits a hot group
-   across tasks;
-3. one aggregation per group picks the (at most two) values covering the
-   middle ranks and averages them; size, min and max come from the same pass.
+``median``/``percentile`` keep every distinct value of a group in one in-memory
+buffer. Here rows are first reduced to (group, value, count), and values are cut
+into ranges by approximate quantiles of all values, a pure function of the
+value. Counts per (group, range) tell which one or two ranges hold the middle
+ranks, and only the values of those ranges are ranked.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import running_sum_by_group
+from .keys import join_on_keys
+from .ranking import run_number
+
+RANGES = 64
 
 
 def group_median(
@@ -28,25 +26,44 @@ def group_median(
     """Exact median of ``value`` per ``keys``: ``keys…, out`` (plus ``n, min, max`` with ``stats``).
 
     Even sizes give the mean of the two middle values, ``(a + b) / 2``; nulls are ignored.
-    The extra statistics come from the same distinct-value counts.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    running = running_sum_by_group(counts, keys, [value], "_c", "_cum", total_out="_n")
-    lo = F.floor((F.col("_n") - 1) / 2)
-    hi = F.floor(F.col("_n") / 2)
-    first_rank = F.col("_cum") - F.col("_c")
-
-    def holds(rank):
-        return (first_rank <= rank) & (rank < F.col("_cum"))
-
-    # One aggregation over the distinct values (already spread over range
-    # partitions): the middle value(s), the size, and the extremes.
-    extra = [F.min(value).alias("min"), F.max(value).alias("max")] if stats else []
-    picked = running.groupBy(*keys).agg(
-        F.max(F.when(holds(lo), F.col(value))).alias("_lo"),
-        F.max(F.when(holds(hi), F.col(value))).alias("_hi"),
-        F.max("_n").alias("n"),
-        *extra,
+    present = df.where(F.col(value).isNotNull())
+    steps = [k / RANGES for k in range(1, RANGES)]
+    at = present.agg(F.percentile_approx(F.col(value).cast("double"), steps, 1_000)).first()[0] or []
+    part = run_number(F.col(value).cast("double"), [F.lit(v) for v in sorted(set(at))])
+    counts = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")).withColumn("_part", part)
+
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranges = (
+        counts.groupBy(*keys, "_part")
+        .agg(F.sum("_c").alias("_n"), F.min(value).alias("_min"), F.max(value).alias("_max"))
+        .select(
+            *keys,
+            "_part",
+            (F.sum("_n").over(upto) - F.col("_n")).alias("_before"),
+            F.sum("_n").over(upto).alias("_until"),
+            F.sum("_n").over(group).alias("n"),
+            F.min("_min").over(group).alias("min"),
+            F.max("_max").over(group).alias("max"),
+        )
+    )
+    low, high = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
+
+    def holds(rank, first, until):
+        return (F.col(first) <= rank) & (rank < F.col(until))
+
+    middle = ranges.where(holds(low, "_before", "_until") | holds(high, "_before", "_until"))
+    inside = Window.partitionBy(*keys, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (
+        join_on_keys(counts, middle, [*keys, "_part"])
+        .withColumn("_last", F.col("_before") + F.sum("_c").over(inside))
+        .withColumn("_first", F.col("_last") - F.col("_c"))
+    )
+    picked = ranked.groupBy(*keys).agg(
+        F.max(F.when(holds(low, "_first", "_last"), F.col(value))).alias("_lo"),
+        F.max(F.when(holds(high, "_first", "_last"), F.col(value))).alias("_hi"),
+        *[F.max(name).alias(name) for name in ("n", "min", "max")],
     )
     tail = ["n", "min", "max"] if stats else []
     return picked.select(*keys, ((F.col("_lo") + F.col("_hi")) / 2).alias(out), *tail)

@@ -1,92 +1,72 @@
-"""Ordered numbering and running sums without a single-task window.
-
-``row_number().over(Window.orderBy(...))`` moves every row into one task, and
-``Window.partitionBy(group).orderBy(...)`` moves a whole group into one task.
-Here the frame is sorted by a range-partitioned ``orderBy``: the sampled range
-bounds split a hot group (or a hot sort key) across partitions. Each row's
-position inside its partition is local work; a table with one row per
-(partition, group) slice (bounded by partitions + groups) supplies the offsets.
-
-Slice sizes and positions must describe the *same* partitions. Two range
-exchanges of one frame are not guaranteed to agree (each samples its own
-bounds, and column pruning usually stops Spark from reusing the exchange), so
-the range-partitioned frame is checkpointed once to the session's checkpoint
-folder (``spark.checkpoint.dir``, shared storage on a cluster) and both uses
-read that copy. The checkpoint also cuts the lineage: a lost executor costs a
-re-read of the copy, not a re-sort.
+"""Global row numbers without a single-task window and without a copy of the input.
+
+The rows are cut into runs of the order by bounds taken from a deterministic
+sample of the keys, so a row's run is a pure function of the row: the counting
+pass and the numbering pass agree without materialising anything, and a lost
+executor recomputes the same runs. A hash of the whole row breaks ties, so a
+sort key that many rows share is still cut into several runs.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-from .keys import join_on_keys
+ROWS_PER_RUN = 100_000
+SAMPLED_PER_RUN = 32
+
+
+def _literal(value: object, kind: str) -> Column:
+    if isinstance(value, dt.datetime):  # from text: a datetime literal would pass the session time zone
+        value = value.isoformat(sep=" ")
+    return F.lit(value).cast(kind)
+
 
-_ID_BITS = 33  # monotonically_increasing_id: partition index in the upper 31 bits
+def run_number(key: Column, bounds: Sequence[Column]) -> Column:
+    """How many of the rising ``bounds`` lie at or below ``key``, by a tree of comparisons."""
 
+    def pick(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(key >= bounds[middle], pick(middle + 1, high)).otherwise(pick(low, middle))
 
-def _stable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in the checkpoint folder (partitioning is kept)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return pick(0, len(bounds))
+
+
+def _bounds(keyed: DataFrame, names: list[str], runs: int, rows: int) -> list[Column]:
+    """Bounds of about equal runs, from about SAMPLED_PER_RUN sampled keys for each run."""
+    if runs == 1:
+        return []
+    every = max(1, rows // (runs * SAMPLED_PER_RUN))
+    sample = keyed.where(F.pmod(F.xxhash64("_tie"), F.lit(every)) == 0).select(*names).distinct().orderBy(*names)
+    found: list[Row] = sample.collect()
+    kinds = dict(keyed.select(*names).dtypes)
+    at = range(SAMPLED_PER_RUN, len(found), max(1, len(found) // runs))
+    return [F.struct(*[_literal(found[k][n], kinds[n]).alias(n) for n in names]) for k in at]
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column | str], out: str = "row_number") -> DataFrame:
-    """Add ``out`` = 1-based position of each row in ``order`` (ties broken arbitrarily).
+    """Add ``out`` = 1-based position of each row in rising ``order``, nulls first (ties by a hash of the row).
 
-    Partition sizes are counted straight off the range exchange (membership does
-    not depend on the order inside a partition); only the numbered rows are sorted.
-    """
-    ranged = _stable(df.repartitionByRange(*order))
-    sizes = ranged.groupBy(F.spark_partition_id().alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
-    tagged = (
-        ranged.sortWithinPartitions(*order)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_mid", _ID_BITS))
-        .withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_part"), _ID_BITS))
-    )
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    numbered = tagged.join(F.broadcast(offsets), "_part")
-    return numbered.withColumn(out, F.col("_offset") + F.col("_pos") + 1).drop(
-        "_mid", "_part", "_pos", "_offset"
-    )
-
-
-def running_sum_by_group(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    weight: str,
-    out: str,
-    total_out: str | None = None,
-) -> DataFrame:
-    """Add ``out`` = running sum of ``weight`` within each ``keys`` group in ``order``
-    (inclusive), and optionally ``total_out`` = the group's total.
-
-    Work per task is bounded by a range partition, not by the group size: the
-    slice windows run per (partition, group), and the offsets table is joined on
-    the same (partition, group) keys the slice windows are already clustered by,
-    so only that small table moves.
+    ``order`` holds columns or value expressions; negate a number for a falling
+    order. Two passes over the input: a count per run, and one shuffle of the
+    rows by run.
     """
-    ranged = _stable(df.repartitionByRange(*keys, *order))
-    slices = ranged.groupBy(F.spark_partition_id().alias("_part"), *keys).agg(F.sum(weight).alias("_slice"))
-    tagged = ranged.sortWithinPartitions(*keys, *order).withColumn("_part", F.spark_partition_id())
-    group = Window.partitionBy(*keys)
-    earlier = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offset_cols = [F.coalesce(F.sum("_slice").over(earlier), F.lit(0)).alias("_offset")]
-    if total_out:
-        offset_cols.append(F.sum("_slice").over(group).alias(total_out))
-    offsets = slices.select("_part", *keys, *offset_cols)
-    upto = (
-        Window.partitionBy("_part", *keys)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = tagged.withColumn("_local", F.sum(weight).over(upto))
-    joined = join_on_keys(local, offsets, ["_part", *keys])
-    return joined.withColumn(out, F.col("_offset") + F.col("_local")).drop("_part", "_offset", "_local")
+    values = [F.col(o) if isinstance(o, str) else o for o in order]
+    names = [f"_k{i}" for i in range(len(values))] + ["_tie"]
+    keyed = df.select("*", *[v.alias(n) for v, n in zip(values, names)], F.xxhash64(*df.columns).alias("_tie"))
+    rows = df.count()
+    bounds = _bounds(keyed, names, max(1, rows // ROWS_PER_RUN), rows)
+    if not bounds:  # one run holds all rows
+        return keyed.withColumn(out, F.row_number().over(Window.orderBy(*names)).cast("bigint")).drop(*names)
+    placed = keyed.withColumn("_run", run_number(F.struct(*names), bounds))
+    sizes = placed.groupBy("_run").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_run", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    inside = F.row_number().over(Window.partitionBy("_run").orderBy(*names))
+    numbered = placed.withColumn("_at", inside).join(offsets, "_run")
+    return numbered.withColumn(out, F.col("_offset") + F.col("_at")).drop("_run", "_at", "_offset", *names)

@@ -40,19 +40,21 @@ def observed_hours(df: DataFrame, keys: Sequence[str] = (), day: str = "day", ho
 
 
 def _in_calendar(hours: DataFrame, start: str | dt.date, days: int, keys: Sequence[str]) -> DataFrame:
+    """Distinct observed hours; those outside the calendar become the hour just before it.
+
+    That mark keeps a key that was never seen inside the calendar.
+    """
     first, last = _bounds(start, days)
-    return (
-        hours.where(F.col("hour_ts").between(_ntz(first), _ntz(last)))
-        .select(*keys, "hour_ts")
-        .distinct()
-    )
+    inside = F.col("hour_ts").between(_ntz(first), _ntz(last))
+    hour = F.when(inside, F.col("hour_ts")).otherwise(_ntz(first - dt.timedelta(hours=1)))
+    return hours.select(*keys, hour.alias("hour_ts")).distinct()
 
 
 def coverage_gaps(hours: DataFrame, start: str | dt.date, days: int, keys: Sequence[str] = ()) -> DataFrame:
     """Calendar hours with no observation, per key: ``keys…, day, hour``.
 
-    ``hours`` holds ``keys…, hour_ts`` (see :func:`observed_hours`). Keys that never
-    occur inside the calendar are unknown and produce no rows. One pass over the
+    ``hours`` holds ``keys…, hour_ts`` (see :func:`observed_hours`). A key with hours
+    only outside the calendar lacks every hour of it. One pass over the
     distinct observed hours: each hour emits the gap before it (from the previous
     hour of its key, or from the calendar start) and the last hour of a key also
     the gap after it, up to the calendar end.
@@ -84,7 +86,9 @@ def coverage_summary(hours: DataFrame, start: str | dt.date, days: int, keys: Se
     """``keys…, expected, present, missing, complete`` (present = distinct calendar hours seen)."""
     expected = days * 24
     seen = _in_calendar(hours, start, days, keys)
-    counted = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("present"))
+    first, _ = _bounds(start, days)
+    present = F.count(F.when(F.col("hour_ts") >= _ntz(first), 1))
+    counted = seen.groupBy(*keys).agg(present.alias("present"))
     return counted.select(
         *keys,
         F.lit(expected).cast("bigint").alias("expected"),

@@ -12,11 +12,10 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.constants import DEFAULT_PROJECTS
+from ..functions.constants import DEFAULT_PROJECTS, MOBILE_PROJECTS
 from ..functions.ratios import pct, share_of_total
 from ..operators.filters import clean_pages, expand_title_variants, match_title, only_projects
 from ..operators.platform import add_platform, platform_views
-from ..operators.sizing import has_at_most
 
 TOP_PAGES_COLUMNS = ("rank", "title", "views", "views_desktop", "views_mobile", "share_pct")
 DAILY_COLUMNS = ("date", "views", "views_desktop", "views_mobile")
@@ -31,12 +30,21 @@ HOURLY_COLUMNS = (
 )
 
 
-def views_by_title(pv: DataFrame, projects: Iterable[str] = DEFAULT_PROJECTS) -> DataFrame:
+def views_by_title(
+    pv: DataFrame,
+    projects: Iterable[str] = DEFAULT_PROJECTS,
+    mobile_projects: Iterable[str] = MOBILE_PROJECTS,
+) -> DataFrame:
     """Cleaned article views per raw title (encoded spellings stay separate)."""
-    return platform_views(add_platform(clean_pages(pv, projects)), "title")
+    return platform_views(add_platform(clean_pages(pv, projects), mobile_projects), "title")
 
 
-def top_pages(pv: DataFrame, n: int = 100, projects: Iterable[str] = DEFAULT_PROJECTS) -> DataFrame:
+def top_pages(
+    pv: DataFrame,
+    n: int = 100,
+    projects: Iterable[str] = DEFAULT_PROJECTS,
+    mobile_projects: Iterable[str] = MOBILE_PROJECTS,
+) -> DataFrame:
     """The ``n`` most viewed articles with rank, platform split and share of the top-``n`` total.
 
     Plan: partial + final hash aggregate on ``title`` -> ``TakeOrderedAndProject``
@@ -44,11 +52,11 @@ def top_pages(pv: DataFrame, n: int = 100, projects: Iterable[str] = DEFAULT_PRO
     share over those ``n`` rows in one task. Ties: views desc, then title asc;
     ranks are unique. ``n`` is a report size (hundreds to thousands of rows): the
     final merge and the rank window hold ``n`` rows in one task. A full ranking
-    of every title is ``global_row_number(views_by_title(pv), [desc views, title])``,
+    of every title is ``global_row_number(views_by_title(pv), [-F.col("views"), "title"])``,
     which stays distributed.
     """
     order = [F.desc("views"), F.asc("title")]
-    top = views_by_title(pv, projects).orderBy(*order).limit(n)
+    top = views_by_title(pv, projects, mobile_projects).orderBy(*order).limit(n)
     return top.select(
         F.row_number().over(Window.orderBy(*order)).alias("rank"),
         "title",
@@ -59,13 +67,18 @@ def top_pages(pv: DataFrame, n: int = 100, projects: Iterable[str] = DEFAULT_PRO
     ).orderBy("rank")
 
 
-def title_daily(pv: DataFrame, title: str, projects: Iterable[str] = DEFAULT_PROJECTS) -> DataFrame:
+def title_daily(
+    pv: DataFrame,
+    title: str,
+    projects: Iterable[str] = DEFAULT_PROJECTS,
+    mobile_projects: Iterable[str] = MOBILE_PROJECTS,
+) -> DataFrame:
     """Daily views of one title, raw and percent-encoded spellings merged.
 
     Namespace cleaning is not applied (the title is explicit). Only days with hits
     appear. The title predicate is an ``IN`` of two literals, pushed to Parquet.
     """
-    hits = add_platform(match_title(only_projects(pv, projects), title))
+    hits = add_platform(match_title(only_projects(pv, projects), title), mobile_projects)
     return platform_views(hits, "date").select(*DAILY_COLUMNS).orderBy("date")
 
 
@@ -74,37 +87,41 @@ def titles_daily(
     titles: DataFrame,
     title_col: str = "title",
     projects: Iterable[str] = DEFAULT_PROJECTS,
-    max_broadcast_rows: int = 1_000_000,
+    mobile_projects: Iterable[str] = MOBILE_PROJECTS,
 ) -> DataFrame:
     """Daily views of many titles in one scan: ``title, date, views, views_desktop, views_mobile``.
 
     ``title`` is the requested spelling; its raw and encoded spellings are merged.
-    A short list (proven by a bounded count) is broadcast and probed by the scan,
-    so only matching rows are aggregated. A long list is joined after a partial
-    aggregation of the page views by (title, date, platform), which absorbs hot
-    titles before any row meets the join.
+    One plan whatever the list's size: the page views are aggregated by (title,
+    date, platform) first, which absorbs hot titles before any row meets the
+    join, and adaptive execution broadcasts the list only if it measures it small.
     """
     variants = expand_title_variants(titles.select(title_col).distinct(), title_col)
-    pages = add_platform(only_projects(pv, projects)).select(
+    pages = add_platform(only_projects(pv, projects), mobile_projects).select(
         F.col("title").alias("variant"), "date", "platform", "views"
     )
-    if has_at_most(variants, max_broadcast_rows):
-        hits = pages.join(F.broadcast(variants), "variant")
-    else:
-        daily = pages.groupBy("variant", "date", "platform").agg(F.sum("views").alias("views"))
-        hits = daily.join(variants, "variant")
+    daily = pages.groupBy("variant", "date", "platform").agg(F.sum("views").alias("views"))
+    hits = daily.join(variants, "variant")
     return platform_views(hits, "title", "date").select("title", *DAILY_COLUMNS)
 
 
-def views_by_hour(pv: DataFrame, projects: Iterable[str] = DEFAULT_PROJECTS) -> DataFrame:
+def views_by_hour(
+    pv: DataFrame,
+    projects: Iterable[str] = DEFAULT_PROJECTS,
+    mobile_projects: Iterable[str] = MOBILE_PROJECTS,
+) -> DataFrame:
     """Cleaned views per hour of day with the platform split and ``n_days`` (distinct dates)."""
-    pages = add_platform(clean_pages(pv, projects))
+    pages = add_platform(clean_pages(pv, projects), mobile_projects)
     return platform_views(
         pages, "hour", total="views_total", extra=[F.count_distinct("date").alias("n_days")]
     )
 
 
-def hourly_profile(pv: DataFrame, projects: Iterable[str] = DEFAULT_PROJECTS) -> DataFrame:
+def hourly_profile(
+    pv: DataFrame,
+    projects: Iterable[str] = DEFAULT_PROJECTS,
+    mobile_projects: Iterable[str] = MOBILE_PROJECTS,
+) -> DataFrame:
     """Hour-of-day traffic profile (UTC).
 
     ``views_avg_day`` divides by the number of distinct dates seen *in that hour*;
@@ -112,7 +129,7 @@ def hourly_profile(pv: DataFrame, projects: Iterable[str] = DEFAULT_PROJECTS) ->
     planned as two partial aggregations, on (hour, date) then hour, so at most
     24 x days groups ever cross the network.
     """
-    by_hour = views_by_hour(pv, projects)
+    by_hour = views_by_hour(pv, projects, mobile_projects)
     return by_hour.select(
         "hour",
         "views_total",

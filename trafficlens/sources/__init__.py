@@ -3,7 +3,9 @@
 from .pageviews import (
     PAGEVIEW_SCHEMA,
     file_hours,
-    file_name_table,
+    dump_count,
+    dump_hours,
+    list_dumps,
     project_prefix_filter,
     title_substring_filter,
     input_file_count,
@@ -33,7 +35,9 @@ __all__ = [
     "calendar_spanning",
     "clean_titles",
     "file_hours",
-    "file_name_table",
+    "dump_count",
+    "dump_hours",
+    "list_dumps",
     "project_prefix_filter",
     "title_substring_filter",
     "hour_timestamp",

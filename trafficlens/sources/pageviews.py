@@ -12,10 +12,9 @@ dates into nulls instead of failing the job.
 from __future__ import annotations
 
 import posixpath
-import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,28 +48,51 @@ def _split_glob(path: str) -> tuple[str, str | None]:
     return path, None
 
 
-def read_pageview_lines(
-    spark: SparkSession, path: str | list[str], ignore_corrupt_files: bool = False
-) -> DataFrame:
+def read_pageview_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Raw lines with their file name: ``value string, file_name string``.
 
     A glob on the file names only (``month/*.gz``) is read as the directory plus a
     ``pathGlobFilter``: one directory listing instead of one listed path per file,
-    which on thousands of hourly dumps replaces a distributed listing job.
-
-    ``ignore_corrupt_files`` keeps a job alive when a dump is truncated or not
-    gzip (the lines read before the damage are kept, the rest of that file is
-    skipped); off by default, so damaged input fails loudly. Coverage reports show
-    which hours are then missing.
+    which on thousands of hourly dumps replaces a distributed listing job. A
+    truncated or damaged dump fails the job: no line is left out silently.
     """
-    reader = spark.read.format("text")
-    if ignore_corrupt_files:
-        reader = reader.option("ignoreCorruptFiles", "true")
+    lines = _load(spark.read.format("text"), path)
+    return lines.select("value", F.col("_metadata.file_name").alias("file_name"))
+
+
+def _load(reader: DataFrameReader, path: str | list[str]) -> DataFrame:
     if isinstance(path, str):
         path, pattern = _split_glob(path)
         if pattern:
             reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(path).select("value", F.col("_metadata.file_name").alias("file_name"))
+    return reader.load(path)
+
+
+def list_dumps(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``path, file_name, length, day, hour`` of every file under ``path``, from the listing alone.
+
+    No byte of a dump is read: the file source's content column is pruned. Dumps
+    without lines and equal names in two folders are each a row (a file of zero
+    bytes is no gzip and is not listed); ``day`` and ``hour`` are
+    null for names that are not dump names.
+    """
+    files = _load(spark.read.format("binaryFile"), path).select("path", "length")
+    name = F.substring_index("path", "/", -1)
+    listed = files.select("path", name.alias("file_name"), "length")
+    day = _file_day("file_name")
+    return listed.select(
+        "*", F.when(day != "", day).alias("day"), F.when(day != "", _file_hour("file_name")).alias("hour")
+    )
+
+
+def dump_hours(files: DataFrame) -> DataFrame:
+    """Distinct ``file_name, day, hour`` of the recognised dumps of a listing, empty ones included."""
+    return files.where(F.col("day").isNotNull()).select("file_name", "day", "hour").distinct()
+
+
+def dump_count(files: DataFrame) -> DataFrame:
+    """Number of files of a listing by full path, as a one-row frame ``input_files``."""
+    return files.select(F.count_distinct("path").alias("input_files"))
 
 
 def _fields(value: str) -> Column:
@@ -88,6 +110,25 @@ def _file_hour(file_name: str) -> Column:
 # A recognised name always starts with "pageviews-" (10 characters), then the
 # 8-digit day, "-", and the 2-digit hour: fixed offsets inside the whole match.
 _DAY_AT, _HOUR_AT = 11, 20
+_NAME_LENGTH = 28
+
+
+def _dump_name(file_name: str) -> Column:
+    """The part of a file name that FILENAME_PATTERN matches, or an empty string.
+
+    The pattern has a fixed length and ends the name, so substrings decide it;
+    per line they cost less than a regular expression.
+    """
+    tail = F.substring(F.col(file_name), -_NAME_LENGTH, _NAME_LENGTH)
+    digits = F.concat(F.substring(tail, _DAY_AT, 8), F.substring(tail, _HOUR_AT, 2))
+    matches = (
+        (F.length(tail) == _NAME_LENGTH)
+        & tail.startswith("pageviews-")
+        & tail.endswith("0000.gz")
+        & (F.substring(tail, _HOUR_AT - 1, 1) == "-")
+        & (F.translate(digits, "0123456789", "") == "")
+    )
+    return F.when(matches, tail).otherwise(F.lit(""))
 
 
 def _tokenised(lines: DataFrame, value: str, file_name: str) -> DataFrame:
@@ -99,9 +140,7 @@ def _tokenised(lines: DataFrame, value: str, file_name: str) -> DataFrame:
     (Spark does no common-subexpression elimination inside a Filter), which
     measured 2.9x slower on 10M lines.
     """
-    once = F.struct(
-        _fields(value).alias("_f"), F.regexp_extract(F.col(file_name), FILENAME_PATTERN, 0).alias("_m")
-    )
+    once = F.struct(_fields(value).alias("_f"), _dump_name(file_name).alias("_m"))
     return lines.select(F.inline(F.array(once)))
 
 
@@ -132,36 +171,12 @@ def title_substring_filter(titles: Iterable[str], value: str = "value") -> Colum
     return cond if cond is not None else F.lit(False)
 
 
-_NAME_RE = re.compile(FILENAME_PATTERN, re.ASCII)  # \d = [0-9], as in Java
-
-# Above this many dumps the per-file table is not broadcast; the per-line match is used.
-MAX_FILE_TABLE_ROWS = 500_000
-
-
-def file_name_table(spark: SparkSession, names: Iterable[str]) -> DataFrame:
-    """``file_name, day, hour`` for the recognised dump names among ``names``.
-
-    Built on the driver from a file listing (metadata the driver already holds),
-    so a scan can look up each line's day and hour instead of matching the name
-    pattern once per line. It is deliberately driver-built: a table derived with
-    Spark expressions would expose the name filter as a constraint, and Catalyst
-    would infer it across the equi-join back onto every line.
-    """
-    rows = []
-    for name in sorted(set(names)):
-        match = _NAME_RE.search(name)
-        if match:
-            rows.append((name, match.group(1), int(match.group(2))))
-    return spark.createDataFrame(rows, "file_name string, day string, hour int")
-
-
 def parse_pageview_lines(
     lines: DataFrame,
     value: str = "value",
     file_name: str = "file_name",
     projects: Iterable[str] | None = None,
     titles: Iterable[str] | None = None,
-    file_days: DataFrame | None = None,
 ) -> DataFrame:
     """Typed page views from raw lines.
 
@@ -175,10 +190,6 @@ def parse_pageview_lines(
     one byte comparison instead of a decode and a split. ``titles`` (exact
     spellings) likewise skips lines that cannot hold one of them; it is a
     superset test, so apply the exact title predicate afterwards (the reports do).
-
-    ``file_days`` (see :func:`file_name_table`) supplies each dump's day and hour
-    through a broadcast hash join instead of a per-line pattern match; lines of
-    files missing from it are dropped, exactly as unrecognised names are.
     """
     if projects is not None:
         lines = lines.where(project_prefix_filter(projects, value))
@@ -186,26 +197,16 @@ def parse_pageview_lines(
         lines = lines.where(title_substring_filter(titles, value))
     f = F.col("_f")
     fields = [F.get(f, 0).alias("project"), F.get(f, 1).alias("title"), F.get(f, 2).try_cast("int").alias("views")]
-    if file_days is not None:
-        known = F.broadcast(file_days.withColumnRenamed("file_name", file_name))
-        split_once = F.inline(F.array(F.struct(_fields(value).alias("_f"))))
-        parsed = (
-            lines.join(known, file_name)
-            .select(split_once, "day", "hour")
-            .where(F.size(f) == 4)
-            .select(*fields, "day", "hour")
-        )
-    else:
-        m = F.col("_m")
-        parsed = (
-            _tokenised(lines, value, file_name)
-            .where(F.size(f) == 4)
-            .select(
-                *fields,
-                F.substring(m, _DAY_AT, 8).alias("day"),
-                F.substring(m, _HOUR_AT, 2).try_cast("int").alias("hour"),
-            )
+    m = F.col("_m")
+    parsed = (
+        _tokenised(lines, value, file_name)
+        .where(F.size(f) == 4)
+        .select(
+            *fields,
+            F.substring(m, _DAY_AT, 8).alias("day"),
+            F.substring(m, _HOUR_AT, 2).try_cast("int").alias("hour"),
         )
+    )
     return (
         parsed.where(F.col("views").isNotNull() & (F.col("day") != ""))
         .withColumn("date", F.try_to_date(F.col("day"), "yyyyMMdd"))
@@ -213,37 +214,18 @@ def parse_pageview_lines(
     )
 
 
-def _input_file_names(lines: DataFrame) -> list[str]:
-    """Base names of the files a scan reads, fetched from the JVM in one call."""
-    jvm = lines.sparkSession.sparkContext._jvm
-    joined = jvm.org.apache.hadoop.util.StringUtils.join("\n", lines._jdf.inputFiles())
-    return [posixpath.basename(p) for p in joined.split("\n")] if joined else []
-
-
 def read_pageviews(
     spark: SparkSession,
     path: str | list[str],
     projects: Iterable[str] | None = None,
     titles: Iterable[str] | None = None,
-    ignore_corrupt_files: bool = False,
-    per_file_names: bool = True,
 ) -> DataFrame:
     """Scan hourly dumps (gzip text) into the typed page-view table.
 
     ``projects`` / ``titles`` drop lines that cannot match before they are split
-    (see :func:`parse_pageview_lines`). ``per_file_names`` parses each dump's day
-    and hour once per file from the scan's listing and broadcasts that table
-    (bounded by :data:`MAX_FILE_TABLE_ROWS`) instead of matching the name on
-    every line; the names come from the file index the scan already built (no
-    second listing).
+    (see :func:`parse_pageview_lines`). No file name travels through the driver.
     """
-    lines = read_pageview_lines(spark, path, ignore_corrupt_files)
-    file_days = None
-    if per_file_names:
-        names = _input_file_names(lines)
-        if len(names) <= MAX_FILE_TABLE_ROWS:
-            file_days = file_name_table(spark, names)
-    return parse_pageview_lines(lines, projects=projects, titles=titles, file_days=file_days)
+    return parse_pageview_lines(read_pageview_lines(spark, path), projects=projects, titles=titles)
 
 
 def line_status(lines: DataFrame, value: str = "value", file_name: str = "file_name") -> DataFrame:

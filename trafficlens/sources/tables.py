@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.csvformat import CSV_OPTIONS
 from ..functions.timefmt import day_text
 
 RUNS_SCHEMA = T.StructType(
@@ -33,16 +35,23 @@ def clean_titles(titles: DataFrame, col: str = "title") -> DataFrame:
     return titles.select(t.alias("title")).where(F.col("title").isNotNull() & (F.col("title") != "")).distinct()
 
 
+def _read_named(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """The columns ``names`` of a CSV with a header, as text, wherever they stand in it."""
+    raw = spark.read.options(**CSV_OPTIONS).csv(path)
+    absent = [n for n in names if n not in raw.columns]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}; its header is {', '.join(raw.columns)}")
+    return raw.select(*names)
+
+
 def read_titles(spark: SparkSession, path: str) -> DataFrame:
-    """Read a CSV with a ``title`` header column. A missing path gives an empty list."""
-    schema = T.StructType([T.StructField("title", T.StringType())])
+    """The ``title`` column of a CSV with a header. A missing path gives an empty list."""
     try:
-        raw = spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").csv(path)
-        raw.inputFiles()
-    except Exception as exc:  # noqa: BLE001 - Spark raises AnalysisException subclasses
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+        raw = _read_named(spark, path, ["title"])
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        raw = spark.createDataFrame([], schema)
+        raw = spark.createDataFrame([], "title string")
     return clean_titles(raw)
 
 
@@ -50,7 +59,7 @@ def read_titles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def job_family(job: Column | str) -> Column:
-    """``top100`` / ``monument_Tour_Eiffel`` / ``circadian`` -> part before the first ``_``."""
+    """The part of a job name before its first underscore; a name without one is its own family."""
     c = F.col(job) if isinstance(job, str) else job
     return F.substring_index(c, "_", 1)
 
@@ -59,10 +68,22 @@ def with_family(runs: DataFrame) -> DataFrame:
     return runs.withColumn("family", job_family("job"))
 
 
+def _number(name: str, kind: T.DataType) -> Column:
+    """A text column as a number; text that is none fails the job, an empty field is null."""
+    text = F.trim(F.col(name))
+    number = text.try_cast(kind)
+    damaged = F.raise_error(F.concat(F.lit(f"run manifest: {name} is not a number: "), F.col(name))).cast(kind)
+    return F.when(text.isNull() | (text == ""), F.lit(None).cast(kind)).when(number.isNull(), damaged).otherwise(number)
+
+
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    """Run manifest (CSV with header, explicit schema) plus its ``family`` column."""
-    runs = spark.read.schema(RUNS_SCHEMA).option("header", True).option("encoding", "UTF-8").csv(path)
-    return with_family(runs)
+    """Run manifest (CSV with header, columns by name) plus its ``family`` column."""
+    raw = _read_named(spark, path, RUNS_SCHEMA.fieldNames())
+    columns = [
+        (F.col(f.name) if isinstance(f.dataType, T.StringType) else _number(f.name, f.dataType)).alias(f.name)
+        for f in RUNS_SCHEMA.fields
+    ]
+    return with_family(raw.select(*columns))
 
 
 # --------------------------------------------------------------- calendar --
@@ -90,14 +111,13 @@ def hourly_calendar(spark: SparkSession, start: str | dt.date, days: int) -> Dat
 def calendar_spanning(hours: DataFrame, hour_ts: str = "hour_ts") -> DataFrame:
     """Hourly calendar over the whole days spanned by ``hours`` (first 00:00 to last 23:00).
 
-    The bounds come from a one-row aggregate, so no value travels through the driver.
+    The bounds come from a one-row aggregate, so no value travels through the
+    driver; its days are dealt out before each becomes 24 hours.
     """
-    # to_date -> timestamp_ntz keeps the wall clock (date_trunc would return a zoned timestamp)
-    bounds = hours.agg(
-        F.to_date(F.min(hour_ts)).cast("timestamp_ntz").alias("s"),
-        (F.to_date(F.max(hour_ts)).cast("timestamp_ntz") + F.expr("INTERVAL 23 HOURS")).alias("e"),
-    )
-    return with_day_hour(bounds.select(_hour_seq(F.col("s"), F.col("e")).alias("hour_ts")))
+    bounds = hours.agg(F.to_date(F.min(hour_ts)).alias("s"), F.to_date(F.max(hour_ts)).alias("e"))
+    days = bounds.select(F.explode(F.sequence("s", "e")).alias("d")).repartition("d")
+    midnight = F.col("d").cast("timestamp_ntz")
+    return with_day_hour(days.select(_hour_seq(midnight, midnight + F.expr("INTERVAL 23 HOURS")).alias("hour_ts")))
 
 
 def with_day_hour(df: DataFrame, hour_ts: str = "hour_ts") -> DataFrame:
