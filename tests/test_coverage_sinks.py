@@ -7,7 +7,7 @@ import os
 import pytest
 
 from trafficlens.plans import coverage_gaps, coverage_summary
-from trafficlens.sinks import RunContext, land_pageviews, read_landed_pageviews, read_result_csv, write_result
+from trafficlens.sinks import RunContext, claim_folder, land_pageviews, read_landed_pageviews, read_result_csv, write_result
 from trafficlens.sources import hourly_calendar, read_runs
 
 T0 = dt.datetime(2026, 6, 1)
@@ -36,6 +36,16 @@ def test_gaps_global_and_per_key(spark):
     assert summary == {"a": (48, 44, 4, False), "b": (48, 1, 47, False)}
 
 
+def test_a_key_seen_only_outside_the_calendar_lacks_every_hour(spark):
+    df = _hours(spark, [("x", T0), ("y", T0 - dt.timedelta(days=9)), ("y", T0 + dt.timedelta(days=99))])
+    gaps = [r.src for r in coverage_gaps(df, "2026-06-01", 1, ["src"]).collect()]
+    assert (gaps.count("x"), gaps.count("y")) == (23, 24)
+    summary = {r.src: (r.present, r.missing) for r in coverage_summary(df, "2026-06-01", 1, ["src"]).collect()}
+    assert summary == {"x": (1, 23), "y": (0, 24)}
+    far = df.where("src = 'y'").select("hour_ts")
+    assert coverage_summary(far, "2026-06-01", 1).first().present == 0
+
+
 def test_empty_input_is_fully_missing(spark):
     empty = spark.createDataFrame([], "hour_ts timestamp_ntz")
     assert coverage_gaps(empty, "2026-06-01", 1).count() == 24
@@ -60,42 +70,54 @@ def test_empty_result_writes_header_only(spark, tmp_path):
     assert open(os.path.join(path, parts[0])).read().strip() == "date,views"
 
 
-def test_landing_partitions_by_date(spark, tmp_path):
+PV = "project string, title string, views int, day string, hour int, date date"
+
+
+def test_landing_replaces_hours_and_keeps_others(spark, tmp_path):
     d1, d2 = dt.date(2026, 6, 1), dt.date(2026, 6, 2)
-    pv = spark.createDataFrame(
-        [("fr", "B", 1, "20260601", 0, d1), ("fr", "A", 2, "20260601", 1, d1), ("fr.m", "C", 3, "20260602", 0, d2)],
-        "project string, title string, views int, day string, hour int, date date",
-    )
+    rows = [("fr", "B", 1, "20260601", 0, d1), ("fr", "A", 2, "20260601", 1, d1), ("fr.m", "C", 3, "20260602", 0, d2)]
     path = str(tmp_path / "landed")
-    assert land_pageviews(pv, path) == 3
-    assert sorted(os.listdir(path))[:2] == ["_SUCCESS", "date=2026-06-01"] or "date=2026-06-02" in os.listdir(path)
+    assert land_pageviews(spark.createDataFrame(rows, PV), path) == 3
+    assert {p for p in os.listdir(path) if p.startswith("date=")} == {"date=2026-06-01", "date=2026-06-02"}
+    assert land_pageviews(spark.createDataFrame(rows, PV), path) == 3  # again: nothing doubles
     back = read_landed_pageviews(spark, path)
-    assert back.columns == pv.columns
-    assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in pv.collect())
-    balanced = str(tmp_path / "balanced")
-    assert land_pageviews(pv, balanced, balance=True) == 3
-    assert sorted(tuple(r) for r in read_landed_pageviews(spark, balanced).collect()) == sorted(tuple(r) for r in pv.collect())
-    pruned = back.where("date = date'2026-06-02'")
-    assert "PartitionFilters: [isnotnull(date" in pruned._jdf.queryExecution().executedPlan().toString()
+    assert back.columns == [c.split()[0] for c in PV.split(", ")]
+    assert sorted(tuple(r) for r in back.collect()) == sorted(rows)
+    # a corrected hour of a full day, and one hour of a new day
+    more = [("fr", "A", 7, "20260601", 1, d1), ("fr", "D", 4, "20260602", 5, d2)]
+    land_pageviews(spark.createDataFrame(more, PV), path, balance=True)
+    want = [rows[0], rows[2], *more]
+    assert sorted(tuple(r) for r in read_landed_pageviews(spark, path).collect()) == sorted(want)
+    pruned = read_landed_pageviews(spark, path).where("date = date'2026-06-02' and hour = 5")
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "isnotnull(hour" in plan
 
 
 def test_run_context_writes_manifest_and_meta(spark, tmp_path):
+    from conftest import write_dump
+
     out_root, manifest = str(tmp_path / "out"), str(tmp_path / "runs")
+    for hour in range(3):
+        write_dump(tmp_path / "raw", f"pageviews-20260601-0{hour}0000.gz", ["fr A 1 0"] if hour else [])
     df = spark.range(10).selectExpr("id", "id % 3 as g")
-    with RunContext(spark, "top100", "2026-07", out_root, manifest, input_files=3) as run:
+    with RunContext(spark, "top100", "2026-07", out_root, manifest, inputs=str(tmp_path / "raw" / "*.gz")) as run:
         src = run.observe_input(df)
         assert run.write(src.groupBy("g").count()) == 3
+    assert run.outdir.endswith(f"_p{spark.sparkContext.defaultParallelism}")
     runs = read_runs(spark, manifest).collect()
     assert len(runs) == 1 and runs[0].rows_in == 10 and runs[0].rows_out == 3 and runs[0].family == "top100"
     meta_dir = os.path.join(run.outdir, "meta")
     meta = json.loads(open(os.path.join(meta_dir, [p for p in os.listdir(meta_dir) if p.endswith(".json")][0])).read())
     assert meta["input_files"] == 3 and meta["job"] == "top100" and meta["parallelism"] >= 1
 
-    with RunContext(spark, "monument_Tour_Eiffel", "2026-07", out_root, manifest) as named:
-        assert named.write(df.where("id > 100"), fmt="csv", file_name="result.csv") == 0
+    odd = 'monument_A_"q",_x'
+    with RunContext(spark, odd, "2026-07", out_root, manifest) as named:
+        assert named.write(df.where("id > 100"), fmt="csv", single_file=True, file_name="result.csv") == 0
     result_csv = os.path.join(named.outdir, "result", "result.csv")
     assert open(result_csv, encoding="utf-8").read().strip() == "id,g"  # header only
-    assert {r.family for r in read_runs(spark, manifest).collect()} == {"top100", "monument"}
+    back = {r.job: r for r in read_runs(spark, manifest).collect()}
+    assert set(back) == {"top100", odd} and back[odd].family == "monument"
+    assert back[odd].duration_s == named.record.duration_s and back[odd].parallelism == named.record.parallelism
 
     with pytest.raises(ZeroDivisionError):
         with RunContext(spark, "circadian", "2026-07", out_root, manifest):
@@ -103,6 +125,12 @@ def test_run_context_writes_manifest_and_meta(spark, tmp_path):
     assert read_runs(spark, manifest).count() == 2  # a failed run writes no manifest row
 
 
+def test_a_folder_is_claimed_once(spark, tmp_path):
+    claim_folder(spark, str(tmp_path / "run"))
+    with pytest.raises(FileExistsError):
+        claim_folder(spark, str(tmp_path / "run"))
+
+
 def test_calendars_ignore_daylight_saving_in_a_zoned_session(spark):
     from trafficlens.sources import calendar_spanning
 

@@ -1,8 +1,7 @@
 """Page-traffic analytics on Spark: hourly page-view dumps, run statistics, metric samples.
 
 Every operator is a ``DataFrame -> DataFrame`` function built from Spark
-expressions; none creates a session or holds a path, and the only actions they
-run are documented size checks and checkpoints.
+expressions; none creates a session or holds a path.
 
     from trafficlens import read_pageviews, top_pages, title_daily, hourly_profile
 """
@@ -26,7 +25,6 @@ from .plans import (
 )
 from .sinks import RunContext, land_pageviews, read_landed_pageviews, write_result
 from .sources import read_pageview_lines, read_pageviews, read_runs, read_titles
-from .streaming import stream_land_pageviews
 
 __version__ = "0.1.0"
 
@@ -52,7 +50,6 @@ __all__ = [
     "run_ordinal",
     "run_scaling",
     "run_summary",
-    "stream_land_pageviews",
     "sum_by_label",
     "title_daily",
     "titles_daily",

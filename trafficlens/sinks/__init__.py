@@ -1,13 +1,16 @@
 """Sinks: result files with observed counts, Parquet landing, run manifest and context."""
 
+from ..functions.csvformat import CSV_OPTIONS
 from .landing import land_pageviews, read_landed_pageviews
-from .manifest import RunContext, append_run, write_meta
-from .results import CSV_OPTIONS, name_single_part, observe_rows, path_exists, read_result_csv, write_result
+from .manifest import RunContext, RunRecord, append_run, write_meta
+from .results import claim_folder, name_single_part, observe_rows, path_exists, read_result_csv, write_result
 
 __all__ = [
     "CSV_OPTIONS",
     "RunContext",
+    "RunRecord",
     "append_run",
+    "claim_folder",
     "land_pageviews",
     "name_single_part",
     "observe_rows",

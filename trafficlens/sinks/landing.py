@@ -1,10 +1,11 @@
-"""Land parsed page views as Parquet, partitioned by date.
-
-Each hourly dump holds one date, so every scan task already holds rows of one
-(or, with file packing, a few) dates: the write needs no shuffle. Rows are
-sorted by title inside each task, which gives Parquet row groups tight
-min/max statistics on ``title``; a title lookup on the landed table then skips
-most row groups, and a date predicate prunes whole directories.
+"""Land parsed page views as Parquet, partitioned by date and hour.
+
+One dump holds one hour, so one dump is one partition, and landing it again
+replaces that partition (dynamic partition overwrite): nothing is lost and
+nothing is counted twice, whichever hours a landing brings. Every scan task
+already holds rows of few hours, so the write needs no shuffle. Rows are sorted
+by title inside each task, which gives row groups tight min/max statistics on
+``title``; a date or hour predicate prunes whole directories.
 """
 
 from __future__ import annotations
@@ -16,21 +17,31 @@ from ..sources.pageviews import PAGEVIEW_SCHEMA
 from .results import write_result
 
 
-def land_pageviews(pv: DataFrame, path: str, mode: str = "errorifexists", balance: bool = False) -> int:
-    """Write the typed page views under ``path/date=YYYY-MM-DD/``; returns rows written.
+def land_pageviews(pv: DataFrame, path: str, balance: bool = False) -> int:
+    """Write the typed page views under ``path/date=.../hour=.../``; returns rows written.
+
+    Hours present in ``pv`` replace the same hours under ``path``; other hours
+    stay. Land whole dumps: the rows of an hour must come in one call.
 
-    ``balance`` adds a ``REBALANCE(date)`` hint: one shuffle of the parsed rows,
-    after which adaptive execution splits oversized partitions and merges small
-    ones, so one huge dump (a single unsplittable gzip task) or one busy date no
-    longer makes one huge output file. Without it the write needs no shuffle.
+    ``balance`` adds a ``REBALANCE(date, hour)`` hint: one shuffle of the parsed
+    rows, after which adaptive execution splits oversized partitions and merges
+    small ones, so one huge dump (a single unsplittable gzip task) no longer
+    makes one huge output file.
     """
     rows = pv.select(*PAGEVIEW_COLUMNS)
     if balance:
-        rows = rows.hint("rebalance", "date")
-    ordered = rows.sortWithinPartitions("date", "title")
-    return write_result(ordered, path, fmt="parquet", mode=mode, partition_by=["date"])
+        rows = rows.hint("rebalance", "date", "hour")
+    ordered = rows.sortWithinPartitions("date", "hour", "title")
+    return write_result(
+        ordered,
+        path,
+        fmt="parquet",
+        mode="overwrite",
+        partition_by=["date", "hour"],
+        options={"partitionOverwriteMode": "dynamic"},
+    )
 
 
 def read_landed_pageviews(spark: SparkSession, path: str) -> DataFrame:
-    """The landed table with the page-view schema (``date`` is the partition column)."""
+    """The landed table with the page-view schema (``date`` and ``hour`` are the partition columns)."""
     return spark.read.schema(PAGEVIEW_SCHEMA).parquet(path).select(*PAGEVIEW_COLUMNS)

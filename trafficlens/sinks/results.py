@@ -13,15 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-CSV_OPTIONS = {
-    "header": "true",
-    "encoding": "UTF-8",
-    # Quote doubling instead of backslash escapes, and no whitespace trimming:
-    # every string reads back exactly.
-    "escape": '"',
-    "ignoreLeadingWhiteSpace": "false",
-    "ignoreTrailingWhiteSpace": "false",
-}
+from ..functions.csvformat import CSV_OPTIONS
 
 
 def observe_rows(df: DataFrame, name: str | None = None) -> tuple[DataFrame, Observation]:
@@ -41,6 +33,7 @@ def write_result(
     mode: str = "errorifexists",
     single_file: bool = False,
     partition_by: list[str] | None = None,
+    options: dict[str, str] | None = None,
 ) -> int:
     """Write ``df`` to ``path`` and return the number of rows written (one pass).
 
@@ -50,7 +43,7 @@ def write_result(
     counted, obs = observe_rows(df, "result_rows")
     if single_file:
         counted = counted.coalesce(1)
-    writer = counted.write.mode(mode).format(fmt)
+    writer = counted.write.mode(mode).format(fmt).options(**(options or {}))
     if fmt == "csv":
         writer = writer.options(**CSV_OPTIONS)
     if partition_by:
@@ -70,6 +63,23 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
+def claim_folder(spark: SparkSession, path: str) -> str:
+    """Create ``path`` for one caller; FileExistsError when it exists or another run claims it.
+
+    The claim is a file created without overwriting, which a Hadoop file system
+    grants once, so two runs that start together cannot both get the folder.
+    """
+    fs, jpath = _fs(spark, path)
+    if fs.exists(jpath):
+        raise FileExistsError(f"{path} exists; runs never overwrite")
+    jvm = spark.sparkContext._jvm
+    try:
+        fs.create(jvm.org.apache.hadoop.fs.Path(jpath, "_CLAIMED"), False).close()
+    except Exception as error:  # noqa: BLE001 - py4j wraps the file system's exception
+        raise FileExistsError(f"{path} was claimed by another run") from error
+    return path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, jpath = _fs(spark, path)
     return bool(fs.exists(jpath))
