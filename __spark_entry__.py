@@ -17,6 +17,7 @@ if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import oracles
 from trafficlens import fixtures as fx
@@ -26,10 +27,11 @@ from trafficlens.plans import coverage as cov
 from trafficlens.plans import metrics as mx
 from trafficlens.plans import runs as runstats
 from trafficlens.plans import traffic
+from trafficlens.functions.csvformat import CSV_OPTIONS
 from trafficlens.session import shared_path
 from trafficlens.sinks import landing, results
 from trafficlens.sources import pageviews as src
-from trafficlens.sources.tables import calendar_spanning, clean_titles
+from trafficlens.sources.tables import calendar_spanning, clean_titles, hourly_calendar, read_runs, read_titles
 
 try:
     import corpus_pipeline
@@ -56,6 +58,38 @@ def _reference_titles(pv: DataFrame) -> DataFrame:
     return clean_titles(fx.titles_from(pv, "fr"))
 
 
+def _titles_from_csv(pv: DataFrame) -> DataFrame:
+    """The reference list written as a CSV with another column before the titles, and read by name."""
+    spark = pv.sparkSession
+    path = shared_path(spark, "titles")
+    seen = fx.titles_from(pv, "fr")
+    seen.select(F.length("title").alias("id"), "title", F.lit('a, "b"').alias("note")).write.options(**CSV_OPTIONS).csv(path)
+    return read_titles(spark, path)
+
+
+def _runs_from_csv(runs: DataFrame) -> DataFrame:
+    """The run manifest written as a CSV with its columns reversed and one more, and read by name."""
+    spark = runs.sparkSession
+    path = shared_path(spark, "runs")
+    columns = [c for c in reversed(RUN_COLUMNS) if c != "family"]
+    runs.select(*columns, F.lit('x, "y"').alias("note")).write.options(**CSV_OPTIONS).csv(path)
+    return read_runs(spark, path).select(*RUN_COLUMNS)
+
+
+def _dumps(spark: SparkSession, d: str) -> str:
+    """Real gzip dumps in the shared folder; returns their glob."""
+    path = shared_path(spark, "dumps")
+    fx.write_dumps(spark, d, path)
+    return path + "/dumps/*.gz"
+
+
+def _calendar_hours(spark: SparkSession, d: str) -> DataFrame:
+    """Every expected hour, and whether a dump has it."""
+    seen = _file_hours(spark, d).withColumn("present", F.lit(True))
+    expected = hourly_calendar(spark, CAL_START, CAL_DAYS)
+    return expected.join(seen, "hour_ts", "left").select("day", "hour", F.coalesce("present", F.lit(False)).alias("present"))
+
+
 def _requested_titles(pv: DataFrame) -> DataFrame:
     """Requested list: every title seen on mobile plus one absent title."""
     return fx.titles_from(pv, "fr.m", (UNKNOWN_TITLE,))
@@ -104,9 +138,10 @@ def _observed_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _landed(spark: SparkSession, d: str) -> DataFrame:
-    """Page views landed as date-partitioned Parquet in the shared folder, read back."""
+    """Page views landed twice as Parquet by date and hour in the shared folder, read back."""
     path = shared_path(spark, "landed")
-    landing.land_pageviews(fx.pageviews(spark, d), path)
+    for _ in range(2):
+        landing.land_pageviews(fx.pageviews(spark, d), path)
     return landing.read_landed_pageviews(spark, path)
 
 
@@ -125,6 +160,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pv_malformed": _lines(src.malformed_counts),
         "pv_file_hours": _lines(src.file_hours),
         "pv_input_files": _lines(src.input_file_count),
+        # real gzip dumps: scan, and file questions from the listing
+        "dump_scan": lambda spark, d: src.read_pageviews(spark, _dumps(spark, d)),
+        "dump_hours": lambda spark, d: src.dump_hours(src.list_dumps(spark, _dumps(spark, d))),
+        "dump_count": lambda spark, d: src.dump_count(src.list_dumps(spark, _dumps(spark, d))),
         # filters
         "pv_project_filter": _pv(flt.only_projects),
         "pv_drop_home": _pv(flt.drop_home_pages),
@@ -134,14 +173,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pv_platform": _pv(lambda pv: add_platform(flt.only_projects(pv))),
         "title_match": _pv(lambda pv: flt.match_title(pv, MONUMENT)),
         # title lists and joins
-        "reference_titles": _pv(_reference_titles),
+        "reference_titles": _pv(_titles_from_csv),
         "title_variants": _pv(lambda pv: flt.expand_title_variants(_reference_titles(pv))),
         "unknown_titles": _pv(lambda pv: flt.unknown_titles(_requested_titles(pv), _reference_titles(pv))),
         "titles_daily": _pv(
             lambda pv: traffic.titles_daily(pv, _reference_titles(pv).unionByName(_requested_titles(pv)))
         ),
         # run manifest statistics
-        "runs_load": _runs(lambda r: r.select(*RUN_COLUMNS)),
+        "runs_load": _runs(_runs_from_csv),
         "run_ordinal": _runs(
             lambda r: runstats.run_ordinal(r).select("ordinal", "run_id", "ts_utc", "job", "duration_s")
         ),
@@ -150,6 +189,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "run_scaling": _runs(runstats.run_scaling),
         # dataset coverage against the hourly calendar
         "coverage_calendar": lambda spark, d: calendar_spanning(_file_hours(spark, d)).select("day", "hour"),
+        "calendar_hours": _calendar_hours,
         "coverage_gaps": lambda spark, d: cov.coverage_gaps(_file_hours(spark, d), CAL_START, CAL_DAYS),
         "coverage_summary": lambda spark, d: cov.coverage_summary(_file_hours(spark, d), CAL_START, CAL_DAYS),
         "coverage_gaps_by_project": lambda spark, d: cov.coverage_gaps(
@@ -177,6 +217,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "views_by_title": _pv(traffic.views_by_title),
         "views_by_hour": _pv(traffic.views_by_hour),
         "top_pages": _pv(lambda pv: traffic.top_pages(pv, 100)),
+        "top_pages_other_projects": _pv(lambda pv: traffic.top_pages(pv, 100, ("en", "fr.b"), mobile_projects=("fr.b",))),
         "title_daily": _pv(lambda pv: traffic.title_daily(pv, MONUMENT)),
         "hourly_profile": _pv(traffic.hourly_profile),
     }

@@ -9,8 +9,6 @@ aggregates are aliased and cast so names and types line up with the Spark side
 from __future__ import annotations
 
 from trafficlens.fixtures import LINES_SQL, PV_SQL, RUNS_SQL, SAMPLES_SQL
-from trafficlens.functions.encoding import quote_title
-from trafficlens.functions.patterns import home_page_titles, namespace_regex
 
 
 def lit(value: str) -> str:
@@ -21,8 +19,30 @@ def in_list(values) -> str:
     return "(" + ", ".join(lit(v) for v in values) + ")"
 
 
-HOME_SQL = in_list(home_page_titles())
-NS_SQL = lit(namespace_regex())
+# The cleaning rules written out again, apart from the library: fixed values of the dump format.
+PREFIXES = """
+Spécial Special Spezial Wikipédia Wikipedia Catégorie Category Utilisateur Utilisatrice User Fichier File Image
+MediaWiki Modèle Template Aide Help Portail Portal Projet Project Référence Module Sujet Gadget Gadget_definition
+TimedText Média Media
+""".split()
+HOMES = """
+- Accueil_principal Wikipédia:Accueil_principal Wikipedia:Accueil_principal Main_Page Page_d'accueil Portail:Accueil
+Special:Search Spécial:Recherche
+""".split()
+_HOME_LIST = ", ".join(f"{lit(p)}, url_encode({lit(p)})" for p in HOMES)
+_PREFIX_TESTS = " or ".join(
+    f"starts_with(title, {spelling} || {separator})"
+    for p in PREFIXES
+    for spelling in (lit(p), f"url_encode({lit(p)})")
+    for separator in ("':'", "'%3A'", "'%3a'")
+)
+# A talk title: nothing between "Discussion" and the first separator but characters other than colon and percent.
+_TALK_REST = "substr(title, 11)"
+_TALK_STOP = f"ltrim({_TALK_REST}, replace(replace({_TALK_REST}, ':', ''), '%', ''))"
+_TALK_TEST = (
+    "(starts_with(title, 'Discussion') and ("
+    f"starts_with({_TALK_STOP}, ':') or starts_with({_TALK_STOP}, '%3A') or starts_with({_TALK_STOP}, '%3a')))"
+)
 
 PLATFORM = "case when project = 'fr.m' then 'mobile' else 'desktop' end"
 SPLIT = (
@@ -37,8 +57,8 @@ def ctes(**parts: str) -> str:
 
 
 PROJECT_FILTER = "project in ('fr', 'fr.m')"
-HOME_FILTER = f"title not in {HOME_SQL}"
-NS_FILTER = f"not regexp_matches(title, {NS_SQL})"
+HOME_FILTER = f"title not in ({_HOME_LIST})"
+NS_FILTER = f"not ({_PREFIX_TESTS} or {_TALK_TEST})"
 EMPTY_FILTER = "length(title) > 0"
 CLEAN = f"{PROJECT_FILTER} and {HOME_FILTER} and {NS_FILTER} and {EMPTY_FILTER}"
 
@@ -102,7 +122,7 @@ TITLES_DAILY = ctes(
 
 
 def _title_daily(title: str) -> str:
-    spellings = in_list(sorted({title, quote_title(title)}))
+    spellings = f"({lit(title)}, url_encode({lit(title)}))"
     return ctes(
         pv=PV_SQL,
         hits=f"select *, {PLATFORM} as platform from pv where {PROJECT_FILTER} and title in {spellings}",
@@ -150,10 +170,11 @@ RUN_SCALING = ctes(
 )
 
 
-CAL_START, CAL_DAYS = "2024-01-01", 30
+# The calendar ends after the data, so hours must be missing.
+CAL_START, CAL_DAYS = "2024-01-01", 40
 CAL_SQL = (
     "select unnest(generate_series(timestamp '2024-01-01 00:00:00', "
-    "timestamp '2024-01-01 00:00:00' + interval 30 day - interval 1 hour, interval 1 hour)) as hour_ts"
+    "timestamp '2024-01-01 00:00:00' + interval 40 day - interval 1 hour, interval 1 hour)) as hour_ts"
 )
 FILE_HOURS = (
     "select distinct cast(strptime(day, '%Y%m%d') as timestamp) + to_hours(hour) as hour_ts "
@@ -166,22 +187,39 @@ COVERAGE_GAPS = ctes(**COVERAGE, obs=FILE_HOURS) + (
     f"select {DAY_HOUR} from cal c where c.hour_ts not in (select hour_ts from obs)"
 )
 COVERAGE_SUMMARY = ctes(**COVERAGE, obs=FILE_HOURS) + (
-    "select cast(720 as bigint) as expected, count(*) as present, cast(720 - count(*) as bigint) as missing, "
-    "count(*) = 720 as complete from obs where hour_ts in (select hour_ts from cal)"
+    "select cast(960 as bigint) as expected, count(*) as present, cast(960 - count(*) as bigint) as missing, "
+    "count(*) = 960 as complete from obs where hour_ts in (select hour_ts from cal)"
 )
 COVERAGE_GAPS_BY_PROJECT = ctes(
     **COVERAGE,
-    obs=f"select * from ({PROJECT_HOURS}) where hour_ts in (select hour_ts from cal)",
+    obs=PROJECT_HOURS,
     keys="select distinct project from obs",
 ) + (
     f"select k.project, {DAY_HOUR} from keys k cross join cal c "
     "where not exists (select 1 from obs o where o.project = k.project and o.hour_ts = c.hour_ts)"
 )
 COVERAGE_SUMMARY_BY_PROJECT = ctes(
-    **COVERAGE, obs=f"select * from ({PROJECT_HOURS}) where hour_ts in (select hour_ts from cal)"
+    **COVERAGE,
+    obs=f"select *, hour_ts in (select hour_ts from cal) as expected_hour from ({PROJECT_HOURS})",
 ) + (
-    "select project, cast(720 as bigint) as expected, count(*) as present, "
-    "cast(720 - count(*) as bigint) as missing, count(*) = 720 as complete from obs group by project"
+    "select project, cast(960 as bigint) as expected, count(*) filter (expected_hour) as present, "
+    "cast(960 - count(*) filter (expected_hour) as bigint) as missing, count(*) filter (expected_hour) = 960 as complete "
+    "from obs group by project"
+)
+EMPTY_DUMPS = "(values ('pageviews-20231231-230000.gz', '20231231', 23), ('pageviews-20240301-000000.gz', '20240301', 0))"
+CALENDAR_HOURS = ctes(**COVERAGE, obs=FILE_HOURS) + (
+    f"select {DAY_HOUR}, c.hour_ts in (select hour_ts from obs) as present from cal c"
+)
+TOP_PAGES_EN = ctes(
+    pv=PV_SQL,
+    agg="select title, cast(sum(views) as bigint) as views, "
+    "cast(coalesce(sum(views) filter (project <> 'fr.b'), 0) as bigint) as views_desktop, "
+    "cast(coalesce(sum(views) filter (project = 'fr.b'), 0) as bigint) as views_mobile "
+    f"from pv where project in ('en', 'fr.b') and {HOME_FILTER} and {NS_FILTER} and {EMPTY_FILTER} group by title",
+    top="select * from agg order by views desc, title asc limit 100",
+) + (
+    "select cast(row_number() over (order by views desc, title asc) as int) as rank, title, views, "
+    f"views_desktop, views_mobile, {_share('views', 3)} as share_pct from top"
 )
 
 RATE_WINDOW, RATE_STEP = "6 hours", "1 hour"
@@ -225,7 +263,7 @@ def all_oracles() -> dict[str, str]:
         "pv_drop_empty": _pv_where(EMPTY_FILTER),
         "pv_clean": _pv_where(CLEAN),
         "pv_platform": _pv_where(PROJECT_FILTER, platform=True),
-        "title_match": _pv_where("title in " + in_list(sorted({MONUMENT, quote_title(MONUMENT)}))),
+        "title_match": _pv_where(f"title in ({lit(MONUMENT)}, url_encode({lit(MONUMENT)}))"),
         "reference_titles": ctes(**TITLE_LISTS) + "select title from ref",
         "title_variants": TITLE_VARIANTS,
         "unknown_titles": UNKNOWN_TITLES,
@@ -241,6 +279,13 @@ def all_oracles() -> dict[str, str]:
         + "select strftime(h, '%Y%m%d') as day, cast(hour(h) as int) as hour from ("
         "select unnest(generate_series(date_trunc('day', min(hour_ts)), "
         "date_trunc('day', max(hour_ts)) + interval 23 hour, interval 1 hour)) as h from obs)",
+        "calendar_hours": CALENDAR_HOURS,
+        "dump_scan": ctes(pv=PV_SQL) + "select * from pv",
+        "dump_hours": ctes(**LINES)
+        + "select distinct file_name, day, hour from lines where file_name <> 'other.gz' "
+        f"union all select * from {EMPTY_DUMPS} v(file_name, day, hour)",
+        "dump_count": ctes(**LINES) + "select count(distinct file_name) + 2 as input_files from lines",
+        "top_pages_other_projects": TOP_PAGES_EN,
         "coverage_gaps": COVERAGE_GAPS,
         "coverage_summary": COVERAGE_SUMMARY,
         "coverage_gaps_by_project": COVERAGE_GAPS_BY_PROJECT,

@@ -9,11 +9,14 @@ parsed table directly, which keeps the two paths independent.
 
 from __future__ import annotations
 
+import gzip
 import posixpath
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.constants import HOME_PAGES, NAMESPACE_PREFIXES
 from .functions.timefmt import day_text, hour_text, iso_seconds_text, month_text
 from .operators.series import running_total
 from .sources.pageviews import parse_pageview_lines
@@ -25,19 +28,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # --------------------------------------------------------------- page views --
-# Fixture mapping (fixed values): event type -> project, user_id % 12 -> title.
+# Fixture mapping (fixed values): event type -> project, user_id % 12 -> kind of title.
 _PROJECT_SQL = (
     "case event_type when 'view' then 'fr' when 'click' then 'fr.m' when 'purchase' then 'en' "
     "when 'signup' then 'fr.b' else 'fr' end"
 )
-_TITLE_SQL = (
-    "case cast(user_id % 12 as int) "
-    "when 0 then 'Spécial:U' when 1 then 'Sp%C3%A9cial%3AU' "
-    "when 2 then 'Discussion_utilisateur:U' when 3 then '-' "
-    "when 4 then 'Main_Page' when 5 then '' "
-    "when 6 then 'Sagrada_Família' when 7 then 'Sagrada_Fam%C3%ADlia' "
-    "else concat('Page_', cast(user_id as {vc}), '_', cast(event_id % 7 as {vc})) end"
+# Talk pages, the last of which the cleaning rules keep, and titles that only look like dropped ones.
+TALK_TITLES = (
+    "Discussion:U", "Discussion_utilisateur:U", "Discussion_aide%3AU", "Discussion%3aU", "Discussion_Wikip%C3%A9dia:X",
 )
+NEAR_MISSES = (
+    "Special_Page", "Spécialité", "Spécialité:U", "spécial:U", "X:Special:Y", "Aide", "Discussionner", "U:Discussion:X",
+    "Main_Page_2", "main_Page", "Accueil", "--", "Page_d%27accueil_", "Portail_Accueil", "Modules:U", "Media%3",
+)
+
+
+#: Dumps without a line, which only a listing finds.
+EMPTY_DUMPS = ("pageviews-20231231-230000.gz", "pageviews-20240301-000000.gz")
+
+
+def _nth_sql(titles: list[str]) -> str:
+    """One of ``titles`` by ``event_id``, in SQL that both engines read."""
+    cases = " ".join(f"when {k} then '{t.replace(chr(39), chr(39) * 2)}'" for k, t in enumerate(titles))
+    return f"case cast(event_id % {len(titles)} as int) {cases} end"
+
+
+def _title_sql(text: str) -> str:
+    """Every namespace prefix and home page, raw and encoded, talk pages, near misses, and ordinary titles."""
+    raw = [f"{p}:U" for p in NAMESPACE_PREFIXES]
+    encoded = [quote(p, safe="") + s + "U" for p in NAMESPACE_PREFIXES for s in ("%3A", "%3a")]
+    home = [quote(p, safe="") for p in HOME_PAGES]
+    return (
+        "case cast(user_id % 12 as int) "
+        f"when 0 then {_nth_sql(raw)} when 1 then {_nth_sql(encoded)} "
+        f"when 2 then {_nth_sql(list(TALK_TITLES))} when 3 then {_nth_sql(list(HOME_PAGES))} "
+        f"when 4 then {_nth_sql(home)} when 5 then '' "
+        "when 6 then 'Sagrada_Família' when 7 then 'Sagrada_Fam%C3%ADlia' "
+        f"when 8 then {_nth_sql(list(NEAR_MISSES))} "
+        f"else concat('Page_', cast(user_id as {text}), '_', cast(event_id % 7 as {text})) end"
+    )
 
 
 def pageview_base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +75,7 @@ def pageview_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         "ts",
         f"{_PROJECT_SQL} as project",
-        f"{_TITLE_SQL.format(vc='string')} as title",
+        f"{_title_sql('string')} as title",
         "cast(floor(value) as int) as views",
     )
 
@@ -69,6 +98,29 @@ def pageview_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.select(value.alias("value"), file_name.alias("file_name"))
 
 
+def write_dumps(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Write the dump lines as real gzip dumps under ``path``, one file per name, and two empty dumps.
+
+    Spark writes one folder per name; its one file is then moved to the dump's
+    name through the Hadoop file system.
+    """
+    lines = pageview_lines(spark, sf_dir)
+    parts = posixpath.join(path, "parts")
+    lines.repartition("file_name").write.partitionBy("file_name").option("compression", "gzip").text(parts)
+    jvm = spark.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(Path(path, "dumps"))
+    for status in fs.globStatus(Path(parts, "file_name=*/part-*")):
+        name = status.getPath().getParent().getName().removeprefix("file_name=")
+        if not fs.rename(status.getPath(), Path(posixpath.join(path, "dumps", name))):
+            raise OSError(f"could not move {status.getPath()} to {name}")
+    for name in EMPTY_DUMPS:
+        stream = fs.create(Path(posixpath.join(path, "dumps", name)), False)
+        stream.write(bytearray(gzip.compress(b"")))
+        stream.close()
+
+
 def pageviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The parsed page-view table, through the real line parser."""
     return parse_pageview_lines(pageview_lines(spark, sf_dir))
@@ -85,7 +137,7 @@ def titles_from(pv: DataFrame, project: str, extra: tuple[str, ...] = ()) -> Dat
 
 PV_SQL = f"""
 select {_PROJECT_SQL} as project,
-       {_TITLE_SQL.format(vc='varchar')} as title,
+       {_title_sql('varchar')} as title,
        cast(floor(value) as int) as views,
        strftime(ts, '%Y%m%d') as day,
        cast(hour(ts) as int) as hour,
@@ -95,7 +147,7 @@ where event_id % 97 <> 0 and event_id % 101 <> 0 and event_id % 103 <> 0
 """
 
 LINES_SQL = f"""
-select event_id, ts, {_PROJECT_SQL} as project, {_TITLE_SQL.format(vc='varchar')} as title,
+select event_id, ts, {_PROJECT_SQL} as project, {_title_sql('varchar')} as title,
        case when event_id % 97 = 0 then 'field_count'
             when event_id % 101 = 0 then 'views'
             when event_id % 103 = 0 then 'file_name'
@@ -175,7 +227,3 @@ select event_type as name, cast(user_id % 3 as int) as k, ts, event_id,
 from events
 """
 
-
-def sql_with(**ctes: str) -> str:
-    """``WITH name AS (...), ...`` prefix for an oracle query."""
-    return "with " + ",\n".join(f"{name} as ({body})" for name, body in ctes.items()) + "\n"
