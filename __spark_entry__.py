@@ -37,7 +37,7 @@ try:
     import corpus_pipeline
     from trafficlens.llm import registry as llm_registry
 except ModuleNotFoundError as error:
-    if (error.name or "").split(".")[0] not in ("corpus_pipeline", "trafficlens"):
+    if error.name not in ("corpus_pipeline", "trafficlens.llm"):
         raise
     corpus_pipeline = llm_registry = None
 
