@@ -36,6 +36,32 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+SIEVE_WORDS = 1 << 21  # largest sieve: 64-bit words, 16 bytes a row
+
+
+def sieve(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose bigint ``column`` may be among the bigints of ``ids``' only column.
+
+    A bitmap of hashed ids, one row per word and SIEVE_WORDS rows at most, is
+    broadcast. It keeps every id and few others, so a join that follows shuffles
+    little; with more ids than it can tell apart it keeps more rows and the join
+    still decides.
+    """
+    words = 1 << min(max(10, ids.count().bit_length()), SIEVE_WORDS.bit_length() - 1)
+
+    def place(value: Column) -> tuple[Column, Column]:
+        h = F.xxhash64(value)
+        return F.pmod(h, F.lit(words)), F.shiftright(h, 40).bitwiseAND(F.lit(63)).cast("int")
+
+    word, bit = place(F.col(ids.columns[0]))
+    bits = ids.select(word.alias("__word"), F.expr("1L").alias("one"), bit.alias("bit"))
+    bits = bits.select("__word", F.expr("shiftleft(one, bit)").alias("mark"))
+    bitmap = bits.groupBy("__word").agg(F.bit_or("mark").alias("__bits"))
+    word, bit = place(F.col(column))
+    kept = df.withColumn("__word", word).withColumn("__bit", bit).join(F.broadcast(bitmap), "__word")
+    return kept.where(F.expr("shiftrightunsigned(__bits, __bit) & 1L = 1L")).select(*df.columns)
+
+
 def pieces(rows: int, per_piece: int) -> int:
     """How many pieces of about ``per_piece`` rows, at least one."""
     return max(1, math.ceil(rows / per_piece))

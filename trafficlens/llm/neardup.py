@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_or_empty, written
+from .common import sieve, table, text_or_empty, written
 from .components import components
 
 SHINGLE = 5
@@ -34,8 +34,8 @@ BANDS, ROWS = 32, 10  # a pair of similarity 0.8 meets in some band with probabi
 REGISTERS = BANDS * ROWS
 SMALL_BUCKET = 24
 BLOCK = 64
-ELEMENTS_AT_ONCE = 100_000
-REMEMBERED = 300_000
+ELEMENTS_AT_ONCE = 30_000
+REMEMBERED = 200_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = np.array([pow(0xD6E8FEB86659FD93, k, 1 << 64) for k in range(1, 33)], np.uint64)
 
@@ -79,7 +79,7 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     rate = np.concatenate([c for _, c in sets]).astype(np.float64)
     time = np.zeros(len(element))
     # Small sets need many arrivals of each element: several are drawn in one go.
-    together = int(np.clip(2 * REGISTERS // max(1, int(np.median(sizes))), 1, 64))
+    together = int(np.clip(2 * REGISTERS // max(1, int(np.median(sizes))), 1, 16))
     drawn = 0
     while len(element):
         numbers = np.arange(drawn, drawn + together, dtype=np.uint64) * _STEP
@@ -120,8 +120,8 @@ def document_signatures(docs: DataFrame) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            for k in range(0, batch.num_rows, 1024):
-                part = batch.slice(k, 1024)
+            for k in range(0, batch.num_rows, 512):
+                part = batch.slice(k, 512)
                 if len(known) > REMEMBERED:
                     known.clear()
                 sets = [shingles(text, known) for text in part.column(3).to_pylist()]
@@ -202,18 +202,12 @@ def _weighted(packed: bytes, weights: bytes | None) -> tuple[np.ndarray, np.ndar
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The (u, v) pairs whose similarity reaches SIMILARITY; ``sets`` has node, shingles and weights.
 
-    A node with many partners is dealt out under a salt, with its set copied to
-    each salt it has.
+    A node with very many partners is split by adaptive execution: both joins are
+    plain equi-joins of which it may divide the side of the pairs.
     """
-    salts = pairs.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / 256).cast("int").alias("salts"))
-    left = (
-        sets.join(salts.withColumnRenamed("u", "node"), "node")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-        .select(F.col("node").alias("u"), "salt", F.col("shingles").alias("s"), F.col("weights").alias("c"))
-    )
+    left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("s"), F.col("weights").alias("c"))
     right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("t"), F.col("weights").alias("d"))
-    salted = pairs.join(salts, "u").select("u", "v", F.pmod(F.xxhash64("v"), "salts").cast("int").alias("salt"))
-    joined = salted.join(left, ["u", "salt"]).join(right, "v").select("u", "v", "s", "c", "t", "d")
+    joined = pairs.join(left, "u").join(right, "v").select("u", "v", "s", "c", "t", "d")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,8 +271,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     own = signed.join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
     spread = written(own.select(F.col("row").alias("node"), F.explode("bands").alias("bucket")), "neardup_bands")
-    shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("u")).where("size > 1")
-    members = written(spread.join(shared, "bucket"), "neardup_members")
+    counted = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("u"))
+    shared = written(counted.where("size > 1"), "neardup_buckets")
+    members = sieve(spread, "bucket", shared.select("bucket")).join(shared, "bucket")
+    members = written(members, "neardup_members")
 
     small = members.where(F.col("size") <= SMALL_BUCKET).select("bucket", "node")
     paired = small.select("bucket", F.col("node").alias("u")).join(
@@ -287,11 +283,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     large = members.where(F.col("size") > SMALL_BUCKET)
     starred = large.where("u <> node").select("u", F.col("node").alias("v"))
     pairs = written(paired.where("u < v").select("u", "v").union(starred).distinct(), "neardup_pairs")
-    involved = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    sets = written(
-        signed.select(F.col("row").alias("node"), "shingles", "weights").join(involved, "node", "left_semi"),
-        "neardup_sets",
-    )
+    involved = written(pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct(), "neardup_involved")
+    sets = signed.select(F.col("row").alias("node"), "shingles", "weights")
+    sets = written(sieve(sets, "node", involved), "neardup_sets")
     links = written(verified(pairs, sets), "neardup_links")
     found = components(links)
 
