@@ -51,7 +51,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+_scratch_roots: set[str] = set()
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh path under the session's shared folder (``spark.checkpoint.dir``)."""
-    base = ensure_checkpoint_dir(spark)
-    return posixpath.join(base, "trafficlens", *parts, uuid.uuid4().hex)
+    """A fresh path under the session's shared folder (``spark.checkpoint.dir``).
+
+    All of an application's scratch folders lie under one root, which the Hadoop
+    file system deletes when the application ends.
+    """
+    root = posixpath.join(ensure_checkpoint_dir(spark), "trafficlens", spark.sparkContext.applicationId)
+    if root not in _scratch_roots:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _scratch_roots.add(root)
+    return posixpath.join(root, *parts, uuid.uuid4().hex)
