@@ -32,7 +32,8 @@ CONTEXTS = 63  # hashed neighbours on each side, besides the edge of the text
 SIDE = CONTEXTS + 1
 CODES = 2 * SIDE
 ROUNDS = 4
-CHUNK_TOKENS = 1 << 21
+CHUNK_TOKENS = 6_000_000
+COUNT_BITS = 9  # of a packed context count; the context code has the other 7
 PRIOR = 20.0  # weight of the class frequency in a transition row
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -55,6 +56,29 @@ def tokens(text: str) -> list[bytes]:
     return text.encode("utf-8").translate(_LOWER).split()
 
 
+def packed_contexts(word: np.ndarray, code: np.ndarray, count: np.ndarray, words: int) -> tuple[bytes, np.ndarray]:
+    """Contexts as 16-bit values by word, and the byte at which each word's begin.
+
+    A count too large for its bits is spread over several values.
+    """
+    most = (1 << COUNT_BITS) - 1
+    times = -(-count // most)
+    value = np.full(int(times.sum()), most, np.int64)
+    value[np.cumsum(times) - 1] = count - (times - 1) * most
+    packed = (np.repeat(code, times) << COUNT_BITS | value).astype("<u2")
+    first = np.searchsorted(np.repeat(word, times), np.arange(words + 1)) * 2
+    return packed.tobytes(), first
+
+
+def pack_ids(ids: np.ndarray) -> bytes:
+    """Numbers below 2**32 as four planes of bytes: the upper planes are nearly empty and compress away."""
+    return np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def unpack_ids(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def context_counts(numbers: Numbers, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Counts of (word, context code) over training texts: words, codes and counts, by word."""
     if not texts:
@@ -86,16 +110,14 @@ def encode_chunks(docs: DataFrame, held: Column) -> DataFrame:
                 flags = part.column(1).to_pylist()
                 train += [t for t, flag in zip(ids, flags) if not flag]
                 lengths += sum(map(len, ids)) + len(ids)
-                yield rows(part.num_rows, kind=np.zeros(len(ids), np.int32), chunk=np.full(len(ids), chunk), doc_id=part.column(0), held=part.column(1), ids=[t.astype("<u4").tobytes() for t in ids])
+                yield rows(part.num_rows, kind=np.zeros(len(ids), np.int32), chunk=np.full(len(ids), chunk), doc_id=part.column(0), held=part.column(1), ids=[pack_ids(t) for t in ids])
                 if lengths >= CHUNK_TOKENS:
                     yield from dictionary(chunk, numbers, train)
                     chunk, numbers, train, lengths = chunk + 1, Numbers(), [], 0
         yield from dictionary(chunk, numbers, train)
 
     def dictionary(chunk: int, numbers: Numbers, train: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        word, code, count = context_counts(numbers, train)
-        packed = (code.astype("<u4") << np.uint32(24) | count.astype("<u4")).tobytes()
-        first = np.searchsorted(word, np.arange(len(numbers) + 1)) * 4
+        packed, first = packed_contexts(*context_counts(numbers, train), len(numbers))
         total = np.bincount(np.concatenate(train), minlength=len(numbers)) if train else np.zeros(len(numbers), np.int64)
         words = list(numbers)
         for k in range(0, len(words), 50_000):
@@ -170,8 +192,8 @@ def vocabulary(chunks: DataFrame) -> DataFrame:
             group = np.cumsum(fresh) - 1
             total = np.add.reduceat(n, starts)
             blobs = batch.column(2).to_pylist()
-            sizes = np.fromiter((len(b) // 4 for b in blobs), np.int64, len(blobs))
-            entry = np.frombuffer(b"".join(blobs), "<u4")
+            sizes = np.fromiter((len(b) // 2 for b in blobs), np.int64, len(blobs))
+            entry = np.frombuffer(b"".join(blobs), "<u2").astype(np.int64)
             names = words[starts]
             last = len(starts) - 1
             carries = kept_word is not None and names[0] == kept_word
@@ -186,8 +208,8 @@ def vocabulary(chunks: DataFrame) -> DataFrame:
             some = at >= 0
             np.add.at(
                 vectors,
-                (at[some], (entry[some] >> np.uint32(24)).astype(np.int64)),
-                (entry[some] & np.uint32(0xFFFFFF)).astype(np.float64),
+                (at[some], entry[some] >> COUNT_BITS),
+                (entry[some] & ((1 << COUNT_BITS) - 1)).astype(np.float64),
             )
             if carries:
                 total[0] += kept_n
@@ -297,7 +319,7 @@ def class_sequences(chunks: DataFrame, classes: DataFrame, train_texts: int) ->
         ends = np.log10(train_texts + 0.1)
         out = {name: [] for name in ("n_tokens", "n_known", "base", "emits", "classes")}
         for blob in texts.column("ids").to_pylist():
-            ids = np.frombuffer(blob, "<u4")
+            ids = unpack_ids(blob)
             out["n_tokens"].append(len(ids) + 1)
             out["n_known"].append(int((c[ids] > 0).sum()) + (train_texts > 0))
             out["base"].append(float(base[ids].sum() + ends))
