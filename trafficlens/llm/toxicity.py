@@ -30,8 +30,8 @@ WORD_ROWS, TRIGRAM_ROWS = 1 << 14, 1 << 13
 TRAIN_ROWS = 1_500  # labelled documents of each class
 TRAIN_BYTES = 64_000
 ROUNDS, BATCH, RATE = 8, 128, 0.01
-WINDOWS_AT_ONCE = 4_096
-REMEMBERED = 200_000  # distinct words a Python worker remembers before it starts afresh
+WINDOWS_AT_ONCE = 2_048
+REMEMBERED = 100_000  # distinct words a Python worker remembers before it starts afresh
 _EDGES = ".,;:!?\"'()[]"
 
 
@@ -247,11 +247,15 @@ def train_toxicity(texts: list[str], labels: list[int], seed: int = 7) -> dict[s
     if not len(y) or y.min() == y.max():
         p["out"][:], p["out_bias"][:] = 0, 0
         return p
-    split = [[w.strip(_EDGES) or w for w in text.lower().split()] for text in texts]
-    words = sorted({w for s in split for w in s}) or [""]
-    number = {w: k for k, w in enumerate(words)}
-    flat = np.fromiter((number[w] for s in split for w in s), np.int64)
-    sizes = np.fromiter(map(len, split), np.int64, len(split))
+    number: dict[str, int] = {}
+    numbered = [
+        np.array([number.setdefault(w.strip(_EDGES) or w, len(number)) for w in text.lower().split()], np.int64)
+        for text in texts
+    ]
+    words = list(number) or [""]
+    flat = np.concatenate(numbered)
+    sizes = np.fromiter(map(len, numbered), np.int64, len(numbered))
+    del number, numbered
     starts, ends, owner = windows_of(sizes)
     word_rows = np.array([word_row(w) for w in words])
     rows, first = trigram_rows(words)
@@ -272,8 +276,11 @@ def train_toxicity(texts: list[str], labels: list[int], seed: int = 7) -> dict[s
         spelled = np.add.reduceat(p["trigrams"][rows[np.concatenate(at)]], np.cumsum(counts[some]) - counts[some], axis=0)
         return np.hstack([own, spelled / counts[some][:, None].astype(np.float32)])
 
-    everything = np.arange(len(words))
-    leaning = inputs(everything)[:, [0, SIDE]].sum(axis=1)
+    def everything(made) -> list[np.ndarray]:
+        """``made`` of the inputs of all words, block by block."""
+        return [made(inputs(np.arange(k, min(k + 10_000, len(words))))) for k in range(0, len(words), 10_000)]
+
+    leaning = np.concatenate(everything(lambda x: x[:, [0, SIDE]].sum(axis=1)))
     strongest = np.array([leaning[flat[a:b]].max() if b > a else -9.0 for a, b in zip(starts, ends)])
     random = np.random.default_rng(seed)
     moment = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in p.items()}
@@ -281,7 +288,7 @@ def train_toxicity(texts: list[str], labels: list[int], seed: int = 7) -> dict[s
     balance = np.where(y > 0, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum()))).astype(np.float32)
     for turn in range(ROUNDS):
         if turn:
-            ahead, back = gate_shares(p, inputs(everything))
+            ahead, back = map(np.concatenate, zip(*everything(lambda x: gate_shares(p, x))))
             for k in range(0, len(starts), WINDOWS_AT_ONCE):
                 part = slice(k, k + WINDOWS_AT_ONCE)
                 ids, mask = laid_out(flat, starts[part], ends[part])
