@@ -20,11 +20,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_or_empty
+from .common import row_slices, table, text_or_empty
 
 #: Distinct pre-tokens a Python worker remembers before it starts afresh.
 REMEMBERED = 200_000
-BATCH_BYTES = 8 << 20  # ids per Arrow batch sent back
+BATCH_BYTES = 2 << 20  # ids per Arrow batch sent back
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -149,7 +149,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, keep: tuple[str,
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, find = PreTokens(*shared.value), regex.compile(pattern).findall
-        for batch in batches:
+        for batch in row_slices(batches):
             for part, packed in _sized(batch, 0, lambda text: encode_text(text, find, known)):
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(packed, pa.binary())], names)
 
@@ -185,7 +185,7 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelled = shared.value.__getitem__
         join = lambda ids: b"".join(map(spelled, np.frombuffer(ids, "<u4").tolist()))
-        for batch in batches:
+        for batch in row_slices(batches):
             for part, decoded in _sized(batch, at, join):
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(decoded, pa.binary())], names)
 

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, table, text_or_empty, written
+from .common import fold, row_slices, table, text_or_empty, written
 
 CLASSES = 64  # classes of frequent words
 RARE, EDGE = CLASSES, CLASSES + 1  # rare and unknown words; begin and end of a text
@@ -84,13 +84,25 @@ def context_counts(numbers: Numbers, texts: list[np.ndarray]) -> tuple[np.ndarra
     if not texts:
         return tuple(np.zeros(0, np.int64) for _ in range(3))
     # An edge mark stands before and after every text.
-    edge = len(numbers)
-    padded = np.concatenate([part for t in texts for part in (np.array([edge], np.int64), t)] + [[edge]])
-    code = np.append(np.array(numbers.contexts, np.int64), CONTEXTS)[padded]
-    inner = np.flatnonzero(padded != edge)
-    keys = np.concatenate([padded[inner] * CODES + code[inner - 1], padded[inner] * CODES + SIDE + code[inner + 1]])
-    keys, counts = np.unique(keys, return_counts=True)
-    return keys // CODES, keys % CODES, counts
+    edge = np.array([len(numbers)], np.int32)
+    padded = np.concatenate([part for t in texts for part in (edge, t)] + [edge])
+    code = np.append(np.array(numbers.contexts, np.uint8), np.uint8(CONTEXTS))[padded]
+    inner = padded[1:-1] != edge[0]
+    wide = np.int32 if (len(numbers) + 1) * CODES < 1 << 31 else np.int64
+    found = []
+    # One side at a time: the keys of a side are the largest arrays of a chunk.
+    for neighbours, first in ((code[:-2], 0), (code[2:], SIDE)):
+        keys = padded[1:-1][inner].astype(wide)
+        keys *= CODES
+        keys += neighbours[inner]
+        keys += first
+        keys.sort()
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+        found.append((keys[starts], np.diff(np.append(starts, len(keys)))))
+    keys, counts = (np.concatenate(part) for part in zip(*found))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    return keys // CODES, keys % CODES, counts[order]
 
 
 def encode_chunks(docs: DataFrame, held: Column) -> DataFrame:
@@ -103,17 +115,15 @@ def encode_chunks(docs: DataFrame, held: Column) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 24
         numbers, train, lengths = Numbers(), [], 0
-        for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part = batch.slice(k, 512)
-                ids = [np.fromiter(map(numbers.__getitem__, w), np.int64) for w in map(tokens, part.column(2).to_pylist())]
-                flags = part.column(1).to_pylist()
-                train += [t for t, flag in zip(ids, flags) if not flag]
-                lengths += sum(map(len, ids)) + len(ids)
-                yield rows(part.num_rows, kind=np.zeros(len(ids), np.int32), chunk=np.full(len(ids), chunk), doc_id=part.column(0), held=part.column(1), ids=[pack_ids(t) for t in ids])
-                if lengths >= CHUNK_TOKENS:
-                    yield from dictionary(chunk, numbers, train)
-                    chunk, numbers, train, lengths = chunk + 1, Numbers(), [], 0
+        for part in row_slices(batches, 512):
+            ids = [np.fromiter(map(numbers.__getitem__, w), np.int32) for w in map(tokens, part.column(2).to_pylist())]
+            flags = part.column(1).to_pylist()
+            train += [t for t, flag in zip(ids, flags) if not flag]
+            lengths += sum(map(len, ids)) + len(ids)
+            yield rows(part.num_rows, kind=np.zeros(len(ids), np.int32), chunk=np.full(len(ids), chunk), doc_id=part.column(0), held=part.column(1), ids=[pack_ids(t) for t in ids])
+            if lengths >= CHUNK_TOKENS:
+                yield from dictionary(chunk, numbers, train)
+                chunk, numbers, train, lengths = chunk + 1, Numbers(), [], 0
         yield from dictionary(chunk, numbers, train)
 
     def dictionary(chunk: int, numbers: Numbers, train: list[np.ndarray]) -> Iterator[pa.RecordBatch]:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +30,26 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+ROWS_AT_ONCE = 256
+
+
+def row_slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in slices of ``rows``; when they end, the worker's free memory goes back to the system.
+
+    Python workers are reused, so what one stage freed would otherwise still
+    count against the next one.
+    """
+    try:
+        for batch in batches:
+            for first in range(0, batch.num_rows, rows):
+                yield batch.slice(first, rows)
+    finally:
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 def fold(value: Column, modulus: int) -> Column:
     """crc32 of a value's text, modulo ``modulus`` (the fold rule of the contracts)."""
     return F.crc32(value.cast("string").cast("binary")) % F.lit(modulus)

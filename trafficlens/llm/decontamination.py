@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pieces, table, text_or_empty
+from .common import pieces, row_slices, table, text_or_empty
 
 TABLES = 10
 SAMPLES = 6  # positions compared by a table, one in each equal part of the walk
@@ -237,25 +237,23 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
-            for batch in batches:
-                for k in range(0, batch.num_rows, DOCS_AT_ONCE):
-                    part = batch.slice(k, DOCS_AT_ONCE)
-                    found = matches(part.column(1).to_pylist(), index)
-                    rows = [(d, *hit) for d, hits in enumerate(found) for hit in hits]
-                    if not rows:
-                        continue
-                    row, item, distance, first = map(list, zip(*rows))
-                    near = [1 - x / len(index["texts"][i]) for x, i in zip(distance, item)]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            part.column(0).take(pa.array(row)),
-                            pa.array([index["ids"][i] for i in item]),
-                            pa.array(distance, pa.int32()),
-                            pa.array(near, pa.float64()),
-                            pa.array(first, pa.int64()),
-                        ],
-                        ["doc_id", "item_id", "distance", "similarity", "first_word"],
-                    )
+            for part in row_slices(batches, DOCS_AT_ONCE):
+                found = matches(part.column(1).to_pylist(), index)
+                rows = [(d, *hit) for d, hits in enumerate(found) for hit in hits]
+                if not rows:
+                    continue
+                row, item, distance, first = map(list, zip(*rows))
+                near = [1 - x / len(index["texts"][i]) for x, i in zip(distance, item)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).take(pa.array(row)),
+                        pa.array([index["ids"][i] for i in item]),
+                        pa.array(distance, pa.int32()),
+                        pa.array(near, pa.float64()),
+                        pa.array(first, pa.int64()),
+                    ],
+                    ["doc_id", "item_id", "distance", "similarity", "first_word"],
+                )
 
         out = out.unionByName(slim.mapInArrow(find, schema))
     return out
@@ -270,11 +268,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
-            for batch in batches:
-                for k in range(0, batch.num_rows, DOCS_AT_ONCE):
-                    part = batch.slice(k, DOCS_AT_ONCE)
-                    texts = [t or "" for t in part.column(at).to_pylist()]
-                    yield part.filter(pa.array([not hits for hits in matches(texts, index)], pa.bool_()))
+            for part in row_slices(batches, DOCS_AT_ONCE):
+                texts = [t or "" for t in part.column(at).to_pylist()]
+                yield part.filter(pa.array([not hits for hits in matches(texts, index)], pa.bool_()))
 
         docs = docs.mapInArrow(keep, docs.schema)
     return docs

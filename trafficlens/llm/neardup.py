@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import sieve, table, text_or_empty, written
+from .common import row_slices, sieve, table, text_or_empty, written
 from .components import components
 
 SHINGLE = 5
@@ -119,43 +119,41 @@ def document_signatures(docs: DataFrame) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
-        for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part = batch.slice(k, 512)
-                if len(known) > REMEMBERED:
-                    known.clear()
-                sets = [shingles(text, known) for text in part.column(3).to_pylist()]
-                bands: list = [[] for _ in sets]
-                order = sorted((i for i in range(len(sets)) if len(sets[i][0])), key=lambda i: len(sets[i][0]))
-                group, held = [], 0
-                for i in chain(order, [None]):
-                    if group and (i is None or held + len(sets[i][0]) > ELEMENTS_AT_ONCE):
-                        for j, keys in zip(group, band_keys(signatures([sets[j] for j in group]))):
-                            bands[j] = keys
-                        group, held = [], 0
-                    if i is not None:
-                        group.append(i)
-                        held += len(sets[i][0])
-                bags, packed, weights = [], [], []
-                for s, c in sets:
-                    counted = mixed(s + c.astype(np.uint64) * _STEP)
-                    bags.append((counted.sum(dtype=np.uint64), mixed(counted).sum(dtype=np.uint64)))
-                    small = (s >> np.uint64(32)).astype("<u4")  # s rises, so its upper half does
-                    packed.append(small.tobytes())
-                    weights.append(None if not len(c) or c.max() == 1 else c.astype("<u4").tobytes())
-                a, b = (np.array(x, np.uint64).view(np.int64) for x in zip(*bags))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *part.columns[:3],
-                        pa.array(a),
-                        pa.array(b),
-                        pa.array([len(s) for s, _ in sets], pa.int64()),
-                        pa.array(bands, pa.list_(pa.int64())),
-                        pa.array(packed, pa.binary()),
-                        pa.array(weights, pa.binary()),
-                    ],
-                    ["row", "doc_id", "text_hash", "a", "b", "n", "bands", "shingles", "weights"],
-                )
+        for part in row_slices(batches, 512):
+            if len(known) > REMEMBERED:
+                known.clear()
+            sets = [shingles(text, known) for text in part.column(3).to_pylist()]
+            bands: list = [[] for _ in sets]
+            order = sorted((i for i in range(len(sets)) if len(sets[i][0])), key=lambda i: len(sets[i][0]))
+            group, held = [], 0
+            for i in chain(order, [None]):
+                if group and (i is None or held + len(sets[i][0]) > ELEMENTS_AT_ONCE):
+                    for j, keys in zip(group, band_keys(signatures([sets[j] for j in group]))):
+                        bands[j] = keys
+                    group, held = [], 0
+                if i is not None:
+                    group.append(i)
+                    held += len(sets[i][0])
+            bags, packed, weights = [], [], []
+            for s, c in sets:
+                counted = mixed(s + c.astype(np.uint64) * _STEP)
+                bags.append((counted.sum(dtype=np.uint64), mixed(counted).sum(dtype=np.uint64)))
+                small = (s >> np.uint64(32)).astype("<u4")  # s rises, so its upper half does
+                packed.append(small.tobytes())
+                weights.append(None if not len(c) or c.max() == 1 else c.astype("<u4").tobytes())
+            a, b = (np.array(x, np.uint64).view(np.int64) for x in zip(*bags))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *part.columns[:3],
+                    pa.array(a),
+                    pa.array(b),
+                    pa.array([len(s) for s, _ in sets], pa.int64()),
+                    pa.array(bands, pa.list_(pa.int64())),
+                    pa.array(packed, pa.binary()),
+                    pa.array(weights, pa.binary()),
+                ],
+                ["row", "doc_id", "text_hash", "a", "b", "n", "bands", "shingles", "weights"],
+            )
 
     slim = docs.select(
         F.monotonically_increasing_id().alias("row"),
@@ -210,7 +208,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     joined = pairs.join(left, "u").join(right, "v").select("u", "v", "s", "c", "t", "d")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in row_slices(batches, 512):
             columns = [batch.column(k).to_pylist() for k in range(2, 6)]
             good = [similarity(*_weighted(s, c), *_weighted(t, d)) >= SIMILARITY for s, c, t, d in zip(*columns)]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["u", "v"]).filter(pa.array(good, pa.bool_()))

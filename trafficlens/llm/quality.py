@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, table, text_or_empty, written
+from .common import fold, row_slices, table, text_or_empty, written
 
 STATISTICS = (
     "log_words",
@@ -98,8 +98,8 @@ def document_statistics(docs: DataFrame) -> DataFrame:
     """(doc_id, x): the statistics of every whole text; a null text counts as empty."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [statistics(text.as_py()) for text in batch.column(1)]
+        for batch in row_slices(batches):
+            rows = [statistics(text) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(rows, pa.list_(pa.float64()))], ["doc_id", "x"]
             )
@@ -220,10 +220,9 @@ def keep_accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = Discriminant(*values)
-        for batch in batches:
-            if batch.num_rows:
-                x = np.array([statistics(text or "") for text in batch.column(at).to_pylist()])
-                yield batch.filter(pa.array(fitted.score(x) >= ACCEPT))
+        for batch in row_slices(batches):
+            x = np.array([statistics(text or "") for text in batch.column(at).to_pylist()])
+            yield batch.filter(pa.array(fitted.score(x) >= ACCEPT))
 
     return docs.mapInArrow(keep, docs.schema)
 

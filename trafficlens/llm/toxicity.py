@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, table, text_or_empty
+from .common import fold, row_slices, table, text_or_empty
 
 WINDOW, STRIDE = 32, 24
 HIDDEN, SIDE = 8, 8  # units per direction; width of word and character vectors
@@ -342,12 +342,10 @@ def score_toxicity(docs: DataFrame, parameters: dict[str, np.ndarray]) -> DataFr
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words(shared.value)
-        for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
-                logits = score_texts(known.p, part.column(1).to_pylist(), known)
-                scores = 1.0 / (1.0 + np.exp(-np.clip(logits.astype(np.float64), -30, 30)))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores)], ["doc_id", "score"])
+        for part in row_slices(batches):
+            logits = score_texts(known.p, part.column(1).to_pylist(), known)
+            scores = 1.0 / (1.0 + np.exp(-np.clip(logits.astype(np.float64), -30, 30)))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores)], ["doc_id", "score"])
 
     slim = docs.select("doc_id", text_or_empty().alias("text"))
     return slim.mapInArrow(score, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, score double")
@@ -360,11 +358,9 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words(shared.value)
-        for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
-                texts = [text or "" for text in part.column(at).to_pylist()]
-                yield part.filter(pa.array(score_texts(known.p, texts, known) < 0))
+        for part in row_slices(batches):
+            texts = [text or "" for text in part.column(at).to_pylist()]
+            yield part.filter(pa.array(score_texts(known.p, texts, known) < 0))
 
     return docs.mapInArrow(keep, docs.schema)
 
