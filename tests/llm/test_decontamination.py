@@ -81,3 +81,32 @@ def test_odd_rows(spark, odd_docs):
     assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count() - 3
     assert dc.find_contamination(odd_docs.limit(0), items).count() == 0
     assert dc.find_contamination(odd_docs, items.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("length", [6, 9, 11, 12, 16, 17, 18, 23, 24, 25, 40, 55])
+@pytest.mark.parametrize("place", ["first", "middle", "last"])
+@pytest.mark.parametrize("left_out", [False, True])
+def test_recall_by_length_and_place_of_the_edit(length, place, left_out):
+    rng = random.Random(length)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    items = [(k, " ".join(word() for _ in range(length))) for k in range(40)]
+    index = dc.build_index(items)
+    changed = max(1, min(length // 6, 4))
+    at = {"first": 0, "middle": (length - changed) // 2, "last": length - changed}[place]
+    texts = []
+    for _, text in items:
+        words = text.split()
+        words[at : at + changed] = [] if left_out else [word() for _ in range(changed)]
+        texts.append(" ".join([word() for _ in range(30)] + words + [word() for _ in range(30)]))
+    near = [dc.best_distance(index["texts"][k], text) <= 0.2 * len(index["texts"][k]) for k, text in enumerate(texts)]
+    found = [any(hit[0] == k for hit in hits) for k, hits in enumerate(dc.matches(texts, index))]
+    assert sum(near) and sum(a and b for a, b in zip(near, found)) >= 0.95 * sum(near)
+
+
+def test_the_bound_on_triples_refuses_no_match_at_a_text_begin():
+    rng = random.Random(13)
+    text = "".join(rng.choice("abcdef ") for _ in range(100))
+    for cut in range(21):
+        first, slack = -cut, dc.allowed(len(text))
+        region = text[cut:] + "xyz" * 40
+        assert dc.possible(text, region, max(0, slack - first), 2 * slack + 1)

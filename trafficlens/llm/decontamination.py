@@ -7,8 +7,12 @@ have a small Hamming distance. A table of the LSH compares SAMPLES positions of
 the written sequence; TABLES tables with walks of their own, and three anchors
 inside each item, give the recall. A window starts at every word of every text,
 and a walk never leaves an item-sized window: an item of n words is looked up
-with the deepest walk of at most n steps. Windows that agree with an item in one
-table are verified by exact edit distance on characters.
+with the deepest walk of at most n steps. Items of at most 25 words have the
+first anchor only, and a walk needs whole words; what walks miss is found by
+pieces of characters: all pieces of every item are looked up at every character
+of every text, and pieces that put the item's start in nearly the same place vote
+for it, wherever in the item the edits are. Windows that agree with an item in one
+table, or that have the votes, are verified by exact edit distance on characters.
 
 The benchmark is the query set. It is read in blocks of at most BLOCK_BYTES,
 each broadcast on its own; documents are only scanned, never shuffled.
@@ -30,6 +34,7 @@ TABLES = 10
 SAMPLES = 6  # positions compared by a table, one in each equal part of the walk
 DEPTHS = (24, 18, 12, 6, 3, 1)  # steps of a walk, by the words an item has
 SIMILARITY = 0.8  # 1 - edit distance / characters of the item
+TINY = 24  # items of fewer characters: one of the pieces between the allowed edits must be whole, so one vote is enough
 BLOCK_BYTES = 8 << 20
 DOCS_AT_ONCE = 128
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
@@ -40,6 +45,11 @@ def normal(text: str) -> list[bytes]:
     return text.lower().encode("utf-8").split()
 
 
+def plain(text: str) -> str:
+    """The words of a text with one space between them."""
+    return b" ".join(normal(text)).decode("utf-8")
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\r\x0b\x0c")] = True
 #: A random value for every byte at every place (modulo 64) of a word.
@@ -107,9 +117,11 @@ def build_index(items: list[tuple[object, str]]) -> dict:
             keys = walk_keys(hashes, bits, at, 0, steps)
             order = np.argsort(keys, kind="stable")
             due[t][steps[0]].append((steps, _present(first, 16), _present(keys, 20), keys[order], number[order], offset[order]))
+    texts = [plain(text) for _, text in items]
     return {
         "ids": [i for i, _ in items],
-        "texts": [b" ".join(normal(text)).decode("utf-8") for _, text in items],
+        "texts": texts,
+        "pieces": piece_index(texts),
         "words": sizes.tolist(),
         "due": [dict(steps) for steps in due],
     }
@@ -156,6 +168,117 @@ def candidates(hashes: np.ndarray, starts: np.ndarray, index: dict) -> tuple[np.
     return both[:, 0], both[:, 1]
 
 
+def allowed(length: int) -> int:
+    """Edits an item of ``length`` characters may have."""
+    return int((1 - SIMILARITY) * length + 1e-9)
+
+
+def piece_rule(length: int) -> tuple[int, int]:
+    """Characters of a piece, and votes needed, for an item of ``length`` characters."""
+    if length < TINY:
+        return max(1, length // (allowed(length) + 1)), 1
+    return (6, 2) if length < 64 else (8, max(length // 20, 4))
+
+
+def piece_hashes(text: str, size: int) -> np.ndarray:
+    """64-bit hash of the ``size`` characters at every place of ``text``."""
+    code = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
+    code = (code + np.uint64(1)) * _ODD[1]
+    code ^= code >> np.uint64(31)
+    total = np.zeros(max(0, len(code) - size + 1), np.uint64)
+    for k in range(size):
+        total *= _ODD[2]
+        total += code[k : k + len(total)]
+    total ^= total >> np.uint64(29)
+    total *= _ODD[0]
+    return total ^ total >> np.uint64(32)
+
+
+def piece_index(texts: list[str]) -> dict:
+    """The pieces of all items by size, in order of their hashes, with item number and place."""
+    rules = [piece_rule(len(text)) for text in texts]
+    rows = defaultdict(list)
+    for number, (text, (size, _)) in enumerate(zip(texts, rules)):
+        rows[size].append((piece_hashes(text, size), number))
+    tables = {}
+    for size, parts in rows.items():
+        keys = np.concatenate([k for k, _ in parts])
+        number = np.repeat(np.array([n for _, n in parts], np.int32), [len(k) for k, _ in parts])
+        place = np.concatenate([np.arange(len(k), dtype=np.int32) for k, _ in parts])
+        order = np.argsort(keys, kind="stable")
+        bits = max(16, len(keys).bit_length() + 3)
+        filled = np.bincount((keys >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+        tables[size] = (bits, np.append(0, np.cumsum(filled)).astype(np.int32), keys[order], number[order], place[order])
+    lengths = np.array([len(text) for text in texts], np.int64)
+    drift = np.array([max(8, allowed(len(text)) // 2) for text in texts], np.int64)
+    return {"tables": tables, "length": lengths, "drift": drift, "votes": np.array([v for _, v in rules], np.int64)}
+
+
+def voted(texts: list[str], index: dict) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, first, last): the item may start in the text about the characters first to last.
+
+    ``texts`` are plain. A run of places each within the item's drift (half the allowed edits) of
+    the one before is one candidate.
+    """
+    lengths, drift, votes = index["length"], index["drift"], index["votes"]
+    joined = "\n".join(texts)  # no piece of an item has a line break
+    begins = np.cumsum([0] + [len(text) + 1 for text in texts])[:-1]
+    gap = int((lengths + drift).max(initial=0)) + 1
+    for size, (bits, starts, keys, number, place) in index["tables"].items():
+        hashes = piece_hashes(joined, size)
+        bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+        low = starts[bucket]
+        many = starts[bucket + 1] - low
+        at = np.flatnonzero(many)
+        low, many = low[at].astype(np.int64), many[at].astype(np.int64)
+        entry = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        at = np.repeat(at, many)
+        same = keys[entry] == hashes[at]
+        at, entry = at[same], entry[same]
+        # Texts are gap characters apart, so a start before its text is told from one in the text before.
+        owner = np.searchsorted(begins, at, "right")
+        vote = np.sort((number[entry].astype(np.int64) << 40) + at + owner * gap - place[entry])
+        item = vote >> 40
+        last = np.arange(len(vote)) + votes[item] - 1
+        full = np.flatnonzero(last < len(vote))
+        full = full[vote[last[full]] - vote[full] <= drift[item[full]]]
+        if not len(full):
+            continue
+        here, item, until = vote[full], item[full], vote[last[full]]
+        cut = np.flatnonzero(here[1:] - here[:-1] > drift[item[1:]]) + 1
+        first, end = np.append(0, cut), np.append(cut, len(here)) - 1
+        spread = begins + np.arange(len(texts)) * gap
+        mask = (1 << 40) - 1
+        text = np.searchsorted(spread, here[first] & mask, "right") - 1
+        shift = spread[text] + gap
+        yield from zip(
+            text.tolist(), item[first].tolist(), ((here[first] & mask) - shift).tolist(), ((until[end] & mask) - shift).tolist()
+        )
+
+
+def triples(text: str) -> np.ndarray:
+    """Three characters at every place of ``text`` as one number."""
+    code = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
+    return code[:-2] | code[1:-1] << np.uint64(21) | code[2:] << np.uint64(42)
+
+
+def possible(pattern: str, region: str, lead: int, shifts: int) -> bool:
+    """Whether ``pattern`` can be within its allowed edits at shifts 0 to ``shifts`` - 1, the region standing ``lead`` characters in.
+
+    An edit changes three triples at most, so the others stand in the region
+    within these shifts: no match is refused.
+    """
+    least = len(pattern) - 2 - 3 * allowed(len(pattern))
+    if least <= 0 or pattern in region:
+        return True
+    want = triples(pattern)
+    have = np.zeros(len(want) + shifts - 1, np.uint64)
+    some = triples(region)[: max(0, len(have) - lead)]
+    have[lead : lead + len(some)] = some
+    windows = np.lib.stride_tricks.sliding_window_view(have, shifts)
+    return int((windows == want[:, None]).any(axis=1).sum()) >= least
+
+
 def best_distance(pattern: str, text: str) -> int:
     """Smallest edit distance between ``pattern`` and any substring of ``text``, by bit-parallel columns."""
     if pattern in text:
@@ -204,6 +327,20 @@ def matches(texts: list[str], index: dict) -> list[list[tuple[int, int, int]]]:
             distance = best_distance(pattern, b" ".join(region).decode("utf-8"))
             if distance <= (1 - SIMILARITY) * len(pattern) + 1e-9:
                 found[doc][k] = (distance, max(0, first))
+    whole = [plain(text) for text in texts]
+    for doc, k, first, last in voted(whole, index["pieces"]):
+        if k in found[doc]:
+            continue
+        pattern = index["texts"][k]
+        slack = allowed(len(pattern))
+        region = whole[doc][max(0, first - slack) : max(0, last + len(pattern) + 2 * slack)]
+        if len(region) < len(pattern) - slack or not possible(
+            pattern, region, max(0, slack - first), last - first + 2 * slack + 1
+        ):
+            continue
+        distance = best_distance(pattern, region)
+        if distance <= slack:
+            found[doc][k] = (distance, whole[doc].count(" ", 0, max(0, first)))
     return [[(k, *v) for k, v in sorted(one.items())] for one in found]
 
 
