@@ -110,3 +110,32 @@ def test_the_bound_on_triples_refuses_no_match_at_a_text_begin():
         first, slack = -cut, dc.allowed(len(text))
         region = text[cut:] + "xyz" * 40
         assert dc.possible(text, region, max(0, slack - first), 2 * slack + 1)
+
+
+def letters_changed(rng, text, rate):
+    """One letter replaced, dropped or added in ``rate`` of the words."""
+    words = text.split()
+    for k, w in enumerate(words):
+        if rng.random() < rate:
+            at, c = rng.randrange(len(w)), rng.choice("abcdefghijklmnopqrstuvwxyz")
+            words[k] = rng.choice([w[:at] + c + w[at + 1 :], w[:at] + c + w[at:], w[:at] + w[at + 1 :]])
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("rate", [0.3, 0.5, 0.7, 1.0])
+def test_recall_of_changed_letters(spark, rate):
+    rng = random.Random(12)
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    around = [r["text"].split()[:40] for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
+    index = dc.build_index(items)
+    texts = [
+        " ".join(around[k % 60] + [letters_changed(rng, text, rate)] + around[(k + 7) % 60])
+        for k, (_, text) in enumerate(items * 5)
+    ]
+    wanted = [k % len(items) for k in range(len(texts))]
+    near = [
+        dc.best_distance(index["texts"][k], dc.plain(t)) <= 0.2 * len(index["texts"][k]) for t, k in zip(texts, wanted)
+    ]
+    found = [any(hit[0] == k for hit in hits) for hits, k in zip(dc.matches(texts, index), wanted)]
+    print("changed letters", rate, sum(near), sum(a and b for a, b in zip(near, found)))
+    assert sum(near) and sum(a and b for a, b in zip(near, found)) >= 0.9 * sum(near)
