@@ -1,5 +1,6 @@
 import re
 
+from trafficlens.llm import licenses
 from trafficlens.llm.licenses import BASE_PHRASES, op8_licenses, scan_licenses
 
 SF = "/root/testdata/sf0.01"
@@ -59,3 +60,18 @@ def test_odd_rows(spark, odd_docs):
         assert (r["labels"], r["score"], r["first_word"]) == ("", 0.0, None)
     assert {r["n_words"] for r in rows if r["doc_id"] in (2, 3)} == {0}
     assert scan_licenses(odd_docs.limit(0)).count() == 0
+
+
+def test_every_notice_of_a_file_is_found(spark):
+    notices = {}
+    for label, notice, _ in licenses.TEMPLATES:
+        notices.setdefault(label, notice)
+    pairs = [(a, b) for a in notices for b in notices if a < b]
+    texts = [f"{notices[a]} some other line here {notices[b]}" for a, b in pairs]
+    # Files that make the words of some notices common, so the others' words are the rarer ones.
+    common = ["all rights reserved", notices["lgpl"], notices["gpl"], notices["mpl"], notices["cc-by-nc"]] * 40
+    texts += common + [" and ".join(notices.values())]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r["doc_id"]: set(r["labels"].split(",")) for r in scan_licenses(docs).collect()}
+    missed = [pair for k, pair in enumerate(pairs) if not set(pair) <= got[k]]
+    assert missed == [] and set(notices) <= got[len(texts) - 1]

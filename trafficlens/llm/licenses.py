@@ -1,10 +1,9 @@
-"""Licence scan by a positional index of rare licence words.
+"""Licence scan by a positional index of licence words.
 
-Each licence notice is a template of words. For every file the licence words
-with the highest inverse document frequency are looked up in the template
-postings; two words that agree on the difference between their place in the
-file and their place in the template vote for the same alignment. Alignments
-are then scored over all words of the template and kept only when a mandatory
+Each licence notice is a template of words. All licence words of a file are
+looked up in the template postings; two words that agree on the difference
+between their place in the file and their place in the template vote for the
+same alignment. Alignments are then scored over all words of the template and kept only when a mandatory
 key phrase of the licence stands in the file. Everything is a DataFrame
 expression; the postings are a constant of this module, so their broadcast has
 a fixed size.
@@ -62,8 +61,7 @@ TEMPLATES = [
 # Function words that index nothing.
 FUNCTION_WORDS = "0 2 3 4 a all an and any are as at be by can code deal except file for form forms free in is it may met not of or person subject that the this to use v version with without work you".split()
 
-RARE_WORDS_PER_FILE = 8
-MIN_VOTES = 2  # rare words that must agree on one alignment
+MIN_VOTES = 2  # licence words that must agree on one alignment
 MIN_COVERAGE = 0.6  # share of the template's weight found in place
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -172,20 +170,10 @@ def match_templates(scanned: DataFrame) -> DataFrame:
     )
     weighted = index.join(weights, "word", "left").withColumn("idf", F.coalesce("idf", F.lit(1e-9)))
     weighted = weighted.withColumn("total", F.sum("idf").over(Window.partitionBy("template")))
-    lowest = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("idf"), "word"))
-    rare = (
-        hits.select("row", "word")
-        .distinct()
-        .join(F.broadcast(weights), "word")
-        .withColumn("rank", lowest)
-        .where(F.col("rank") <= RARE_WORDS_PER_FILE)
-        .select("row", "word")
-    )
     placed = hits.join(F.broadcast(weighted), "word").withColumn("offset", F.col("at") - F.col("place"))
     needed = index.groupBy("template").agg(F.countDistinct("word").alias("words"))
     votes = (
-        placed.join(rare, ["row", "word"], "left_semi")
-        .groupBy("row", "template", "offset")
+        placed.groupBy("row", "template", "offset")
         .agg(F.countDistinct("word").alias("votes"))
         .join(F.broadcast(needed), "template")
         .where(F.col("votes") >= F.least(F.lit(MIN_VOTES), F.col("words")))
