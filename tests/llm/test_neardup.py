@@ -120,3 +120,21 @@ def test_odd_rows(spark, odd_docs):
     texts = sorted((r["doc_id"] or -1, r["text"] or "") for r in kept.collect())
     assert [i for i, _ in texts] == [-1, 1, 2, 4, 5, 5, 8, 9] and texts[4][1] != texts[5][1]
     assert nd.near_duplicates(odd_docs.limit(0)).count() == 0
+
+
+def test_pairs_near_by_plain_jaccard_only(spark):
+    rng = random.Random(10)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    docs = []
+    for k in range(20):
+        base, line, other = words(204), words(10), words(10)
+        docs.append((4 * k, " ".join(base)))
+        docs.append((4 * k + 1, " ".join(base + line * 20)))
+        both = words(204)
+        docs.append((4 * k + 2, " ".join(both + line * 20)))
+        docs.append((4 * k + 3, " ".join(both + other * 3)))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["class_id"] for r in nd.near_duplicates(frame).collect()}
+    want = classes_of([i for i, _ in docs], brute_links(docs))
+    assert sum(want[i] != i for i in want) >= 30
+    assert sum(got[i] == want[i] for i in got) >= 0.97 * len(got)

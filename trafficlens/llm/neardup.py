@@ -4,7 +4,9 @@ A shingle of weight w sends arrivals of a Poisson process of rate w to random
 registers; a register keeps the shingle that arrives first, and a shingle stops
 once its next arrival is later than every register's first. Two documents agree in
 a register with probability equal to the probability Jaccard of their weighted
-shingles. Documents that agree in all registers of a band share a bucket.
+shingles. Documents that agree in all registers of a band share a bucket. A text
+that repeats a shingle also has the bands of its plain set, all rates 1, so pairs
+that are near by plain Jaccard meet however often a line repeats.
 
 Documents with equal weighted shingles are one node. Buckets of up to
 SMALL_BUCKET nodes give all their pairs; larger ones are first linked to their
@@ -124,16 +126,20 @@ def document_signatures(docs: DataFrame) -> DataFrame:
                 known.clear()
             sets = [shingles(text, known) for text in part.column(3).to_pylist()]
             bands: list = [[] for _ in sets]
-            order = sorted((i for i in range(len(sets)) if len(sets[i][0])), key=lambda i: len(sets[i][0]))
+            # (document, set): the weighted set of each and, where a shingle repeats, the plain one.
+            tasks = [(i, one) for i, one in enumerate(sets) if len(one[0])]
+            tasks += [(i, (s, np.ones_like(c))) for i, (s, c) in tasks if c.max() > 1]
+            order = sorted(range(len(tasks)), key=lambda k: len(tasks[k][1][0]))
             group, held = [], 0
             for i in chain(order, [None]):
-                if group and (i is None or held + len(sets[i][0]) > ELEMENTS_AT_ONCE):
-                    for j, keys in zip(group, band_keys(signatures([sets[j] for j in group]))):
-                        bands[j] = keys
+                if group and (i is None or held + len(tasks[i][1][0]) > ELEMENTS_AT_ONCE):
+                    for k, keys in zip(group, band_keys(signatures([tasks[k][1] for k in group]))):
+                        j = tasks[k][0]
+                        bands[j] = np.union1d(bands[j], keys) if len(bands[j]) else keys
                     group, held = [], 0
                 if i is not None:
                     group.append(i)
-                    held += len(sets[i][0])
+                    held += len(tasks[i][1][0])
             bags, packed, weights = [], [], []
             for s, c in sets:
                 counted = mixed(s + c.astype(np.uint64) * _STEP)
