@@ -1,18 +1,15 @@
-import gzip
 import os
 import sys
 
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-if ROOT not in sys.path:
-    sys.path.insert(0, ROOT)
+for folder in (ROOT, os.path.join(ROOT, "tests")):  # importable from any working directory
+    if folder not in sys.path:
+        sys.path.insert(0, folder)
 
 from trafficlens.session import local_session  # noqa: E402
 
-SMOKE_DIR = "/root/testdata/sf0.001"
-ORACLE_DIR = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -28,13 +25,3 @@ def ansi(spark, request):
     spark.conf.set("spark.sql.ansi.enabled", request.param)
     yield request.param
     spark.conf.set("spark.sql.ansi.enabled", before)
-
-
-def write_dump(directory, name, lines):
-    """Write one gzip dump file with the given text lines."""
-    os.makedirs(directory, exist_ok=True)
-    path = os.path.join(directory, name)
-    with gzip.open(path, "wt", encoding="utf-8") as fh:
-        for line in lines:
-            fh.write(line + "\n")
-    return path

@@ -94,7 +94,7 @@ def test_landing_replaces_hours_and_keeps_others(spark, tmp_path):
 
 
 def test_run_context_writes_manifest_and_meta(spark, tmp_path):
-    from conftest import write_dump
+    from traffic_helpers import write_dump
 
     out_root, manifest = str(tmp_path / "out"), str(tmp_path / "runs")
     for hour in range(3):
@@ -149,7 +149,7 @@ def test_calendars_ignore_daylight_saving_in_a_zoned_session(spark):
 
 
 def test_coverage_scans_its_input_once(spark):
-    from conftest import SMOKE_DIR
+    from traffic_helpers import SMOKE_DIR
 
     from trafficlens import fixtures as fx
     from trafficlens.plans import observed_hours

@@ -74,7 +74,7 @@ def test_untied_fast_path_matches(spark):
 
 def test_metric_plans_have_no_sort_aggregate(spark):
     import __spark_entry__ as entry
-    from conftest import SMOKE_DIR
+    from traffic_helpers import SMOKE_DIR
 
     for name, query in entry.queries().items():
         if name.startswith("metric_"):

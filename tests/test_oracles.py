@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import SMOKE_DIR
+from traffic_helpers import SMOKE_DIR
 
 import __spark_entry__ as entry
 from oracle_harness import compare

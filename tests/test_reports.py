@@ -1,7 +1,7 @@
 """Top pages, daily and hourly reports: invariants, parity rules, one-pass plans."""
 
 import pytest
-from conftest import ORACLE_DIR, SMOKE_DIR
+from traffic_helpers import ORACLE_DIR, SMOKE_DIR
 
 from trafficlens import fixtures as fx
 from trafficlens.operators import unknown_titles
@@ -127,7 +127,7 @@ def test_landed_plans_push_filters_and_prune_columns(spark, tmp_path):
 
 
 def test_text_scan_filters_projects_before_splitting(spark, tmp_path):
-    from conftest import write_dump
+    from traffic_helpers import write_dump
 
     from trafficlens.sources import read_pageviews
 
@@ -140,7 +140,7 @@ def test_text_scan_filters_projects_before_splitting(spark, tmp_path):
 
 @pytest.mark.parametrize("report", [lambda pv: top_pages(pv, 100), hourly_profile, lambda pv: title_daily(pv, "A")])
 def test_text_path_reads_the_dumps_once(spark, tmp_path, report):
-    from conftest import write_dump
+    from traffic_helpers import write_dump
 
     from trafficlens.sources import read_pageviews
 

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import write_dump
+from traffic_helpers import write_dump
 
 from trafficlens.sources import (
     file_hours,

@@ -4,7 +4,7 @@ import json
 import os
 
 import pytest
-from conftest import write_dump
+from traffic_helpers import write_dump
 
 from trafficlens import jobs
 from trafficlens import (
