@@ -1,0 +1,139 @@
+import hashlib
+
+import numpy as np
+import pytest
+
+from oracle_harness import compare
+from trafficlens.llm import vectorcodes as vc
+from trafficlens.llm.registry import oracle_sql, queries
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int, x string, n string, code string"
+
+
+def plain_codes(rows):
+    """Codes, errors and codebook digest of (vec_id, vector) rows by plain rounds over all distances."""
+    rows = [(i, np.array(v, np.float32).astype(np.float64)) for i, v in rows if v is not None and None not in v]
+    rows = sorted(((i, v) for i, v in rows if np.isfinite(v).all()), key=lambda r: r[0])
+    x = np.stack([np.floor(4096 * v).astype(np.int64) for _, v in rows]).reshape(len(rows), 8, -1)
+    books = x[:16].transpose(1, 0, 2).copy()
+
+    def assign():
+        d = ((x[:, :, None, :] - books[None]) ** 2).sum(axis=3)
+        return d.argmin(axis=2), d.min(axis=2)
+
+    for _ in range(6):
+        code, _ = assign()
+        for p in range(8):
+            for k in range(books.shape[1]):
+                own = x[code[:, p] == k, p]
+                if len(own):
+                    books[p, k] = [int(s) // len(own) for s in own.sum(axis=0)]
+    code, d = assign()
+    digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+    return {rows[i][0]: (bytes(c.astype(np.uint8)).hex(), int(e)) for i, (c, e) in enumerate(zip(code, d.sum(axis=1)))}, digest
+
+
+@pytest.mark.parametrize("seed, spread", [(1, 1.0), (2, 0.002), (3, 20.0)])
+def test_codes_equal_plain_rounds(spark, seed, spread):
+    random = np.random.default_rng(seed)
+    # A coarse grid gives many ties; a third of the rows are one vector.
+    vectors = random.integers(-3, 4, (900, 24)) * spread / 3
+    vectors[::3] = vectors[0]
+    rows = [(i * 7 % 1009, v.tolist(), int(random.integers(0, 4))) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").repartition(5)
+    expected, digest = plain_codes([(i, v) for i, v, _ in rows])
+    found = vc.code_table(df).collect()
+    assert {r["vec_id"]: (r["code"], r["error"]) for r in found} == expected
+    assert {r["codebooks_sha256"] for r in found} == {digest}
+    by_label = {}
+    for r in found:
+        by_label[r["label"]] = by_label.get(r["label"], 0) + r["error"]
+    assert all(r["label_error"] == by_label[r["label"]] for r in found)
+
+
+def test_bounds_always_enclose_the_distances():
+    """Through drifting codebooks every upper bound lies above and every lower bound below the exact distance."""
+    random = np.random.default_rng(5)
+    x = random.integers(-40, 41, (500, 4)).astype(np.int64)
+    entries = x[:16].copy()
+    had = b = 4
+    near, bounds = vc.start_part(x, entries, b)
+    for turn in range(8):
+        after = entries + random.integers(-4, 5, entries.shape)
+        drift = np.sqrt(((after - entries) ** 2).sum(axis=1).astype(float))
+        entries, b = after, max(2, b - turn % 2)
+        near, bounds, passed = vc.advance_part(x, near, bounds, entries, drift, b)
+        exact = np.sqrt(vc._squares(x, entries[None]).astype(float))
+        order = np.lexsort((np.broadcast_to(np.arange(16), exact.shape), exact), axis=1)
+        assert (near[:, 0] == order[:, 0]).all()
+        own = np.take_along_axis(exact, near.astype(int), 1)
+        assert (bounds[:, 0] >= own[:, 0]).all()
+        suffix = np.minimum.accumulate(bounds[:, ::-1], axis=1)[:, ::-1]
+        assert (suffix[:, 1 : b + 1] <= own[:, 1:]).all()
+        rest = np.ones(exact.shape, bool)
+        np.put_along_axis(rest, near.astype(int), False, 1)
+        assert (bounds[:, b + 1, None] <= np.where(rest, exact, np.inf)).all()
+        if turn:
+            assert (passed == 0).any()
+        had = b
+    assert had == b
+
+
+def test_bounds_save_distances_and_adapt(spark):
+    """After the first rounds most parts are settled without a distance, and fewer bounds are kept."""
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = vc.integer_vectors(df, "embedding")
+    seeds = rows.orderBy("vec_id").limit(16).collect()
+    first = np.stack([np.frombuffer(bytes(s["x"]), np.int32).reshape(8, 8) for s in seeds], axis=1).astype(np.int64)
+    books = vc.Codebooks(first, np.zeros((8, 16)))
+    state = vc.start_state(rows, books, 4)
+    for _ in range(3):
+        sums, passed = vc.totals(state, 8, 4)
+        books = books.moved(sums)
+        state = vc.advance_state(state, books, 4, 4)
+    _, passed = vc.totals(state, 8, 4)
+    assert passed.sum() == 8 * rows.count() and passed[0] > 0.3 * passed.sum() and passed[5] < 0.5 * passed.sum()
+    assert vc.fewer_bounds(np.array([900, 80, 19, 1, 0, 0]), 4, 16) == 2
+    assert vc.fewer_bounds(np.array([900, 10, 10, 10, 60, 5]), 4, 16) == 4
+    assert vc.fewer_bounds(np.array([900, 0, 0, 0, 0, 0]), 4, 16) == 2
+
+
+def test_odd_rows(spark):
+    good = [float(k) / 10 for k in range(16)]
+    rows = [
+        (1, good, 1, "x", "n", "c"),
+        (1, good, 1, "x", "n", "c"),  # repeated row
+        (2, None, 1, None, None, None),
+        (3, good[:15] + [float("nan")], 1, "x", "n", "c"),
+        (4, good[:15] + [float("-inf")], 1, "x", "n", "c"),
+        (5, good[:15] + [None], 1, "x", "n", "c"),
+        (None, [-v for v in good], None, "x", "n", "c"),
+        (6, good[:8], None, "x", "n", "c"),  # another length
+        (7, [], 2, "x", "n", "c"),
+    ]
+    found = vc.code_table(spark.createDataFrame(rows, SCHEMA)).collect()
+    got = sorted(((r["vec_id"] is None, r["vec_id"], r["code"], r["error"], r["label_error"]) for r in found), key=str)
+    zeros = "00" * 8
+    assert got == sorted(
+        [
+            (False, 1, zeros, 0, 0),
+            (False, 1, zeros, 0, 0),
+            (False, 6, None, None, 0),
+            (False, 7, None, None, None),
+            (True, None, "02" * 8, 0, 0),
+        ],
+        key=str,
+    )
+
+
+def test_empty_table_and_refused_vectors(spark):
+    assert vc.code_table(spark.createDataFrame([], SCHEMA)).collect() == []
+    for vector in ([1.0] * 12, [5000.0] * 8):
+        with pytest.raises(Exception, match="equal parts|scale the vectors"):
+            vc.code_table(spark.createDataFrame([(1, vector, 1, "", "", "")], SCHEMA)).collect()
+
+
+def test_query_equals_sql(spark):
+    name = "op11_vectorcodes"
+    result = compare(spark, name, "/root/testdata/sf0.01", queries()[name], oracle_sql()[name])
+    assert result["match"] and not result["type_mismatches"], result
