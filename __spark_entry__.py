@@ -24,6 +24,7 @@ from trafficlens import fixtures as fx
 from trafficlens.operators import filters as flt
 from trafficlens.operators.platform import add_platform
 from trafficlens.plans import coverage as cov
+from trafficlens.plans import instant
 from trafficlens.plans import metrics as mx
 from trafficlens.plans import runs as runstats
 from trafficlens.plans import traffic
@@ -205,6 +206,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "metric_sum_of_two": _samples(lambda s: mx.sum_of_two(s, "view", "click")),
         "metric_rate": _samples(lambda s: mx.counter_rate(s, RATE_WINDOW, RATE_STEP)),
         "metric_rate_signed": _samples(lambda s: mx.counter_rate(s, RATE_WINDOW, RATE_STEP, sign=-1)),
+        "metric_instant": _samples(
+            lambda s: instant.instant_values(s, oracles.INSTANT_STEP, oracles.INSTANT_LOOKBACK)
+        ),
+        "metric_instant_sum": _samples(
+            lambda s: instant.instant_sum(s, oracles.INSTANT_STEP, oracles.INSTANT_LOOKBACK)
+        ),
+        "metric_instant_at": _samples(
+            lambda s: instant.instant_at(s, oracles.INSTANT_AT, oracles.INSTANT_LOOKBACK)
+        ),
+        "metric_rate_edges": _samples(lambda s: instant.extrapolated_rate(s, RATE_WINDOW, RATE_STEP)),
+        "metric_rate_edges_sum": _samples(lambda s: instant.extrapolated_rate_sum(s, RATE_WINDOW, RATE_STEP)),
         "metric_sum_by_label": _samples(lambda s: mx.sum_by_label(s, RATE_STEP)),
         "metric_label_regex": _samples(lambda s: mx.label_matches(mx.latest(s), "name", oracles.LABEL_PATTERN)),
         "metric_reduce": _samples(lambda s: mx.reduce_series(mx.sum_by_label(s, RATE_STEP))),

@@ -249,6 +249,38 @@ SUM_BY_LABEL = (
     "group by name, b"
 )
 
+# Evaluation at instants: step and lookback are such that series go stale between samples.
+INSTANT_STEP, INSTANT_LOOKBACK, INSTANT_AT = "30 minutes", "90 minutes", "2024-01-15 12:00:00"
+INSTANTS = ctes(
+    **SAMPLES,
+    lasts="select name, k, ts, arg_max(v, event_id) as v from s group by name, k, ts",
+    grid="select name, k, unnest(generate_series(date_trunc('day', min(ts)), date_trunc('day', max(ts)) + interval 2 day, "
+    "interval 30 minute)) as t from s group by name, k",
+    live="select grid.name, grid.k, grid.t as ts, lasts.v as value from grid asof join lasts "
+    "on grid.name = lasts.name and grid.k = lasts.k and grid.t >= lasts.ts "
+    "where grid.t < lasts.ts + interval 90 minute",
+)
+INSTANT_AT_SQL = ctes(**SAMPLES) + (
+    "select name, k, arg_max(v, row(ts, event_id)) as value from s "
+    f"where ts > timestamp '{INSTANT_AT}' - interval 90 minute and ts <= timestamp '{INSTANT_AT}' group by name, k"
+)
+# Rates over raw samples: each sample is dealt to the six windows (t - 6 h, t] that hold it.
+RATE_AT_EDGES = ctes(
+    **SAMPLES,
+    inc=INC,
+    w="select *, epoch_us(ts) as us, ((epoch_us(ts) + 3599999999) // 3600000000 + j) * 3600000000 as t "
+    "from inc cross join range(0, 6) r(j)",
+    g="select name, k, t, count(*) as n, cast(sum(inc) - arg_min(inc, row(ts, event_id)) as double) as grown, "
+    "cast(arg_min(v, row(ts, event_id)) as double) as v0, min(us) as u0, max(us) as u1 from w group by name, k, t",
+    d="select *, (u1 - u0) / 1000000 as span, (u0 - (t - 21600000000)) / 1000000 as head, (t - u1) / 1000000 as tail "
+    "from g where n >= 2 and u1 > u0",
+    e="select *, case when head >= span / (n - 1) * 1.1::double then span / (n - 1) / 2 else head end as head1, "
+    "case when tail >= span / (n - 1) * 1.1::double then span / (n - 1) / 2 else tail end as tail1 from d",
+    f="select *, case when grown > 0 and v0 >= 0 then least(head1, span * (v0 / grown)) else head1 end as head2 from e",
+    rates="select name, k, make_timestamp(t) as ts, n as samples, "
+    "grown * ((span + head2 + tail1) / span) / 21600 as rate from f",
+)
+
 
 def all_oracles() -> dict[str, str]:
     return {
@@ -298,6 +330,11 @@ def all_oracles() -> dict[str, str]:
         "as bigint) as value from l",
         "metric_rate": RATE.format(sign=""),
         "metric_rate_signed": RATE.format(sign="-"),
+        "metric_instant": INSTANTS + "select * from live",
+        "metric_instant_sum": INSTANTS + "select name, ts, cast(sum(value) as bigint) as value from live group by name, ts",
+        "metric_instant_at": INSTANT_AT_SQL,
+        "metric_rate_edges": RATE_AT_EDGES + "select * from rates",
+        "metric_rate_edges_sum": RATE_AT_EDGES + "select name, ts, round(sum(rate), 6) as rate from rates group by name, ts",
         "metric_sum_by_label": ctes(**SAMPLES) + SUM_BY_LABEL,
         "metric_label_regex": ctes(**SAMPLES, l=LATEST)
         + f"select * from l where regexp_full_match(name, {lit(LABEL_PATTERN)})",

@@ -1,5 +1,6 @@
 """Reusable row, aggregate and window operators."""
 
+from .asof import asof_join
 from .filters import (
     check_titles,
     clean_pages,
@@ -18,6 +19,7 @@ from .series import previous_value, running_total
 
 __all__ = [
     "add_platform",
+    "asof_join",
     "check_titles",
     "clean_pages",
     "drop_empty_titles",

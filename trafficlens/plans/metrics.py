@@ -29,33 +29,18 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.patterns import anchored
+from ..functions.timefmt import sample_order
 from ..operators.series import previous_value
 
 SERIES = ("name", "k")
 BY = ("name",)
 
 
-def _order(ts: str, tiebreak: str | None) -> Column:
-    """Sample order as one fixed-width value, so ``max_by`` stays a hash aggregate.
-
-    Microseconds since the epoch times 2**64 plus the tie-break shifted to be
-    non-negative: a ``decimal(38,0)`` that orders like (ts, tiebreak).
-    """
-    if tiebreak is None:
-        return F.col(ts)
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    micros = F.timestamp_diff("MICROSECOND", epoch, F.col(ts).cast("timestamp_ntz"))
-    wide = micros.cast("decimal(18,0)") * F.lit(Decimal(1 << 64)).cast("decimal(20,0)")
-    low = F.col(tiebreak).cast("bigint").cast("decimal(19,0)") + F.lit(Decimal(1 << 63)).cast("decimal(19,0)")
-    return (wide.cast("decimal(38,0)") + low.cast("decimal(38,0)")).cast("decimal(38,0)")
-
-
 _UNIT_SECONDS = {"s": 1, "m": 60, "h": 3600, "d": 86400}
 _DURATION = re.compile(r"^\s*(\d+)\s*(s|sec|secs|seconds?|m|min|mins|minutes?|h|hours?|d|days?)\s*$")
 
@@ -81,7 +66,7 @@ def latest(
     value: str = "v",
 ) -> DataFrame:
     """Latest value of each series: ``series…, value``."""
-    return samples.groupBy(*series).agg(F.max_by(value, _order(ts, tiebreak)).alias("value"))
+    return samples.groupBy(*series).agg(F.max_by(value, sample_order(ts, tiebreak)).alias("value"))
 
 
 def latest_sum(samples: DataFrame, by: Sequence[str] = BY, series: Sequence[str] = SERIES, **cols) -> DataFrame:
@@ -186,7 +171,7 @@ def sum_by_label(
     """``sum by (by)(gauge)`` per step: latest value of each series in each step bucket,
     summed by label, stamped at the bucket end: ``by…, ts, value``."""
     per_bucket = samples.groupBy(*series, F.window(ts, _spark_duration(step)).alias("_b")).agg(
-        F.max_by(value, _order(ts, tiebreak)).alias("_last")
+        F.max_by(value, sample_order(ts, tiebreak)).alias("_last")
     )
     return per_bucket.groupBy(*by, F.col("_b.end").alias("ts")).agg(F.sum("_last").alias("value"))
 
