@@ -18,6 +18,14 @@ def brute_distance(pattern, text):
     return min(row)
 
 
+@settings(max_examples=200, deadline=None)
+@given(pattern=st.text("abc", min_size=1, max_size=12), text=st.text("abc", max_size=60), known=st.integers(0, 12))
+def test_least_distance_from_any_known_one(pattern, text, known):
+    least = brute_distance(pattern, text)
+    if least <= known <= len(pattern):
+        assert dc.least_match(pattern, text, (known, 0))[0] == least
+
+
 @settings(max_examples=200, deadline=None)
 @given(pattern=st.text("abc", min_size=1, max_size=12), text=st.text("abc", max_size=30))
 def test_distance(pattern, text):
@@ -139,3 +147,62 @@ def test_recall_of_changed_letters(spark, rate):
     found = [any(hit[0] == k for hit in hits) for hits, k in zip(dc.matches(texts, index), wanted)]
     print("changed letters", rate, sum(near), sum(a and b for a, b in zip(near, found)))
     assert sum(near) and sum(a and b for a, b in zip(near, found)) >= 0.9 * sum(near)
+
+
+def test_distances_equal_brute_force_over_all_pairs(spark):
+    """Every (document, item) pair of a whole table, by the edit distance of each item in each whole text."""
+    sf = "/root/testdata/sf0.001"
+    docs = [(r["doc_id"], dc.plain(r["text"] or "")) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    items = [(r["item_id"], dc.plain(r["text"])) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    got = {(r["doc_id"], r["item_id"]): r["distance"] for r in dc.op10_decontamination(spark, sf).collect()}
+    rng = random.Random(3)
+    some = [d for d in docs if any(d[0] == found for found, _ in got)] + rng.sample(docs, 20)
+    want = {}
+    for doc_id, text in some:
+        for item_id, item in items:
+            distance = dc.best_distance(item, text)
+            if distance <= dc.allowed(len(item)):
+                want[doc_id, item_id] = distance
+    assert got and got == want
+
+
+def test_an_exact_copy_after_an_edited_one():
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    item = " ".join(word() for _ in range(30))
+    edited = item.split()
+    edited[10] = word()
+    for order in ([" ".join(edited), item], [item, " ".join(edited)]):
+        text = " ".join([word(), order[0], *[word() for _ in range(50)], order[1]])
+        assert [hit[1] for hit in dc.matches([text], dc.build_index([(1, item)]))[0]] == [0]
+
+
+@pytest.mark.parametrize("size, run", [(20, 10_000), (40, 20_000), (80, 40_000)])
+def test_runs_in_items_and_texts_stay_small(size, run):
+    """Items that each hold a run of dashes, and a text of nothing else: bounded memory, and the items are still found."""
+    import tracemalloc
+
+    rng = random.Random(1)
+    some = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    items = [(k, f"{some(15)} {'-' * 100} {some(15)}") for k in range(size)] + [(size, "=" * 90)]
+    index = dc.build_index(items)
+    texts = [f"start {'-' * run} end", f"{some(9)} {items[3][1]} {'-' * run}", "=" * 200, ("-= " * run)[:run]]
+    tracemalloc.start()
+    found = dc.matches(texts, index)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500 << 20
+    assert [[h[:2] for h in hits] for hits in found] == [[], [(3, 0)], [(size, 0)], []]
+
+
+def test_a_phrase_of_many_items_is_voted_in_parts(monkeypatch):
+    """With few matches at once the same items are found."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    items = [(k, "which of the following is true of " + " ".join(word() for _ in range(12))) for k in range(60)]
+    index = dc.build_index(items)
+    texts = [" ".join([word(), *(items[k][1].upper() for k in rng.sample(range(60), 3)), word()]) for _ in range(20)] + ["", "x"]
+    whole = dc.matches(texts, index)
+    monkeypatch.setattr(dc, "MATCHES_AT_ONCE", 50)
+    assert [[h[0] for h in hits] for hits in dc.matches(texts, index)] == [[h[0] for h in hits] for hits in whole]
+    assert sum(map(len, whole)) == 60

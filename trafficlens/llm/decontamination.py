@@ -15,7 +15,7 @@ for it, wherever in the item the edits are. Windows that agree with an item in o
 table, or that have the votes, are verified by exact edit distance on characters.
 
 The benchmark is the query set. It is read in blocks of at most BLOCK_BYTES,
-each broadcast on its own; documents are only scanned, never shuffled.
+each broadcast on its own; documents are scanned once for each block, never shuffled.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ TABLES = 10
 SAMPLES = 6  # positions compared by a table, one in each equal part of the walk
 DEPTHS = (24, 18, 12, 6, 3, 1)  # steps of a walk, by the words an item has
 SIMILARITY = 0.8  # 1 - edit distance / characters of the item
+REPEATS = 4  # places of one piece that an item keeps: a run of one character would otherwise match itself everywhere
+MATCHES_AT_ONCE = 1 << 20  # votes held in memory together
 TINY = 24  # items of fewer characters: one of the pieces between the allowed edits must be whole, so one vote is enough
 BLOCK_BYTES = 8 << 20
 DOCS_AT_ONCE = 128
@@ -194,66 +196,121 @@ def piece_hashes(text: str, size: int) -> np.ndarray:
     return total ^ total >> np.uint64(32)
 
 
+def kept_places(hashes: np.ndarray) -> np.ndarray:
+    """Places of an item's pieces, of a piece with more than REPEATS places REPEATS spread ones with the first and last."""
+    order = np.argsort(hashes, kind="stable")
+    begins = np.flatnonzero(np.append(True, hashes[order][1:] != hashes[order][:-1])) if len(order) else order
+    counts = np.diff(np.append(begins, len(order)))
+    if not len(order) or counts.max() <= REPEATS:
+        return np.arange(len(hashes))
+    spread = [b + np.unique(np.linspace(0, c - 1, min(c, REPEATS)).astype(np.int64)) for b, c in zip(begins, counts)]
+    return np.sort(order[np.concatenate(spread)])
+
+
 def piece_index(texts: list[str]) -> dict:
-    """The pieces of all items by size, in order of their hashes, with item number and place."""
+    """The pieces of all items by size, in order of their hashes, with item number and place.
+
+    An item that leaves out places of repeated pieces needs as much fewer votes.
+    """
     rules = [piece_rule(len(text)) for text in texts]
     rows = defaultdict(list)
-    for number, (text, (size, _)) in enumerate(zip(texts, rules)):
-        rows[size].append((piece_hashes(text, size), number))
+    votes = []
+    for number, (text, (size, need)) in enumerate(zip(texts, rules)):
+        hashes = piece_hashes(text, size)
+        places = kept_places(hashes)
+        rows[size].append((hashes[places], places, number))
+        votes.append(max(min(need, 2), -(-need * len(places) // max(1, len(hashes)))))
     tables = {}
     for size, parts in rows.items():
-        keys = np.concatenate([k for k, _ in parts])
-        number = np.repeat(np.array([n for _, n in parts], np.int32), [len(k) for k, _ in parts])
-        place = np.concatenate([np.arange(len(k), dtype=np.int32) for k, _ in parts])
+        keys = np.concatenate([k for k, _, _ in parts])
+        number = np.repeat(np.array([n for _, _, n in parts], np.int64), [len(k) for k, _, _ in parts])
+        place = np.concatenate([p for _, p, _ in parts])
         order = np.argsort(keys, kind="stable")
+        keys, number, place = keys[order], number[order], place[order]
         bits = max(16, len(keys).bit_length() + 3)
-        filled = np.bincount((keys >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-        tables[size] = (bits, np.append(0, np.cumsum(filled)).astype(np.int32), keys[order], number[order], place[order])
+        filled = np.zeros(1 << bits, bool)
+        filled[(keys >> np.uint64(64 - bits)).astype(np.int64)] = True
+        rank = np.append(0, np.cumsum(keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+        # Equal keys stand in order of their items, so (rank, item) rises.
+        tables[size] = (bits, filled, keys, number, place, rank << 32 | number)
     lengths = np.array([len(text) for text in texts], np.int64)
     drift = np.array([max(8, allowed(len(text)) // 2) for text in texts], np.int64)
-    return {"tables": tables, "length": lengths, "drift": drift, "votes": np.array([v for _, v in rules], np.int64)}
+    return {"tables": tables, "length": lengths, "drift": drift, "votes": np.array(votes, np.int64)}
+
+
+def _slices(at: np.ndarray, many: np.ndarray, reach: int) -> Iterator[slice]:
+    """Runs of places with about MATCHES_AT_ONCE matches or 2 x ``reach`` characters, each from ``reach`` before the last one's end."""
+    until = np.cumsum(many)
+    begin = 0
+    while begin < len(at):
+        full = np.searchsorted(until, until[begin] - many[begin] + MATCHES_AT_ONCE, "right")
+        end = max(int(full), int(np.searchsorted(at, at[begin] + 2 * reach, "right")))
+        yield slice(begin, end)
+        if end >= len(at):
+            return
+        begin = int(np.searchsorted(at, at[end] - reach, "left"))
+
+
+def _by_items(at, low, high, ranked: np.ndarray, first: int, last: int) -> Iterator[tuple]:
+    """The matches of some places, halved by item number while there are more than MATCHES_AT_ONCE."""
+    some = np.flatnonzero(high > low)
+    at, low, high = at[some], low[some], high[some]
+    if (high - low).sum() <= MATCHES_AT_ONCE or last - first <= 1:
+        yield at, low, high
+        return
+    middle = (first + last) // 2
+    cut = np.searchsorted(ranked, (ranked[low] >> 32 << 32) | middle)
+    cut = np.clip(cut, low, high)
+    yield from _by_items(at, low, cut, ranked, first, middle)
+    yield from _by_items(at, cut, high, ranked, middle, last)
 
 
 def voted(texts: list[str], index: dict) -> Iterator[tuple[int, int, int, int]]:
     """(text, item, first, last): the item may start in the text about the characters first to last.
 
     ``texts`` are plain. A run of places each within the item's drift (half the allowed edits) of
-    the one before is one candidate.
+    the one before is one candidate. Votes are taken slice by slice, so memory is bounded
+    whatever repeats in texts and items; a candidate near a slice's end may come twice.
     """
     lengths, drift, votes = index["length"], index["drift"], index["votes"]
     joined = "\n".join(texts)  # no piece of an item has a line break
     begins = np.cumsum([0] + [len(text) + 1 for text in texts])[:-1]
     gap = int((lengths + drift).max(initial=0)) + 1
-    for size, (bits, starts, keys, number, place) in index["tables"].items():
+    spread = begins + np.arange(len(texts)) * gap
+    mask = (1 << 40) - 1
+    for size, (bits, filled, keys, number, place, ranked) in index["tables"].items():
         hashes = piece_hashes(joined, size)
-        bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-        low = starts[bucket]
-        many = starts[bucket + 1] - low
-        at = np.flatnonzero(many)
-        low, many = low[at].astype(np.int64), many[at].astype(np.int64)
-        entry = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
-        at = np.repeat(at, many)
-        same = keys[entry] == hashes[at]
-        at, entry = at[same], entry[same]
-        # Texts are gap characters apart, so a start before its text is told from one in the text before.
-        owner = np.searchsorted(begins, at, "right")
-        vote = np.sort((number[entry].astype(np.int64) << 40) + at + owner * gap - place[entry])
-        item = vote >> 40
-        last = np.arange(len(vote)) + votes[item] - 1
-        full = np.flatnonzero(last < len(vote))
-        full = full[vote[last[full]] - vote[full] <= drift[item[full]]]
-        if not len(full):
-            continue
-        here, item, until = vote[full], item[full], vote[last[full]]
-        cut = np.flatnonzero(here[1:] - here[:-1] > drift[item[1:]]) + 1
-        first, end = np.append(0, cut), np.append(cut, len(here)) - 1
-        spread = begins + np.arange(len(texts)) * gap
-        mask = (1 << 40) - 1
-        text = np.searchsorted(spread, here[first] & mask, "right") - 1
-        shift = spread[text] + gap
-        yield from zip(
-            text.tolist(), item[first].tolist(), ((here[first] & mask) - shift).tolist(), ((until[end] & mask) - shift).tolist()
+        at = np.flatnonzero(filled[(hashes >> np.uint64(64 - bits)).astype(np.int64)])
+        low = np.searchsorted(keys, hashes[at], "left")
+        high = np.searchsorted(keys, hashes[at], "right")
+        some = np.flatnonzero(high > low)
+        at, low, high = at[some], low[some], high[some]
+        parts = (
+            part
+            for s in _slices(at, high - low, gap + size)
+            for part in _by_items(at[s], low[s], high[s], ranked, 0, len(lengths))
         )
+        for here, begin, end in parts:
+            many = end - begin
+            entry = np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            here = np.repeat(here, many)
+            # Texts are gap characters apart, so a start before its text is told from one in the text before.
+            owner = np.searchsorted(begins, here, "right")
+            vote = np.sort((number[entry] << 40) + here + owner * gap - place[entry])
+            item = vote >> 40
+            last = np.arange(len(vote)) + votes[item] - 1
+            full = np.flatnonzero(last < len(vote))
+            full = full[vote[last[full]] - vote[full] <= drift[item[full]]]
+            if not len(full):
+                continue
+            start, item, until = vote[full], item[full], vote[last[full]]
+            cut = np.flatnonzero(start[1:] - start[:-1] > drift[item[1:]]) + 1
+            head, tail = np.append(0, cut), np.append(cut, len(start)) - 1
+            text = np.searchsorted(spread, start[head] & mask, "right") - 1
+            shift = spread[text] + gap
+            yield from zip(
+                text.tolist(), item[head].tolist(), ((start[head] & mask) - shift).tolist(), ((until[tail] & mask) - shift).tolist()
+            )
 
 
 def triples(text: str) -> np.ndarray:
@@ -269,7 +326,7 @@ def possible(pattern: str, region: str, lead: int, shifts: int) -> bool:
     within these shifts: no match is refused.
     """
     least = len(pattern) - 2 - 3 * allowed(len(pattern))
-    if least <= 0 or pattern in region:
+    if least <= 0 or shifts * len(pattern) > MATCHES_AT_ONCE or pattern in region:
         return True
     want = triples(pattern)
     have = np.zeros(len(want) + shifts - 1, np.uint64)
@@ -280,70 +337,127 @@ def possible(pattern: str, region: str, lead: int, shifts: int) -> bool:
 
 
 def best_distance(pattern: str, text: str) -> int:
-    """Smallest edit distance between ``pattern`` and any substring of ``text``, by bit-parallel columns."""
-    if pattern in text:
-        return 0
-    m = len(pattern)
+    """Smallest edit distance between ``pattern`` and any substring of ``text``."""
+    return best_match(pattern, text)[0]
+
+
+def best_match(pattern: str, text: str) -> tuple[int, int]:
+    """Smallest edit distance of any substring of ``text``, by bit-parallel columns, and where the first such one begins.
+
+    The begin is the item's length before its end, so it is off by at most the distance.
+    """
+    where_exact = text.find(pattern)
+    if where_exact >= 0:
+        return 0, where_exact
+    m, end = len(pattern), 0
     where = defaultdict(int)
     for k, c in enumerate(pattern):
         where[c] |= 1 << k
     full, last = (1 << m) - 1, 1 << (m - 1)
     more, less, score, best = full, 0, m, m
-    for c in text:
+    for k, c in enumerate(text, 1):
         same = where.get(c, 0)
         vertical = same | less
         across = (((same & more) + more) ^ more) | same
         up = less | (full & ~(across | more))
         down = more & across
         score += bool(up & last) - bool(down & last)
-        best = min(best, score)
+        if score < best:
+            best, end = score, k
         up, down = up << 1 & full, down << 1 & full
         more = down | (full & ~(vertical | up))
         less = up & vertical
+    return best, max(0, end - m)
+
+
+def least_match(pattern: str, text: str, known: tuple[int, int]) -> tuple[int, int]:
+    """The least distance and its begin in the whole ``text``, given a match ``known``.
+
+    A match of fewer than d edits leaves one of d parts of the pattern intact, near
+    the part's place; only around such parts distances are taken.
+    """
+    parts = known[0]
+    if not parts:
+        return 0, text.find(pattern)
+    edges = [len(pattern) * k // parts for k in range(parts + 1)]
+    regions = []
+    for a, b in zip(edges, edges[1:]):
+        at = text.find(pattern[a:b]) if b > a else -1
+        while at >= 0:
+            regions.append((max(0, at - a - parts), at - a + len(pattern) + parts))
+            at = text.find(pattern[a:b], at + 1)
+    joined: list[tuple[int, int]] = []
+    for begin, end in sorted(regions):
+        if joined and begin <= joined[-1][1]:
+            joined[-1] = (joined[-1][0], max(joined[-1][1], end))
+        else:
+            joined.append((begin, end))
+    best = known
+    for begin, end in joined:
+        distance, at = best_match(pattern, text[begin:end])
+        if distance < best[0]:
+            best = distance, begin + at
     return best
 
 
-def matches(texts: list[str], index: dict) -> list[list[tuple[int, int, int]]]:
-    """For each text its verified items: (item number, distance, first word of the window)."""
-    hashes, sizes, begins = padded_hashes(texts)
-    starts = np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-    where, item = candidates(hashes, starts, index)
-    found: list[dict[int, tuple[int, int]]] = [{} for _ in texts]
-    split: dict[int, list[bytes]] = {}
-    # An anchor deep in an item may put the item's start before the text: the text before is tried, then this one.
-    owner = np.searchsorted(begins, where + DEPTHS[0] // 2, "right") - 1
-    for o, w, k in zip(owner.tolist(), where.tolist(), item.tolist()):
-        for doc in {max(0, o), min(len(texts) - 1, max(0, o) + 1)}:
-            if k in found[doc]:
-                continue
-            if doc not in split:
-                split[doc] = normal(texts[doc])
-            pattern, n = index["texts"][k], index["words"][k]
-            slack = n // 4 + 2
-            first = w - int(begins[doc])
-            region = split[doc][max(0, first - slack) : max(0, first + n + slack)]
-            if not region:
-                continue
-            distance = best_distance(pattern, b" ".join(region).decode("utf-8"))
-            if distance <= (1 - SIMILARITY) * len(pattern) + 1e-9:
-                found[doc][k] = (distance, max(0, first))
+def matches(texts: list[str], index: dict, least: bool = True) -> list[list[tuple[int, int, int]]]:
+    """For each text its verified items: (item number, distance, word at which the match begins).
+
+    ``least`` gives each item's least distance in the whole text; else the first match found is
+    enough. A begin is the item's length before the match's end.
+    """
     whole = [plain(text) for text in texts]
-    for doc, k, first, last in voted(whole, index["pieces"]):
+    found: list[dict[int, tuple[int, int]]] = [{} for _ in texts]
+    for doc, k, first, last in _likely(texts, whole, index):
         if k in found[doc]:
             continue
         pattern = index["texts"][k]
         slack = allowed(len(pattern))
-        region = whole[doc][max(0, first - slack) : max(0, last + len(pattern) + 2 * slack)]
+        begin = max(0, first - slack)
+        region = whole[doc][begin : max(0, last + len(pattern) + 2 * slack)]
         if len(region) < len(pattern) - slack or not possible(
             pattern, region, max(0, slack - first), last - first + 2 * slack + 1
         ):
             continue
-        distance = best_distance(pattern, region)
+        distance, at = best_match(pattern, region)
         if distance <= slack:
-            found[doc][k] = (distance, whole[doc].count(" ", 0, max(0, first)))
+            found[doc][k] = (distance, begin + at)
+    for doc, hits in enumerate(found):
+        for k, known in hits.items():
+            if least:
+                known = least_match(index["texts"][k], whole[doc], known)
+            hits[k] = known[0], whole[doc].count(" ", 0, max(0, known[1]))
     return [[(k, *v) for k, v in sorted(one.items())] for one in found]
 
 
+def _likely(texts: list[str], whole: list[str], index: dict) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, first, last) of the windows that agree in a table of the walks, and of those with the votes.
+
+    A window is given by the characters of the plain text between which the item may start.
+    """
+    hashes, sizes, begins = padded_hashes(texts)
+    starts = np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+    where, item = candidates(hashes, starts, index)
+    places: dict[int, np.ndarray] = {}
+    # An anchor deep in an item may put the item's start before the text: the text before is tried, then this one.
+    owner = np.searchsorted(begins, where + DEPTHS[0] // 2, "right") - 1
+    for o, w, k in zip(owner.tolist(), where.tolist(), item.tolist()):
+        for doc in {max(0, o), min(len(texts) - 1, max(0, o) + 1)}:
+            words = int(sizes[doc])
+            if not words:
+                continue
+            if doc not in places:  # where each word of the plain text begins
+                code = np.frombuffer(whole[doc].encode("utf-32-le", "surrogatepass"), "<u4")
+                places[doc] = np.append(np.append(0, np.flatnonzero(code == 32) + 1), len(whole[doc]) + 1)
+            first = w - int(begins[doc])
+            slack = index["words"][k] // 4 + 2
+            if first - slack >= words or first + index["words"][k] + slack <= 0:
+                continue
+            low, high = min(max(0, first - slack), words - 1), min(max(0, first + slack), words - 1)
+            yield doc, k, int(places[doc][low]), int(places[doc][high])
+    yield from voted(whole, index["pieces"])
+
+
 def benchmark_blocks(benchmark: DataFrame) -> Iterator[list[tuple[object, str]]]:
     """The items with words, in blocks of about BLOCK_BYTES, each collected on its own."""
     items = benchmark.select("item_id", text_or_empty().alias("text")).where(F.trim("text") != "")
@@ -358,8 +472,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document row and benchmark item found in it.
 
     ``docs`` needs doc_id and text, ``benchmark`` item_id and text; other columns
-    are ignored. Returns doc_id, item_id, distance (characters), similarity and
-    first_word. Null and empty texts hold nothing, items without words are
+    are ignored. Returns doc_id, item_id, distance (characters, the least in the
+    whole text), similarity and first_word (the word an item's length before the match's end). Null and empty texts hold nothing, items without words are
     found nowhere, repeated rows are reported separately, items with equal texts
     are each reported. Empty tables give no rows.
     """
@@ -397,7 +511,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows in which a benchmark item is found; all columns stay."""
+    """``docs`` without the rows in which a benchmark item is found; all columns stay.
+
+    Null and empty texts are kept, repeated rows are judged alike; an empty benchmark
+    keeps all rows, an empty table gives no rows. Other columns pass through whatever their names.
+    """
     spark = docs.sparkSession
     at = docs.columns.index("text")
     for items in benchmark_blocks(benchmark):
@@ -407,7 +525,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             index = shared.value
             for part in row_slices(batches, DOCS_AT_ONCE):
                 texts = [t or "" for t in part.column(at).to_pylist()]
-                yield part.filter(pa.array([not hits for hits in matches(texts, index)], pa.bool_()))
+                yield part.filter(pa.array([not hits for hits in matches(texts, index, least=False)], pa.bool_()))
 
         docs = docs.mapInArrow(keep, docs.schema)
     return docs
