@@ -81,3 +81,71 @@ def test_odd_rows(spark, odd_docs, labelled):
     if not labelled:
         assert {r["score"] for r in rows} == {0.5}
     assert tx.classify_toxicity(odd_docs.limit(0), labels).count() == 0
+
+
+def plain_input(p, word):
+    """A word's vector and the mean of its trigrams' vectors, trigram by trigram."""
+    word = word.strip(tx._EDGES) or word
+    data, m = b"^" + word.encode("utf-8") + b"$$", (1 << 32) - 1
+    rows = []
+    for a, b, c in zip(data, data[1:], data[2:]):
+        h = (a * 0x9E3779B1 ^ b * 0x85EBCA77 ^ c * 0xC2B2AE3D) & m
+        rows.append(((h ^ h >> 15) * 0x27D4EB2F & m) >> 19)
+    own = p["words"][tx.word_row(word)]
+    return np.concatenate([own, np.mean([p["trigrams"][r] for r in rows], axis=0)]).astype(np.float64)
+
+
+def plain_logit(p, text):
+    """The worst of all windows of a text: a GRU each way, attention and the output, one word after the other."""
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    words, h = text.lower().split(), tx.HIDDEN
+    worst, first = -np.inf, 0
+    while True:
+        inputs = [plain_input(p, w) for w in words[first : first + tx.WINDOW]]
+        states = {}
+        for way, order in (("ahead", range(len(inputs))), ("back", reversed(range(len(inputs))))):
+            state = np.zeros(h)
+            for t in order:
+                gates = inputs[t] @ p[f"in_{way}"] + p[f"bias_{way}"]
+                own = state @ p[f"state_{way}"]
+                z, r = sigmoid(gates[:h] + own[:h]), sigmoid(gates[h : 2 * h] + own[h : 2 * h])
+                fresh = np.tanh(gates[2 * h :] + r * own[2 * h :])
+                state = z * state + (1 - z) * fresh
+                states[way, t] = state
+        both = [np.concatenate([states["ahead", t], states["back", t]]) for t in range(len(inputs))]
+        looks = np.array([np.tanh(s @ p["look"] + p["look_bias"]) @ p["weigh"] for s in both])
+        share = np.exp(looks - looks.max()) if both else looks
+        pooled = sum((w * s for w, s in zip(share / share.sum(), both)), np.zeros(2 * h)) if both else np.zeros(2 * h)
+        worst = max(worst, pooled @ p["out"] + p["out_bias"][0])
+        if first + tx.WINDOW >= len(words):
+            return worst
+        first += tx.STRIDE
+
+
+def test_scores_equal_a_plain_network_over_all_windows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    texts = [r["text"] or "" for r in docs if len(r["text"] or "") < 4000][:40] + ["", " \n", "one", "w " * 33, "w " * 32, "...", "é " * 57]
+    p = tx.new_parameters(3)
+    p["out_bias"][:] = 0.25
+    got = tx.score_texts(p, texts, tx.Words(p))
+    assert np.allclose(got, [plain_logit(p, t) for t in texts], atol=2e-4)
+
+
+def test_without_a_model_every_row_is_kept(spark, odd_docs):
+    labels = spark.createDataFrame([(1, 0), (4, 0), (5, None), (None, 1)], "doc_id bigint, toxic int")
+    for known in (labels, labels.limit(0)):
+        assert tx.keep_clean(odd_docs, known).count() == odd_docs.count()
+    assert tx.keep_clean(odd_docs.limit(0), labels).count() == 0
+
+
+def test_training_rows_come_from_the_documents_at_hand(spark, monkeypatch):
+    """Rows are limited after the join and the length filter, and a repeated id doesn't grow the sample."""
+    monkeypatch.setattr(tx, "TRAIN_ROWS", 5)
+    monkeypatch.setattr(tx, "TRAIN_BYTES", 100)
+    docs = [(k, f"text {k}" if k % 2 else "long " * 50) for k in range(60)] + [(7, "text 7")] * 500 + [(7, "other 7")]
+    labels = [(k, k % 3 // 2) for k in range(0, 5000)]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    texts, known = tx.training_texts(d, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    assert len(texts) == len(set(texts)) == 10 and sum(known) == 5 and all(len(t) < 100 for t in texts)
+    by_text = {t: labels[i][1] for i, t in docs}
+    assert [by_text[t] for t in texts] == known

@@ -2,9 +2,8 @@
 
 Each class has a Gaussian with a covariance shrunk towards the pooled one and
 towards a multiple of the identity. A score is the difference of the two
-log densities, each a Mahalanobis distance taken by a triangular solve with a
-Cholesky factor that is computed once, mapped to 0..1 by a logistic fitted on
-the training rows.
+log densities, each a Mahalanobis distance by the inverse of a Cholesky factor
+that is computed once, mapped to 0..1 by a logistic fitted on the training rows.
 
 The class moments are sums, so they come from one grouped aggregation over all
 labelled rows; the driver sees two small matrices. The logistic has two
@@ -117,9 +116,10 @@ class Discriminant:
     offsets: np.ndarray
     slope: float = 1.0
     shift: float = 0.0
+    fitted: bool = True  # False without training rows of both classes: the scores then tell nothing
 
     def values(self) -> tuple:
-        return self.centres, self.inverse, self.offsets, self.slope, self.shift
+        return self.centres, self.inverse, self.offsets, self.slope, self.shift, self.fitted
 
     def difference(self, x: np.ndarray) -> np.ndarray:
         """Log density of class 1 minus that of class 0."""
@@ -160,7 +160,7 @@ def fit_discriminant(moments: dict[int, tuple[int, np.ndarray, np.ndarray]]) ->
     p = len(STATISTICS)
     total = sum(n for n, _, _ in moments.values())
     if total == 0:
-        return Discriminant(np.zeros((2, p)), np.stack([np.eye(p)] * 2), np.zeros(2))
+        return Discriminant(np.zeros((2, p)), np.stack([np.eye(p)] * 2), np.zeros(2), fitted=False)
     scatter, own = np.zeros((p, p)), {}
     for label, (n, s, second) in moments.items():
         own[label] = (n, s / n, second - np.outer(s, s) / n)
@@ -175,7 +175,7 @@ def fit_discriminant(moments: dict[int, tuple[int, np.ndarray, np.ndarray]]) ->
         factor = np.linalg.cholesky(covariance)
         centres[k], inverse[k] = centre, np.linalg.inv(factor)
         offsets[k] = np.log((n if k in own else 1) / total) - np.log(np.diag(factor)).sum()
-    return Discriminant(centres, inverse, offsets)
+    return Discriminant(centres, inverse, offsets, fitted=len(own) == 2)
 
 
 def calibrate(model: Discriminant, x: np.ndarray, label: np.ndarray, steps: int = 50) -> Discriminant:
@@ -189,7 +189,7 @@ def calibrate(model: Discriminant, x: np.ndarray, label: np.ndarray, steps: int
         gradient = z.T @ (p - label) + 1e-3 * weights
         hessian = (z * (p * (1 - p))[:, None]).T @ z + np.diag([1e-3, 1e-3])
         weights = weights - np.linalg.solve(hessian, gradient)
-    return Discriminant(model.centres, model.inverse, model.offsets, float(weights[0]), float(weights[1]))
+    return Discriminant(model.centres, model.inverse, model.offsets, float(weights[0]), float(weights[1]), model.fitted)
 
 
 def train_quality(measured: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2) -> Discriminant:
@@ -211,10 +211,16 @@ def train_quality(measured: DataFrame, labels: DataFrame, folds: int = 4, held:
 def keep_accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows scored below ACCEPT; all columns stay, repeated rows are judged alike.
 
+    Without training labels of both classes there is no model, and every row is kept.
+    Null and empty texts are scored by their zero statistics; an empty table gives no
+    rows. Other columns pass through whatever their names.
+
     The texts are read once for the statistics of the training rows and once to
     score and filter; they are not shuffled.
     """
     model = train_quality(written(document_statistics(docs), "quality_statistics"), labels)
+    if not model.fitted:
+        return docs
     values = model.values()
     at = docs.columns.index("text")
 

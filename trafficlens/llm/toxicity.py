@@ -318,22 +318,28 @@ def train_toxicity(texts: list[str], labels: list[int], seed: int = 7) -> dict[s
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> tuple[list[str], list[int]]:
-    """At most TRAIN_ROWS texts of each class, chosen by a hash of doc_id, of at most TRAIN_BYTES bytes each."""
+    """At most TRAIN_ROWS texts of each class, chosen by a hash of doc_id, of at most TRAIN_BYTES bytes each.
+
+    The rows are chosen among the labelled ones of ``docs`` that are short enough, by
+    id and hash of the text; only the chosen texts are then read, each distinct one of
+    an id once, so what the driver gets is bounded however often an id repeats.
+    """
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("label")).where("label in (0, 1)")
-    known = known.where(fold(F.col("doc_id"), folds) != held)
-    chosen = {}
+    known = known.where(fold(F.col("doc_id"), folds) != held).distinct()
+    short = docs.where(F.octet_length("text") <= TRAIN_BYTES)
+    hashed = short.select("doc_id", F.xxhash64("text").alias("h"))
+    labelled = hashed.join(known, "doc_id").distinct()
+    chosen = []
     for label in (0, 1):
-        rows = known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS).collect()
-        chosen |= {r["doc_id"]: r["label"] for r in rows}
-    found = (
-        docs.where(F.col("doc_id").isin(list(chosen)) & (F.octet_length("text") <= TRAIN_BYTES))
-        .select("doc_id", "text")
-        .collect()
-        if chosen
-        else []
-    )
-    found.sort(key=lambda r: (r["doc_id"], r["text"]))
-    return [r["text"] for r in found], [chosen[r["doc_id"]] for r in found]
+        rows = labelled.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id", "h").limit(TRAIN_ROWS)
+        chosen += [(r["doc_id"], r["h"], r["label"]) for r in rows.collect()]
+    if not chosen:
+        return [], []
+    wanted = short.where(F.col("doc_id").isin(list({i for i, _, _ in chosen}))).select("doc_id", "text", F.xxhash64("text").alias("h"))
+    wanted = wanted.where(F.col("h").isin(list({h for _, h, _ in chosen})))
+    texts = {(r["doc_id"], r["h"]): r["text"] for r in wanted.groupBy("doc_id", "h").agg(F.min("text").alias("text")).collect()}
+    found = sorted((i, texts[i, h], label) for i, h, label in chosen)
+    return [text for _, text, _ in found], [label for _, _, label in found]
 
 
 def score_toxicity(docs: DataFrame, parameters: dict[str, np.ndarray]) -> DataFrame:
@@ -352,8 +358,16 @@ def score_toxicity(docs: DataFrame, parameters: dict[str, np.ndarray]) -> DataFr
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows scored 0.5 or more; all columns stay, repeated rows are judged alike."""
-    shared = docs.sparkSession.sparkContext.broadcast(train_toxicity(*training_texts(docs, labels)))
+    """``docs`` without the rows scored 0.5 or more; all columns stay, repeated rows are judged alike.
+
+    Without training texts of both classes there is no model, and every row is kept.
+    Null and empty texts are scored as one empty window; an empty table gives no rows.
+    Other columns pass through whatever their names.
+    """
+    texts, known_labels = training_texts(docs, labels)
+    if len(set(known_labels)) < 2:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(train_toxicity(texts, known_labels))
     at = docs.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
