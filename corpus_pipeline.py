@@ -3,6 +3,11 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; the runner
 writes it as Parquet and reads it back as the next stage's documents. All but
 the last stage return the columns of ``documents``.
+
+A null text counts as empty in every stage, and a null in another column passes
+through; empty texts, very long texts and rows without doc_id are judged like any
+other. Rows that repeat are judged alike, until near-dedup keeps one of them. Empty
+tables give no rows; extra columns pass through whatever their names.
 """
 
 from __future__ import annotations
@@ -21,22 +26,22 @@ RANKS = "byte_bpe_50k.tiktoken"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score reaches the acceptance level."""
+    """Documents whose quality score reaches the acceptance level; all of them without labels of both classes."""
     return keep_accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a toxic window."""
+    """Documents without a toxic window; all of them without labels of both classes."""
     return keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates, the one with the least doc_id."""
+    """One document of each class of near-duplicates, the one with the least doc_id; texts without words are one class."""
     return keep_one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item is found."""
+    """Documents in which no benchmark item is found; an empty benchmark, or items without words, drop none."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
