@@ -96,6 +96,13 @@ def _requested_titles(pv: DataFrame) -> DataFrame:
     return fx.titles_from(pv, "fr.m", (UNKNOWN_TITLE,))
 
 
+def _dump_titles_daily(spark: SparkSession, d: str) -> DataFrame:
+    """Daily views of the requested titles from real dumps, whose lines are sieved before they are parsed."""
+    requested = _requested_titles(fx.pageviews(spark, d))
+    pv = src.read_pageviews(spark, _dumps(spark, d), title_list=traffic.requested_spellings(requested))
+    return traffic.titles_daily(pv, requested)
+
+
 def _runs(fn):
     return lambda spark, d: fn(fx.runs(spark, d))
 
@@ -180,6 +187,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "titles_daily": _pv(
             lambda pv: traffic.titles_daily(pv, _reference_titles(pv).unionByName(_requested_titles(pv)))
         ),
+        "dump_titles_daily": _dump_titles_daily,
         # run manifest statistics
         "runs_load": _runs(_runs_from_csv),
         "run_ordinal": _runs(

@@ -113,12 +113,18 @@ TITLE_VARIANTS = ctes(**TITLE_LISTS) + "select distinct title, variant from (" +
 UNKNOWN_TITLES = ctes(**TITLE_LISTS) + (
     "select distinct title from req where not exists (select 1 from ref where ref.title = req.title)"
 )
-TITLES_DAILY = ctes(
-    **TITLE_LISTS,
-    v=VARIANTS.format(src="select title from ref union select title from req"),
-    hits=f"select v.title, pv.date, pv.views, {PLATFORM} as platform from pv join v on pv.title = v.variant "
-    f"where {PROJECT_FILTER}",
-) + f"select title, date, {SPLIT.format(total='views')} from hits group by title, date"
+
+
+def _titles_daily(requested: str) -> str:
+    return ctes(
+        **TITLE_LISTS,
+        v=VARIANTS.format(src=requested),
+        hits=f"select v.title, pv.date, pv.views, {PLATFORM} as platform from pv join v on pv.title = v.variant "
+        f"where {PROJECT_FILTER}",
+    ) + f"select title, date, {SPLIT.format(total='views')} from hits group by title, date"
+
+
+TITLES_DAILY = _titles_daily("select title from ref union select title from req")
 
 
 def _title_daily(title: str) -> str:
@@ -300,6 +306,7 @@ def all_oracles() -> dict[str, str]:
         "title_variants": TITLE_VARIANTS,
         "unknown_titles": UNKNOWN_TITLES,
         "titles_daily": TITLES_DAILY,
+        "dump_titles_daily": _titles_daily("select title from req"),
         "runs_load": ctes(**RUNS) + "select * from runs",
         "run_ordinal": ctes(**RUNS)
         + "select row_number() over (order by ts_utc, run_id) as ordinal, "

@@ -16,6 +16,7 @@ from .platform import add_platform, platform_views
 from .quantiles import group_median
 from .ranking import global_row_number, run_number
 from .series import previous_value, running_total
+from .semijoin import sieve
 
 __all__ = [
     "add_platform",
@@ -34,5 +35,6 @@ __all__ = [
     "previous_value",
     "run_number",
     "running_total",
+    "sieve",
     "unknown_titles",
 ]

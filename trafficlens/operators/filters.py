@@ -79,15 +79,14 @@ def check_titles(requested: DataFrame, known: DataFrame, force: bool = False) ->
     """Guard before a title query: raise when a requested title is unknown.
 
     Skipped when ``force`` is set or the known list is empty (no list given).
-    The message has the number of unknown titles and the first few of them in
-    order; :func:`unknown_titles` has them all.
+    The message has the first few unknown titles in order (a per-task top five) and
+    their number (an aggregate); :func:`unknown_titles` has them all.
     """
     if force or known.isEmpty():
         return
-    first = F.slice(F.array_sort(F.collect_set("title")), 1, 5)
-    buckets = unknown_titles(requested, known).groupBy(F.pmod(F.xxhash64("title"), F.lit(64)).alias("b"))
-    found = buckets.agg(F.count(F.lit(1)).alias("n"), first.alias("first")).collect()
-    total = sum(r["n"] for r in found)
-    if total:
-        some = sorted(t for r in found for t in r["first"])[:5]
-        raise ValueError(f"{total} unknown title(s), first {some!r}; check exact spelling or pass force=True")
+    unknown = unknown_titles(requested, known)
+    some = [r["title"] for r in unknown.orderBy("title").limit(5).collect()]
+    if some:
+        raise ValueError(
+            f"{unknown.count()} unknown title(s), first {some!r}; check exact spelling or pass force=True"
+        )

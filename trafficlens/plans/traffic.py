@@ -16,6 +16,7 @@ from ..functions.constants import DEFAULT_PROJECTS, MOBILE_PROJECTS
 from ..functions.ratios import pct, share_of_total
 from ..operators.filters import clean_pages, expand_title_variants, match_title, only_projects
 from ..operators.platform import add_platform, platform_views
+from ..operators.semijoin import sieve
 
 TOP_PAGES_COLUMNS = ("rank", "title", "views", "views_desktop", "views_mobile", "share_pct")
 DAILY_COLUMNS = ("date", "views", "views_desktop", "views_mobile")
@@ -82,6 +83,11 @@ def title_daily(
     return platform_views(hits, "date").select(*DAILY_COLUMNS).orderBy("date")
 
 
+def requested_spellings(titles: DataFrame, title_col: str = "title") -> DataFrame:
+    """``title, variant``: each requested title once with each of its spellings."""
+    return expand_title_variants(titles.select(title_col).distinct(), title_col)
+
+
 def titles_daily(
     pv: DataFrame,
     titles: DataFrame,
@@ -92,14 +98,18 @@ def titles_daily(
     """Daily views of many titles in one scan: ``title, date, views, views_desktop, views_mobile``.
 
     ``title`` is the requested spelling; its raw and encoded spellings are merged.
-    One plan whatever the list's size: the page views are aggregated by (title,
-    date, platform) first, which absorbs hot titles before any row meets the
-    join, and adaptive execution broadcasts the list only if it measures it small.
+    One plan whatever the list's size: a bitmap of the hashed spellings (of bounded
+    size, broadcast) lets only rows of requested titles pass, those are aggregated by
+    (title, date, platform), which absorbs hot titles, and what is left meets the list
+    in an exact join. Nothing of the other titles is shuffled. For dumps,
+    ``read_pageviews(..., title_list=requested_spellings(titles))`` sieves the lines
+    before they are parsed.
     """
-    variants = expand_title_variants(titles.select(title_col).distinct(), title_col)
+    variants = requested_spellings(titles, title_col)
     pages = add_platform(only_projects(pv, projects), mobile_projects).select(
         F.col("title").alias("variant"), "date", "platform", "views"
     )
+    pages = sieve(pages, F.col("variant"), variants, "variant")
     daily = pages.groupBy("variant", "date", "platform").agg(F.sum("views").alias("views"))
     hits = daily.join(variants, "variant")
     return platform_views(hits, "title", "date").select("title", *DAILY_COLUMNS)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.constants import FILENAME_PATTERN, PAGEVIEW_COLUMNS
+from ..operators.semijoin import sieve
 
 PAGEVIEW_SCHEMA = T.StructType(
     [
@@ -177,6 +178,7 @@ def parse_pageview_lines(
     file_name: str = "file_name",
     projects: Iterable[str] | None = None,
     titles: Iterable[str] | None = None,
+    title_list: DataFrame | None = None,
 ) -> DataFrame:
     """Typed page views from raw lines.
 
@@ -190,11 +192,16 @@ def parse_pageview_lines(
     one byte comparison instead of a decode and a split. ``titles`` (exact
     spellings) likewise skips lines that cannot hold one of them; it is a
     superset test, so apply the exact title predicate afterwards (the reports do).
+    ``title_list`` does the same for a table of spellings (its column ``variant``) of
+    any length, by a sieve on the line's second field; the exact join follows in the report.
     """
     if projects is not None:
         lines = lines.where(project_prefix_filter(projects, value))
     if titles is not None:
         lines = lines.where(title_substring_filter(titles, value))
+    if title_list is not None:
+        second = F.substring_index(F.substring_index(value, " ", 2), " ", -1)
+        lines = sieve(lines, second, title_list, "variant")
     f = F.col("_f")
     fields = [F.get(f, 0).alias("project"), F.get(f, 1).alias("title"), F.get(f, 2).try_cast("int").alias("views")]
     m = F.col("_m")
@@ -219,13 +226,15 @@ def read_pageviews(
     path: str | list[str],
     projects: Iterable[str] | None = None,
     titles: Iterable[str] | None = None,
+    title_list: DataFrame | None = None,
 ) -> DataFrame:
     """Scan hourly dumps (gzip text) into the typed page-view table.
 
-    ``projects`` / ``titles`` drop lines that cannot match before they are split
+    ``projects`` / ``titles`` / ``title_list`` drop lines that cannot match before they are split
     (see :func:`parse_pageview_lines`). No file name travels through the driver.
     """
-    return parse_pageview_lines(read_pageview_lines(spark, path), projects=projects, titles=titles)
+    lines = read_pageview_lines(spark, path)
+    return parse_pageview_lines(lines, projects=projects, titles=titles, title_list=title_list)
 
 
 def line_status(lines: DataFrame, value: str = "value", file_name: str = "file_name") -> DataFrame:
