@@ -231,8 +231,9 @@ def piece_index(texts: list[str]) -> dict:
         filled = np.zeros(1 << bits, bool)
         filled[(keys >> np.uint64(64 - bits)).astype(np.int64)] = True
         rank = np.append(0, np.cumsum(keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+        ends = np.cumsum(np.bincount(rank))[rank] if len(keys) else rank
         # Equal keys stand in order of their items, so (rank, item) rises.
-        tables[size] = (bits, filled, keys, number, place, rank << 32 | number)
+        tables[size] = (bits, filled, keys, ends, number, place, rank << 32 | number)
     lengths = np.array([len(text) for text in texts], np.int64)
     drift = np.array([max(8, allowed(len(text)) // 2) for text in texts], np.int64)
     return {"tables": tables, "length": lengths, "drift": drift, "votes": np.array(votes, np.int64)}
@@ -278,13 +279,15 @@ def voted(texts: list[str], index: dict) -> Iterator[tuple[int, int, int, int]]:
     gap = int((lengths + drift).max(initial=0)) + 1
     spread = begins + np.arange(len(texts)) * gap
     mask = (1 << 40) - 1
-    for size, (bits, filled, keys, number, place, ranked) in index["tables"].items():
+    for size, (bits, filled, keys, ends, number, place, ranked) in index["tables"].items():
+        if not len(keys):
+            continue
         hashes = piece_hashes(joined, size)
         at = np.flatnonzero(filled[(hashes >> np.uint64(64 - bits)).astype(np.int64)])
-        low = np.searchsorted(keys, hashes[at], "left")
-        high = np.searchsorted(keys, hashes[at], "right")
-        some = np.flatnonzero(high > low)
-        at, low, high = at[some], low[some], high[some]
+        low = np.minimum(np.searchsorted(keys, hashes[at], "left"), len(keys) - 1)
+        some = np.flatnonzero(keys[low] == hashes[at])
+        at, low = at[some], low[some]
+        high = ends[low]
         parts = (
             part
             for s in _slices(at, high - low, gap + size)
