@@ -30,7 +30,7 @@ from trafficlens.plans import runs as runstats
 from trafficlens.plans import traffic
 from trafficlens.functions.csvformat import CSV_OPTIONS
 from trafficlens.session import shared_path
-from trafficlens.sinks import landing, results
+from trafficlens.sinks import landing, results, rollups
 from trafficlens.sources import pageviews as src
 from trafficlens.sources.tables import calendar_spanning, clean_titles, hourly_calendar, read_runs, read_titles
 
@@ -153,6 +153,28 @@ def _landed(spark: SparkSession, d: str) -> DataFrame:
     return landing.read_landed_pageviews(spark, path)
 
 
+def _clustered(spark: SparkSession, d: str) -> DataFrame:
+    """Page views landed by hour, then clustered by title within each date; the last date is clustered twice."""
+    landed, path = shared_path(spark, "landed"), shared_path(spark, "clustered")
+    pv = fx.pageviews(spark, d)
+    landing.land_pageviews(pv, landed)
+    landing.cluster_dates(spark, landed, path)
+    landing.cluster_dates(spark, landed, path, rollups.dates_of(pv)[-1:])
+    return landing.read_landed_pageviews(spark, path)
+
+
+def _rolled(spark: SparkSession, d: str) -> str:
+    """Roll-ups of a landing that lacks its last hour, refreshed after that hour has landed; returns their path."""
+    landed, path = shared_path(spark, "landed"), shared_path(spark, "rolled")
+    pv = fx.pageviews(spark, d)
+    last = pv.agg(F.max(F.struct("date", "hour"))).first()[0]
+    is_last = (F.col("date") == F.lit(last["date"])) & (F.col("hour") == last["hour"])
+    for part in (pv.where(~is_last), pv.where(is_last)):
+        landing.land_pageviews(part, landed)
+        rollups.refresh_rollups(spark, landed, path, rollups.dates_of(part))
+    return path
+
+
 def _pv(fn):
     return lambda spark, d: fn(fx.pageviews(spark, d))
 
@@ -233,6 +255,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "observed_counts": _observed_counts,
         "pv_landed": _landed,
         "landed_top_pages": lambda spark, d: traffic.top_pages(_landed(spark, d), 100),
+        "pv_clustered": _clustered,
+        "clustered_title_daily": lambda spark, d: traffic.title_daily(_clustered(spark, d), MONUMENT),
+        "rollup_top_pages": lambda spark, d: traffic.top_pages(rollups.read_rolled_titles(spark, _rolled(spark, d)), 100),
+        "rollup_title_daily": lambda spark, d: traffic.title_daily(
+            rollups.read_rolled_titles(spark, _rolled(spark, d)), MONUMENT
+        ),
+        "rollup_hourly_profile": lambda spark, d: traffic.profile_of_hours(
+            traffic.merged_hours(rollups.read_rolled_hours(spark, _rolled(spark, d)))
+        ),
         # aggregates and reports
         "views_by_title": _pv(traffic.views_by_title),
         "views_by_hour": _pv(traffic.views_by_hour),

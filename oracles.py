@@ -353,6 +353,11 @@ def all_oracles() -> dict[str, str]:
         + "select (select count(*) from pv) as rows_in, (select count(*) from top) as rows_out",
         "pv_landed": ctes(pv=PV_SQL) + "select * from pv",
         "landed_top_pages": TOP_PAGES,
+        "pv_clustered": ctes(pv=PV_SQL) + "select * from pv",
+        "clustered_title_daily": _title_daily(MONUMENT),
+        "rollup_top_pages": TOP_PAGES,
+        "rollup_title_daily": _title_daily(MONUMENT),
+        "rollup_hourly_profile": HOURLY_PROFILE,
         "top_pages": TOP_PAGES,
         "views_by_title": VIEWS_BY_TITLE,
         "views_by_hour": VIEWS_BY_HOUR,

@@ -4,7 +4,17 @@ from .coverage import coverage_gaps, coverage_summary, observed_hours
 from .instant import extrapolated_rate, extrapolated_rate_sum, instant_at, instant_sum, instant_values
 from .metrics import counter_rate, label_matches, latest, latest_sum, reduce_series, sum_by_label, sum_of_two
 from .runs import run_families, run_ordinal, run_scaling, run_summary
-from .traffic import hourly_profile, requested_spellings, title_daily, titles_daily, top_pages, views_by_hour, views_by_title
+from .traffic import (
+    hourly_profile,
+    merged_hours,
+    profile_of_hours,
+    requested_spellings,
+    title_daily,
+    titles_daily,
+    top_pages,
+    views_by_hour,
+    views_by_title,
+)
 
 __all__ = [
     "counter_rate",
@@ -19,7 +29,9 @@ __all__ = [
     "label_matches",
     "latest",
     "latest_sum",
+    "merged_hours",
     "observed_hours",
+    "profile_of_hours",
     "reduce_series",
     "requested_spellings",
     "run_families",

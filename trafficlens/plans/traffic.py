@@ -127,6 +127,25 @@ def views_by_hour(
     )
 
 
+def merged_hours(
+    hours: DataFrame,
+    projects: Iterable[str] = DEFAULT_PROJECTS,
+    mobile_projects: Iterable[str] = MOBILE_PROJECTS,
+) -> DataFrame:
+    """The rows of :func:`views_by_hour`, merged from the hourly roll-up (:mod:`trafficlens.sinks.rollups`).
+
+    Distinct days are counted from the merged bitmaps of each month; no distinct is taken.
+    """
+    pages = add_platform(only_projects(hours, projects), mobile_projects)
+    by_month = platform_views(pages, "hour", "month", total="views_total", extra=[F.bit_or("days").alias("days")])
+    return by_month.groupBy("hour").agg(
+        F.sum("views_total").alias("views_total"),
+        F.sum(F.bit_count("days")).alias("n_days"),
+        F.sum("views_desktop").alias("views_desktop"),
+        F.sum("views_mobile").alias("views_mobile"),
+    )
+
+
 def hourly_profile(
     pv: DataFrame,
     projects: Iterable[str] = DEFAULT_PROJECTS,
@@ -139,7 +158,11 @@ def hourly_profile(
     planned as two partial aggregations, on (hour, date) then hour, so at most
     24 x days groups ever cross the network.
     """
-    by_hour = views_by_hour(pv, projects, mobile_projects)
+    return profile_of_hours(views_by_hour(pv, projects, mobile_projects))
+
+
+def profile_of_hours(by_hour: DataFrame) -> DataFrame:
+    """The hour-of-day profile from the rows of :func:`views_by_hour` or :func:`merged_hours`."""
     return by_hour.select(
         "hour",
         "views_total",

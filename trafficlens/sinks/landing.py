@@ -10,7 +10,11 @@ by title inside each task, which gives row groups tight min/max statistics on
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.constants import PAGEVIEW_COLUMNS
 from ..sources.pageviews import PAGEVIEW_SCHEMA
@@ -42,6 +46,38 @@ def land_pageviews(pv: DataFrame, path: str, balance: bool = False) -> int:
     )
 
 
+def cluster_dates(
+    spark: SparkSession, landed: str, path: str, dates: Sequence[dt.date] | None = None, titles_per_file: int = 1_000_000
+) -> int:
+    """Rewrite landed hours as ``path/date=.../``, clustered by title; returns rows written.
+
+    The landed table has a file for each hour, and every one of them may hold a title.
+    Here a date is cut into ranges of the title and sorted, so a title lookup reads
+    the one or two row groups (and of those the pages) whose range holds it, and a
+    month has tens of large files in place of hundreds of small ones; adaptive
+    execution chooses their number by size. Bloom filters on ``title`` rule out
+    titles that a range does not hold. Hour and project end the order, so even a title
+    that fills a date is cut. ``dates`` (all when None) replace the same dates under ``path``.
+    """
+    pv = read_landed_pageviews(spark, landed)
+    if dates is not None:
+        pv = pv.where(F.col("date").isin(list(dates)))
+    order = ["date", "title", "project", "hour"]
+    ordered = pv.repartitionByRange(*order).sortWithinPartitions(*order)
+    return write_result(
+        ordered,
+        path,
+        fmt="parquet",
+        mode="overwrite",
+        partition_by=["date"],
+        options={
+            "partitionOverwriteMode": "dynamic",
+            "parquet.bloom.filter.enabled#title": "true",
+            "parquet.bloom.filter.expected.ndv#title": str(titles_per_file),
+        },
+    )
+
+
 def read_landed_pageviews(spark: SparkSession, path: str) -> DataFrame:
-    """The landed table with the page-view schema (``date`` and ``hour`` are the partition columns)."""
+    """The landed or clustered table with the page-view schema (``date``, and ``hour`` of the landed one, are partition columns)."""
     return spark.read.schema(PAGEVIEW_SCHEMA).parquet(path).select(*PAGEVIEW_COLUMNS)
