@@ -31,6 +31,7 @@ from trafficlens.plans import traffic
 from trafficlens.functions.csvformat import CSV_OPTIONS
 from trafficlens.session import shared_path
 from trafficlens.sinks import landing, results, rollups
+from trafficlens.sources import health
 from trafficlens.sources import pageviews as src
 from trafficlens.sources.tables import calendar_spanning, clean_titles, hourly_calendar, read_runs, read_titles
 
@@ -84,6 +85,27 @@ def _dumps(spark: SparkSession, d: str) -> str:
     return path + "/dumps/*.gz"
 
 
+def _damaged_dumps(spark: SparkSession, d: str) -> DataFrame:
+    """The listing of real dumps of which one is truncated and one has a wrong checksum."""
+    path = shared_path(spark, "dumps")
+    fx.write_dumps(spark, d, path)
+    fx.damage_dumps(spark, path)
+    return src.list_dumps(spark, path + "/dumps/*.gz")
+
+
+def _intact_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Calendar hours without an intact dump."""
+    hours = cov.observed_hours(src.dump_hours(health.intact_dumps(_damaged_dumps(spark, d))))
+    return cov.coverage_gaps(hours, CAL_START, CAL_DAYS)
+
+
+def _opened_dumps(spark: SparkSession, d: str) -> DataFrame:
+    """How many dumps a range of hours opens, and how many there are."""
+    path = _dumps(spark, d)
+    opened = src.dump_count(src.list_dumps(spark, path, hours=oracles.HOURS)).select(F.col("input_files").alias("opened"))
+    return opened.select("opened", src.dump_count(src.list_dumps(spark, path)).scalar().alias("listed"))
+
+
 def _calendar_hours(spark: SparkSession, d: str) -> DataFrame:
     """Every expected hour, and whether a dump has it."""
     seen = _file_hours(spark, d).withColumn("present", F.lit(True))
@@ -210,6 +232,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             lambda pv: traffic.titles_daily(pv, _reference_titles(pv).unionByName(_requested_titles(pv)))
         ),
         "dump_titles_daily": _dump_titles_daily,
+        # a range of hours, and damaged dumps
+        "dump_scan_of_hours": lambda spark, d: src.read_pageviews(spark, _dumps(spark, d), hours=oracles.HOURS),
+        "dumps_opened": _opened_dumps,
+        "dump_states": lambda spark, d: health.dump_states(_damaged_dumps(spark, d)).select("file_name", "day", "hour", "state"),
+        "coverage_intact": _intact_coverage,
         # run manifest statistics
         "runs_load": _runs(_runs_from_csv),
         "run_ordinal": _runs(

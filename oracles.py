@@ -213,6 +213,17 @@ COVERAGE_SUMMARY_BY_PROJECT = ctes(
     "from obs group by project"
 )
 EMPTY_DUMPS = "(values ('pageviews-20231231-230000.gz', '20231231', 23), ('pageviews-20240301-000000.gz', '20240301', 0))"
+# A range that begins and ends inside a day.
+HOURS = ("2024-01-10 07:00", "2024-01-12 18:00")
+IN_HOURS = f"ts >= timestamp '{HOURS[0]}' and ts < timestamp '{HOURS[1]}' + interval 1 hour"
+DUMP_STATES = ctes(
+    **LINES,
+    names="select distinct file_name, day, hour from lines where file_name <> 'other.gz'",
+    states="select *, case when file_name = (select min(file_name) from names) then 'truncated' "
+    "when file_name = (select max(file_name) from names) then 'corrupt' else 'intact' end as state from names",
+    cal=CAL_SQL,
+    obs="select cast(strptime(day, '%Y%m%d') as timestamp) + to_hours(hour) as hour_ts from states where state = 'intact'",
+)
 CALENDAR_HOURS = ctes(**COVERAGE, obs=FILE_HOURS) + (
     f"select {DAY_HOUR}, c.hour_ts in (select hour_ts from obs) as present from cal c"
 )
@@ -324,6 +335,14 @@ def all_oracles() -> dict[str, str]:
         + "select distinct file_name, day, hour from lines where file_name <> 'other.gz' "
         f"union all select * from {EMPTY_DUMPS} v(file_name, day, hour)",
         "dump_count": ctes(**LINES) + "select count(distinct file_name) + 2 as input_files from lines",
+        "dump_scan_of_hours": ctes(pv=PV_SQL.rstrip() + f" and {IN_HOURS}") + "select * from pv",
+        "dumps_opened": ctes(**LINES)
+        + f"select count(distinct file_name) filter (file_name <> 'other.gz' and {IN_HOURS}) as opened, "
+        "count(distinct file_name) + 2 as listed from lines",
+        "dump_states": DUMP_STATES
+        + f"select * from states union all select *, 'intact' from {EMPTY_DUMPS} v(file_name, day, hour) "
+        "union all select distinct file_name, null, null, 'intact' from lines where file_name = 'other.gz'",
+        "coverage_intact": DUMP_STATES + f"select {DAY_HOUR} from cal c where c.hour_ts not in (select hour_ts from obs)",
         "top_pages_other_projects": TOP_PAGES_EN,
         "coverage_gaps": COVERAGE_GAPS,
         "coverage_summary": COVERAGE_SUMMARY,

@@ -121,6 +121,21 @@ def write_dumps(spark: SparkSession, sf_dir: str, path: str) -> None:
         stream.close()
 
 
+def damage_dumps(spark: SparkSession, path: str) -> None:
+    """Cut the end off the first dump under ``path`` (by name), and change a byte of the last one's checksum."""
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    folder = Path(posixpath.join(path, "dumps"))
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(s.getPath().getName() for s in fs.listStatus(folder))
+    names = [n for n in names if n.startswith("pageviews-") and n not in EMPTY_DUMPS]
+    for name, damage in ((names[0], lambda b: b[:-12]), (names[-1], lambda b: b[:-6] + bytes([b[-6] ^ 255]) + b[-5:])):
+        file = posixpath.join(path, "dumps", name)
+        content = bytes(spark.read.format("binaryFile").load(file).first()["content"])
+        stream = fs.create(Path(file), True)
+        stream.write(bytearray(damage(content)))
+        stream.close()
+
+
 def pageviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The parsed page-view table, through the real line parser."""
     return parse_pageview_lines(pageview_lines(spark, sf_dir))

@@ -2,7 +2,7 @@
 
 from ..functions.csvformat import CSV_OPTIONS
 from .landing import cluster_dates, land_pageviews, read_landed_pageviews
-from .manifest import RunContext, RunRecord, append_run, write_meta
+from .manifest import RunContext, RunRecord, append_run, compact_runs, write_meta
 from .results import claim_folder, name_single_part, observe_rows, path_exists, read_result_csv, write_result
 from .rollups import dates_of, read_rolled_hours, read_rolled_titles, refresh_rollups
 
@@ -13,6 +13,7 @@ __all__ = [
     "append_run",
     "claim_folder",
     "cluster_dates",
+    "compact_runs",
     "dates_of",
     "land_pageviews",
     "name_single_part",

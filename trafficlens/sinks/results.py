@@ -57,7 +57,8 @@ def read_result_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as its object."""
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
@@ -69,7 +70,7 @@ def claim_folder(spark: SparkSession, path: str) -> str:
     The claim is a file created without overwriting, which a Hadoop file system
     grants once, so two runs that start together cannot both get the folder.
     """
-    fs, jpath = _fs(spark, path)
+    fs, jpath = file_system(spark, path)
     if fs.exists(jpath):
         raise FileExistsError(f"{path} exists; runs never overwrite")
     jvm = spark.sparkContext._jvm
@@ -81,22 +82,25 @@ def claim_folder(spark: SparkSession, path: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, jpath = _fs(spark, path)
+    fs, jpath = file_system(spark, path)
     return bool(fs.exists(jpath))
 
 
-def name_single_part(spark: SparkSession, directory: str, name: str, suffix: str = "") -> str:
-    """Rename the one ``part-*`` file of ``directory`` to ``directory/name`` (metadata only).
-
-    Returns the new path. Raises if the directory does not hold exactly one part file.
-    """
-    fs, jdir = _fs(spark, directory)
+def single_part(spark: SparkSession, directory: str, suffix: str = "") -> str:
+    """Path of the one ``part-*`` file of ``directory``; raises if it does not hold exactly one."""
+    fs, jdir = file_system(spark, directory)
     parts = [s.getPath() for s in fs.listStatus(jdir) if s.getPath().getName().startswith("part-")]
     parts = [p for p in parts if p.getName().endswith(suffix)]
     if len(parts) != 1:
         raise RuntimeError(f"expected one part file in {directory}, found {len(parts)}")
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(jdir, name)
-    if not fs.rename(parts[0], target):
-        raise RuntimeError(f"could not rename {parts[0]} to {target}")
+    return str(parts[0].toString())
+
+
+def name_single_part(spark: SparkSession, directory: str, name: str, suffix: str = "") -> str:
+    """Rename the one ``part-*`` file of ``directory`` to ``directory/name`` (metadata only); returns the new path."""
+    part = single_part(spark, directory, suffix)
+    fs, jdir = file_system(spark, directory)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(jdir, name)
+    if not fs.rename(file_system(spark, part)[1], target):
+        raise RuntimeError(f"could not rename {part} to {target}")
     return str(target.toString())

@@ -1,10 +1,12 @@
 """Scans: page-view dumps, title lists, run manifests, calendars."""
 
+from .health import dump_states, intact_dumps
 from .pageviews import (
     PAGEVIEW_SCHEMA,
     file_hours,
     dump_count,
     dump_hours,
+    hours_pattern,
     list_dumps,
     project_prefix_filter,
     title_substring_filter,
@@ -37,6 +39,9 @@ __all__ = [
     "file_hours",
     "dump_count",
     "dump_hours",
+    "dump_states",
+    "hours_pattern",
+    "intact_dumps",
     "list_dumps",
     "project_prefix_filter",
     "title_substring_filter",

@@ -11,6 +11,7 @@ dates into nulls instead of failing the job.
 
 from __future__ import annotations
 
+import datetime as dt
 import posixpath
 from collections.abc import Iterable
 
@@ -49,41 +50,87 @@ def _split_glob(path: str) -> tuple[str, str | None]:
     return path, None
 
 
-def read_pageview_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def hours_pattern(first: dt.datetime, last: dt.datetime) -> str:
+    """A glob of the names of the dumps of the hours ``first`` to ``last``, both included.
+
+    Whole months, days and hours each become one alternative, so a year is a dozen of them.
+    """
+    hour, end, found = first.replace(minute=0, second=0, microsecond=0), last, []
+    while hour <= end:
+        month = (hour.replace(day=1) + dt.timedelta(days=31)).replace(day=1)
+        day = hour + dt.timedelta(days=1)
+        if hour.day == 1 and hour.hour == 0 and month - dt.timedelta(hours=1) <= end:
+            found.append(f"pageviews-{hour:%Y%m}*.gz")
+            hour = month
+        elif hour.hour == 0 and day - dt.timedelta(hours=1) <= end:
+            found.append(f"pageviews-{hour:%Y%m%d}-*.gz")
+            hour = day
+        else:
+            found.append(f"pageviews-{hour:%Y%m%d-%H}0000.gz")
+            hour += dt.timedelta(hours=1)
+    return "*{" + ",".join(found) + "}"
+
+
+Hours = tuple[str | dt.datetime, str | dt.datetime]
+
+
+def _bounds(hours: Hours) -> tuple[dt.datetime, dt.datetime]:
+    first, last = (dt.datetime.fromisoformat(str(h)) for h in hours)
+    if first > last:
+        raise ValueError(f"hours {first} to {last} are none")
+    return first, last
+
+
+def _in_hours(hours: Hours, day: str = "day", hour: str = "hour") -> Column:
+    """Whether a recognised dump's ``day`` (yyyyMMdd) and ``hour`` lie in the range; a day that is no date does not."""
+    first, last = (f"{h:%Y%m%d%H}" for h in _bounds(hours))
+    text = F.concat(F.col(day), F.lpad(F.col(hour).cast("string"), 2, "0"))
+    return text.between(first, last) & F.try_to_date(F.col(day), "yyyyMMdd").isNotNull()
+
+
+def read_pageview_lines(spark: SparkSession, path: str | list[str], hours: Hours | None = None) -> DataFrame:
     """Raw lines with their file name: ``value string, file_name string``.
 
     A glob on the file names only (``month/*.gz``) is read as the directory plus a
     ``pathGlobFilter``: one directory listing instead of one listed path per file,
     which on thousands of hourly dumps replaces a distributed listing job. A
-    truncated or damaged dump fails the job: no line is left out silently.
+    truncated or damaged dump fails the job: no line is left out silently. ``hours``
+    (first and last, both included) is solved on the names in the listing, so that
+    other dumps are not opened; names that only resemble a dump's may pass.
     """
-    lines = _load(spark.read.format("text"), path)
+    lines = _load(spark.read.format("text"), path, hours)
     return lines.select("value", F.col("_metadata.file_name").alias("file_name"))
 
 
-def _load(reader: DataFrameReader, path: str | list[str]) -> DataFrame:
+def _load(reader: DataFrameReader, path: str | list[str], hours: Hours | None = None) -> DataFrame:
+    pattern = None
     if isinstance(path, str):
-        path, pattern = _split_glob(path)
-        if pattern:
-            reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(path)
+        folder, leaf = _split_glob(path)
+        if hours is None or leaf == "*.gz":  # every pattern of hours ends in .gz
+            path, pattern = folder, leaf
+    if hours is not None:
+        pattern = hours_pattern(*_bounds(hours))
+    return (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path)
 
 
-def list_dumps(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def list_dumps(spark: SparkSession, path: str | list[str], hours: Hours | None = None) -> DataFrame:
     """``path, file_name, length, day, hour`` of every file under ``path``, from the listing alone.
 
+    With ``hours`` only of the dumps of those hours.
+
     No byte of a dump is read: the file source's content column is pruned. Dumps
     without lines and equal names in two folders are each a row (a file of zero
     bytes is no gzip and is not listed); ``day`` and ``hour`` are
     null for names that are not dump names.
     """
-    files = _load(spark.read.format("binaryFile"), path).select("path", "length")
+    files = _load(spark.read.format("binaryFile"), path, hours).select("path", "length")
     name = F.substring_index("path", "/", -1)
     listed = files.select("path", name.alias("file_name"), "length")
     day = _file_day("file_name")
-    return listed.select(
+    named = listed.select(
         "*", F.when(day != "", day).alias("day"), F.when(day != "", _file_hour("file_name")).alias("hour")
     )
+    return named if hours is None else named.where(_in_hours(hours))
 
 
 def dump_hours(files: DataFrame) -> DataFrame:
@@ -227,14 +274,18 @@ def read_pageviews(
     projects: Iterable[str] | None = None,
     titles: Iterable[str] | None = None,
     title_list: DataFrame | None = None,
+    hours: Hours | None = None,
 ) -> DataFrame:
     """Scan hourly dumps (gzip text) into the typed page-view table.
 
+    ``hours`` (first and last, both included) opens only the dumps of those hours.
+
     ``projects`` / ``titles`` / ``title_list`` drop lines that cannot match before they are split
     (see :func:`parse_pageview_lines`). No file name travels through the driver.
     """
-    lines = read_pageview_lines(spark, path)
-    return parse_pageview_lines(lines, projects=projects, titles=titles, title_list=title_list)
+    lines = read_pageview_lines(spark, path, hours)
+    pv = parse_pageview_lines(lines, projects=projects, titles=titles, title_list=title_list)
+    return pv if hours is None else pv.where(_in_hours(hours))
 
 
 def line_status(lines: DataFrame, value: str = "value", file_name: str = "file_name") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +35,7 @@ def clean_titles(titles: DataFrame, col: str = "title") -> DataFrame:
     return titles.select(t.alias("title")).where(F.col("title").isNotNull() & (F.col("title") != "")).distinct()
 
 
-def _read_named(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+def _read_named(spark: SparkSession, path: str | list[str], names: list[str]) -> DataFrame:
     """The columns ``names`` of a CSV with a header, as text, wherever they stand in it."""
     raw = spark.read.options(**CSV_OPTIONS).csv(path)
     absent = [n for n in names if n not in raw.columns]
@@ -76,14 +76,25 @@ def _number(name: str, kind: T.DataType) -> Column:
     return F.when(text.isNull() | (text == ""), F.lit(None).cast(kind)).when(number.isNull(), damaged).otherwise(number)
 
 
-def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    """Run manifest (CSV with header, columns by name) plus its ``family`` column."""
+def once_by_id(runs: DataFrame) -> DataFrame:
+    """Each run_id once: of repeated ones the row that starts last, then the greatest; rows without an id all stay."""
+    others = [c for c in runs.columns if c != "run_id"]
+    order = F.struct("ts_utc", *[c for c in others if c != "ts_utc"])
+    first = F.row_number().over(Window.partitionBy("run_id").orderBy(order.desc()))
+    return runs.withColumn("_copy", first).where("_copy = 1 or run_id is null").drop("_copy")
+
+
+def read_runs(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Run manifest (CSV with header, columns by name; a run_id counts once) plus its ``family`` column.
+
+    A folder's files and subfolders that begin with an underscore are uncommitted and not read.
+    """
     raw = _read_named(spark, path, RUNS_SCHEMA.fieldNames())
     columns = [
         (F.col(f.name) if isinstance(f.dataType, T.StringType) else _number(f.name, f.dataType)).alias(f.name)
         for f in RUNS_SCHEMA.fields
     ]
-    return with_family(raw.select(*columns))
+    return with_family(once_by_id(raw.select(*columns)))
 
 
 # --------------------------------------------------------------- calendar --
