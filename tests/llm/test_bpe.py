@@ -74,3 +74,18 @@ def test_odd_rows(spark, odd_docs):
     for r in rows:
         assert bytes(r["decoded"]) == (r["text"] or "").encode()
     assert bpe.encode_documents(odd_docs.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_long_pre_tokens_are_not_remembered():
+    """Distinct pre-tokens of 10 kB each leave the worker's memory as it was, and are encoded as ever."""
+    import public_tokenizers
+    from trafficlens.llm import bpe
+
+    tokens = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    known = bpe.PreTokens(tokens, *bpe.perfect_hash(tokens))
+    for k in range(30):
+        word = f"x{k}" * 3000
+        packed = known[word]
+        assert len(packed) % 4 == 0 and packed == known[word]
+    known["short"]
+    assert list(known) == ["short"]

@@ -24,6 +24,7 @@ from .common import row_slices, table, text_or_empty
 
 #: Distinct pre-tokens a Python worker remembers before it starts afresh.
 REMEMBERED = 200_000
+LONGEST_REMEMBERED = 256  # bytes of a pre-token that is remembered at all, so that the memory has a bound in bytes
 BATCH_BYTES = 2 << 20  # ids per Arrow batch sent back
 
 
@@ -127,7 +128,8 @@ class PreTokens(dict):
         rank = self.whole(piece)
         ids = [rank] if rank >= 0 else merge_bytes(piece, self.rank_of)
         packed = np.array(ids, "<u4").tobytes()
-        self[word] = packed
+        if len(piece) <= LONGEST_REMEMBERED:
+            self[word] = packed
         return packed
 
 
