@@ -225,6 +225,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _compare_blocks(mixed_members: DataFrame, sets: DataFrame) -> DataFrame:
     """Verified links between components inside large buckets, block pair by block pair."""
     sizes = mixed_members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    # Written, so that the join has a plain shuffle on both sides and a large bucket's rows can be divided.
+    sizes = written(sizes, "neardup_sizes")
     placed = mixed_members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "bucket",
@@ -299,7 +301,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     uneven = (
         placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     )
-    owing = placed.join(uneven.select("bucket"), "bucket", "left_semi")
+    owing = placed.join(written(uneven.select("bucket"), "neardup_uneven"), "bucket", "left_semi")
     if not owing.isEmpty():
         more = written(_compare_blocks(owing, sets), "neardup_links")
         found = components(links.union(more))
@@ -307,6 +309,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classed = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     classed = written(classed, "neardup_classes")
     totals = classed.groupBy("component").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
+    totals = written(totals, "neardup_totals")  # as above: a large component's rows can be divided
     labelled = classed.join(totals, "component").select("a", "b", "n", "node", "component", "class_id", "class_size")
     return signed.select("row", "doc_id", "text_hash", "a", "b", "n").join(labelled, ["a", "b", "n"]).drop("a", "b", "n")
 
