@@ -1,12 +1,14 @@
-"""Licence scan by a positional index of licence words.
-
-Each licence notice is a template of words. All licence words of a file are
-looked up in the template postings; two words that agree on the difference
-between their place in the file and their place in the template vote for the
-same alignment. Alignments are then scored over all words of the template and kept only when a mandatory
-key phrase of the licence stands in the file. Everything is a DataFrame
-expression; the postings are a constant of this module, so their broadcast has
-a fixed size.
+"""Licence scan by a positional index of rare licence words.
+
+Each licence notice is a template of words with postings (word, place). A file is
+looked up by the highest-IDF licence words it holds, template by template: in order of
+their IDF until the words taken carry more weight than a passing alignment may lack.
+Two of them that agree on the difference between their place in the file and their
+place in the template vote for the same alignment, so every alignment that can
+pass is found. Alignments are then scored over all words of the template by IDF
+weight, and kept only when a mandatory key phrase of the licence stands in the file.
+Everything is a DataFrame expression; the postings are a constant of this package, so
+their broadcast has a fixed size.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table, text_or_empty, written
+from .notices import FUNCTION_WORDS, TEMPLATES
 
 # Base phrases and their labels.
 BASE_PHRASES = {
@@ -24,44 +27,7 @@ BASE_PHRASES = {
     "mit license": "mit",
 }
 
-# Notices as published with each licence: label, notice, mandatory phrases (one must occur).
-TEMPLATES = [
-    ("agpl", "gnu affero general public license", ["gnu affero general public license"]),
-    ("all-rights-reserved", "all rights reserved", ["all rights reserved"]),
-    (
-        "apache",
-        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license",
-        ["apache license", "apache software license"],
-    ),
-    ("apache", "licensed under the apache license version 2 0", ["apache license"]),
-    (
-        "bsd",
-        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
-        ["redistribution and use in source and binary forms"],
-    ),
-    ("cc-by-nc", "licensed under cc by nc 4 0", ["cc by nc"]),
-    ("cc-by-sa", "licensed under cc by sa 4 0", ["cc by sa"]),
-    ("cc-by", "creative commons attribution 4 0 international license", ["creative commons attribution"]),
-    (
-        "gpl",
-        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
-        ["gnu general public license"],
-    ),
-    ("gpl", "this work is licensed under the gnu general public license version 3", ["gnu general public license"]),
-    ("lgpl", "gnu lesser general public license", ["gnu lesser general public license"]),
-    (
-        "mit",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction",
-        ["permission is hereby granted free of charge"],
-    ),
-    ("mit", "released under the mit license", ["mit license"]),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0", ["mozilla public license"]),
-]
-
-# Function words that index nothing.
-FUNCTION_WORDS = "0 2 3 4 a all an and any are as at be by can code deal except file for form forms free in is it may met not of or person subject that the this to use v version with without work you".split()
-
-MIN_VOTES = 2  # licence words that must agree on one alignment
+MIN_VOTES = 2  # looked-up words that must agree on one alignment
 MIN_COVERAGE = 0.6  # share of the template's weight found in place
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -97,14 +63,15 @@ def _starts(words: Column, phrase: str) -> Column:
 
 
 def postings(spark: SparkSession) -> DataFrame:
-    """(template, label, word, place): one row per indexed word of every template, a constant."""
+    """(template, word, place): one row per indexed word of every template, a constant."""
+    known = set(VOCABULARY)
     rows = [
-        (number, label, word, place)
-        for number, (label, notice, _) in enumerate(TEMPLATES)
+        (number, word, place)
+        for number, (_, notice, _) in enumerate(TEMPLATES)
         for place, word in enumerate(notice.split())
-        if word in set(VOCABULARY)
+        if word in known
     ]
-    return spark.createDataFrame(rows, "template int, label string, word string, place int")
+    return spark.createDataFrame(rows, "template int, word string, place int")
 
 
 def scan_words(docs: DataFrame) -> DataFrame:
@@ -114,7 +81,8 @@ def scan_words(docs: DataFrame) -> DataFrame:
     """
     none = F.expr("cast(array() as array<int>)")
     frame = docs.select("doc_id", licence_words(text_or_empty()).alias("words"))
-    frame = frame.withColumn("indexed", F.arrays_overlap("words", _strings(VOCABULARY)))
+    frame = frame.withColumn("present", F.array_intersect("words", _strings(VOCABULARY)))
+    frame = frame.withColumn("indexed", F.size("present") > 0)
     frame = frame.withColumn("based", F.arrays_overlap("words", _strings(_FIRST_WORDS)))
     words = F.col("words")
     starts = [F.when(F.col("based"), _starts(words, p)).otherwise(none) for p in BASE_PHRASES]
@@ -134,7 +102,7 @@ def scan_words(docs: DataFrame) -> DataFrame:
     )
     hits = F.filter(
         F.transform(words, lambda w, i: F.struct(i.alias("at"), w.alias("word"))),
-        lambda hit: F.array_contains(_strings(VOCABULARY), hit["word"]),
+        lambda hit: F.array_contains("present", hit["word"]),
     )
     spaced = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
     frame = frame.withColumn("spaced", F.when(F.col("indexed"), spaced))
@@ -154,46 +122,87 @@ def scan_words(docs: DataFrame) -> DataFrame:
     )
 
 
+def word_weights(hits: DataFrame, files: int) -> DataFrame:
+    """(word, idf) of the licence words in (row, word) hits over ``files`` files; a constant number of rows at most."""
+    return (
+        hits.select("row", "word")
+        .distinct()
+        .groupBy("word")
+        .agg(F.count(F.lit(1)).alias("files_with"))
+        .select("word", F.log((F.lit(files) + 1) / F.col("files_with")).alias("idf"))
+    )
+
+
+def looked_up(words: Column, total: Column) -> Column:
+    """Of a file's (idf, word) of one template the rarest, until those but the first outweigh what an alignment may lack.
+
+    An alignment of MIN_COVERAGE lacks at most the rest of the weight, so it holds two
+    of these words (one, if the template has no more).
+    """
+    rising = F.sort_array(words, asc=False)
+    spare = F.lit(1 - MIN_COVERAGE + 1e-9) * total
+    start = F.struct(F.lit(0.0).alias("behind"), F.expr("cast(array() as array<string>)").alias("taken"))
+
+    def take(state: Column, one: Column) -> Column:
+        done = state["behind"] > spare
+        first = F.size(state["taken"]) == 0
+        behind = state["behind"] + F.when(first, F.lit(0.0)).otherwise(one["idf"])
+        return F.when(done, state).otherwise(
+            F.struct(behind.alias("behind"), F.concat(state["taken"], F.array(one["word"])).alias("taken"))
+        )
+
+    return F.aggregate(rising, start, take, lambda state: state["taken"])
+
+
 def match_templates(scanned: DataFrame) -> DataFrame:
-    """(row, label, coverage) of every template alignment that passes votes, coverage and key phrase."""
+    """(row, labels, coverage) of every template alignment that passes votes, coverage and key phrase."""
     spark = scanned.sparkSession
     index = postings(spark)
     hits = scanned.where("hits is not null").select("row", F.inline("hits"))
-    files = scanned.count()
-    # At most one row per vocabulary word, a constant of this module.
-    weights = (
+    weighted = index.join(word_weights(hits, scanned.count()), "word", "left").withColumn(
+        "idf", F.coalesce("idf", F.lit(1e-9))
+    )
+    template = Window.partitionBy("template")
+    weighted = weighted.withColumn("total", F.sum("idf").over(template)).withColumn(
+        "needed", F.least(F.lit(MIN_VOTES), F.size(F.collect_set("word").over(template)))
+    )
+    weighted = written(weighted, "license_index")
+    words = weighted.select("template", "word", "idf", "total").distinct()
+    # A template's words are its own few: the set of a file and template is bounded.
+    chosen = (
         hits.select("row", "word")
         .distinct()
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("files_with"))
-        .select("word", F.log((F.lit(files) + 1) / F.col("files_with")).alias("idf"))
+        .join(F.broadcast(words), "word")
+        .groupBy("row", "template", "total")
+        .agg(F.collect_set(F.struct("idf", "word")).alias("words"))
+        .select("row", "template", F.explode(looked_up(F.col("words"), F.col("total"))).alias("word"))
     )
-    weighted = index.join(weights, "word", "left").withColumn("idf", F.coalesce("idf", F.lit(1e-9)))
-    weighted = weighted.withColumn("total", F.sum("idf").over(Window.partitionBy("template")))
     placed = hits.join(F.broadcast(weighted), "word").withColumn("offset", F.col("at") - F.col("place"))
-    needed = index.groupBy("template").agg(F.countDistinct("word").alias("words"))
     votes = (
-        placed.groupBy("row", "template", "offset")
-        .agg(F.countDistinct("word").alias("votes"))
-        .join(F.broadcast(needed), "template")
-        .where(F.col("votes") >= F.least(F.lit(MIN_VOTES), F.col("words")))
+        placed.join(chosen, ["row", "template", "word"], "left_semi")
+        .groupBy("row", "template", "offset")
+        .agg(F.countDistinct("word").alias("votes"), F.first("needed").alias("needed"))
+        .where(F.col("votes") >= F.col("needed"))
         .select("row", "template", "offset")
     )
     aligned = (
         placed.join(votes, ["row", "template", "offset"], "left_semi")
         .groupBy("row", "template", "offset")
-        .agg(F.first("label").alias("label"), (F.sum("idf") / F.first("total")).alias("coverage"))
+        .agg((F.sum("idf") / F.first("total")).alias("coverage"))
         .where(F.col("coverage") >= MIN_COVERAGE)
+        .groupBy("row", "template")
+        .agg(F.max("coverage").alias("coverage"))
     )
     keys = spark.createDataFrame(
-        [(number, phrases) for number, (_, _, phrases) in enumerate(TEMPLATES)], "template int, keys array<string>"
+        [(number, list(labels), phrases) for number, (labels, _, phrases) in enumerate(TEMPLATES)],
+        "template int, labels array<string>, keys array<string>",
     )
     present = scanned.where("size(phrases) > 0").select("row", "phrases")
     return (
         aligned.join(F.broadcast(keys), "template")
         .join(present, "row")
         .where(F.arrays_overlap("phrases", "keys"))
-        .select("row", "label", F.least("coverage", F.lit(1.0)).alias("coverage"))
+        .select("row", "labels", F.least("coverage", F.lit(1.0)).alias("coverage"))
     )
 
 
@@ -202,14 +211,14 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are ignored. A null or
     empty text has no words, no places, empty labels and score 0. Repeated rows
-    are scanned separately. ``score`` is 1 when a base phrase stands in the text,
-    otherwise the best coverage of a verified template, otherwise 0.
+    are scanned separately. ``score`` is the best coverage of a verified template, or
+    0; a base phrase is a template of its own, so a text that holds one scores 1.
     """
     scanned = written(scan_words(docs), "license_words")
     found = (
         match_templates(scanned)
         .groupBy("row")
-        .agg(F.collect_set("label").alias("found"), F.max("coverage").alias("coverage"))
+        .agg(F.array_distinct(F.flatten(F.collect_set("labels"))).alias("found"), F.max("coverage").alias("coverage"))
     )
     empty = F.expr("cast(array() as array<string>)")
     joined = scanned.join(found, "row", "left")
@@ -221,7 +230,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         "last_word",
         F.array_join("base", ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union("base", F.coalesce("found", empty))), ",").alias("labels"),
-        F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce("coverage", F.lit(0.0))).alias("score"),
+        F.coalesce("coverage", F.lit(0.0)).alias("score"),
     )
 
 
