@@ -24,6 +24,7 @@ PARAGRAPH_END = r"\n+|(?<=[.!?])\s+"
 
 SEGMENTS = 64  # approximate quantiles of doc_id that steer the runs
 ROWS_PER_RUN = 2_000
+BLOCK = 4_096  # runs of a segment that one task puts in order
 
 
 def paragraphs(text: Column) -> Column:
@@ -106,33 +107,63 @@ def _runs(docs: DataFrame) -> tuple[Column, Column]:
     return segment, place.cast("bigint")
 
 
-def with_next_text(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, next_text): the text of the next row by descending doc_id; the last row's next is the first.
+def _below(runs: DataFrame) -> DataFrame:
+    """(segment, place, below): of each run the next one by falling (segment, place); after the last comes the first.
 
-    One shuffle of the texts, by run. Only the first row of each run travels to
-    the run before it; the order of the runs is a window over one slim row per run.
-    Rows with one doc_id follow each other by the hash of their text.
+    Inside a segment runs are grouped in blocks of at most BLOCK places; a run's next is
+    found in its block, else in the segment's next block, else in the next segment.
+    So a task orders BLOCK runs, or the blocks of one segment, or the segments, whose
+    number is fixed.
+    """
+    here = F.struct("segment", "place")
+    rows = runs.withColumn("block", F.floor(F.col("place") / BLOCK))
+    inside = Window.partitionBy("segment", "block").orderBy(F.desc("place"))
+    blocks = rows.groupBy("segment", "block").agg(F.max("place").alias("place"))
+    across = Window.partitionBy("segment").orderBy(F.desc("block"))
+    next_block = blocks.select("segment", "block", F.lead(here).over(across).alias("next_block"))
+    segments = blocks.groupBy("segment").agg(F.max("place").alias("place"))
+    down = Window.orderBy(F.desc("segment"))
+    top = F.first(here).over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    next_segment = segments.select("segment", F.coalesce(F.lead(here).over(down), top).alias("next_segment"))
+    return (
+        rows.withColumn("next_run", F.lead(here).over(inside))
+        .join(next_block, ["segment", "block"])
+        .join(F.broadcast(next_segment), "segment")  # SEGMENTS + 1 rows at most
+        .select("segment", "place", F.coalesce("next_run", "next_block", "next_segment").alias("below"))
+    )
+
+
+def with_next(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, own, next_text, next_own): the text and fingerprint of each row and of the next by descending doc_id.
+
+    The last row's next is the first. One shuffle of the texts, by run; a fingerprint
+    is taken before it and led with the text, not taken again. Only the first row of
+    each run travels to the run before it. Rows with one doc_id follow each other by
+    the hash of their text.
     """
     segment, place = _runs(docs)
     frame = docs.select("doc_id", text_or_empty().alias("text"), segment.alias("segment"), place.alias("place"))
     order = [F.desc_nulls_last("doc_id"), F.desc(F.xxhash64("text"))]
     run = Window.partitionBy("segment", "place").orderBy(*order)
-    heads = frame.withColumn("n", F.row_number().over(run)).where("n = 1").select("segment", "place", "text")
-    runs = frame.groupBy("segment", "place").agg(F.count(F.lit(1)).alias("rows")).select("segment", "place")
-    down = Window.orderBy(F.desc("segment"), F.desc("place"))
-    here = F.struct("segment", "place")
-    top = F.first(here).over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    below = runs.select("segment", "place", F.coalesce(F.lead(here).over(down), top).alias("below"))
-    heads = heads.select(
+    heads = frame.withColumn("n", F.row_number().over(run)).where("n = 1").select(
         F.col("segment").alias("head_segment"), F.col("place").alias("head_place"), F.col("text").alias("head_text")
     )
+    below = _below(frame.groupBy("segment", "place").agg(F.count(F.lit(1)).alias("rows")).select("segment", "place"))
     first_below = below.join(
         heads, (F.col("below.segment") == F.col("head_segment")) & (F.col("below.place") == F.col("head_place"))
-    ).select("segment", "place", "head_text")
+    ).select("segment", "place", "head_text", fingerprint_lanes(F.col("head_text")).alias("head_own"))
+    taken = frame.withColumn("own", fingerprint_lanes(F.col("text")))
     return (
-        frame.withColumn("following", F.lead("text").over(run))
+        taken.withColumn("following", F.lead("text").over(run))
+        .withColumn("following_own", F.lead("own").over(run))
         .join(first_below, ["segment", "place"])
-        .select("doc_id", "text", F.coalesce("following", "head_text").alias("next_text"))
+        .select(
+            "doc_id",
+            "text",
+            "own",
+            F.coalesce("following", "head_text").alias("next_text"),
+            F.coalesce("following_own", "head_own").alias("next_own"),
+        )
     )
 
 
@@ -145,25 +176,18 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     the next document by descending doc_id. A single row is its own next.
     Repeated rows are fingerprinted separately. An empty table gives no rows.
     """
-    pairs = with_next_text(docs)
+    pairs = with_next(docs)
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    frame = pairs.select(
-        "doc_id",
-        n.cast("bigint").alias("n_chars"),
-        F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half)).alias(
-            "edited"
-        ),
-        "text",
-        "next_text",
-    )
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
+    frame = pairs.select("doc_id", n.cast("bigint").alias("n_chars"), edited.alias("edited"), "own", "next_own")
     frame = frame.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint_lanes(F.col("text")).alias("own"),
+        "own",
         fingerprint_lanes(F.col("edited")).alias("changed"),
-        fingerprint_lanes(F.col("next_text")).alias("next"),
+        "next_own",
     )
     return frame.select(
         "doc_id",
@@ -172,7 +196,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
         as_string(F.col("own")).alias("fingerprint"),
         as_string(F.col("changed")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("changed")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next")).alias("near_next"),
+        likeness(F.col("own"), F.col("next_own")).alias("near_next"),
     )
 
 
