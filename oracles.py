@@ -20,15 +20,15 @@ def in_list(values) -> str:
 
 
 # The cleaning rules written out again, apart from the library: fixed values of the dump format.
-PREFIXES = """
-Spécial Special Spezial Wikipédia Wikipedia Catégorie Category Utilisateur Utilisatrice User Fichier File Image
-MediaWiki Modèle Template Aide Help Portail Portal Projet Project Référence Module Sujet Gadget Gadget_definition
-TimedText Média Media
-""".split()
-HOMES = """
-- Accueil_principal Wikipédia:Accueil_principal Wikipedia:Accueil_principal Main_Page Page_d'accueil Portail:Accueil
-Special:Search Spécial:Recherche
-""".split()
+PREFIXES = (
+    "Spécial", "Special", "Spezial", "Wikipédia", "Wikipedia", "Catégorie", "Category", "Utilisateur", "Utilisatrice", "User",
+    "Fichier", "File", "Image", "MediaWiki", "Modèle", "Template", "Aide", "Help", "Portail", "Portal", "Projet", "Project",
+    "Référence", "Module", "Sujet", "Gadget", "Gadget_definition", "TimedText", "Média", "Media",
+)
+HOMES = (
+    "-", "Accueil_principal", "Wikipédia:Accueil_principal", "Wikipedia:Accueil_principal", "Main_Page", "Page_d'accueil",
+    "Portail:Accueil", "Special:Search", "Spécial:Recherche",
+)
 _HOME_LIST = ", ".join(f"{lit(p)}, url_encode({lit(p)})" for p in HOMES)
 _PREFIX_TESTS = " or ".join(
     f"starts_with(title, {spelling} || {separator})"
