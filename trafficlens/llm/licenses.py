@@ -211,8 +211,8 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are ignored. A null or
     empty text has no words, no places, empty labels and score 0. Repeated rows
-    are scanned separately. ``score`` is the best coverage of a verified template, or
-    0; a base phrase is a template of its own, so a text that holds one scores 1.
+    are scanned separately. ``score`` is the best coverage of a verified template to six
+    digits (sums of weights depend on their order in the last bits), or 0; a base phrase is a template of its own, so a text that holds one scores 1.
     """
     scanned = written(scan_words(docs), "license_words")
     found = (
@@ -230,9 +230,69 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         "last_word",
         F.array_join("base", ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union("base", F.coalesce("found", empty))), ",").alias("labels"),
-        F.coalesce("coverage", F.lit(0.0)).alias("score"),
+        F.round(F.coalesce("coverage", F.lit(0.0)), 6).alias("score"),
     )
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+# ---------------------------------------------------------------------- SQL --
+
+
+def license_sql() -> str:
+    """The same scan in DuckDB, without an index: every template at every place that shares a word with it."""
+
+    def text(value: str) -> str:
+        return "'" + value.replace("'", "''") + "'"
+
+    def texts(values) -> str:
+        return "[" + ", ".join(map(text, values)) + "]"
+
+    templates = ", ".join(
+        f"({number}, {texts(labels)}, {text(notice)}, {texts(phrases)})"
+        for number, (labels, notice, phrases) in enumerate(TEMPLATES)
+    )
+    starts = []
+    for phrase, label in BASE_PHRASES.items():
+        parts = phrase.split()
+        joins = "".join(
+            f" join w w{k} on w{k}.id = w0.id and w{k}.spot = w0.spot + {k} and w{k}.word = {text(part)}"
+            for k, part in enumerate(parts[1:], 1)
+        )
+        starts.append(f"select w0.id, w0.spot, {text(label)} as label from w w0{joins} where w0.word = {text(parts[0])}")
+    return f"""
+with d as materialized (
+  select row_number() over (order by doc_id) as id, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as words
+  from documents),
+w as materialized (select id, unnest(words) as word, generate_subscripts(words, 1) - 1 as spot from d),
+tpl(template, labels, notice, phrases) as (values {templates}),
+idx as (select * from (select template, unnest(string_split(notice, ' ')) as word, generate_subscripts(string_split(notice, ' '), 1) - 1 as place from tpl)
+        where word not in {"(" + ", ".join(map(text, FUNCTION_WORDS)) + ")"}),
+idf as (select word, ln(((select count(*) from d) + 1) / count(distinct id)) as idf from w where word in (select word from idx) group by word),
+weighted as materialized (
+  select idx.*, coalesce(idf, 1e-9) as idf, sum(coalesce(idf, 1e-9)) over (partition by template) as total from idx left join idf using (word)),
+needed as (select template, least({MIN_VOTES}, count(distinct word)) as needed from idx group by template),
+aligned as (
+  select id, template, sum(idf) / any_value(total) as coverage
+  from w join weighted using (word) join needed using (template)
+  group by id, template, spot - place, needed
+  having count(distinct word) >= needed and sum(idf) / any_value(total) >= {MIN_COVERAGE}),
+found as (
+  select id, list_distinct(flatten(list(labels))) as labels, max(least(coverage, 1.0)) as coverage
+  from aligned join tpl using (template) join d using (id)
+  where len(list_filter(phrases, lambda p: contains(' ' || array_to_string(words, ' ') || ' ', ' ' || p || ' '))) > 0
+  group by id),
+starts as ({" union all ".join(starts)}),
+base as (select id, count(*) as n, min(spot) as low, max(spot) as high, list(distinct label) as labels from starts group by id)
+select doc_id, cast(len(words) as bigint) as n_words, coalesce(n, 0) as n_base, low as first_word, high as last_word,
+       coalesce(array_to_string(list_sort(base.labels), ','), '') as base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(found.labels, [])))), ','), '') as labels,
+       cast(round(coalesce(coverage, 0.0), 6) as double) as score
+from d left join base using (id) left join found using (id)
+"""
+
+
+OP8_SQL = license_sql()

@@ -11,7 +11,7 @@ from .classlm import op4_classlm
 from .decontamination import op10_decontamination
 from .filteraudit import OP12_SQL, op12_filteraudit
 from .fingerprints import op7_fingerprints
-from .licenses import op8_licenses
+from .licenses import OP8_SQL, op8_licenses
 from .neardup import op9_neardup
 from .quality import op1_quality
 from .sharding import op6_sharding
@@ -40,4 +40,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": OP3_SQL, "op11_vectorcodes": OP11_SQL, "op12_filteraudit": OP12_SQL}
+    return {
+        "op3_warc": OP3_SQL,
+        "op8_licenses": OP8_SQL,
+        "op11_vectorcodes": OP11_SQL,
+        "op12_filteraudit": OP12_SQL,
+    }
