@@ -33,7 +33,7 @@ from trafficlens.session import shared_path
 from trafficlens.sinks import landing, results, rollups
 from trafficlens.sources import health
 from trafficlens.sources import pageviews as src
-from trafficlens.sources.tables import calendar_spanning, clean_titles, hourly_calendar, read_runs, read_titles
+from trafficlens.sources.tables import calendar_spanning, clean_titles, hourly_calendar, read_committed_runs, read_runs, read_titles
 
 try:
     import corpus_pipeline
@@ -78,6 +78,15 @@ def _runs_from_csv(runs: DataFrame) -> DataFrame:
     return read_runs(spark, path).select(*RUN_COLUMNS)
 
 
+def _committed_runs(runs: DataFrame) -> DataFrame:
+    """The run manifest written twice, as a compaction that was interrupted leaves it, and each run read once."""
+    spark = runs.sparkSession
+    path = shared_path(spark, "runs")
+    for _ in range(2):
+        runs.drop("family").write.mode("append").options(**CSV_OPTIONS).csv(path)
+    return read_committed_runs(spark, path).select(*RUN_COLUMNS)
+
+
 def _dumps(spark: SparkSession, d: str) -> str:
     """Real gzip dumps in the shared folder; returns their glob."""
     path = shared_path(spark, "dumps")
@@ -239,6 +248,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "coverage_intact": _intact_coverage,
         # run manifest statistics
         "runs_load": _runs(_runs_from_csv),
+        "runs_committed": _runs(_committed_runs),
         "run_ordinal": _runs(
             lambda r: runstats.run_ordinal(r).select("ordinal", "run_id", "ts_utc", "job", "duration_s")
         ),

@@ -319,6 +319,9 @@ def all_oracles() -> dict[str, str]:
         "titles_daily": TITLES_DAILY,
         "dump_titles_daily": _titles_daily("select title from req"),
         "runs_load": ctes(**RUNS) + "select * from runs",
+        "runs_committed": ctes(**RUNS)
+        + "select * from runs qualify row_number() over (partition by run_id "
+        "order by ts_utc desc, job desc, month desc, parallelism desc, duration_s desc, rows_in desc, rows_out desc) = 1",
         "run_ordinal": ctes(**RUNS)
         + "select row_number() over (order by ts_utc, run_id) as ordinal, "
         "run_id, ts_utc, job, duration_s from runs",

@@ -6,7 +6,7 @@ import os
 import pytest
 
 from trafficlens.sinks import RunContext, append_run, compact_runs, manifest
-from trafficlens.sources import read_runs
+from trafficlens.sources import read_committed_runs
 
 
 def row(run_id, ts="2026-07-28T20:00:00+00:00", duration=1.5):
@@ -17,7 +17,7 @@ def row(run_id, ts="2026-07-28T20:00:00+00:00", duration=1.5):
 
 
 def ids(spark, path):
-    return sorted(r.run_id for r in read_runs(spark, path).collect())
+    return sorted(r.run_id for r in read_committed_runs(spark, path).collect())
 
 
 def test_a_failure_between_the_writes_leaves_a_readable_manifest(spark, tmp_path, monkeypatch):
@@ -42,7 +42,7 @@ def test_a_failure_between_the_writes_leaves_a_readable_manifest(spark, tmp_path
     assert manifest._move_once is move
     assert run.publish() is True and run.publish() is False  # a retry commits, another one changes nothing
     assert ids(spark, runs) == sorted(["before", run.run_id])
-    committed = {r.run_id: r for r in read_runs(spark, runs).collect()}[run.run_id]
+    committed = {r.run_id: r for r in read_committed_runs(spark, runs).collect()}[run.run_id]
     folder = os.path.join(run.outdir, "meta")
     meta = json.loads(open(os.path.join(folder, next(p for p in os.listdir(folder) if p.endswith(".json")))).read())
     assert (meta["run_id"], meta["duration_s"], meta["rows_out"]) == (run.run_id, committed.duration_s, 5)
@@ -58,7 +58,7 @@ def test_repeated_and_uncommitted_rows_are_read_once_or_not_at_all(spark, tmp_pa
     os.makedirs(f"{runs}/_pending/left")
     with open(f"{runs}/_pending/left/part-0.csv", "w", encoding="utf-8") as fh:
         fh.write(header + "uncommitted,t,j,m,2,1.0,1,1\n")
-    got = sorted((r.run_id or "", r.duration_s) for r in read_runs(spark, runs).collect())
+    got = sorted((r.run_id or "", r.duration_s) for r in read_committed_runs(spark, runs).collect())
     assert got == [("", 3.0), ("", 3.0), ("a", 2.0), ('monument_AC/DC: "x", é', 1.5)]
 
 
@@ -66,10 +66,10 @@ def test_compaction_keeps_every_run_once(spark, tmp_path, monkeypatch):
     runs = str(tmp_path / "runs")
     for k in range(4):
         append_run(spark, runs, row(f"r{k}"))
-    before = sorted(map(tuple, read_runs(spark, runs).collect()))
+    before = sorted(map(tuple, read_committed_runs(spark, runs).collect()))
     assert compact_runs(spark, runs) == 4
     files = [p for p in os.listdir(runs) if p.endswith(".csv")]
-    assert len(files) == 1 and sorted(map(tuple, read_runs(spark, runs).collect())) == before
+    assert len(files) == 1 and sorted(map(tuple, read_committed_runs(spark, runs).collect())) == before
 
     # A compaction that stops after its move: the old files are still there, and each run still counts once.
     append_run(spark, runs, row("r9"))

@@ -25,6 +25,7 @@ from .tables import (
     hour_timestamp,
     hourly_calendar,
     job_family,
+    read_committed_runs,
     read_runs,
     read_titles,
     with_day_hour,
@@ -55,6 +56,7 @@ __all__ = [
     "parse_pageview_lines",
     "read_pageview_lines",
     "read_pageviews",
+    "read_committed_runs",
     "read_runs",
     "read_titles",
     "with_day_hour",

@@ -85,7 +85,7 @@ def once_by_id(runs: DataFrame) -> DataFrame:
 
 
 def read_runs(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Run manifest (CSV with header, columns by name; a run_id counts once) plus its ``family`` column.
+    """Run manifest (CSV with header, columns by name) plus its ``family`` column, every row of it.
 
     A folder's files and subfolders that begin with an underscore are uncommitted and not read.
     """
@@ -94,7 +94,12 @@ def read_runs(spark: SparkSession, path: str | list[str]) -> DataFrame:
         (F.col(f.name) if isinstance(f.dataType, T.StringType) else _number(f.name, f.dataType)).alias(f.name)
         for f in RUNS_SCHEMA.fields
     ]
-    return with_family(once_by_id(raw.select(*columns)))
+    return with_family(raw.select(*columns))
+
+
+def read_committed_runs(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The runs of a manifest, each run_id once, whatever retries and interrupted compactions have left."""
+    return once_by_id(read_runs(spark, path))
 
 
 # --------------------------------------------------------------- calendar --
