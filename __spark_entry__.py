@@ -87,11 +87,17 @@ def _committed_runs(runs: DataFrame) -> DataFrame:
     return read_committed_runs(spark, path).select(*RUN_COLUMNS)
 
 
+_written_dumps: dict[tuple[str, str], str] = {}
+
+
 def _dumps(spark: SparkSession, d: str) -> str:
-    """Real gzip dumps in the shared folder; returns their glob."""
-    path = shared_path(spark, "dumps")
-    fx.write_dumps(spark, d, path)
-    return path + "/dumps/*.gz"
+    """Real gzip dumps in the shared folder, written once for an application and table folder; returns their glob."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _written_dumps:
+        path = shared_path(spark, "dumps")
+        fx.write_dumps(spark, d, path)
+        _written_dumps[key] = path + "/dumps/*.gz"
+    return _written_dumps[key]
 
 
 def _damaged_dumps(spark: SparkSession, d: str) -> DataFrame:

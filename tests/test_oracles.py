@@ -32,8 +32,18 @@ def test_query_matches_oracle(spark, name):
     assert not result["type_mismatches"], result
 
 
+@pytest.fixture()
+def ansi_off(spark):
+    """ANSI mode is on by default, as in the test above."""
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    assert before == "true"
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_core_queries_with_ansi_off(spark, ansi, name):
+def test_core_queries_with_ansi_off(spark, ansi_off, name):
     result = compare(spark, name, SMOKE_DIR, QUERIES[name], ORACLES.get(name))
     assert result["match"], result
 
