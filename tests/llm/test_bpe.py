@@ -89,3 +89,16 @@ def test_long_pre_tokens_are_not_remembered():
         assert len(packed) % 4 == 0 and packed == known[word]
     known["short"]
     assert list(known) == ["short"]
+
+
+def test_decoding_in_the_same_pass_equals_decoding_stored_ids(spark, odd_docs):
+    import public_tokenizers
+    from trafficlens.llm import bpe
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    both = bpe.encode_documents(odd_docs, path, public_tokenizers.PATTERN, keep=("lang", "row"), decode=True)
+    alone = bpe.decode_documents(bpe.encode_documents(odd_docs, path, public_tokenizers.PATTERN, keep=("lang", "row")), path)
+    assert both.columns == alone.columns == ["doc_id", "lang", "row", "ids", "decoded"]
+    assert sorted(map(str, both.collect())) == sorted(map(str, alone.collect()))
+    texts = sorted((r["text"] or "").encode() for r in odd_docs.collect())
+    assert sorted(bytes(r["decoded"]) for r in both.collect()) == texts

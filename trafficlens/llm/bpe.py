@@ -139,25 +139,38 @@ def encode_text(text: str, find, known: PreTokens) -> bytes:
     return b"".join(map(known.__getitem__, find(text)))
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def speller(tokens: list[bytes]):
+    """A function from packed ids to the bytes that they stand for."""
+    spelled = tokens.__getitem__
+    return lambda ids: b"".join(map(spelled, np.frombuffer(ids, "<u4").tolist()))
+
+
+def encode_documents(
+    docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = (), decode: bool = False
+) -> DataFrame:
     """(doc_id, kept columns, ids): token ids of every whole text as little-endian unsigned 32-bit integers.
 
     ``docs`` needs ``doc_id`` and ``text``; of its other columns only those in
     ``keep`` stay. A null or empty text has empty ids. Repeated rows are encoded
     separately. No special tokens are recognised: their spelling is ordinary text.
+    With ``decode`` the bytes that the ids stand for follow as ``decoded``, as
+    :func:`decode_documents` gives them, without a second pass of the ids through Python.
     """
     tokens = read_ranks(path)
     shared = docs.sparkSession.sparkContext.broadcast((tokens, *perfect_hash(tokens)))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, find = PreTokens(*shared.value), regex.compile(pattern).findall
+        spell = speller(known.tokens)
         for batch in row_slices(batches):
             for part, packed in _sized(batch, 0, lambda text: encode_text(text, find, known)):
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(packed, pa.binary())], names)
+                made = [packed, list(map(spell, packed))] if decode else [packed]
+                columns = [pa.array(values, pa.binary()) for values in made]
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *columns], names)
 
     slim = docs.select(text_or_empty().alias("__whole_text"), "doc_id", *keep)
-    names = ["doc_id", *keep, "ids"]
-    return slim.mapInArrow(encode, _schema(slim, names[:-1], "ids binary"))
+    names = ["doc_id", *keep, "ids", *(["decoded"] if decode else [])]
+    return slim.mapInArrow(encode, _schema(slim, ["doc_id", *keep], "ids binary" + ", decoded binary" * decode))
 
 
 def _schema(frame: DataFrame, names: list[str], more: str) -> str:
@@ -185,10 +198,9 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     names = [*encoded.columns, "decoded"]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelled = shared.value.__getitem__
-        join = lambda ids: b"".join(map(spelled, np.frombuffer(ids, "<u4").tolist()))
+        spell = speller(shared.value)
         for batch in row_slices(batches):
-            for part, decoded in _sized(batch, at, join):
+            for part, decoded in _sized(batch, at, spell):
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(decoded, pa.binary())], names)
 
     return encoded.mapInArrow(decode, _schema(encoded, encoded.columns, "decoded binary"))
@@ -207,5 +219,5 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return decode_documents(encoded, path).select("doc_id", *digests())
+    both = encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, decode=True)
+    return both.select("doc_id", *digests())
