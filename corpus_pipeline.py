@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficlens.llm.bpe import decode_documents, digests, encode_documents
+from trafficlens.llm.bpe import digests, encode_documents
 from trafficlens.llm.common import table, text_or_empty, written
 from trafficlens.llm.decontamination import drop_contaminated
 from trafficlens.llm.neardup import keep_one_of_each
@@ -51,9 +51,9 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path(RANKS)
     marked = docs.withColumn("text_sha256", F.sha2(text_or_empty(), 256))
-    encoded = encode_documents(marked, path, public_tokenizers.PATTERN, keep=("text_sha256",))
-    decoded = decode_documents(encoded, path).select("doc_id", *digests(), "ids", "text_sha256")
-    return decoded.withColumn("round_trip", F.col("decoded_sha256") == F.col("text_sha256")).drop("text_sha256")
+    both = encode_documents(marked, path, public_tokenizers.PATTERN, keep=("text_sha256",), decode=True)
+    both = both.select("doc_id", *digests(), "ids", "text_sha256")
+    return both.withColumn("round_trip", F.col("decoded_sha256") == F.col("text_sha256")).drop("text_sha256")
 
 
 STAGES = [
