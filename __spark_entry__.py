@@ -78,12 +78,17 @@ def _runs_from_csv(runs: DataFrame) -> DataFrame:
     return read_runs(spark, path).select(*RUN_COLUMNS)
 
 
+# A whole manifest is written as gzip, at the level that takes no longer than plain text. One task
+# reads a gzip file, and files are dealt to tasks by their compressed bytes, so a file's rows are bounded.
+MANIFEST_OPTIONS = CSV_OPTIONS | {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": "250000"}
+
+
 def _committed_runs(runs: DataFrame) -> DataFrame:
     """The run manifest written twice, as a compaction that was interrupted leaves it, and each run read once."""
     spark = runs.sparkSession
     path = shared_path(spark, "runs")
     for _ in range(2):
-        runs.drop("family").write.mode("append").options(**CSV_OPTIONS).csv(path)
+        runs.drop("family").write.mode("append").options(**MANIFEST_OPTIONS).csv(path)
     return read_committed_runs(spark, path).select(*RUN_COLUMNS)
 
 

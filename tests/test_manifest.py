@@ -5,8 +5,9 @@ import os
 
 import pytest
 
+import __spark_entry__ as entry
 from trafficlens.sinks import RunContext, append_run, compact_runs, manifest
-from trafficlens.sources import read_committed_runs
+from trafficlens.sources import RUNS_SCHEMA, read_committed_runs, read_runs, with_family
 
 
 def row(run_id, ts="2026-07-28T20:00:00+00:00", duration=1.5):
@@ -88,3 +89,38 @@ def test_compaction_keeps_every_run_once(spark, tmp_path, monkeypatch):
     assert compact_runs(spark, runs) == 5 and ids(spark, runs) == ["r0", "r1", "r2", "r3", "r9"]
     os.makedirs(tmp_path / "none")
     assert compact_runs(spark, str(tmp_path / "none")) == 0
+
+
+def test_reading_committed_runs_shuffles_each_column_once(spark, tmp_path):
+    runs = str(tmp_path / "runs")
+    append_run(spark, runs, row("a"))
+    plan = read_committed_runs(spark, runs)._jdf.queryExecution().executedPlan().toString()
+    above, shuffled = plan.split("Exchange hashpartitioning(run_id")  # one shuffle
+    assert "struct(" not in plan and "family" in above and "family" not in shuffled
+
+
+def test_of_repeated_rows_the_greatest_stays_and_null_is_the_least(spark, tmp_path):
+    header = "run_id,ts_utc,job,month,parallelism,duration_s,rows_in,rows_out\n"
+    low, high = ["t1", "j_1", "m1", "2", "1.5", "9", "9"], ["t2", "j_2", "m2", "10", "10.5", "10", "10"]
+    lines, want = [], {}
+    for k in range(len(low)):  # equal before column k, greater there, smaller after it
+        winner = low[:k] + [high[k]] + low[k + 1 :]
+        for name, value in (("value", low[k]), ("null", "")):
+            loser = low[:k] + [value] + high[k + 1 :]
+            lines += [[f"{name}{k}", *loser], [f"{name}{k}", *winner], [f"{name}{k}", *loser]]
+            want[f"{name}{k}"] = (*winner[:3], int(winner[3]), float(winner[4]), int(winner[5]), int(winner[6]), "j")
+    (tmp_path / "runs.csv").write_text(header + "".join(",".join(x) + "\n" for x in lines), encoding="utf-8")
+    rows = [tuple(r) for r in read_committed_runs(spark, str(tmp_path / "runs.csv")).collect()]
+    assert {r[0]: r[1:] for r in rows} == want and len(rows) == len(want)
+
+
+def test_a_manifest_of_the_query_is_compressed_in_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "runs")
+    monkeypatch.setattr(entry, "shared_path", lambda *_: path)
+    monkeypatch.setattr(entry, "MANIFEST_OPTIONS", entry.MANIFEST_OPTIONS | {"maxRecordsPerFile": "20"})
+    runs = with_family(spark.createDataFrame([tuple(row(f"r{k}").values()) for k in range(50)], RUNS_SCHEMA).coalesce(1))
+    got = entry._committed_runs(runs)
+    files = [p for p in os.listdir(path) if p.startswith("part-")]
+    assert len(files) == 6 and all(p.endswith(".csv.gz") for p in files)
+    assert read_runs(spark, path).count() == 100
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, runs.collect()))

@@ -77,10 +77,12 @@ def _number(name: str, kind: T.DataType) -> Column:
 
 
 def once_by_id(runs: DataFrame) -> DataFrame:
-    """Each run_id once: of repeated ones the row that starts last, then the greatest; rows without an id all stay."""
-    others = [c for c in runs.columns if c != "run_id"]
-    order = F.struct("ts_utc", *[c for c in others if c != "ts_utc"])
-    first = F.row_number().over(Window.partitionBy("run_id").orderBy(order.desc()))
+    """Each run_id once: of repeated ones the row that starts last, then the greatest; rows without an id all stay.
+
+    The window orders by the columns themselves: a struct of them would be shuffled beside them.
+    """
+    order = ["ts_utc", *[c for c in runs.columns if c not in ("run_id", "ts_utc")]]
+    first = F.row_number().over(Window.partitionBy("run_id").orderBy(*[F.desc(c) for c in order]))
     return runs.withColumn("_copy", first).where("_copy = 1 or run_id is null").drop("_copy")
 
 
@@ -98,8 +100,11 @@ def read_runs(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_committed_runs(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """The runs of a manifest, each run_id once, whatever retries and interrupted compactions have left."""
-    return once_by_id(read_runs(spark, path))
+    """The runs of a manifest, each run_id once, whatever retries and interrupted compactions have left.
+
+    ``family`` follows from ``job``, so it is derived after the shuffle.
+    """
+    return with_family(once_by_id(read_runs(spark, path).drop("family")))
 
 
 # --------------------------------------------------------------- calendar --
